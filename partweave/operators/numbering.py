@@ -85,7 +85,9 @@ def _number_two_pass(df, order_by, name, restart_by, num_partitions):
     spec = W.partitionBy(*restart_by) if restart_by else W.partitionBy()
     before = spec.orderBy(PID).rowsBetween(W.unboundedPreceding, -1)
     seg = seg.select(*seg_keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias(_BASE))
-    # Without a restart key the table has at most n rows (one per partition id).
+    # Staged too, so later uses of the numbered frame do not recount. Without
+    # a restart key the table has at most n rows (one per partition id).
+    seg = stage(seg.coalesce(1), "numbering-segments")
     seg = checked_broadcast(seg) if restart_by else F.broadcast(seg)
 
     s, g = staged.alias("s"), seg.alias("g")
