@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .broadcast import checked_broadcast
-from .numbering import number_rows, sort_keys
+from .numbering import DuplicateKeys, number_rows, sort_keys
 
 
 def orig_name(id_col: str) -> str:
@@ -38,7 +38,7 @@ def fan_out(owner: DataFrame, id_col: str, part: str = "part") -> DataFrame:
     )
 
 
-class DuplicateOwnerKeys(ValueError):
+class DuplicateOwnerKeys(DuplicateKeys):
     pass
 
 
@@ -48,6 +48,8 @@ def rebase_ids(
     part: str = "part",
     method: str = "two_pass",
     on_duplicates: str = "fail",
+    num_partitions: int | None = None,
+    stats: dict | None = None,
 ) -> DataFrame:
     """Keep the old ID as ``Orig<id_col>`` (in place) and append a new dense
     ``id_col`` (bigint) numbered 1.. over all parts in (part, old id) order.
@@ -55,18 +57,21 @@ def rebase_ids(
 
     ``on_duplicates='fail'`` refuses an owner with a repeated (part, id) - each
     copy would get its own ID and multiply its children. ``'keep'`` numbers every
-    copy, as a plain sequence would.
+    copy, as a plain sequence would. With the two-pass method the check costs
+    no extra shuffle; ``stats`` then receives the owner's row count.
     """
     orig = orig_name(id_col)
-    if on_duplicates == "fail":
-        dups = fan_out(df, id_col, part)
-        if dups.limit(1).count():
-            raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out()")
-    elif on_duplicates != "keep":
+    if on_duplicates not in ("fail", "keep"):
         raise ValueError("on_duplicates must be 'fail' or 'keep'")
     renamed = df.withColumnRenamed(id_col, orig)
     if method == "two_pass":
-        return number_rows(renamed, [part, orig], id_col)
+        ties = "fail" if on_duplicates == "fail" else "ignore"
+        try:
+            return number_rows(renamed, [part, orig], id_col, num_partitions=num_partitions, on_ties=ties, stats=stats)
+        except DuplicateKeys as e:
+            raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out(): {e}") from e
+    if on_duplicates == "fail" and fan_out(df, id_col, part).limit(1).count():
+        raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out()")
     if method == "window":
         local = number_rows(renamed, [orig], "_pw_rn", restart_by=[part], method="window")
         offs = checked_broadcast(part_offsets(renamed, part).select(part, "start_id"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .broadcast import checked_broadcast
+from .broadcast import checked_broadcast, max_rows_for
 from .ids import orig_name
 
 JOIN_KINDS = ("inner", "left")
@@ -20,6 +20,7 @@ def rewrite_fk(
     how: str = "inner",
     broadcast: str = "auto",
     hot_key_rows: int | None = None,
+    keymap_rows: int | None = None,
 ) -> DataFrame:
     """Child with ``id_col`` replaced by the new ID from ``keymap``
     (part, Orig<id>, <id>), the new column first and the old one dropped.
@@ -33,7 +34,8 @@ def rewrite_fk(
     join on (part, id) whose hot partitions AQE splits at runtime. With
     ``hot_key_rows`` set, keys with at least that many child rows are split off
     up front and joined against a broadcast of just their key-map rows, so no
-    single key reaches one task.
+    single key reaches one task. ``keymap_rows``, when the caller knows the
+    key map's row count, replaces the size check's counting job.
     """
     if how not in JOIN_KINDS:
         raise ValueError(f"how must be one of {JOIN_KINDS}")
@@ -46,7 +48,10 @@ def rewrite_fk(
     if broadcast == "always":
         km = F.broadcast(km)
     elif broadcast == "auto":
-        km = checked_broadcast(km)
+        if keymap_rows is not None:
+            km = F.broadcast(km) if keymap_rows <= max_rows_for(km) else km
+        else:
+            km = checked_broadcast(km)
     elif broadcast != "never":
         raise ValueError("broadcast must be 'auto', 'always' or 'never'")
 

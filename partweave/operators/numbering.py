@@ -10,8 +10,9 @@ group (or the whole table) to one task.
   3. count rows per segment - per partition, or per (partition, restart key) -
      which is a table of at most ``n`` (+ number of restart keys) rows;
   4. running sums over that small table give every segment's first number;
-     join it back (broadcast: its size is bounded by ``n``) and add the
-     position.
+     it is collected (bounded, like the partition counts of
+     ``RDD.zipWithIndex``), broadcast back, and the position added.
+  A duplicate-key check rides along at no extra shuffle (``on_ties='fail'``).
   A hot part or key range is cut into many partitions by the range
   partitioner, so no task holds more than about ``1/n`` of the rows
   (duplicated ordering keys excepted: equal keys share a partition).
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..session import stage
-from .broadcast import checked_broadcast
 
 PID = "_pw_pid"
 POS = "_pw_pos"
 _BASE = "_pw_base"
+_TIES = "_pw_ties"
 
 METHODS = ("two_pass", "window")
 
@@ -43,6 +44,25 @@ def sort_keys(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
+def _null_last_keys(cols: Sequence[str]) -> list[Column]:
+    """(isnull(c), c) per column: ascending NULLs-last order spelled in
+    NULLs-first terms, so a window partitioned by the same expressions finds
+    its required ordering already in place (no second sort)."""
+    out: list[Column] = []
+    for c in cols:
+        out += [F.isnull(c), F.col(c)]
+    return out
+
+
+class DuplicateKeys(ValueError):
+    """The ordering keys repeat inside a restart group."""
+
+
+# Above this many segments the segment table is staged and shuffle-joined
+# instead of being collected and broadcast.
+MAX_LOCAL_SEGMENTS = 100_000
+
+
 def number_rows(
     df: DataFrame,
     order_by: Sequence[str],
@@ -50,26 +70,37 @@ def number_rows(
     restart_by: Sequence[str] = (),
     method: str = "two_pass",
     num_partitions: int | None = None,
+    on_ties: str = "ignore",
+    stats: dict | None = None,
 ) -> DataFrame:
     """Append ``name`` (bigint): ``row_number() OVER ([PARTITION BY restart_by]
-    ORDER BY order_by)``, ascending with NULLs last. Keep ``order_by`` unique
-    within a restart group, or ties are numbered in an arbitrary (but, once
-    staged, fixed) order."""
+    ORDER BY order_by)``, ascending with NULLs last.
+
+    Keep the keys unique, or ties are numbered in an arbitrary (but, once
+    staged, fixed) order; ``on_ties='fail'`` raises ``DuplicateKeys`` instead.
+    ``stats``, if given, receives ``rows``: the number of rows numbered (known
+    for free from the segment counts).
+    """
     order_by, restart_by = list(order_by), list(restart_by)
+    if on_ties not in ("ignore", "fail"):
+        raise ValueError("on_ties must be 'ignore' or 'fail'")
     if method == "window":
         if not restart_by:
             raise ValueError("the window method needs restart_by (a whole-table window is one task)")
+        if on_ties == "fail" and df.groupBy(*restart_by, *order_by).count().where("count > 1").limit(1).count():
+            raise DuplicateKeys(f"{restart_by + order_by} repeat")
         w = W.partitionBy(*restart_by).orderBy(*sort_keys(order_by))
         return df.withColumn(name, F.row_number().over(w).cast("long"))
     if method != "two_pass":
         raise ValueError(f"unknown numbering method {method!r}; use one of {METHODS}")
-    return _number_two_pass(df, order_by, name, restart_by, num_partitions)
+    return _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats)
 
 
-def _number_two_pass(df, order_by, name, restart_by, num_partitions):
+def _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats):
     spark = df.sparkSession
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = sort_keys(restart_by + order_by)
+    exprs = _null_last_keys(restart_by + order_by)
+    keys = [e.asc() for e in exprs]
     pid = F.spark_partition_id()
     tagged = (
         df.repartitionByRange(n, *keys)
@@ -78,19 +109,45 @@ def _number_two_pass(df, order_by, name, restart_by, num_partitions):
         # monotonically_increasing_id = partition id << 33 | row index in partition
         .withColumn(POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
     )
+    if on_ties == "fail":
+        # Equal keys share a range partition, and range partitioning on the
+        # keys already clusters them: this window adds no shuffle.
+        tagged = tagged.withColumn(_TIES, F.count(F.lit(1)).over(W.partitionBy(*exprs)))
     staged = stage(tagged, "numbering")
 
     seg_keys = [PID, *restart_by]
-    seg = staged.groupBy(*seg_keys).agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_first"))
+    aggs = [F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_first")]
+    if on_ties == "fail":
+        aggs.append(F.max(_TIES).alias("_ties"))
+    seg = staged.groupBy(*seg_keys).agg(*aggs)
     spec = W.partitionBy(*restart_by) if restart_by else W.partitionBy()
     before = spec.orderBy(PID).rowsBetween(W.unboundedPreceding, -1)
-    seg = seg.select(*seg_keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias(_BASE))
-    # Staged too, so later uses of the numbered frame do not recount. Without
-    # a restart key the table has at most n rows (one per partition id).
-    seg = stage(seg.coalesce(1), "numbering-segments")
-    seg = checked_broadcast(seg) if restart_by else F.broadcast(seg)
-
-    s, g = staged.alias("s"), seg.alias("g")
+    seg = seg.select(
+        *seg_keys,
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias(_BASE),
+        "_n",
+        *(["_ties"] if on_ties == "fail" else []),
+    )
+    # One row per segment: at most n rows without a restart key (one per
+    # partition id), n + groups - 1 with one. Small: collect it, like the
+    # partition counts of RDD.zipWithIndex, and broadcast it back.
+    rows = seg.limit(MAX_LOCAL_SEGMENTS + 1).collect()
+    if len(rows) <= MAX_LOCAL_SEGMENTS:
+        total = sum(r["_n"] for r in rows)
+        worst = max((r["_ties"] for r in rows), default=1) if on_ties == "fail" else 1
+        seg_df = F.broadcast(spark.createDataFrame(rows, seg.schema).select(*seg_keys, _BASE))
+    else:
+        seg = stage(seg, "numbering-segments")
+        summary = seg.agg(F.sum("_n"), *([F.max("_ties")] if on_ties == "fail" else [])).first()
+        total = summary[0]
+        worst = summary[1] if on_ties == "fail" else 1
+        seg_df = seg.select(*seg_keys, _BASE)
+    if worst and worst > 1:
+        raise DuplicateKeys(f"{restart_by + order_by} repeat (up to {worst} rows per key)")
+    if stats is not None:
+        stats["rows"] = total
+
+    s, g = staged.alias("s"), seg_df.alias("g")
     cond = [F.col(f"s.{PID}") == F.col(f"g.{PID}")] + [F.col(f"s.{k}").eqNullSafe(F.col(f"g.{k}")) for k in restart_by]
     out = s.join(g, cond, "inner")
     return out.select(*[F.col(f"s.{c}") for c in df.columns], (F.col(f"g.{_BASE}") + F.col(f"s.{POS}") + 1).alias(name))

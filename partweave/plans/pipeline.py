@@ -42,20 +42,29 @@ class Pipeline:
         self.broadcast = broadcast
         self.hot_key_rows = hot_key_rows
         self._rebased: dict[str, DataFrame] = {}
+        self._rows: dict[str, int] = {}
         self._rewritten: dict[str, DataFrame] = {}
 
     # -- stages ---------------------------------------------------------
     def rebased(self, owner: str) -> DataFrame:
         """Owner with ``Orig<id>`` and a new dense ``<id>``, from raw rows."""
         if owner not in self._rebased:
+            stats: dict = {}
             self._rebased[owner] = rebase_ids(
-                self.raw[owner], self.reg.owners[owner], self.part, self.method, self.on_duplicates
+                self.raw[owner], self.reg.owners[owner], self.part, self.method, self.on_duplicates, stats=stats
             )
+            if "rows" in stats and not self.reg.keys_of(owner):
+                self._rows[owner] = stats["rows"]
         return self._rebased[owner]
 
     def key_map(self, id_col: str) -> DataFrame:
         return key_map(self.rewritten(self.reg.owner_of(id_col)), id_col, self.part)
 
+    def key_map_rows(self, id_col: str) -> int | None:
+        """Row count of a key map when already known (owners that are not
+        children themselves), else None."""
+        return self._rows.get(self.reg.owner_of(id_col))
+
     def rewritten(self, table: str) -> DataFrame:
         """Table with every foreign key rewritten (owners: also rebased)."""
         if table in self._rewritten:
@@ -63,8 +72,9 @@ class Pipeline:
         cur = self.rebased(table) if table in self.reg.owners else self.raw[table]
         keys = [k for k in self.reg.keys_of(table) if self.reg.owner_of(k) in self.raw]
         for k in keys:
+            km = self.key_map(k)
             cur = rewrite_fk(
-                cur, self.key_map(k), k, self.part, self.how, self.broadcast, self.hot_key_rows
+                cur, km, k, self.part, self.how, self.broadcast, self.hot_key_rows, self.key_map_rows(k)
             )
         if keys and table in self.reg.owners and self.reg.children_of(self.reg.owners[table]):
             # It feeds later rewrites as well as the output: cut lineage once.
