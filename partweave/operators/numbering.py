@@ -2,7 +2,8 @@
 group (or the whole table) to one task.
 
 ``two_pass`` (default, any size):
-  1. range-partition on the ordering keys into ``n`` partitions and sort each
+  1. range-partition on the ordering keys (``n`` partitions, at most
+     ``spark.sql.shuffle.partitions``, sized by AQE unless given) and sort each
      one; tag every row with its partition id and position inside it;
   2. stage the tagged rows (a written table under ``spark.checkpoint.dir``):
      range bounds are sampled, so a recomputation could cut the data
@@ -98,12 +99,15 @@ def number_rows(
 
 def _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats):
     spark = df.sparkSession
-    n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     exprs = _null_last_keys(restart_by + order_by)
     keys = [e.asc() for e in exprs]
     pid = F.spark_partition_id()
+    # Without an explicit count AQE sizes the range partitions from measured
+    # bytes (coalescing keeps contiguous ranges, so the global order holds);
+    # there are at most spark.sql.shuffle.partitions of them either way.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     tagged = (
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn(PID, pid)
         # monotonically_increasing_id = partition id << 33 | row index in partition

@@ -7,12 +7,13 @@ Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.bind import bind
+from ..operators.bind import bind, union_parts
 from ..operators.columns import cast_ids_by_suffix, rename_orig
 from ..operators.describe import describe_columns, profile_column, row_count
 from ..operators.ids import check_ids, fan_out, key_map, part_counts, part_offsets, rebase_ids
@@ -227,6 +228,71 @@ def q_land_parts(spark, d):
     return land(read_parts(spark, path)).select("part", "PatID", "MedCov", "DrugCov")
 
 
+def q_scan_table_sql(spark, d):
+    return spark.sql(f"SELECT * FROM parquet.`{d.rstrip('/')}/region.parquet`")
+
+
+def q_ctas_view(spark, d):
+    """CREATE [OR REPLACE] ... AS SELECT and DROP ... IF EXISTS, as views:
+    nothing is copied, the view is a named plan."""
+    spark.sql("DROP VIEW IF EXISTS pw_ctas_nation")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW pw_ctas_nation AS SELECT * FROM parquet.`{d.rstrip('/')}/nation.parquet`")
+    return spark.sql("SELECT * FROM pw_ctas_nation")
+
+
+def q_code_year_rollup_sorted_nulls_first(spark, d):
+    ev = read_table(spark, d, "events")
+    return code_year_rollup(ev, "event_type", None, "ts", year_name="Year", count_name="n", code_alias="PX", sort="nulls_first")
+
+
+def q_profile_new_patid(spark, d):
+    """The profile printed after every ID assignment: of the new ID."""
+    return profile_column(pipeline(spark, d).rebased("demographic"), "PatID")
+
+
+def q_coverage_patients(spark, d):
+    p = pipeline(spark, d)
+    return coverage_count(
+        p.output("demographic"),
+        p.output("enrollment"),
+        on="PatID",
+        by=["Sex", "Race"],
+        flags={"MedCov": "Y", "DrugCov": "Y"},
+        distinct_people="PatID",
+    )
+
+
+def q_describe_diagnosis_output(spark, d):
+    return describe_columns(pipeline(spark, d).output("diagnosis"))
+
+
+def q_row_count_diagnosis_output(spark, d):
+    return row_count(pipeline(spark, d).output("diagnosis"), formatted=True)
+
+
+def q_orphans_diagnosis_encounter(spark, d):
+    """Diagnosis rows lost at the EncounterID rewrite: their encounter was
+    itself dropped by the PatID / FacilityID rewrites (the cascade)."""
+    return pipeline(spark, d).orphans("diagnosis", "EncounterID").select("part", "EncounterID", "PatID", "ProviderID")
+
+
+def q_check_ids_encounter_output(spark, d):
+    """New EncounterIDs after the cascade: unique, but with gaps."""
+    return check_ids(pipeline(spark, d).output("encounter"), "EncounterID")
+
+
+def q_bind_parts_union(spark, d):
+    """Bind by UNION ALL of one scan per part: each scan reads only its own
+    part=NN directory (partition pruning), and the schemas are checked
+    before the positional union."""
+    path = new_stage_path(spark, "landing-enrollment")
+    write_parts(fixture(spark, d).enroll_src, path)
+    landed = read_parts(spark, path)
+    parts = sorted({int(m) for m in re.findall(r"/part=(\d+)/", " ".join(landed.inputFiles()))})
+    frames = [landed.where(F.col("part") == i).drop("part").select("PatID", "MedCov", "DrugCov") for i in parts]
+    return union_parts(frames)
+
+
 QUERIES: dict[str, Query] = {
     "scan_table": q_scan_table,
     "row_count": q_row_count,
@@ -261,6 +327,16 @@ QUERIES: dict[str, Query] = {
     "dx_code_year_after_rebase": q_dx_code_year_after_rebase,
     "pipeline_row_counts": q_pipeline_row_counts,
     "land_parts": q_land_parts,
+    "scan_table_sql": q_scan_table_sql,
+    "ctas_view": q_ctas_view,
+    "code_year_rollup_sorted_nulls_first": q_code_year_rollup_sorted_nulls_first,
+    "profile_new_patid": q_profile_new_patid,
+    "coverage_patients": q_coverage_patients,
+    "describe_diagnosis_output": q_describe_diagnosis_output,
+    "row_count_diagnosis_output": q_row_count_diagnosis_output,
+    "orphans_diagnosis_encounter": q_orphans_diagnosis_encounter,
+    "check_ids_encounter_output": q_check_ids_encounter_output,
+    "bind_parts_union": q_bind_parts_union,
 }
 
 
@@ -411,5 +487,44 @@ ORACLES: dict[str, str] = {
     "land_parts": fix() + "SELECT part, PatID, MedCov, DrugCov FROM enroll_src",
 }
 ORACLES["code_year_rollup_sql"] = ORACLES["code_year_rollup"]
+ORACLES.update(
+    {
+        "scan_table_sql": "SELECT * FROM region",
+        "ctas_view": "SELECT * FROM nation",
+        "code_year_rollup_sorted_nulls_first": (
+            "SELECT year(ts) AS Year, event_type AS PX, count(*) AS n FROM events "
+            "GROUP BY ALL ORDER BY Year NULLS FIRST"
+        ),
+        "profile_new_patid": fix("d AS (SELECT row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src)") + (
+            "SELECT 'PatID' AS column_name, min(PatID) AS min, max(PatID) AS max, "
+            "count(DISTINCT PatID) AS n_unique, round(avg(PatID), 6) AS avg, round(stddev_samp(PatID), 6) AS std, "
+            "round(quantile_cont(PatID, 0.25), 6) AS q25, round(quantile_cont(PatID, 0.5), 6) AS q50, "
+            "round(quantile_cont(PatID, 0.75), 6) AS q75, count(*) AS count, "
+            "round(100.0 * (count(*) - count(PatID)) / count(*), 2)::DOUBLE AS null_percentage FROM d"
+        ),
+        "coverage_patients": fix(_D) + (
+            "SELECT s.Sex, s.Race, count(*) AS count, count(DISTINCT d.PatID) AS n_people FROM d "
+            "JOIN demo_src s ON s.part = d.part AND s.PatID = d.OrigPatID "
+            "JOIN enroll_src b ON d.part = b.part AND d.OrigPatID = b.PatID "
+            "WHERE b.MedCov = 'Y' AND b.DrugCov = 'Y' GROUP BY s.Sex, s.Race"
+        ),
+        "describe_diagnosis_output": (
+            "SELECT column_name, column_type FROM (DESCRIBE ("
+            + fix(_D, _F, _P, _E, _E2, _DX_OUT)
+            + "SELECT * FROM dx_out))"
+        ),
+        "row_count_diagnosis_output": fix(_D, _F, _P, _E, _E2, _DX_OUT) + "SELECT format('{:,}', count(*)) AS count FROM dx_out",
+        "orphans_diagnosis_encounter": fix(_D, _F, _E, _E2) + (
+            "SELECT x.part, x.EncounterID, x.PatID, x.ProviderID FROM dx_src x "
+            "ANTI JOIN e2 ON e2.part = x.part AND e2.OrigEncounterID = x.EncounterID"
+        ),
+        "check_ids_encounter_output": fix(_D, _F, _E, _E2) + (
+            "SELECT count(*) AS n_rows, count(DISTINCT NewEncounterID) AS n_distinct, min(NewEncounterID) AS min_id, "
+            "max(NewEncounterID) AS max_id, count(*) - count(NewEncounterID) AS n_null, "
+            "(count(*) = count(DISTINCT NewEncounterID) AND min(NewEncounterID) = 1 AND max(NewEncounterID) = count(*)) AS is_dense FROM e2"
+        ),
+        "bind_parts_union": fix() + "SELECT PatID, MedCov, DrugCov FROM enroll_src",
+    }
+)
 
 assert set(ORACLES) == set(QUERIES), set(QUERIES) ^ set(ORACLES)
