@@ -219,6 +219,31 @@ def q_pipeline_row_counts(spark, d):
     return out
 
 
+def q_rewrite_fk_procedure(spark, d):
+    return pipeline(spark, d).output("procedure")
+
+
+def q_rewrite_fk_dispensing(spark, d):
+    return pipeline(spark, d).output("dispensing")
+
+
+def q_rewrite_fk_death(spark, d):
+    return pipeline(spark, d).output("death")
+
+
+def q_pipeline_row_counts_all(spark, d):
+    """Rows of all nine bound tables: every one of the twelve key rewrites."""
+    p = pipeline(spark, d)
+    frames = [
+        p.output(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+        for t in p.reg.tables
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def q_land_parts(spark, d):
     """Land enrollment parts whose IDs arrive as floats, partitioned as
     ``part=NN/``; the landing casts every ``*id`` column back to bigint."""
@@ -337,6 +362,10 @@ QUERIES: dict[str, Query] = {
     "orphans_diagnosis_encounter": q_orphans_diagnosis_encounter,
     "check_ids_encounter_output": q_check_ids_encounter_output,
     "bind_parts_union": q_bind_parts_union,
+    "rewrite_fk_procedure": q_rewrite_fk_procedure,
+    "rewrite_fk_dispensing": q_rewrite_fk_dispensing,
+    "rewrite_fk_death": q_rewrite_fk_death,
+    "pipeline_row_counts_all": q_pipeline_row_counts_all,
 }
 
 
@@ -374,7 +403,17 @@ enroll_src AS (
   SELECT d.part, d.PatID,
          CASE WHEN o_orderstatus <> 'P' THEN 'Y' ELSE 'N' END AS MedCov,
          CASE WHEN o_orderpriority < '4' THEN 'Y' ELSE 'N' END AS DrugCov
-  FROM orders JOIN demo_raw d ON o_custkey = d.c_custkey)"""
+  FROM orders JOIN demo_raw d ON o_custkey = d.c_custkey),
+death_src AS (
+  SELECT d.part, d.PatID, d.Sex AS Source
+  FROM demo_raw d JOIN customer c ON c.c_custkey = d.c_custkey WHERE c.c_acctbal < 0),
+disp_src AS (
+  SELECT e.part, e.PatID, l_suppkey + e.part AS ProviderID, CAST(l_partkey AS VARCHAR) AS NDC, l_shipdate AS RxDate
+  FROM lineitem JOIN enc_src e ON l_orderkey = e.o_orderkey),
+proc_src AS (
+  SELECT e.part, e.EncounterID, e.PatID, l_suppkey + e.part AS ProviderID,
+         CAST(l_linenumber AS VARCHAR) AS PX, l_linestatus AS PX_codetype, l_shipdate AS ADate
+  FROM lineitem JOIN enc_src e ON l_orderkey = e.o_orderkey WHERE l_returnflag = 'R')"""
 
 # Rebased owners and the cascade, shared by several oracles.
 _D = "d AS (SELECT part, PatID AS OrigPatID, row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src)"
@@ -524,6 +563,31 @@ ORACLES.update(
             "(count(*) = count(DISTINCT NewEncounterID) AND min(NewEncounterID) = 1 AND max(NewEncounterID) = count(*)) AS is_dense FROM e2"
         ),
         "bind_parts_union": fix() + "SELECT PatID, MedCov, DrugCov FROM enroll_src",
+        "rewrite_fk_procedure": fix(_D, _F, _P, _E, _E2) + (
+            "SELECT e2.NewEncounterID AS EncounterID, p.ProviderID, d.PatID, x.PX, x.PX_codetype, x.ADate FROM proc_src x "
+            "JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID JOIN p ON p.part = x.part AND p.OrigProviderID = x.ProviderID "
+            "JOIN e2 ON e2.part = x.part AND e2.OrigEncounterID = x.EncounterID"
+        ),
+        "rewrite_fk_dispensing": fix(_D, _P) + (
+            "SELECT p.ProviderID, d.PatID, x.NDC, x.RxDate FROM disp_src x "
+            "JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID JOIN p ON p.part = x.part AND p.OrigProviderID = x.ProviderID"
+        ),
+        "rewrite_fk_death": fix(_D) + (
+            "SELECT d.PatID, x.Source FROM death_src x JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID"
+        ),
+        "pipeline_row_counts_all": fix(_D, _F, _P, _E, _E2, _DX_OUT) + (
+            "SELECT 'death' AS table_name, count(*) AS n_rows FROM death_src x JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID "
+            "UNION ALL SELECT 'demographic', count(*) FROM demo_src "
+            "UNION ALL SELECT 'diagnosis', count(*) FROM dx_out "
+            "UNION ALL SELECT 'dispensing', count(*) FROM disp_src x JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID "
+            "JOIN p ON p.part = x.part AND p.OrigProviderID = x.ProviderID "
+            "UNION ALL SELECT 'encounter', count(*) FROM e2 "
+            "UNION ALL SELECT 'enrollment', count(*) FROM d JOIN enroll_src b ON d.part = b.part AND d.OrigPatID = b.PatID "
+            "UNION ALL SELECT 'procedure', count(*) FROM proc_src x JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID "
+            "JOIN p ON p.part = x.part AND p.OrigProviderID = x.ProviderID JOIN e2 ON e2.part = x.part AND e2.OrigEncounterID = x.EncounterID "
+            "UNION ALL SELECT 'facility', count(*) FROM fac_src "
+            "UNION ALL SELECT 'provider', count(*) FROM prov_src"
+        ),
     }
 )
 

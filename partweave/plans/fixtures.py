@@ -10,6 +10,9 @@ foreign keys are planted on purpose:
 * ``enc_src``    encounter; some NULL ``FacilityID``
 * ``dx_src``     diagnosis
 * ``enroll_src`` enrollment (many spans per patient)
+* ``death_src``  death; drawn from *all* patients, so withheld ones are orphans
+* ``disp_src``   dispensing (PatID, ProviderID)
+* ``proc_src``   procedure; the returned line items
 
 Every frame is a Spark plan over the given tables, so its size follows them.
 """
@@ -115,15 +118,54 @@ class Fixture:
             F.when(F.col("o_orderpriority") < "4", "Y").otherwise("N").alias("DrugCov"),
         )
 
+    @cached_property
+    def death_src(self) -> DataFrame:
+        c = self.t("customer").where(F.col("c_acctbal") < 0).select("c_custkey")
+        j = self.demo_raw.join(c, "c_custkey")
+        return j.select("part", "PatID", F.col("Sex").alias("Source"))
+
+    def _lines_per_encounter(self) -> DataFrame:
+        li = self.t("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"
+        )
+        e = self.enc_src.select("part", "EncounterID", "PatID", "o_orderkey")
+        return li.join(e, li.l_orderkey == e.o_orderkey)
+
+    @cached_property
+    def disp_src(self) -> DataFrame:
+        return self._lines_per_encounter().select(
+            "part",
+            "PatID",
+            (F.col("l_suppkey") + F.col("part")).alias("ProviderID"),
+            F.col("l_partkey").cast("string").alias("NDC"),
+            F.col("l_shipdate").alias("RxDate"),
+        )
+
+    @cached_property
+    def proc_src(self) -> DataFrame:
+        j = self._lines_per_encounter().where(F.col("l_returnflag") == "R")
+        return j.select(
+            "part",
+            "EncounterID",
+            "PatID",
+            (F.col("l_suppkey") + F.col("part")).alias("ProviderID"),
+            F.col("l_linenumber").cast("string").alias("PX"),
+            F.col("l_linestatus").alias("PX_codetype"),
+            F.col("l_shipdate").alias("ADate"),
+        )
+
     def tables(self) -> dict[str, DataFrame]:
         """The fixture frames in the roles of the claims model."""
         return {
+            "death": self.death_src,
             "demographic": self.demo_src,
-            "facility": self.fac_src,
-            "provider": self.prov_src,
-            "encounter": self.enc_src,
             "diagnosis": self.dx_src,
+            "dispensing": self.disp_src,
+            "encounter": self.enc_src,
             "enrollment": self.enroll_src,
+            "procedure": self.proc_src,
+            "facility": self.fac_src,
+            "provider": self.prov_src,
         }
 
 

@@ -10,6 +10,8 @@ key map is used, so the children of a dropped encounter drop too.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 
 from ..operators.bind import bind, write_table
@@ -29,6 +31,7 @@ class Pipeline:
         on_duplicates: str = "fail",
         broadcast: str = "auto",
         hot_key_rows: int | None = None,
+        parallel_jobs: int = 4,
     ):
         unknown = set(tables) - set(registry.tables)
         if unknown:
@@ -41,6 +44,7 @@ class Pipeline:
         self.on_duplicates = on_duplicates
         self.broadcast = broadcast
         self.hot_key_rows = hot_key_rows
+        self.parallel_jobs = max(1, parallel_jobs)
         self._rebased: dict[str, DataFrame] = {}
         self._rows: dict[str, int] = {}
         self._rewritten: dict[str, DataFrame] = {}
@@ -57,6 +61,39 @@ class Pipeline:
                 self._rows[owner] = stats["rows"]
         return self._rebased[owner]
 
+    def rebase_owners(self, owners: list[str] | None = None) -> None:
+        """Rebase several owners at once: each is an independent Spark job, so
+        they are submitted from a small thread pool and share the cluster."""
+        todo = [o for o in (owners if owners is not None else list(self.reg.owners)) if o in self.raw and o not in self._rebased]
+        if len(todo) <= 1 or self.parallel_jobs == 1:
+            for o in todo:
+                self.rebased(o)
+            return
+        results = {}
+
+        def one(o):
+            stats: dict = {}
+            df = rebase_ids(self.raw[o], self.reg.owners[o], self.part, self.method, self.on_duplicates, stats=stats)
+            return o, df, stats
+
+        with ThreadPoolExecutor(max_workers=min(self.parallel_jobs, len(todo))) as ex:
+            for o, df, stats in ex.map(one, todo):
+                results[o] = (df, stats)
+        for o, (df, stats) in results.items():
+            self._rebased[o] = df
+            if "rows" in stats and not self.reg.keys_of(o):
+                self._rows[o] = stats["rows"]
+
+    def _owners_needed(self, table: str, seen: set | None = None) -> set[str]:
+        seen = set() if seen is None else seen
+        if table in self.reg.owners:
+            seen.add(table)
+        for k in self.reg.keys_of(table):
+            o = self.reg.owner_of(k)
+            if o in self.raw and o not in seen:
+                self._owners_needed(o, seen)
+        return seen
+
     def key_map(self, id_col: str) -> DataFrame:
         return key_map(self.rewritten(self.reg.owner_of(id_col)), id_col, self.part)
 
@@ -69,6 +106,7 @@ class Pipeline:
         """Table with every foreign key rewritten (owners: also rebased)."""
         if table in self._rewritten:
             return self._rewritten[table]
+        self.rebase_owners(sorted(self._owners_needed(table)))
         cur = self.rebased(table) if table in self.reg.owners else self.raw[table]
         keys = [k for k in self.reg.keys_of(table) if self.reg.owner_of(k) in self.raw]
         for k in keys:
@@ -101,10 +139,10 @@ class Pipeline:
     def write(self, out_dir: str) -> dict[str, str]:
         """Write every output as Snappy Parquet to ``out_dir/<table>`` (a new
         directory per run)."""
-        paths = {}
-        for t, df in self.outputs().items():
-            paths[t] = f"{out_dir.rstrip('/')}/{t}"
-            write_table(df, paths[t])
+        outs = self.outputs()
+        paths = {t: f"{out_dir.rstrip('/')}/{t}" for t in outs}
+        with ThreadPoolExecutor(max_workers=self.parallel_jobs) as ex:
+            list(ex.map(lambda t: write_table(outs[t], paths[t]), outs))
         return paths
 
 

@@ -8,8 +8,12 @@ from partweave.plans.fixtures import fixture
 from partweave.plans.pipeline import Pipeline
 from partweave.registry import CLAIMS, ForeignKey, Registry
 
-# FIXTURES.md, sf0.001 column.
+# FIXTURES.md, sf0.001 column (death, dispensing, procedure: from the DuckDB
+# oracle of pipeline_row_counts_all).
 EXPECTED_SF0001 = {
+    "death": 8,
+    "dispensing": 5143,
+    "procedure": 1372,
     "demographic": 135,
     "facility": 22,
     "provider": 48,
@@ -43,6 +47,9 @@ def test_outputs_counts_and_shape(spark, sf001):
         assert "part" not in df.columns
         assert not [c for c in df.columns if c.startswith("Orig")], t
     assert outs["diagnosis"].columns[:3] == ["EncounterID", "ProviderID", "PatID"]
+    assert outs["procedure"].columns[:3] == ["EncounterID", "ProviderID", "PatID"]
+    assert outs["dispensing"].columns[:2] == ["ProviderID", "PatID"]
+    assert outs["death"].columns[0] == "PatID"
     assert outs["enrollment"].columns[0] == "PatID"
     assert outs["encounter"].columns[:2] == ["FacilityID", "PatID"]
     assert outs["encounter"].columns[-1] == "EncounterID"
