@@ -63,8 +63,9 @@ def profile_column(df: DataFrame, col: str, quantiles: str = "exact", accuracy:
         raise ValueError("quantiles must be 'exact' or 'approx'")
 
     vals = df.select(c.alias("_v")).where(F.col("_v").isNotNull())
-    ranked = number_rows(vals, ["_v"], "_rk")
-    n = ranked.count()
+    stats: dict = {}
+    ranked = number_rows(vals, ["_v"], "_rk", stats=stats)
+    n = stats["rows"] if "rows" in stats else ranked.count()
     if n == 0:
         qcols = [F.lit(None).cast("double").alias(nm) for nm in names]
         return df.agg(*base, *qcols, *tail)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .broadcast import checked_broadcast, max_rows_for
+from ..session import stage
 from .ids import orig_name
 
 JOIN_KINDS = ("inner", "left")
@@ -65,7 +66,9 @@ def rewrite_fk(
         .where(F.col("_n") >= hot_key_rows)
         .select(*keys)
     )
-    hot = checked_broadcast(hot)
+    # Staged once: at most (child rows / hot_key_rows) keys, and both the
+    # size check and the two joins below read it.
+    hot = checked_broadcast(stage(hot, "hot-keys"))
     c_hot = c.join(hot, keys, "left_semi")
     c_cold = c.join(hot, keys, "left_anti")
     km_hot = checked_broadcast(keymap.select(part, orig, id_col).join(hot, keys, "left_semi"))

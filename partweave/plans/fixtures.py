@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.broadcast import checked_broadcast
 from ..operators.numbering import number_rows
+from ..session import stage
 
 # Fixed values of the fixture: number of parts, withheld-key rules.
 N_PARTS = 5
@@ -93,9 +94,7 @@ class Fixture:
 
     @cached_property
     def dx_src(self) -> DataFrame:
-        li = self.t("lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
-        e = self.enc_src.select("part", "EncounterID", "PatID", "o_orderkey")
-        j = li.join(e, li.l_orderkey == e.o_orderkey)
+        j = self._lines_per_encounter
         return j.select(
             "part",
             "EncounterID",
@@ -124,16 +123,19 @@ class Fixture:
         j = self.demo_raw.join(c, "c_custkey")
         return j.select("part", "PatID", F.col("Sex").alias("Source"))
 
+    @cached_property
     def _lines_per_encounter(self) -> DataFrame:
+        """Line items with their encounter - the source of diagnosis,
+        dispensing and procedure - joined once and staged, not three times."""
         li = self.t("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"
         )
         e = self.enc_src.select("part", "EncounterID", "PatID", "o_orderkey")
-        return li.join(e, li.l_orderkey == e.o_orderkey)
+        return stage(li.join(e, li.l_orderkey == e.o_orderkey), "fixture-lines")
 
     @cached_property
     def disp_src(self) -> DataFrame:
-        return self._lines_per_encounter().select(
+        return self._lines_per_encounter.select(
             "part",
             "PatID",
             (F.col("l_suppkey") + F.col("part")).alias("ProviderID"),
@@ -143,7 +145,7 @@ class Fixture:
 
     @cached_property
     def proc_src(self) -> DataFrame:
-        j = self._lines_per_encounter().where(F.col("l_returnflag") == "R")
+        j = self._lines_per_encounter.where(F.col("l_returnflag") == "R")
         return j.select(
             "part",
             "EncounterID",
