@@ -26,7 +26,7 @@ from partweave.operators.rollups import code_year_rollup, coverage_count  # noqa
 from partweave.plans.fixtures import Fixture, read_table  # noqa: E402
 from partweave.plans.pipeline import Pipeline  # noqa: E402
 from partweave.session import build_session, new_stage_path  # noqa: E402
-from partweave.sources.csv import read_csv, write_csv  # noqa: E402
+from partweave.sources.csv import csv_view, read_csv, write_csv  # noqa: E402
 
 
 def consume(df):
@@ -73,6 +73,14 @@ def main():
             "FROM bench_lineitem GROUP BY 1, 2, 3"
         ).collect()
 
+    def rollup_sql_over_csv():
+        # The timed region includes the CSV scan and type inference.
+        csv_view(spark, "bench_lineitem_csv", csv_path)
+        spark.sql(
+            "SELECT l_returnflag, l_linestatus, year(l_shipdate) AS year, count(*) AS count "
+            "FROM bench_lineitem_csv GROUP BY 1, 2, 3"
+        ).collect()
+
     def coverage_join():
         c, o = read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "orders")
         coverage_count(
@@ -108,6 +116,7 @@ def main():
         "read_parquet": read_parquet,
         "code_year_rollup_df": rollup_dataframe,
         "code_year_rollup_sql": rollup_sql,
+        "code_year_rollup_sql_csv": rollup_sql_over_csv,
         "coverage_join": coverage_join,
         "dense_ids_two_pass": dense_ids_two_pass,
         "dense_ids_window": dense_ids_window,

@@ -244,6 +244,25 @@ def q_pipeline_row_counts_all(spark, d):
     return out
 
 
+def q_code_year_rollup_csv(spark, d):
+    """The rollup written over a CSV scan with inferred types, in SQL."""
+    path = new_stage_path(spark, "csv-lineitem")
+    write_csv(read_table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_shipdate"), path)
+    csv_view(spark, "pw_lineitem_csv", path)
+    return spark.sql(
+        "SELECT l_returnflag AS DX, l_linestatus AS DX_codetype, CAST(year(l_shipdate) AS BIGINT) AS year, "
+        "count(*) AS count FROM pw_lineitem_csv GROUP BY l_returnflag, l_linestatus, year(l_shipdate)"
+    )
+
+
+def q_describe_demographic_output(spark, d):
+    return describe_columns(pipeline(spark, d).output("demographic"))
+
+
+def q_describe_enrollment_output(spark, d):
+    return describe_columns(pipeline(spark, d).output("enrollment"))
+
+
 def q_land_parts(spark, d):
     """Land enrollment parts whose IDs arrive as floats, partitioned as
     ``part=NN/``; the landing casts every ``*id`` column back to bigint."""
@@ -366,6 +385,9 @@ QUERIES: dict[str, Query] = {
     "rewrite_fk_dispensing": q_rewrite_fk_dispensing,
     "rewrite_fk_death": q_rewrite_fk_death,
     "pipeline_row_counts_all": q_pipeline_row_counts_all,
+    "code_year_rollup_csv": q_code_year_rollup_csv,
+    "describe_demographic_output": q_describe_demographic_output,
+    "describe_enrollment_output": q_describe_enrollment_output,
 }
 
 
@@ -526,6 +548,7 @@ ORACLES: dict[str, str] = {
     "land_parts": fix() + "SELECT part, PatID, MedCov, DrugCov FROM enroll_src",
 }
 ORACLES["code_year_rollup_sql"] = ORACLES["code_year_rollup"]
+ORACLES["code_year_rollup_csv"] = ORACLES["code_year_rollup"]
 ORACLES.update(
     {
         "scan_table_sql": "SELECT * FROM region",
@@ -563,6 +586,16 @@ ORACLES.update(
             "(count(*) = count(DISTINCT NewEncounterID) AND min(NewEncounterID) = 1 AND max(NewEncounterID) = count(*)) AS is_dense FROM e2"
         ),
         "bind_parts_union": fix() + "SELECT PatID, MedCov, DrugCov FROM enroll_src",
+        "describe_demographic_output": (
+            "SELECT column_name, column_type FROM (DESCRIBE ("
+            + fix(_D)
+            + "SELECT s.c_custkey, s.Sex, s.Race, d.PatID FROM demo_src s JOIN d ON d.part = s.part AND d.OrigPatID = s.PatID))"
+        ),
+        "describe_enrollment_output": (
+            "SELECT column_name, column_type FROM (DESCRIBE ("
+            + fix(_D)
+            + "SELECT d.PatID, b.MedCov, b.DrugCov FROM d JOIN enroll_src b ON d.part = b.part AND d.OrigPatID = b.PatID))"
+        ),
         "rewrite_fk_procedure": fix(_D, _F, _P, _E, _E2) + (
             "SELECT e2.NewEncounterID AS EncounterID, p.ProviderID, d.PatID, x.PX, x.PX_codetype, x.ADate FROM proc_src x "
             "JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID JOIN p ON p.part = x.part AND p.OrigProviderID = x.ProviderID "
