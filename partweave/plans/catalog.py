@@ -207,7 +207,7 @@ def q_dx_code_year_after_rebase(spark, d):
     return code_year_rollup(dx, "DX", "DX_codetype", "ADate")
 
 
-def q_pipeline_row_counts(spark, d):
+def q_bound_row_counts(spark, d):
     p = pipeline(spark, d)
     frames = [
         p.output(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
@@ -231,7 +231,7 @@ def q_rewrite_fk_death(spark, d):
     return pipeline(spark, d).output("death")
 
 
-def q_pipeline_row_counts_all(spark, d):
+def q_bound_row_counts_all(spark, d):
     """Rows of all nine bound tables: every one of the twelve key rewrites."""
     p = pipeline(spark, d)
     frames = [
@@ -369,7 +369,7 @@ QUERIES: dict[str, Query] = {
     "orphans_encounter": q_orphans_encounter,
     "duplicate_owner_keys": q_duplicate_owner_keys,
     "dx_code_year_after_rebase": q_dx_code_year_after_rebase,
-    "pipeline_row_counts": q_pipeline_row_counts,
+    "bound_row_counts": q_bound_row_counts,
     "land_parts": q_land_parts,
     "scan_table_sql": q_scan_table_sql,
     "ctas_view": q_ctas_view,
@@ -384,7 +384,7 @@ QUERIES: dict[str, Query] = {
     "rewrite_fk_procedure": q_rewrite_fk_procedure,
     "rewrite_fk_dispensing": q_rewrite_fk_dispensing,
     "rewrite_fk_death": q_rewrite_fk_death,
-    "pipeline_row_counts_all": q_pipeline_row_counts_all,
+    "bound_row_counts_all": q_bound_row_counts_all,
     "code_year_rollup_csv": q_code_year_rollup_csv,
     "describe_demographic_output": q_describe_demographic_output,
     "describe_enrollment_output": q_describe_enrollment_output,
@@ -537,7 +537,7 @@ ORACLES: dict[str, str] = {
     "dx_code_year_after_rebase": fix(_D, _F, _P, _E, _E2, _DX_OUT) + (
         "SELECT DX, DX_codetype, year(ADate) AS year, count(*) AS count FROM dx_out GROUP BY DX, DX_codetype, year(ADate)"
     ),
-    "pipeline_row_counts": fix(_D, _F, _P, _E, _E2, _DX_OUT) + (
+    "bound_row_counts": fix(_D, _F, _P, _E, _E2, _DX_OUT) + (
         "SELECT 'demographic' AS table_name, count(*) AS n_rows FROM demo_src "
         "UNION ALL SELECT 'facility', count(*) FROM fac_src "
         "UNION ALL SELECT 'provider', count(*) FROM prov_src "
@@ -608,7 +608,7 @@ ORACLES.update(
         "rewrite_fk_death": fix(_D) + (
             "SELECT d.PatID, x.Source FROM death_src x JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID"
         ),
-        "pipeline_row_counts_all": fix(_D, _F, _P, _E, _E2, _DX_OUT) + (
+        "bound_row_counts_all": fix(_D, _F, _P, _E, _E2, _DX_OUT) + (
             "SELECT 'death' AS table_name, count(*) AS n_rows FROM death_src x JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID "
             "UNION ALL SELECT 'demographic', count(*) FROM demo_src "
             "UNION ALL SELECT 'diagnosis', count(*) FROM dx_out "

@@ -64,3 +64,52 @@ def test_unknown_method(spark):
         number_rows(_frame(spark, [(1, 1, "a")]), ["id"], "n", method="nope")
     with pytest.raises(ValueError):
         number_rows(_frame(spark, [(1, 1, "a")]), ["id"], "n", method="window")
+
+
+def test_staged_segment_fallback_matches(spark, monkeypatch):
+    """More segments than fit a local table: staged and shuffle-joined."""
+    import partweave.operators.numbering as N
+
+    rows = [(p, i, "x") for p in range(1, 7) for i in range(20)]
+    df = _frame(spark, rows)
+    want = {(r.part, r.id): r.n for r in number_rows(df, ["id"], "n", restart_by=["part"]).collect()}
+    monkeypatch.setattr(N, "MAX_LOCAL_SEGMENTS", 1)
+    stats = {}
+    got = {(r.part, r.id): r.n for r in number_rows(df, ["id"], "n", restart_by=["part"], stats=stats).collect()}
+    assert got == want and stats["rows"] == 120
+    assert sorted(v for (p, _), v in got.items() if p == 3) == list(range(1, 21))
+
+
+def test_hot_duplicate_key_is_caught(spark):
+    from partweave.operators.numbering import DuplicateKeys
+
+    hot = spark.range(0, 3000).select(F.lit(1).cast("long").alias("part"), F.lit(7).cast("long").alias("id"), F.lit("h").alias("v"))
+    rest = spark.range(0, 3000).select(F.lit(1).cast("long").alias("part"), (F.col("id") + 100).alias("id"), F.lit("c").alias("v"))
+    with pytest.raises(DuplicateKeys):
+        number_rows(hot.unionByName(rest), ["part", "id"], "n", on_ties="fail")
+    stats = {}
+    out = number_rows(rest, ["part", "id"], "n", on_ties="fail", stats=stats)
+    assert stats["rows"] == 3000 and out.agg(F.max("n")).first()[0] == 3000
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(
+        st.tuples(st.integers(1, 4), st.one_of(st.none(), st.integers(-50, 50))),
+        min_size=1,
+        max_size=60,
+        unique=True,
+    )
+)
+def test_numbering_equals_pandas_rank(spark, rows):
+    df = spark.createDataFrame([(p, i, "x") for p, i in rows], "part long, id long, v string")
+    got = {(r.part, r.id): r.n for r in number_rows(df, ["id"], "n", restart_by=["part"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["part", "id"])
+    pdf["key"] = [10**9 if pd.isna(i) else i for i in pdf["id"]]  # NULLs last
+    pdf["n"] = pdf.groupby("part")["key"].rank(method="first").astype(int)
+    want = {(p, None if pd.isna(i) else int(i)): n for p, i, n in zip(pdf.part, pdf.id, pdf.n)}
+    assert got == want

@@ -9,7 +9,7 @@ from partweave.plans.pipeline import Pipeline
 from partweave.registry import CLAIMS, ForeignKey, Registry
 
 # FIXTURES.md, sf0.001 column (death, dispensing, procedure: from the DuckDB
-# oracle of pipeline_row_counts_all).
+# oracle of bound_row_counts_all).
 EXPECTED_SF0001 = {
     "death": 8,
     "dispensing": 5143,
