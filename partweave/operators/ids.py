@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .broadcast import checked_broadcast
-from .numbering import DuplicateKeys, number_rows, sort_keys
+from .numbering import DuplicateKeys, group_sizes, number_rows, sort_keys
 
 
 def orig_name(id_col: str) -> str:
@@ -50,6 +49,7 @@ def rebase_ids(
     on_duplicates: str = "fail",
     num_partitions: int | None = None,
     stats: dict | None = None,
+    max_group_rows: int = 1_000_000,
 ) -> DataFrame:
     """Keep the old ID as ``Orig<id_col>`` (in place) and append a new dense
     ``id_col`` (bigint) numbered 1.. over all parts in (part, old id) order.
@@ -59,6 +59,10 @@ def rebase_ids(
     copy would get its own ID and multiply its children. ``'keep'`` numbers every
     copy, as a plain sequence would. With the two-pass method the check costs
     no extra shuffle; ``stats`` then receives the owner's row count.
+
+    ``method='window'`` numbers each part with ``row_number()`` (one task per
+    part, no staging) - only while every part has at most ``max_group_rows``
+    rows; a bigger part switches the call to the exact two-pass method.
     """
     orig = orig_name(id_col)
     if on_duplicates not in ("fail", "keep"):
@@ -70,11 +74,23 @@ def rebase_ids(
             return number_rows(renamed, [part, orig], id_col, num_partitions=num_partitions, on_ties=ties, stats=stats)
         except DuplicateKeys as e:
             raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out(): {e}") from e
-    if on_duplicates == "fail" and fan_out(df, id_col, part).limit(1).count():
-        raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out()")
     if method == "window":
+        # Per-part row counts: the offsets, and the size guard of the window.
+        sizes = group_sizes(df, [part])
+        if sizes is None or max(sizes.values(), default=0) > max_group_rows:
+            return rebase_ids(df, id_col, part, "two_pass", on_duplicates, num_partitions, stats)
+        if on_duplicates == "fail" and fan_out(df, id_col, part).limit(1).count():
+            raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out()")
+        if stats is not None:
+            stats["rows"] = sum(sizes.values())
+        starts, acc = [], 1
+        for (p,), n in sorted(sizes.items(), key=lambda kv: (kv[0][0] is None, kv[0][0])):
+            starts.append((p, acc))
+            acc += n
+        schema = f"{part} {df.schema[part].dataType.simpleString()}, start_id bigint"
+        # One row per part, collected above: a proven size bound.
+        offs = F.broadcast(df.sparkSession.createDataFrame(starts, schema))
         local = number_rows(renamed, [orig], "_pw_rn", restart_by=[part], method="window")
-        offs = checked_broadcast(part_offsets(renamed, part).select(part, "start_id"))
         j = local.alias("l").join(offs.alias("o"), F.col(f"l.{part}").eqNullSafe(F.col(f"o.{part}")))
         return j.select(
             *[F.col(f"l.{c}") for c in renamed.columns],

@@ -73,6 +73,7 @@ def number_rows(
     num_partitions: int | None = None,
     on_ties: str = "ignore",
     stats: dict | None = None,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Append ``name`` (bigint): ``row_number() OVER ([PARTITION BY restart_by]
     ORDER BY order_by)``, ascending with NULLs last.
@@ -81,6 +82,11 @@ def number_rows(
     staged, fixed) order; ``on_ties='fail'`` raises ``DuplicateKeys`` instead.
     ``stats``, if given, receives ``rows``: the number of rows numbered (known
     for free from the segment counts).
+
+    ``method='window'`` sorts each restart group in one task. With
+    ``max_group_rows`` set (``rebase_ids`` sets it), the group sizes are
+    counted first and any group above it sends the whole call to the two-pass
+    method - same numbers, no oversized task.
     """
     order_by, restart_by = list(order_by), list(restart_by)
     if on_ties not in ("ignore", "fail"):
@@ -88,6 +94,13 @@ def number_rows(
     if method == "window":
         if not restart_by:
             raise ValueError("the window method needs restart_by (a whole-table window is one task)")
+        if max_group_rows is not None:
+            sizes = group_sizes(df, restart_by)
+            if sizes is None or max(sizes.values(), default=0) > max_group_rows:
+                # A group too big for one task: the exact distributed method.
+                return _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats)
+            if stats is not None:
+                stats["rows"] = sum(sizes.values())
         if on_ties == "fail" and df.groupBy(*restart_by, *order_by).count().where("count > 1").limit(1).count():
             raise DuplicateKeys(f"{restart_by + order_by} repeat")
         w = W.partitionBy(*restart_by).orderBy(*sort_keys(order_by))
@@ -97,6 +110,15 @@ def number_rows(
     return _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats)
 
 
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> dict | None:
+    """Rows per group as a dict, or None when there are more than
+    MAX_LOCAL_SEGMENTS groups (then they are not collected)."""
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_LOCAL_SEGMENTS + 1).collect()
+    if len(rows) > MAX_LOCAL_SEGMENTS:
+        return None
+    return {tuple(r[k] for k in keys): r["_n"] for r in rows}
+
+
 def _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats):
     spark = df.sparkSession
     exprs = _null_last_keys(restart_by + order_by)

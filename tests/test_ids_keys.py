@@ -93,3 +93,12 @@ def test_part_is_part_of_the_key(spark):
     ch = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "part long, PatID long, w string")
     out = rewrite_fk(ch, key_map(rebase_ids(own, "PatID"), "PatID"), "PatID")
     assert sorted((r.w, r.PatID) for r in out.collect()) == [("a", 1), ("b", 2)]
+
+
+def test_window_method_falls_back_for_big_parts(spark, owner):
+    """The window method only runs while every part fits one task; above the
+    bound the exact two-pass method takes over with the same numbers."""
+    a = {(r.part, r.OrigPatID): r.PatID for r in rebase_ids(owner, "PatID", method="window").collect()}
+    stats = {}
+    b = {(r.part, r.OrigPatID): r.PatID for r in rebase_ids(owner, "PatID", method="window", max_group_rows=2, stats=stats).collect()}
+    assert a == b and stats["rows"] == 5
