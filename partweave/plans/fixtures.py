@@ -19,6 +19,7 @@ Every frame is a Spark plan over the given tables, so its size follows them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -156,19 +157,36 @@ class Fixture:
             F.col("l_shipdate").alias("ADate"),
         )
 
-    def tables(self) -> dict[str, DataFrame]:
-        """The fixture frames in the roles of the claims model."""
-        return {
-            "death": self.death_src,
-            "demographic": self.demo_src,
-            "diagnosis": self.dx_src,
-            "dispensing": self.disp_src,
-            "encounter": self.enc_src,
-            "enrollment": self.enroll_src,
-            "procedure": self.proc_src,
-            "facility": self.fac_src,
-            "provider": self.prov_src,
-        }
+    ROLES = {
+        "death": "death_src",
+        "demographic": "demo_src",
+        "diagnosis": "dx_src",
+        "dispensing": "disp_src",
+        "encounter": "enc_src",
+        "enrollment": "enroll_src",
+        "procedure": "proc_src",
+        "facility": "fac_src",
+        "provider": "prov_src",
+    }
+
+    def tables(self) -> Mapping[str, DataFrame]:
+        """The fixture frames in the roles of the claims model, built on first
+        access (numbered frames stage data, so only what a query uses)."""
+        return _LazyTables(self)
+
+
+class _LazyTables(Mapping):
+    def __init__(self, fx: Fixture):
+        self._fx = fx
+
+    def __getitem__(self, role: str) -> DataFrame:
+        return getattr(self._fx, Fixture.ROLES[role])
+
+    def __iter__(self):
+        return iter(Fixture.ROLES)
+
+    def __len__(self) -> int:
+        return len(Fixture.ROLES)
 
 
 _CACHE: dict[tuple[str, str, str], Fixture] = {}

@@ -10,6 +10,7 @@ key map is used, so the children of a dropped encounter drop too.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from ..session import stage
 class Pipeline:
     def __init__(
         self,
-        tables: dict[str, DataFrame],
+        tables: Mapping[str, DataFrame],
         registry: Registry = CLAIMS,
         method: str = "two_pass",
         how: str = "inner",
@@ -36,7 +37,8 @@ class Pipeline:
         unknown = set(tables) - set(registry.tables)
         if unknown:
             raise KeyError(f"tables not in the registry: {sorted(unknown)}")
-        self.raw = dict(tables)
+        # Kept as given: a lazy mapping builds each input on first use.
+        self.raw = tables
         self.reg = registry
         self.part = registry.part
         self.method = method
