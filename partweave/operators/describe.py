@@ -19,7 +19,10 @@ def describe_columns(df: DataFrame) -> DataFrame:
     _VIEW_SEQ[0] += 1
     view = f"_pw_describe_{_VIEW_SEQ[0]}"
     df.createOrReplaceTempView(view)
+    # DESCRIBE QUERY runs when issued and returns local rows, so the view
+    # can go right away.
     d = spark.sql(f"DESCRIBE QUERY SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
     return d.select(F.col("col_name").alias("column_name"), sql_type_name(F.col("data_type")).alias("column_type"))
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .broadcast import checked_broadcast, max_rows_for
+from .broadcast import DEFAULT_MAX_BYTES, checked_broadcast, max_rows_for
 from ..session import stage
 from .ids import orig_name
 
@@ -22,6 +22,7 @@ def rewrite_fk(
     broadcast: str = "auto",
     hot_key_rows: int | None = None,
     keymap_rows: int | None = None,
+    broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
 ) -> DataFrame:
     """Child with ``id_col`` replaced by the new ID from ``keymap``
     (part, Orig<id>, <id>), the new column first and the old one dropped.
@@ -37,6 +38,7 @@ def rewrite_fk(
     up front and joined against a broadcast of just their key-map rows, so no
     single key reaches one task. ``keymap_rows``, when the caller knows the
     key map's row count, replaces the size check's counting job.
+    ``broadcast_max_bytes`` is the budget for one broadcast key map.
     """
     if how not in JOIN_KINDS:
         raise ValueError(f"how must be one of {JOIN_KINDS}")
@@ -50,9 +52,9 @@ def rewrite_fk(
         km = F.broadcast(km)
     elif broadcast == "auto":
         if keymap_rows is not None:
-            km = F.broadcast(km) if keymap_rows <= max_rows_for(km) else km
+            km = F.broadcast(km) if keymap_rows <= max_rows_for(km, broadcast_max_bytes) else km
         else:
-            km = checked_broadcast(km)
+            km = checked_broadcast(km, broadcast_max_bytes)
     elif broadcast != "never":
         raise ValueError("broadcast must be 'auto', 'always' or 'never'")
 
@@ -68,10 +70,10 @@ def rewrite_fk(
     )
     # Staged once: at most (child rows / hot_key_rows) keys, and both the
     # size check and the two joins below read it.
-    hot = checked_broadcast(stage(hot, "hot-keys"))
+    hot = checked_broadcast(stage(hot, "hot-keys"), broadcast_max_bytes)
     c_hot = c.join(hot, keys, "left_semi")
     c_cold = c.join(hot, keys, "left_anti")
-    km_hot = checked_broadcast(keymap.select(part, orig, id_col).join(hot, keys, "left_semi"))
+    km_hot = checked_broadcast(keymap.select(part, orig, id_col).join(hot, keys, "left_semi"), broadcast_max_bytes)
     j_hot = c_hot.join(km_hot, keys, how).select(*out_cols)
     j_cold = c_cold.join(km, keys, how).select(*out_cols)
     return j_hot.unionByName(j_cold)

@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 
 from ..operators.bind import bind, write_table
+from ..operators.broadcast import DEFAULT_MAX_BYTES
 from ..operators.ids import key_map, orig_name, rebase_ids
 from ..operators.keys import orphans, rewrite_fk
 from ..registry import CLAIMS, Registry
@@ -33,6 +34,7 @@ class Pipeline:
         broadcast: str = "auto",
         hot_key_rows: int | None = None,
         parallel_jobs: int = 4,
+        broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
     ):
         unknown = set(tables) - set(registry.tables)
         if unknown:
@@ -47,6 +49,7 @@ class Pipeline:
         self.broadcast = broadcast
         self.hot_key_rows = hot_key_rows
         self.parallel_jobs = max(1, parallel_jobs)
+        self.broadcast_max_bytes = broadcast_max_bytes
         self._rebased: dict[str, DataFrame] = {}
         self._rows: dict[str, int] = {}
         self._rewritten: dict[str, DataFrame] = {}
@@ -114,7 +117,8 @@ class Pipeline:
         for k in keys:
             km = self.key_map(k)
             cur = rewrite_fk(
-                cur, km, k, self.part, self.how, self.broadcast, self.hot_key_rows, self.key_map_rows(k)
+                cur, km, k, self.part, self.how, self.broadcast, self.hot_key_rows, self.key_map_rows(k),
+                self.broadcast_max_bytes,
             )
         if keys and table in self.reg.owners and self.reg.children_of(self.reg.owners[table]):
             # It feeds later rewrites as well as the output: cut lineage once.
