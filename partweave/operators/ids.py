@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from .broadcast import DEFAULT_MAX_BYTES, max_rows_for
 from .numbering import DuplicateKeys, group_sizes, number_rows, sort_keys
 
 
@@ -41,6 +42,49 @@ class DuplicateOwnerKeys(DuplicateKeys):
     pass
 
 
+def assign_ids(
+    df: DataFrame,
+    id_col: str,
+    part: str = "part",
+    method: str = "two_pass",
+    on_duplicates: str = "fail",
+    num_partitions: int | None = None,
+    stats: dict | None = None,
+    max_group_rows: int = 1_000_000,
+    broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """``(rebased owner, key map)``; see ``rebase_ids``.
+
+    With unique keys (``on_duplicates='fail'``) the two-pass method numbers
+    only the narrow (part, id) key table - the range partitioner's sampling
+    scan and the staged copy are two columns wide, not the whole owner - and
+    the new ID is joined back (null-safe, so a NULL old ID keeps its row;
+    broadcast when the exact row count proves the key map small). The key
+    map for children is that narrow staged table itself.
+    """
+    orig = orig_name(id_col)
+    if on_duplicates not in ("fail", "keep"):
+        raise ValueError("on_duplicates must be 'fail' or 'keep'")
+    if method == "two_pass" and on_duplicates == "fail":
+        renamed = df.withColumnRenamed(id_col, orig)
+        st: dict = {}
+        try:
+            km = number_rows(
+                renamed.select(part, orig), [part, orig], id_col, num_partitions=num_partitions, on_ties="fail", stats=st
+            )
+        except DuplicateKeys as e:
+            raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out(): {e}") from e
+        if stats is not None:
+            stats.update(st)
+        side = F.broadcast(km) if st["rows"] <= max_rows_for(km, broadcast_max_bytes) else km
+        r, k = renamed.alias("r"), side.alias("k")
+        cond = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in (part, orig)]
+        out = r.join(k, cond, "inner").select(*[F.col(f"r.{c}") for c in renamed.columns], F.col(f"k.{id_col}"))
+        return out, km
+    rb = _rebase_full_rows(df, id_col, part, method, on_duplicates, num_partitions, stats, max_group_rows)
+    return rb, key_map(rb, id_col, part)
+
+
 def rebase_ids(
     df: DataFrame,
     id_col: str,
@@ -64,9 +108,11 @@ def rebase_ids(
     part, no staging) - only while every part has at most ``max_group_rows``
     rows; a bigger part switches the call to the exact two-pass method.
     """
+    return assign_ids(df, id_col, part, method, on_duplicates, num_partitions, stats, max_group_rows)[0]
+
+
+def _rebase_full_rows(df, id_col, part, method, on_duplicates, num_partitions, stats, max_group_rows):
     orig = orig_name(id_col)
-    if on_duplicates not in ("fail", "keep"):
-        raise ValueError("on_duplicates must be 'fail' or 'keep'")
     renamed = df.withColumnRenamed(id_col, orig)
     if method == "two_pass":
         ties = "fail" if on_duplicates == "fail" else "ignore"
@@ -78,7 +124,7 @@ def rebase_ids(
         # Per-part row counts: the offsets, and the size guard of the window.
         sizes = group_sizes(df, [part])
         if sizes is None or max(sizes.values(), default=0) > max_group_rows:
-            return rebase_ids(df, id_col, part, "two_pass", on_duplicates, num_partitions, stats)
+            return _rebase_full_rows(df, id_col, part, "two_pass", on_duplicates, num_partitions, stats, max_group_rows)
         if on_duplicates == "fail" and fan_out(df, id_col, part).limit(1).count():
             raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out()")
         if stats is not None:
@@ -122,6 +168,7 @@ def check_ids(df: DataFrame, id_col: str) -> DataFrame:
 
 __all__ = [
     "DuplicateOwnerKeys",
+    "assign_ids",
     "check_ids",
     "fan_out",
     "key_map",

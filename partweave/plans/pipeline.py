@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.bind import bind, write_table
 from ..operators.broadcast import DEFAULT_MAX_BYTES
-from ..operators.ids import key_map, orig_name, rebase_ids
+from ..operators.ids import assign_ids, key_map, orig_name
 from ..operators.keys import orphans, rewrite_fk
 from ..registry import CLAIMS, Registry
 from ..session import stage
@@ -51,6 +51,7 @@ class Pipeline:
         self.parallel_jobs = max(1, parallel_jobs)
         self.broadcast_max_bytes = broadcast_max_bytes
         self._rebased: dict[str, DataFrame] = {}
+        self._keymaps: dict[str, DataFrame] = {}
         self._rows: dict[str, int] = {}
         self._rewritten: dict[str, DataFrame] = {}
 
@@ -58,14 +59,26 @@ class Pipeline:
     def rebased(self, owner: str) -> DataFrame:
         """Owner with ``Orig<id>`` and a new dense ``<id>``, from raw rows."""
         if owner not in self._rebased:
-            stats: dict = {}
-            self._rebased[owner] = rebase_ids(
-                self.raw[owner], self.reg.owners[owner], self.part, self.method, self.on_duplicates, stats=stats
-            )
-            if "rows" in stats and not self.reg.keys_of(owner):
-                self._rows[owner] = stats["rows"]
+            self._keep(owner, *self._assign(owner))
         return self._rebased[owner]
 
+    def _assign(self, owner: str):
+        stats: dict = {}
+        rb, km = assign_ids(
+            self.raw[owner], self.reg.owners[owner], self.part, self.method, self.on_duplicates,
+            stats=stats, broadcast_max_bytes=self.broadcast_max_bytes,
+        )
+        return rb, km, stats
+
+    def _keep(self, owner: str, rb: DataFrame, km: DataFrame, stats: dict) -> None:
+        self._rebased[owner] = rb
+        if not self.reg.keys_of(owner):
+            # Not a child itself: its key map is final now (the narrow staged
+            # table), and its exact size is known.
+            self._keymaps[owner] = km
+            if "rows" in stats:
+                self._rows[owner] = stats["rows"]
+
     def rebase_owners(self, owners: list[str] | None = None) -> None:
         """Rebase several owners at once: each is an independent Spark job, so
         they are submitted from a small thread pool and share the cluster."""
@@ -74,20 +87,10 @@ class Pipeline:
             for o in todo:
                 self.rebased(o)
             return
-        results = {}
-
-        def one(o):
-            stats: dict = {}
-            df = rebase_ids(self.raw[o], self.reg.owners[o], self.part, self.method, self.on_duplicates, stats=stats)
-            return o, df, stats
-
         with ThreadPoolExecutor(max_workers=min(self.parallel_jobs, len(todo))) as ex:
-            for o, df, stats in ex.map(one, todo):
-                results[o] = (df, stats)
-        for o, (df, stats) in results.items():
-            self._rebased[o] = df
-            if "rows" in stats and not self.reg.keys_of(o):
-                self._rows[o] = stats["rows"]
+            done = list(ex.map(self._assign, todo))
+        for o, (rb, km, stats) in zip(todo, done):
+            self._keep(o, rb, km, stats)
 
     def _owners_needed(self, table: str, seen: set | None = None) -> set[str]:
         seen = set() if seen is None else seen
@@ -100,7 +103,11 @@ class Pipeline:
         return seen
 
     def key_map(self, id_col: str) -> DataFrame:
-        return key_map(self.rewritten(self.reg.owner_of(id_col)), id_col, self.part)
+        owner = self.reg.owner_of(id_col)
+        self.rebased(owner)
+        if owner in self._keymaps:
+            return self._keymaps[owner]
+        return key_map(self.rewritten(owner), id_col, self.part)
 
     def key_map_rows(self, id_col: str) -> int | None:
         """Row count of a key map when already known (owners that are not
