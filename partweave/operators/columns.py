@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +29,3 @@ def rename_orig(df: DataFrame, col: str) -> DataFrame:
 def key_first(df: DataFrame, key: str) -> DataFrame:
     """``SELECT key, <the rest>``."""
     return df.select(key, *[c for c in df.columns if c != key])
-
-
-def keep(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)

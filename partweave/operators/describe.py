@@ -55,7 +55,9 @@ def profile_column(df: DataFrame, col: str, quantiles: str = "exact", accuracy:
     ]
     tail = [
         n_all.alias("count"),
-        F.round(F.lit(100.0) * (n_all - F.count(c)) / n_all, 2).cast("double").alias("null_percentage"),
+        # NULL, not an error, for an empty input (as SQL engines without ANSI
+        # division errors give it).
+        F.round(F.try_divide(F.lit(100.0) * (n_all - F.count(c)), n_all), 2).cast("double").alias("null_percentage"),
     ]
     probs = (0.25, 0.5, 0.75)
     names = ("q25", "q50", "q75")

@@ -46,6 +46,7 @@ def rewrite_fk(
     c = child.withColumnRenamed(id_col, orig)
     km = keymap.select(part, orig, id_col)
     keys = [part, orig]
+    # ``SELECT km.id, child.*`` without the old ID: the new key goes first.
     out_cols = [id_col] + [x for x in c.columns if x != orig]
 
     if broadcast == "always":
