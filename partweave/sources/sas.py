@@ -66,6 +66,11 @@ def _open(uri: str):
     return open(uri, "rb")
 
 
+# Fixed value: what the pandas transport-file decoder returns for an IBM
+# float zero (all zero bytes), 2**-260; no real extract holds that number.
+XPORT_DECODED_ZERO = 2.0**-260
+
+
 def _chunks(uri: str, fmt: str, encoding: str | None, chunk_rows: int):
     import pandas as pd
 
@@ -75,7 +80,12 @@ def _chunks(uri: str, fmt: str, encoding: str | None, chunk_rows: int):
             it = pd.read_csv(fh, chunksize=chunk_rows, encoding=encoding or "utf-8")
         else:
             it = pd.read_sas(fh, format=fmt, encoding=encoding, chunksize=chunk_rows)
-        yield from it
+        for chunk in it:
+            if fmt == "xport":
+                for c in chunk.columns:
+                    if pd.api.types.is_float_dtype(chunk[c].dtype):
+                        chunk[c] = chunk[c].mask(chunk[c].abs() == XPORT_DECODED_ZERO, 0.0)
+            yield chunk
     finally:
         fh.close()
 
