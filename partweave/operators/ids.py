@@ -10,6 +10,9 @@ from .broadcast import DEFAULT_MAX_BYTES, max_rows_for
 from .numbering import DuplicateKeys, group_sizes, number_rows, sort_keys
 
 
+_ROW_HASH = "_pw_row_hash"
+
+
 def orig_name(id_col: str) -> str:
     """Name the old ID keeps after a rebase (``PatID`` -> ``OrigPatID``)."""
     return "Orig" + id_col
@@ -115,9 +118,14 @@ def _rebase_full_rows(df, id_col, part, method, on_duplicates, num_partitions, s
     orig = orig_name(id_col)
     renamed = df.withColumnRenamed(id_col, orig)
     if method == "two_pass":
-        ties = "fail" if on_duplicates == "fail" else "ignore"
+        if on_duplicates == "keep":
+            # Repeated keys: break the tie by a hash of the whole row, so a
+            # re-run gives every copy the same ID again.
+            hashed = renamed.withColumn(_ROW_HASH, F.xxhash64(*renamed.columns))
+            out = number_rows(hashed, [part, orig, _ROW_HASH], id_col, num_partitions=num_partitions, stats=stats)
+            return out.drop(_ROW_HASH)
         try:
-            return number_rows(renamed, [part, orig], id_col, num_partitions=num_partitions, on_ties=ties, stats=stats)
+            return number_rows(renamed, [part, orig], id_col, num_partitions=num_partitions, on_ties="fail", stats=stats)
         except DuplicateKeys as e:
             raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out(): {e}") from e
     if method == "window":

@@ -102,3 +102,10 @@ def test_window_method_falls_back_for_big_parts(spark, owner):
     stats = {}
     b = {(r.part, r.OrigPatID): r.PatID for r in rebase_ids(owner, "PatID", method="window", max_group_rows=2, stats=stats).collect()}
     assert a == b and stats["rows"] == 5
+
+
+def test_kept_duplicates_number_the_same_on_rerun(spark):
+    dup = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 6, "c")], "part long, PatID long, s string")
+    a = {r.s: r.PatID for r in rebase_ids(dup, "PatID", on_duplicates="keep").collect()}
+    b = {r.s: r.PatID for r in rebase_ids(dup.orderBy("s"), "PatID", on_duplicates="keep").collect()}
+    assert a == b and sorted(a.values()) == [1, 2, 3] and a["c"] == 3
