@@ -5,6 +5,9 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+# Python workers (the SAS Data Source runs in them) inherit this from the JVM
+# the session starts, so they import the package from any working directory.
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
 
 SF = {
     "0.001": "/root/testdata/sf0.001",
