@@ -20,6 +20,7 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from partweave.operators.describe import profile_column  # noqa: E402
 from partweave.operators.ids import rebase_ids  # noqa: E402
 from partweave.operators.numbering import number_rows  # noqa: E402
 from partweave.operators.rollups import code_year_rollup, coverage_count  # noqa: E402
@@ -53,6 +54,7 @@ def main():
     write_csv(li, csv_path)
     fx = Fixture(spark, sf_dir)
     tables = fx.tables()
+    bound = Pipeline(tables).write(new_stage_path(spark, "bench-bound"))
 
     def read_csv_declared():
         consume(read_csv(spark, csv_path, schema=li.schema))
@@ -88,6 +90,16 @@ def main():
             {"o_orderstatus": "F", "o_orderpriority": "1-URGENT"},
         ).collect()
 
+    def coverage_bound_tables():
+        # The coverage query over the written, bound outputs (join on the new ID).
+        coverage_count(
+            spark.read.parquet(bound["demographic"]), spark.read.parquet(bound["enrollment"]),
+            "PatID", ["Sex", "Race"], {"MedCov": "Y", "DrugCov": "Y"},
+        ).collect()
+
+    def profile_exact():
+        profile_column(read_table(spark, sf_dir, "orders"), "o_custkey").collect()
+
     def dense_ids_two_pass():
         consume(rebase_ids(tables["encounter"], "EncounterID", method="two_pass"))
 
@@ -118,6 +130,8 @@ def main():
         "code_year_rollup_sql": rollup_sql,
         "code_year_rollup_sql_csv": rollup_sql_over_csv,
         "coverage_join": coverage_join,
+        "coverage_bound_tables": coverage_bound_tables,
+        "profile_column_exact": profile_exact,
         "dense_ids_two_pass": dense_ids_two_pass,
         "dense_ids_window": dense_ids_window,
         "dense_ids_global_orders": dense_ids_global_orders,
