@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import thousands
 from ..functions.types import sql_type_name
-from .numbering import number_rows
+from .numbering import group_sizes, number_rows
 
 _VIEW_SEQ = [0]
 
@@ -32,17 +32,26 @@ def row_count(df: DataFrame, formatted: bool = False) -> DataFrame:
     return df.agg((thousands(n) if formatted else n).alias("count"))
 
 
-def profile_column(df: DataFrame, col: str, quantiles: str = "exact", accuracy: int = 10000) -> DataFrame:
-    """One-row profile of a numeric column: column_name, min, max, n_unique,
-    avg, std, q25, q50, q75, count (NULLs included), null_percentage.
+def profile_column(
+    df: DataFrame,
+    col: str,
+    quantiles: str = "exact",
+    accuracy: int = 10000,
+    by: list[str] | None = None,
+) -> DataFrame:
+    """Profile of a numeric column: column_name, min, max, n_unique, avg, std,
+    q25, q50, q75, count (NULLs included), null_percentage - one row, or one
+    row per group of ``by`` (e.g. per part, as after each part's ID
+    assignment).
 
-    Quantiles are continuous (linear interpolation between order statistics).
-    ``quantiles='exact'`` ranks the non-NULL values with the distributed
-    numbering (range partition + staged sort; no value set is held in one
-    buffer), then picks the needed ranks. ``'approx'`` uses
-    ``percentile_approx`` - one pass, bounded memory, rank error about
-    1/accuracy.
+    Quantiles are continuous (linear interpolation between order statistics,
+    ``lo + (hi - lo) * frac``). ``quantiles='exact'`` ranks the non-NULL values
+    with the distributed numbering (range partition + staged sort; no value
+    set is held in one buffer) and joins the needed ranks - three per group,
+    a small broadcast table - back. ``'approx'`` uses ``percentile_approx``:
+    one pass, bounded memory, rank error about 1/accuracy.
     """
+    by = list(by or [])
     c = F.col(col)
     n_all = F.count(F.lit(1))
     base = [
@@ -55,39 +64,65 @@ def profile_column(df: DataFrame, col: str, quantiles: str = "exact", accuracy:
     ]
     tail = [
         n_all.alias("count"),
-        # NULL, not an error, for an empty input (as SQL engines without ANSI
-        # division errors give it).
+        # NULL, not an error, for an empty input.
         F.round(F.try_divide(F.lit(100.0) * (n_all - F.count(c)), n_all), 2).cast("double").alias("null_percentage"),
     ]
-    probs = (0.25, 0.5, 0.75)
-    names = ("q25", "q50", "q75")
+    grouped = df.groupBy(*by) if by else df
     if quantiles == "approx":
-        qs = F.percentile_approx(c.cast("double"), list(probs), accuracy)
-        return df.agg(*base, *[F.round(qs[i], 6).alias(nm) for i, nm in enumerate(names)], *tail)
+        qs = F.percentile_approx(c.cast("double"), list(_PROBS), accuracy)
+        return grouped.agg(*base, *[F.round(qs[i], 6).alias(nm) for i, nm in enumerate(_QNAMES)], *tail)
     if quantiles != "exact":
         raise ValueError("quantiles must be 'exact' or 'approx'")
 
-    vals = df.select(c.alias("_v")).where(F.col("_v").isNotNull())
+    spark = df.sparkSession
+    vals = df.select(*by, c.alias("_v")).where(F.col("_v").isNotNull())
+    sizes = group_sizes(vals, by) if by else None
     stats: dict = {}
-    ranked = number_rows(vals, ["_v"], "_rk", stats=stats)
-    n = stats["rows"] if "rows" in stats else ranked.count()
-    if n == 0:
-        qcols = [F.lit(None).cast("double").alias(nm) for nm in names]
-        return df.agg(*base, *qcols, *tail)
-    picks, need = [], set()
-    for p in probs:
-        pos = (n - 1) * p
-        lo = int(pos)
-        hi = min(lo + 1, n - 1)
-        picks.append((lo + 1, hi + 1, pos - lo))
-        need.update({lo + 1, hi + 1})
-    chosen = ranked.where(F.col("_rk").isin(sorted(need)))
-    qexprs = []
-    for (lo, hi, frac), nm in zip(picks, names):
-        vlo = F.max(F.when(F.col("_rk") == lo, F.col("_v").cast("double")))
-        vhi = F.max(F.when(F.col("_rk") == hi, F.col("_v").cast("double")))
-        qexprs.append(F.round(vlo + F.lit(frac) * (vhi - vlo), 6).alias(nm))
-    # The quantile row (at most 6 input rows) is folded into the profile as
-    # literals computed by Spark, so the result stays one aggregate of df.
-    qrow = chosen.agg(*qexprs).first()
-    return df.agg(*base, *[F.lit(qrow[nm]).cast("double").alias(nm) for nm in names], *tail)
+    ranked = number_rows(vals, ["_v"], "_rk", restart_by=by, stats=stats)
+    if not by:
+        sizes = {(): stats["rows"]}
+    if sizes is None:
+        raise ValueError("too many groups for exact quantiles; use quantiles='approx'")
+    picks = []
+    for key, n in sizes.items():
+        for p, nm in zip(_PROBS, _QNAMES):
+            pos = (n - 1) * p
+            lo = int(pos)
+            picks.append((*key, nm, lo + 1, min(lo + 1, n - 1) + 1, pos - lo))
+    key_fields = [f"{k} {vals.schema[k].dataType.simpleString()}" for k in by]
+    schema = ", ".join([*key_fields, "_q string", "_lo long", "_hi long", "_frac double"])
+    # Three rows per group, built from counts collected above: a proven bound.
+    pick_df = F.broadcast(spark.createDataFrame(picks, schema))
+    r, k = ranked.alias("r"), pick_df.alias("k")
+    cond = [F.col(f"r.{b}").eqNullSafe(F.col(f"k.{b}")) for b in by]
+    cond.append((F.col("r._rk") == F.col("k._lo")) | (F.col("r._rk") == F.col("k._hi")))
+    j = r.join(k, cond)
+    v = F.col("r._v").cast("double")
+    per_q = j.groupBy(*[F.col(f"k.{b}").alias(b) for b in by], F.col("k._q").alias("_q")).agg(
+        F.max(F.when(F.col("r._rk") == F.col("k._lo"), v)).alias("_vlo"),
+        F.max(F.when(F.col("r._rk") == F.col("k._hi"), v)).alias("_vhi"),
+        F.first("k._frac").alias("_frac"),
+    )
+    qv = F.round(F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo")), 6)
+    qcols = [F.max(F.when(F.col("_q") == nm, qv)).alias(nm) for nm in _QNAMES]
+    qtab = per_q.groupBy(*by).agg(*qcols) if by else per_q.agg(*qcols)
+    prof = grouped.agg(*base, *tail)
+    if not by:
+        # Both sides are single rows; fold the quantile row in as literals.
+        qrow = qtab.first()
+        vals_q = [F.lit(qrow[nm] if qrow else None).cast("double").alias(nm) for nm in _QNAMES]
+        return prof.select("column_name", "min", "max", "n_unique", "avg", "std", *vals_q, "count", "null_percentage")
+    p_, q_ = prof.alias("p"), qtab.alias("q")
+    jc = [F.col(f"p.{b}").eqNullSafe(F.col(f"q.{b}")) for b in by]
+    out = p_.join(q_, jc, "left")
+    return out.select(
+        *[F.col(f"p.{b}") for b in by],
+        *[F.col(f"p.{x}") for x in ("column_name", "min", "max", "n_unique", "avg", "std")],
+        *[F.col(f"q.{nm}") for nm in _QNAMES],
+        F.col("p.count"),
+        F.col("p.null_percentage"),
+    )
+
+
+_PROBS = (0.25, 0.5, 0.75)
+_QNAMES = ("q25", "q50", "q75")

@@ -294,6 +294,11 @@ def q_profile_new_patid(spark, d):
     return profile_column(pipeline(spark, d).rebased("demographic"), "PatID")
 
 
+def q_profile_new_patid_by_part(spark, d):
+    """The new ID's profile per part, as printed after each part is assigned."""
+    return profile_column(pipeline(spark, d).rebased("demographic"), "PatID", by=["part"])
+
+
 def q_coverage_patients(spark, d):
     p = pipeline(spark, d)
     return coverage_count(
@@ -388,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "code_year_rollup_csv": q_code_year_rollup_csv,
     "describe_demographic_output": q_describe_demographic_output,
     "describe_enrollment_output": q_describe_enrollment_output,
+    "profile_new_patid_by_part": q_profile_new_patid_by_part,
 }
 
 
@@ -564,6 +570,13 @@ ORACLES.update(
             "round(quantile_cont(PatID, 0.75), 6) AS q75, count(*) AS count, "
             "round(100.0 * (count(*) - count(PatID)) / count(*), 2)::DOUBLE AS null_percentage FROM d"
         ),
+        "profile_new_patid_by_part": fix("d AS (SELECT part, row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src)") + (
+            "SELECT part, 'PatID' AS column_name, min(PatID) AS min, max(PatID) AS max, "
+            "count(DISTINCT PatID) AS n_unique, round(avg(PatID), 6) AS avg, round(stddev_samp(PatID), 6) AS std, "
+            "round(quantile_cont(PatID, 0.25), 6) AS q25, round(quantile_cont(PatID, 0.5), 6) AS q50, "
+            "round(quantile_cont(PatID, 0.75), 6) AS q75, count(*) AS count, "
+            "round(100.0 * (count(*) - count(PatID)) / count(*), 2)::DOUBLE AS null_percentage FROM d GROUP BY part"
+        ),
         "coverage_patients": fix(_D) + (
             "SELECT s.Sex, s.Race, count(*) AS count, count(DISTINCT d.PatID) AS n_people FROM d "
             "JOIN demo_src s ON s.part = d.part AND s.PatID = d.OrigPatID "

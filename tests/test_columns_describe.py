@@ -68,3 +68,19 @@ def test_row_count_and_describe(spark):
     assert row_count(df, formatted=True).first()["count"] == "1,234"
     got = [tuple(r) for r in describe_columns(df).collect()]
     assert got == [("id", "BIGINT"), ("s", "VARCHAR"), ("t", "TIMESTAMP")]
+
+
+def test_profile_by_group_matches_duckdb(spark, duck):
+    rows = [(1, 5), (1, 1), (1, None), (1, 9), (2, 4), (2, 4), (3, None)]
+    df = spark.createDataFrame(rows, "part long, x long")
+    got = {r.part: (r.q25, r.q50, r.q75, r["count"], r.null_percentage, r.n_unique) for r in profile_column(df, "x", by=["part"]).collect()}
+    duck.execute("CREATE OR REPLACE TABLE t(part BIGINT, x BIGINT)")
+    duck.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    want = {
+        r[0]: tuple(r[1:])
+        for r in duck.execute(
+            "SELECT part, quantile_cont(x, 0.25), quantile_cont(x, 0.5), quantile_cont(x, 0.75), count(*), "
+            "round(100.0 * (count(*) - count(x)) / count(*), 2), count(DISTINCT x) FROM t GROUP BY part"
+        ).fetchall()
+    }
+    assert got == want
