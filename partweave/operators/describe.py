@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import thousands
-from ..functions.types import sql_type_name
+from ..functions.types import SQL_TYPE_NAMES, sql_type_name
 from .numbering import group_sizes, number_rows
 
 _VIEW_SEQ = [0]
@@ -39,7 +39,8 @@ def profile_column(
     accuracy: int = 10000,
     by: list[str] | None = None,
 ) -> DataFrame:
-    """Profile of a numeric column: column_name, min, max, n_unique, avg, std,
+    """Profile of a numeric column: column_name, column_type, min, max,
+    n_unique (exact distinct count), avg, std,
     q25, q50, q75, count (NULLs included), null_percentage - one row, or one
     row per group of ``by`` (e.g. per part, as after each part's ID
     assignment).
@@ -54,8 +55,10 @@ def profile_column(
     by = list(by or [])
     c = F.col(col)
     n_all = F.count(F.lit(1))
+    type_name = SQL_TYPE_NAMES.get(df.schema[col].dataType.simpleString(), df.schema[col].dataType.simpleString().upper())
     base = [
         F.lit(col).alias("column_name"),
+        F.lit(type_name).alias("column_type"),
         F.min(c).alias("min"),
         F.max(c).alias("max"),
         F.count_distinct(c).alias("n_unique"),
@@ -111,13 +114,15 @@ def profile_column(
         # Both sides are single rows; fold the quantile row in as literals.
         qrow = qtab.first()
         vals_q = [F.lit(qrow[nm] if qrow else None).cast("double").alias(nm) for nm in _QNAMES]
-        return prof.select("column_name", "min", "max", "n_unique", "avg", "std", *vals_q, "count", "null_percentage")
+        return prof.select(
+            "column_name", "column_type", "min", "max", "n_unique", "avg", "std", *vals_q, "count", "null_percentage"
+        )
     p_, q_ = prof.alias("p"), qtab.alias("q")
     jc = [F.col(f"p.{b}").eqNullSafe(F.col(f"q.{b}")) for b in by]
     out = p_.join(q_, jc, "left")
     return out.select(
         *[F.col(f"p.{b}") for b in by],
-        *[F.col(f"p.{x}") for x in ("column_name", "min", "max", "n_unique", "avg", "std")],
+        *[F.col(f"p.{x}") for x in ("column_name", "column_type", "min", "max", "n_unique", "avg", "std")],
         *[F.col(f"q.{nm}") for nm in _QNAMES],
         F.col("p.count"),
         F.col("p.null_percentage"),

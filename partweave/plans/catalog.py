@@ -482,7 +482,7 @@ ORACLES: dict[str, str] = {
         "WHERE b.o_orderstatus = 'F' AND b.o_orderpriority = '1-URGENT' GROUP BY c_mktsegment, c_nationkey"
     ),
     "profile_column": (
-        "SELECT 'o_custkey' AS column_name, min(o_custkey) AS min, max(o_custkey) AS max, "
+        "SELECT 'o_custkey' AS column_name, 'BIGINT' AS column_type, min(o_custkey) AS min, max(o_custkey) AS max, "
         "count(DISTINCT o_custkey) AS n_unique, round(avg(o_custkey), 6) AS avg, round(stddev_samp(o_custkey), 6) AS std, "
         "round(quantile_cont(o_custkey, 0.25), 6) AS q25, round(quantile_cont(o_custkey, 0.5), 6) AS q50, "
         "round(quantile_cont(o_custkey, 0.75), 6) AS q75, count(*) AS count, "
@@ -564,14 +564,14 @@ ORACLES.update(
             "GROUP BY ALL ORDER BY Year NULLS FIRST"
         ),
         "profile_new_patid": fix("d AS (SELECT row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src)") + (
-            "SELECT 'PatID' AS column_name, min(PatID) AS min, max(PatID) AS max, "
+            "SELECT 'PatID' AS column_name, 'BIGINT' AS column_type, min(PatID) AS min, max(PatID) AS max, "
             "count(DISTINCT PatID) AS n_unique, round(avg(PatID), 6) AS avg, round(stddev_samp(PatID), 6) AS std, "
             "round(quantile_cont(PatID, 0.25), 6) AS q25, round(quantile_cont(PatID, 0.5), 6) AS q50, "
             "round(quantile_cont(PatID, 0.75), 6) AS q75, count(*) AS count, "
             "round(100.0 * (count(*) - count(PatID)) / count(*), 2)::DOUBLE AS null_percentage FROM d"
         ),
         "profile_new_patid_by_part": fix("d AS (SELECT part, row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src)") + (
-            "SELECT part, 'PatID' AS column_name, min(PatID) AS min, max(PatID) AS max, "
+            "SELECT part, 'PatID' AS column_name, 'BIGINT' AS column_type, min(PatID) AS min, max(PatID) AS max, "
             "count(DISTINCT PatID) AS n_unique, round(avg(PatID), 6) AS avg, round(stddev_samp(PatID), 6) AS std, "
             "round(quantile_cont(PatID, 0.25), 6) AS q25, round(quantile_cont(PatID, 0.5), 6) AS q50, "
             "round(quantile_cont(PatID, 0.75), 6) AS q75, count(*) AS count, "
