@@ -18,6 +18,7 @@ from ..operators.columns import cast_ids_by_suffix, rename_orig
 from ..operators.describe import describe_columns, profile_column, row_count
 from ..operators.ids import check_ids, fan_out, key_map, part_counts, part_offsets, rebase_ids
 from ..operators.keys import orphans
+from ..operators.parts import part_inventory
 from ..operators.rollups import code_year_rollup, coverage_count
 from ..session import new_stage_path, stage
 from ..sources.csv import csv_view, read_csv, write_csv
@@ -299,6 +300,11 @@ def q_profile_new_patid_by_part(spark, d):
     return profile_column(pipeline(spark, d).rebased("demographic"), "PatID", by=["part"])
 
 
+def q_part_inventory(spark, d):
+    """Rows per part of every table (0 where a part is missing)."""
+    return part_inventory(fixture(spark, d).tables())
+
+
 def q_coverage_patients(spark, d):
     p = pipeline(spark, d)
     return coverage_count(
@@ -394,6 +400,7 @@ QUERIES: dict[str, Query] = {
     "describe_demographic_output": q_describe_demographic_output,
     "describe_enrollment_output": q_describe_enrollment_output,
     "profile_new_patid_by_part": q_profile_new_patid_by_part,
+    "part_inventory": q_part_inventory,
 }
 
 
@@ -577,6 +584,23 @@ ORACLES.update(
             "round(quantile_cont(PatID, 0.75), 6) AS q75, count(*) AS count, "
             "round(100.0 * (count(*) - count(PatID)) / count(*), 2)::DOUBLE AS null_percentage FROM d GROUP BY part"
         ),
+        "part_inventory": fix() + (
+            "SELECT part, "
+            + ", ".join(
+                f"CAST(count(*) FILTER (WHERE t = '{t}') AS BIGINT) AS {t}"
+                for t in ("death", "demographic", "diagnosis", "dispensing", "encounter", "enrollment", "procedure", "facility", "provider")
+            )
+            + " FROM ("
+            + " UNION ALL ".join(
+                f"SELECT part, '{t}' AS t FROM {src}"
+                for t, src in (
+                    ("death", "death_src"), ("demographic", "demo_src"), ("diagnosis", "dx_src"), ("dispensing", "disp_src"),
+                    ("encounter", "enc_src"), ("enrollment", "enroll_src"), ("procedure", "proc_src"),
+                    ("facility", "fac_src"), ("provider", "prov_src"),
+                )
+            )
+            + ") GROUP BY part"
+        ),
         "coverage_patients": fix(_D) + (
             "SELECT s.Sex, s.Race, count(*) AS count, count(DISTINCT d.PatID) AS n_people FROM d "
             "JOIN demo_src s ON s.part = d.part AND s.PatID = d.OrigPatID "

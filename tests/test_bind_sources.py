@@ -58,3 +58,14 @@ def test_csv_declared_inferred_and_view(spark):
     assert dict(read_csv(spark, path).dtypes)["k"] == "int"
     v = csv_view(spark, "t_csv_view", path, schema_ddl="k INT, s STRING, x DOUBLE")
     assert sorted(tuple(r) for r in v.collect()) == [(1, "a", 2.5), (2, "b", None)]
+
+
+def test_part_inventory_and_missing_parts(spark):
+    from partweave.operators.parts import missing_parts, part_inventory
+
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "part long, v string")
+    b = spark.createDataFrame([(2, "q"), (3, "r")], "part long, v string")
+    inv = {r.part: (r.a, r.b) for r in part_inventory({"a": a, "b": b}).collect()}
+    assert inv == {1: (2, 0), 2: (1, 1), 3: (0, 1)}
+    gaps = sorted(tuple(r) for r in missing_parts({"a": a, "b": b}).collect())
+    assert gaps == [("a", 3), ("b", 1)]
