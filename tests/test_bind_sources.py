@@ -69,3 +69,29 @@ def test_part_inventory_and_missing_parts(spark):
     assert inv == {1: (2, 0), 2: (1, 1), 3: (0, 1)}
     gaps = sorted(tuple(r) for r in missing_parts({"a": a, "b": b}).collect())
     assert gaps == [("a", 3), ("b", 1)]
+
+
+def test_unsigned_ids_land_as_bigint(spark, tmp_path):
+    """Unsigned 64-bit IDs read back as decimal(20,0) in Spark (H5); landing
+    casts them to bigint."""
+    import duckdb
+
+    path = str(tmp_path / "u.parquet")
+    duckdb.sql(f"COPY (SELECT 18::UBIGINT AS PatID, 'a' AS s UNION ALL SELECT 7::UBIGINT, 'b') TO '{path}' (FORMAT parquet)")
+    raw = spark.read.parquet(path)
+    assert dict(raw.dtypes)["PatID"].startswith("decimal(20")
+    out = land(raw)
+    assert dict(out.dtypes)["PatID"] == "bigint"
+    assert sorted((r.PatID, r.s) for r in out.collect()) == [(7, "b"), (18, "a")]
+
+
+def test_writes_never_overwrite(spark, tmp_path):
+    """Every run writes to a new folder; an existing one is refused (H16)."""
+    from partweave.operators.bind import write_table
+
+    df = spark.range(3)
+    path = str(tmp_path / "out")
+    write_table(df, path)
+    with pytest.raises(Exception):
+        write_table(df, path)
+    assert spark.read.parquet(path).count() == 3
