@@ -11,6 +11,9 @@ from .numbering import DuplicateKeys, group_sizes, number_rows, sort_keys
 
 
 _ROW_HASH = "_pw_row_hash"
+# Owners with more columns than this besides part and id are numbered
+# through their keys only (see assign_ids).
+KEYS_ONLY_MIN_EXTRA_COLUMNS = 4
 
 
 def orig_name(id_col: str) -> str:
@@ -55,20 +58,27 @@ def assign_ids(
     stats: dict | None = None,
     max_group_rows: int = 1_000_000,
     broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
+    keys_only: bool | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(rebased owner, key map)``; see ``rebase_ids``.
 
-    With unique keys (``on_duplicates='fail'``) the two-pass method numbers
-    only the narrow (part, id) key table - the range partitioner's sampling
-    scan and the staged copy are two columns wide, not the whole owner - and
-    the new ID is joined back (null-safe, so a NULL old ID keeps its row;
-    broadcast when the exact row count proves the key map small). The key
-    map for children is that narrow staged table itself.
+    ``keys_only``: with unique keys (``on_duplicates='fail'``) the two-pass
+    method can number only the narrow (part, id) key table - the range
+    partitioner's sampling scan and the staged copy are two columns wide, not
+    the whole owner - and join the new ID back (null-safe, so a NULL old ID
+    keeps its row; broadcast when the exact row count proves the key map
+    small). The key map for children is then that narrow staged table.
+    It pays off for wide owners; for an owner with few columns the join-back
+    costs more than it saves, so the default (None) uses it only when the
+    owner has more than ``KEYS_ONLY_MIN_EXTRA_COLUMNS`` columns besides
+    part and id.
     """
     orig = orig_name(id_col)
     if on_duplicates not in ("fail", "keep"):
         raise ValueError("on_duplicates must be 'fail' or 'keep'")
-    if method == "two_pass" and on_duplicates == "fail":
+    if keys_only is None:
+        keys_only = len(df.columns) - 2 > KEYS_ONLY_MIN_EXTRA_COLUMNS
+    if method == "two_pass" and on_duplicates == "fail" and keys_only:
         renamed = df.withColumnRenamed(id_col, orig)
         st: dict = {}
         try:

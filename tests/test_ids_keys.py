@@ -109,3 +109,17 @@ def test_kept_duplicates_number_the_same_on_rerun(spark):
     a = {r.s: r.PatID for r in rebase_ids(dup, "PatID", on_duplicates="keep").collect()}
     b = {r.s: r.PatID for r in rebase_ids(dup.orderBy("s"), "PatID", on_duplicates="keep").collect()}
     assert a == b and sorted(a.values()) == [1, 2, 3] and a["c"] == 3
+
+
+@pytest.mark.parametrize("keys_only", [True, False])
+def test_keys_only_and_full_row_numbering_agree(spark, keys_only):
+    from partweave.operators.ids import assign_ids
+
+    rows = [(p, i, None if i == 3 and p == 2 else f"v{i}", i * 2, i * 3, i * 4, i * 5) for p in (1, 2) for i in (5, 3, 9)]
+    wide = spark.createDataFrame(rows, "part long, PatID long, a string, b long, c long, d long, e long")
+    wide = wide.union(spark.createDataFrame([(2, None, "n", 0, 0, 0, 0)], wide.schema))
+    rb, km = assign_ids(wide, "PatID", keys_only=keys_only)
+    assert rb.columns == ["part", "OrigPatID", "a", "b", "c", "d", "e", "PatID"]
+    got = {(r.part, r.OrigPatID): r.PatID for r in rb.collect()}
+    assert got == {(1, 3): 1, (1, 5): 2, (1, 9): 3, (2, 3): 4, (2, 5): 5, (2, 9): 6, (2, None): 7}
+    assert {(r.part, r.OrigPatID): r.PatID for r in km.collect()} == got
