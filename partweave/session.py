@@ -57,17 +57,24 @@ def build_session(
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session names no ``spark.checkpoint.dir``."""
+
+
 def stage_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
 
-    Falls back to a fresh local folder only when the session names none
-    (a local test run); on a cluster the setting must point at shared storage.
+    Only a local-mode session (tests) that names none gets a fresh local
+    folder; on a cluster a machine-local folder would vanish with its
+    executor, so the setting is required there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise NoSharedFolder("set spark.checkpoint.dir to a shared folder (HDFS / object store) for staged tables")
         root = tempfile.mkdtemp(prefix="partweave-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
