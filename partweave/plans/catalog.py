@@ -300,6 +300,13 @@ def q_profile_new_patid_by_part(spark, d):
     return profile_column(pipeline(spark, d).rebased("demographic"), "PatID", by=["part"])
 
 
+def q_px_code_year_after_rebase(spark, d):
+    """Procedures per (PX, PX_codetype, year), ascending by year with NULLs
+    last, over the bound procedure table."""
+    px = pipeline(spark, d).output("procedure")
+    return code_year_rollup(px, "PX", "PX_codetype", "ADate", year_name="Year", count_name="n", sort="nulls_last")
+
+
 def q_part_inventory(spark, d):
     """Rows per part of every table (0 where a part is missing)."""
     return part_inventory(fixture(spark, d).tables())
@@ -401,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "describe_enrollment_output": q_describe_enrollment_output,
     "profile_new_patid_by_part": q_profile_new_patid_by_part,
     "part_inventory": q_part_inventory,
+    "px_code_year_after_rebase": q_px_code_year_after_rebase,
 }
 
 
@@ -584,6 +592,12 @@ ORACLES.update(
             "round(quantile_cont(PatID, 0.75), 6) AS q75, count(*) AS count, "
             "round(100.0 * (count(*) - count(PatID)) / count(*), 2)::DOUBLE AS null_percentage FROM d GROUP BY part"
         ),
+        "px_code_year_after_rebase": fix(_D, _F, _P, _E, _E2) + (
+            "SELECT x.PX, x.PX_codetype, year(x.ADate) AS Year, count(*) AS n FROM proc_src x "
+            "JOIN d ON d.part = x.part AND d.OrigPatID = x.PatID JOIN p ON p.part = x.part AND p.OrigProviderID = x.ProviderID "
+            "JOIN e2 ON e2.part = x.part AND e2.OrigEncounterID = x.EncounterID "
+            "GROUP BY x.PX, x.PX_codetype, year(x.ADate) ORDER BY Year NULLS LAST"
+        ),
         "part_inventory": fix() + (
             "SELECT part, "
             + ", ".join(
