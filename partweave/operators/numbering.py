@@ -28,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ..session import stage
@@ -145,24 +146,35 @@ def _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, st
     aggs = [F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_first")]
     if on_ties == "fail":
         aggs.append(F.max(_TIES).alias("_ties"))
-    seg = staged.groupBy(*seg_keys).agg(*aggs)
-    spec = W.partitionBy(*restart_by) if restart_by else W.partitionBy()
-    before = spec.orderBy(PID).rowsBetween(W.unboundedPreceding, -1)
-    seg = seg.select(
-        *seg_keys,
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias(_BASE),
-        "_n",
-        *(["_ties"] if on_ties == "fail" else []),
-    )
+    counts = staged.groupBy(*seg_keys).agg(*aggs)
     # One row per segment: at most n rows without a restart key (one per
     # partition id), n + groups - 1 with one. Small: collect it, like the
-    # partition counts of RDD.zipWithIndex, and broadcast it back.
-    rows = seg.limit(MAX_LOCAL_SEGMENTS + 1).collect()
+    # partition counts of RDD.zipWithIndex, take running sums, broadcast back.
+    rows = counts.limit(MAX_LOCAL_SEGMENTS + 1).collect()
     if len(rows) <= MAX_LOCAL_SEGMENTS:
         total = sum(r["_n"] for r in rows)
         worst = max((r["_ties"] for r in rows), default=1) if on_ties == "fail" else 1
-        seg_df = F.broadcast(spark.createDataFrame(rows, seg.schema).select(*seg_keys, _BASE))
+        ordered = sorted(rows, key=lambda r: (tuple((r[k] is None, r[k]) for k in restart_by), r[PID]))
+        seen: dict = {}
+        base_rows = []
+        for r in ordered:
+            group = tuple(r[k] for k in restart_by)
+            before = seen.get(group, 0)
+            base_rows.append((r[PID], *group, before - r["_first"]))
+            seen[group] = before + r["_n"]
+        schema = T.StructType(
+            [counts.schema[PID], *[counts.schema[k] for k in restart_by], T.StructField(_BASE, T.LongType())]
+        )
+        seg_df = F.broadcast(spark.createDataFrame(base_rows, schema))
     else:
+        spec = W.partitionBy(*restart_by) if restart_by else W.partitionBy()
+        before = spec.orderBy(PID).rowsBetween(W.unboundedPreceding, -1)
+        seg = counts.select(
+            *seg_keys,
+            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias(_BASE),
+            "_n",
+            *(["_ties"] if on_ties == "fail" else []),
+        )
         seg = stage(seg, "numbering-segments")
         summary = seg.agg(F.sum("_n"), *([F.max("_ties")] if on_ties == "fail" else [])).first()
         total = summary[0]

@@ -20,7 +20,7 @@ from ..operators.broadcast import DEFAULT_MAX_BYTES
 from ..operators.ids import assign_ids, key_map, orig_name
 from ..operators.keys import orphans, rewrite_fk
 from ..registry import CLAIMS, Registry
-from ..session import stage
+from ..session import stage_counted
 
 
 class Pipeline:
@@ -128,8 +128,9 @@ class Pipeline:
                 self.broadcast_max_bytes,
             )
         if keys and table in self.reg.owners and self.reg.children_of(self.reg.owners[table]):
-            # It feeds later rewrites as well as the output: cut lineage once.
-            cur = stage(cur, f"rewritten-{table}")
+            # It feeds later rewrites as well as the output: cut lineage once;
+            # its exact size, observed during the write, sizes its key map.
+            cur, self._rows[table] = stage_counted(cur, f"rewritten-{table}")
         self._rewritten[table] = cur
         return cur
 

@@ -90,7 +90,18 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet under the staging root and return the re-read
     DataFrame: a lineage cut that survives executor loss, with column pruning
     and filter pushdown on every later read (unlike an RDD checkpoint)."""
+    return stage_counted(df, tag)[0]
+
+
+def stage_counted(df: DataFrame, tag: str) -> tuple[DataFrame, int]:
+    """``stage`` that also returns the row count, observed during the write
+    itself (``DataFrame.observe``) - no second pass."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     spark = df.sparkSession
     path = new_stage_path(spark, tag)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # Unique per write: stages run concurrently from several threads.
+    obs = Observation(f"pw_{tag}_{uuid.uuid4().hex}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
