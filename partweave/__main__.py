@@ -5,7 +5,7 @@
   describe   <parquet_path>
   count      <parquet_path>
   rollup     <parquet_path> <code> <code_type> <date>
-  coverage   <demographic_path> <enrollment_path>
+  coverage   <demographic_path> <enrollment_path> [--by Sex,Hispanic,Race]
 
 Runs on the session ``spark-submit`` provides, or a local one.
 """
@@ -39,6 +39,7 @@ def main(argv=None) -> None:
     a = sub.add_parser("coverage")
     a.add_argument("demographic")
     a.add_argument("enrollment")
+    a.add_argument("--by", default="Sex,Hispanic,Race")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("partweave").getOrCreate()
@@ -64,7 +65,7 @@ def main(argv=None) -> None:
             spark.read.parquet(args.demographic),
             spark.read.parquet(args.enrollment),
             on="PatID",
-            by=["Sex", "Hispanic", "Race"],
+            by=args.by.split(","),
             flags={"MedCov": "Y", "DrugCov": "Y"},
         ).show(1000, truncate=False)
 

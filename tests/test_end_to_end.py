@@ -51,3 +51,17 @@ def test_cli_describe_and_count(spark, tmp_path, capsys):
     main(["describe", path])
     out = capsys.readouterr().out
     assert "1,234" in out and "BIGINT" in out
+
+
+def test_cli_land_integrate_coverage(spark, sf001, tmp_path, capsys):
+    from partweave.__main__ import main
+
+    src = tmp_path / "data"
+    src.mkdir()
+    _write_extracts(spark, fixture(spark, sf001), str(src))
+    main(["land", str(src), str(tmp_path / "landing"), "--format", "csv", "--tables", "demographic,enrollment"])
+    main(["integrate", str(tmp_path / "landing"), str(tmp_path / "out"), "--tables", "demographic,enrollment"])
+    capsys.readouterr()
+    main(["coverage", str(tmp_path / "out/demographic"), str(tmp_path / "out/enrollment"), "--by", "Sex,Race"])
+    out = capsys.readouterr().out
+    assert "Sex" in out and "Race" in out and "count" in out
