@@ -48,8 +48,8 @@ def profile_column(
     Quantiles are continuous (linear interpolation between order statistics,
     ``lo + (hi - lo) * frac``). ``quantiles='exact'`` ranks the non-NULL values
     with the distributed numbering (range partition + staged sort; no value
-    set is held in one buffer) and joins the needed ranks - three per group,
-    a small broadcast table - back. ``'approx'`` uses ``percentile_approx``:
+    set is held in one buffer) and equi-joins the needed ranks - six per
+    group, a small broadcast table - back. ``'approx'`` uses ``percentile_approx``:
     one pass, bounded memory, rank error about 1/accuracy.
     """
     by = list(by or [])
@@ -91,19 +91,21 @@ def profile_column(
         for p, nm in zip(_PROBS, _QNAMES):
             pos = (n - 1) * p
             lo = int(pos)
-            picks.append((*key, nm, lo + 1, min(lo + 1, n - 1) + 1, pos - lo))
+            hi = min(lo + 1, n - 1)
+            # one row per needed rank, so the join below is an equi-join
+            picks.append((*key, nm, lo + 1, "lo", pos - lo))
+            picks.append((*key, nm, hi + 1, "hi", pos - lo))
     key_fields = [f"{k} {vals.schema[k].dataType.simpleString()}" for k in by]
-    schema = ", ".join([*key_fields, "_q string", "_lo long", "_hi long", "_frac double"])
-    # Three rows per group, built from counts collected above: a proven bound.
+    schema = ", ".join([*key_fields, "_q string", "_rk long", "_role string", "_frac double"])
+    # Six rows per group, built from counts collected above: a proven bound.
     pick_df = F.broadcast(spark.createDataFrame(picks, schema))
     r, k = ranked.alias("r"), pick_df.alias("k")
-    cond = [F.col(f"r.{b}").eqNullSafe(F.col(f"k.{b}")) for b in by]
-    cond.append((F.col("r._rk") == F.col("k._lo")) | (F.col("r._rk") == F.col("k._hi")))
+    cond = [F.col(f"r.{b}").eqNullSafe(F.col(f"k.{b}")) for b in by] + [F.col("r._rk") == F.col("k._rk")]
     j = r.join(k, cond)
     v = F.col("r._v").cast("double")
     per_q = j.groupBy(*[F.col(f"k.{b}").alias(b) for b in by], F.col("k._q").alias("_q")).agg(
-        F.max(F.when(F.col("r._rk") == F.col("k._lo"), v)).alias("_vlo"),
-        F.max(F.when(F.col("r._rk") == F.col("k._hi"), v)).alias("_vhi"),
+        F.max(F.when(F.col("k._role") == "lo", v)).alias("_vlo"),
+        F.max(F.when(F.col("k._role") == "hi", v)).alias("_vhi"),
         F.first("k._frac").alias("_frac"),
     )
     qv = F.round(F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo")), 6)

@@ -307,6 +307,11 @@ def q_px_code_year_after_rebase(spark, d):
     return code_year_rollup(px, "PX", "PX_codetype", "ADate", year_name="Year", count_name="n", sort="nulls_last")
 
 
+def q_rewrite_audit(spark, d):
+    """Rows in and rows dropped for each of the twelve key rewrites."""
+    return pipeline(spark, d).audit()
+
+
 def q_part_inventory(spark, d):
     """Rows per part of every table (0 where a part is missing)."""
     return part_inventory(fixture(spark, d).tables())
@@ -409,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "profile_new_patid_by_part": q_profile_new_patid_by_part,
     "part_inventory": q_part_inventory,
     "px_code_year_after_rebase": q_px_code_year_after_rebase,
+    "rewrite_audit": q_rewrite_audit,
 }
 
 
@@ -598,6 +604,24 @@ ORACLES.update(
             "JOIN e2 ON e2.part = x.part AND e2.OrigEncounterID = x.EncounterID "
             "GROUP BY x.PX, x.PX_codetype, year(x.ADate) ORDER BY Year NULLS LAST"
         ),
+        "rewrite_audit": fix(_D, _F, _P, _E, _E2) + " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, '{k}' AS id_col, (SELECT count(*) FROM {src}) AS rows_in, "
+            f"(SELECT count(*) FROM {src} x ANTI JOIN {own} o ON o.part = x.part AND o.{orig} = x.{k}) AS orphans"
+            for t, k, src, own, orig in (
+                ("death", "PatID", "death_src", "d", "OrigPatID"),
+                ("diagnosis", "PatID", "dx_src", "d", "OrigPatID"),
+                ("dispensing", "PatID", "disp_src", "d", "OrigPatID"),
+                ("encounter", "PatID", "enc_src", "d", "OrigPatID"),
+                ("enrollment", "PatID", "enroll_src", "d", "OrigPatID"),
+                ("procedure", "PatID", "proc_src", "d", "OrigPatID"),
+                ("diagnosis", "ProviderID", "dx_src", "p", "OrigProviderID"),
+                ("dispensing", "ProviderID", "disp_src", "p", "OrigProviderID"),
+                ("procedure", "ProviderID", "proc_src", "p", "OrigProviderID"),
+                ("encounter", "FacilityID", "enc_src", "f", "OrigFacilityID"),
+                ("diagnosis", "EncounterID", "dx_src", "e2", "OrigEncounterID"),
+                ("procedure", "EncounterID", "proc_src", "e2", "OrigEncounterID"),
+            )
+        ),
         "part_inventory": fix() + (
             "SELECT part, "
             + ", ".join(

@@ -13,10 +13,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.bind import bind, write_table
-from ..operators.broadcast import DEFAULT_MAX_BYTES
+from ..operators.broadcast import DEFAULT_MAX_BYTES, max_rows_for
 from ..operators.ids import assign_ids, key_map, orig_name
 from ..operators.keys import orphans, rewrite_fk
 from ..registry import CLAIMS, Registry
@@ -140,6 +143,32 @@ class Pipeline:
         src = self.rebased(table) if table in self.reg.owners else self.raw[table]
         return orphans(src, self.key_map(id_col), id_col, self.part)
 
+    def audit(self) -> DataFrame:
+        """Per foreign key: (table_name, id_col, rows_in, orphans) - the
+        child's input rows and how many of them that key's rewrite drops
+        (NULL or unknown in the owner's part; for a cascaded key, an owner row
+        that was itself dropped). One pass per key: a left join to the key map
+        (unique keys, so no row multiplies) counted in a single aggregate."""
+        frames = []
+        for fk in self.reg.foreign_keys:
+            if fk.child not in self.raw or fk.owner not in self.raw:
+                continue
+            src = self.rebased(fk.child) if fk.child in self.reg.owners else self.raw[fk.child]
+            km = self.key_map(fk.id_col).select(
+                self.part, F.col(orig_name(fk.id_col)).alias(fk.id_col), F.lit(True).alias("_hit")
+            )
+            rows = self.key_map_rows(fk.id_col)
+            if self.broadcast == "auto" and rows is not None and rows <= max_rows_for(km, self.broadcast_max_bytes):
+                km = F.broadcast(km)
+            j = src.select(self.part, fk.id_col).join(km, [self.part, fk.id_col], "left")
+            frames.append(
+                j.agg(
+                    F.count(F.lit(1)).alias("rows_in"),
+                    F.count(F.when(F.col("_hit").isNull(), 1)).alias("orphans"),
+                ).select(F.lit(fk.child).alias("table_name"), F.lit(fk.id_col).alias("id_col"), "rows_in", "orphans")
+            )
+        return reduce(DataFrame.unionByName, frames)
+
     def output(self, table: str) -> DataFrame:
         """Final table: keys rewritten, old owner IDs dropped, parts bound."""
         df = self.rewritten(table)
