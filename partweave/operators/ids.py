@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -98,6 +100,49 @@ def assign_ids(
     return rb, key_map(rb, id_col, part)
 
 
+def assign_ids_many(
+    owners: dict[str, tuple[DataFrame, str]],
+    part: str = "part",
+    num_partitions: int | None = None,
+    broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
+) -> dict[str, tuple[DataFrame, DataFrame, int]]:
+    """Rebase several owners with one distributed numbering: their narrow
+    (owner, part, id) keys are unioned and numbered once with
+    ``restart_by=[owner]`` - one sampling pass, one range shuffle, one staged
+    write for all of them, balanced across owners by the range partitioner.
+    Each owner's IDs still start at 1 in its own (part, id) order. Returns
+    ``{owner: (rebased, key map, rows)}``. Owner keys must be unique (the
+    check rides along, per owner) and share one type.
+    """
+    tag = "_pw_owner"
+    orig = "_pw_orig"
+    keys = [
+        df.select(F.lit(name).alias(tag), F.col(part), F.col(id_col).alias(orig))
+        for name, (df, id_col) in owners.items()
+    ]
+    union = reduce(DataFrame.unionByName, keys)
+    stats: dict = {}
+    try:
+        numbered = number_rows(
+            union, [part, orig], "_pw_new", restart_by=[tag], num_partitions=num_partitions, on_ties="fail", stats=stats
+        )
+    except DuplicateKeys as e:
+        raise DuplicateOwnerKeys(f"owner IDs repeat inside a part; see fan_out(): {e}") from e
+    sizes = stats.get("groups", {})
+    out = {}
+    for name, (df, id_col) in owners.items():
+        o = orig_name(id_col)
+        km = numbered.where(F.col(tag) == name).select(part, F.col(orig).alias(o), F.col("_pw_new").alias(id_col))
+        rows = sizes.get((name,))
+        side = F.broadcast(km) if rows is not None and rows <= max_rows_for(km, broadcast_max_bytes) else km
+        renamed = df.withColumnRenamed(id_col, o)
+        r, k = renamed.alias("r"), side.alias("k")
+        cond = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in (part, o)]
+        rebased = r.join(k, cond, "inner").select(*[F.col(f"r.{c}") for c in renamed.columns], F.col(f"k.{id_col}"))
+        out[name] = (rebased, km, rows if rows is not None else 0)
+    return out
+
+
 def rebase_ids(
     df: DataFrame,
     id_col: str,
@@ -187,6 +232,7 @@ def check_ids(df: DataFrame, id_col: str) -> DataFrame:
 __all__ = [
     "DuplicateOwnerKeys",
     "assign_ids",
+    "assign_ids_many",
     "check_ids",
     "fan_out",
     "key_map",

@@ -181,9 +181,15 @@ def _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, st
         worst = summary[1] if on_ties == "fail" else 1
         seg_df = seg.select(*seg_keys, _BASE)
     if worst and worst > 1:
-        raise DuplicateKeys(f"{restart_by + order_by} repeat (up to {worst} rows per key)")
+        where = ""
+        if restart_by and len(rows) <= MAX_LOCAL_SEGMENTS:
+            bad = sorted({tuple(r[k] for k in restart_by) for r in rows if r["_ties"] > 1}, key=str)
+            where = f" in groups {bad}"
+        raise DuplicateKeys(f"{restart_by + order_by} repeat (up to {worst} rows per key){where}")
     if stats is not None:
         stats["rows"] = total
+        if len(rows) <= MAX_LOCAL_SEGMENTS:
+            stats["groups"] = dict(seen)
 
     s, g = staged.alias("s"), seg_df.alias("g")
     cond = [F.col(f"s.{PID}") == F.col(f"g.{PID}")] + [F.col(f"s.{k}").eqNullSafe(F.col(f"g.{k}")) for k in restart_by]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.bind import bind, write_table
 from ..operators.broadcast import DEFAULT_MAX_BYTES, max_rows_for
-from ..operators.ids import assign_ids, key_map, orig_name
+from ..operators.ids import assign_ids, assign_ids_many, key_map, orig_name
 from ..operators.keys import orphans, rewrite_fk
 from ..registry import CLAIMS, Registry
 from ..session import stage_counted
@@ -86,6 +86,8 @@ class Pipeline:
         """Rebase several owners at once: each is an independent Spark job, so
         they are submitted from a small thread pool and share the cluster."""
         todo = [o for o in (owners if owners is not None else list(self.reg.owners)) if o in self.raw and o not in self._rebased]
+        if len(todo) > 1 and self._numbered_together(todo):
+            return
         if len(todo) <= 1 or self.parallel_jobs == 1:
             for o in todo:
                 self.rebased(o)
@@ -95,6 +97,24 @@ class Pipeline:
         for o, (rb, km, stats) in zip(todo, done):
             self._keep(o, rb, km, stats)
 
+    def _numbered_together(self, todo: list[str]) -> bool:
+        """One numbering for all ``todo`` owners (see ``assign_ids_many``),
+        when the default method applies and their key types agree."""
+        if self.method != "two_pass" or self.on_duplicates != "fail":
+            return False
+        types = {
+            (self.raw[o].schema[self.part].dataType.simpleString(), self.raw[o].schema[self.reg.owners[o]].dataType.simpleString())
+            for o in todo
+        }
+        if len(types) != 1:
+            return False
+        done = assign_ids_many(
+            {o: (self.raw[o], self.reg.owners[o]) for o in todo}, self.part, broadcast_max_bytes=self.broadcast_max_bytes
+        )
+        for o, (rb, km, rows) in done.items():
+            self._keep(o, rb, km, {"rows": rows})
+        return True
+
     def _owners_needed(self, table: str, seen: set | None = None) -> set[str]:
         seen = set() if seen is None else seen
         if table in self.reg.owners:

@@ -121,3 +121,28 @@ def test_any_split_gives_unsplit_coverage(spark, n_parts, seed):
         if m == "Y" and d == "Y":
             truth[sex[g]] = truth.get(sex[g], 0) + 1
     assert got == {(s, r, n) for (s, r), n in truth.items()}
+
+
+def test_owners_numbered_together_match_one_by_one(spark, sf001):
+    from partweave.operators.ids import assign_ids, assign_ids_many
+
+    fx = fixture(spark, sf001)
+    owners = {"demographic": (fx.demo_src, "PatID"), "provider": (fx.prov_src, "ProviderID"), "facility": (fx.fac_src, "FacilityID")}
+    together = assign_ids_many(owners)
+    for name, (df, col) in owners.items():
+        rb, km, rows = together[name]
+        alone, _ = assign_ids(df, col)
+        assert rb.columns == alone.columns
+        assert rb.exceptAll(alone).count() == 0 and alone.exceptAll(rb).count() == 0
+        assert rows == df.count() == km.count()
+
+
+def test_duplicate_in_one_owner_names_it(spark):
+    import pytest as _pytest
+
+    from partweave.operators.ids import DuplicateOwnerKeys, assign_ids_many
+
+    ok = spark.createDataFrame([(1, 1), (1, 2)], "part long, PatID long")
+    bad = spark.createDataFrame([(1, 7), (1, 7)], "part long, ProviderID long")
+    with _pytest.raises(DuplicateOwnerKeys, match="provider"):
+        assign_ids_many({"demographic": (ok, "PatID"), "provider": (bad, "ProviderID")})
