@@ -38,6 +38,7 @@ class Pipeline:
         hot_key_rows: int | None = None,
         parallel_jobs: int = 4,
         broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
+        number_owners_together: bool = False,
     ):
         unknown = set(tables) - set(registry.tables)
         if unknown:
@@ -53,6 +54,7 @@ class Pipeline:
         self.hot_key_rows = hot_key_rows
         self.parallel_jobs = max(1, parallel_jobs)
         self.broadcast_max_bytes = broadcast_max_bytes
+        self.number_owners_together = number_owners_together
         self._rebased: dict[str, DataFrame] = {}
         self._keymaps: dict[str, DataFrame] = {}
         self._rows: dict[str, int] = {}
@@ -99,8 +101,12 @@ class Pipeline:
 
     def _numbered_together(self, todo: list[str]) -> bool:
         """One numbering for all ``todo`` owners (see ``assign_ids_many``),
-        when the default method applies and their key types agree."""
-        if self.method != "two_pass" or self.on_duplicates != "fail":
+        when asked for, the default method applies and their key types agree.
+
+        Opt-in: it suits many small owners whose key maps all broadcast. A big
+        narrow owner is cheaper numbered whole (one range shuffle) than through
+        its keys plus a join-back that would shuffle it again."""
+        if not self.number_owners_together or self.method != "two_pass" or self.on_duplicates != "fail":
             return False
         types = {
             (self.raw[o].schema[self.part].dataType.simpleString(), self.raw[o].schema[self.reg.owners[o]].dataType.simpleString())

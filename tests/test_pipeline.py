@@ -146,3 +146,9 @@ def test_duplicate_in_one_owner_names_it(spark):
     bad = spark.createDataFrame([(1, 7), (1, 7)], "part long, ProviderID long")
     with _pytest.raises(DuplicateOwnerKeys, match="provider"):
         assign_ids_many({"demographic": (ok, "PatID"), "provider": (bad, "ProviderID")})
+
+
+def test_pipeline_with_owners_numbered_together(spark, sf001):
+    a = Pipeline(fixture(spark, sf001).tables(), number_owners_together=True).output("diagnosis")
+    b = pipeline(spark, sf001).output("diagnosis")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
