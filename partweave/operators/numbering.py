@@ -46,13 +46,20 @@ def sort_keys(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
-def _null_last_keys(cols: Sequence[str]) -> list[Column]:
-    """(isnull(c), c) per column: ascending NULLs-last order spelled in
-    NULLs-first terms, so a window partitioned by the same expressions finds
-    its required ordering already in place (no second sort)."""
+def _null_last_keys(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """(isnull(c), c) per nullable column, c alone otherwise: ascending
+    NULLs-last order spelled in NULLs-first terms, so a window partitioned by
+    the same expressions finds its required ordering already in place (no
+    second sort). A non-nullable column gets no ``isnull`` companion: Catalyst
+    would fold it to a literal, which the window's partitioning drops and the
+    range partitioning keeps - a mismatch that costs a whole extra shuffle.
+    (A key only the optimizer infers to be non-NULL, e.g. an inner-join key,
+    can still cost that shuffle; results are unaffected.)"""
     out: list[Column] = []
     for c in cols:
-        out += [F.isnull(c), F.col(c)]
+        if df.schema[c].nullable:
+            out.append(F.isnull(c))
+        out.append(F.col(c))
     return out
 
 
@@ -122,7 +129,7 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> dict | None:
 
 def _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats):
     spark = df.sparkSession
-    exprs = _null_last_keys(restart_by + order_by)
+    exprs = _null_last_keys(df, restart_by + order_by)
     keys = [e.asc() for e in exprs]
     pid = F.spark_partition_id()
     # Without an explicit count AQE sizes the range partitions from measured
