@@ -46,3 +46,28 @@ def test_bound_diagnosis_joins_are_all_broadcast(spark, sf001):
 def test_rollup_aggregates_before_the_shuffle(spark, sf001):
     plan = _plan(E.queries()["code_year_rollup"](spark, sf001))
     assert "partial_count" in plan and plan.count("Exchange") == 1
+
+
+def test_no_numbering_in_a_full_run_shuffles_twice(spark, sf001, monkeypatch):
+    """Every numbering stage of a full fixture + integration run has nothing
+    but its range shuffle above its input (the tie-check window included)."""
+    from partweave.operators.describe import profile_column
+    from partweave.plans.fixtures import Fixture
+    from partweave.plans.pipeline import Pipeline
+
+    above = []
+    real = N.stage
+
+    def spy(df, tag):
+        if tag == "numbering":
+            lines = _plan(df).splitlines()
+            cut = next(i for i, line in enumerate(lines) if "rangepartitioning" in line)
+            above.append([line for line in lines[:cut] if "Exchange" in line])
+        return real(df, tag)
+
+    monkeypatch.setattr(N, "stage", spy)
+    p = Pipeline(Fixture(spark, sf001).tables())
+    for df in p.outputs().values():
+        df.count()
+    profile_column(p.rebased("demographic"), "PatID", by=["part"]).collect()
+    assert len(above) >= 5 and all(a == [] for a in above), above
