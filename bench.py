@@ -140,29 +140,33 @@ def main():
         "full_pipeline": full_pipeline,
     }
     only = set(sys.argv[1:])
-    results = {}
+    results, errors = {}, {}
     for name, fn in benches.items():
         if only and name not in only:
             continue
-        fn()  # warm-up
-        times = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            fn()
-            times.append(time.perf_counter() - t0)
-        results[name] = round(statistics.median(times), 3)
-
-    print(
-        json.dumps(
-            {
-                "metric": "sum_of_median_query_seconds",
-                "value": round(sum(results.values()), 3),
-                "unit": "sec",
-                "queries": results,
-                "sf": sf,
-            }
-        )
-    )
+        try:
+            fn()  # warm-up
+            times = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                fn()
+                times.append(time.perf_counter() - t0)
+            results[name] = round(statistics.median(times), 3)
+        except Exception as e:  # noqa: BLE001 - one failing row must not hide the others
+            results[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+
+    out = {
+        "metric": "sum_of_median_query_seconds",
+        "value": round(sum(v for v in results.values() if v is not None), 3),
+        "unit": "sec",
+        "queries": results,
+        "sf": sf,
+    }
+    if errors:
+        out["failed"] = len(errors)
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
