@@ -6,31 +6,64 @@ unique over all parts, foreign keys rewritten inside each part, and bound into
 one table each - all as DataFrame plans that partition and shuffle the work.
 """
 
-from .operators.bind import bind, union_parts
-from .operators.ids import check_ids, fan_out, key_map, part_counts, part_offsets, rebase_ids
+from .operators.bind import bind, union_parts, write_table
+from .operators.broadcast import checked_broadcast
+from .operators.columns import cast_ids_by_suffix, rename_orig
+from .operators.describe import describe_columns, profile_column, row_count
+from .operators.ids import (
+    DuplicateOwnerKeys,
+    assign_ids,
+    assign_ids_many,
+    check_ids,
+    fan_out,
+    key_map,
+    part_counts,
+    part_offsets,
+    rebase_ids,
+)
 from .operators.keys import orphans, rewrite_fk
-from .operators.numbering import number_rows
+from .operators.numbering import DuplicateKeys, number_rows
+from .operators.parts import missing_parts, part_inventory
+from .operators.rollups import code_year_rollup, coverage_count
+from .plans.convert import integrate, land_tables
 from .plans.pipeline import Pipeline, run
 from .registry import CLAIMS, ForeignKey, Registry
 from .session import build_session, stage
 
 __all__ = [
     "CLAIMS",
+    "DuplicateKeys",
+    "DuplicateOwnerKeys",
     "ForeignKey",
     "Pipeline",
     "Registry",
+    "assign_ids",
+    "assign_ids_many",
     "bind",
     "build_session",
+    "cast_ids_by_suffix",
     "check_ids",
+    "checked_broadcast",
+    "code_year_rollup",
+    "coverage_count",
+    "describe_columns",
     "fan_out",
+    "integrate",
     "key_map",
+    "land_tables",
+    "missing_parts",
     "number_rows",
     "orphans",
     "part_counts",
+    "part_inventory",
     "part_offsets",
+    "profile_column",
     "rebase_ids",
+    "rename_orig",
     "rewrite_fk",
+    "row_count",
     "run",
     "stage",
     "union_parts",
+    "write_table",
 ]
