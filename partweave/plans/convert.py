@@ -14,13 +14,18 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..registry import CLAIMS, Registry
+from ..sources.csv import read_csv_parts
 from ..sources.parts import land, read_parts, write_parts
 from ..sources.sas import register
 from .pipeline import Pipeline
 
 
 def read_extract(spark: SparkSession, source_dir: str, table: str, fmt: str = "sas7bdat", chunk_rows: int = 100_000) -> DataFrame:
-    """All ``<table>_<i>.<ext>`` extracts of one table, one task per file."""
+    """All ``<table>_<i>.<ext>`` extracts of one table. CSV goes through
+    Spark's CSV reader (split across tasks); SAS formats through the
+    ``sasparts`` source, one task per file."""
+    if fmt == "csv":
+        return read_csv_parts(spark, source_dir, table)
     register(spark)
     return (
         spark.read.format("sasparts")

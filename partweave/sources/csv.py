@@ -3,7 +3,10 @@ a SQL temp view over a CSV path."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -29,3 +32,20 @@ def csv_view(spark: SparkSession, name: str, path: str, header: bool = True, sch
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", str(header).lower()).csv(path)
+
+
+def read_csv_parts(
+    spark: SparkSession,
+    directory: str,
+    table: str,
+    schema: T.StructType | None = None,
+    header: bool = True,
+    part: str = "part",
+) -> DataFrame:
+    """All ``<table>_<i>.csv`` extracts of one table, read by Spark's own CSV
+    reader (JVM-side, large files split across tasks), with ``part`` taken
+    from each row's file name. Declared ``schema``, or one inference pass."""
+    glob = f"{directory.rstrip('/')}/{table}_*.csv"
+    df = read_csv(spark, glob, schema=schema, header=header)
+    pattern = rf"^{re.escape(table)}_(\d+)\.csv$"
+    return df.withColumn(part, F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).try_cast("long"))

@@ -95,3 +95,15 @@ def test_writes_never_overwrite(spark, tmp_path):
     with pytest.raises(Exception):
         write_table(df, path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_csv_parts_by_spark_reader(spark, tmp_path):
+    from partweave.sources.csv import read_csv_parts
+
+    for i, n in ((1, 2), (12, 3)):
+        (tmp_path / f"death_{i}.csv").write_text("PatID,Source\n" + "".join(f"{k}.0,s{i}\n" for k in range(n)))
+    (tmp_path / "deathx_1.csv").write_text("PatID,Source\n9.0,zz\n")
+    df = land(read_csv_parts(spark, str(tmp_path), "death"))
+    got = sorted((r.part, r.PatID, r.Source) for r in df.collect())
+    assert got == [(1, 0, "s1"), (1, 1, "s1"), (12, 0, "s12"), (12, 1, "s12"), (12, 2, "s12")]
+    assert dict(df.dtypes)["PatID"] == "bigint"
