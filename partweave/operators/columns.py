@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from ..functions.scalars import to_bigint
 
 
-def id_columns(df: DataFrame, suffix: str = "id") -> list[str]:
-    """Columns whose name ends with ``suffix``, ignoring case."""
+def id_columns(df: DataFrame, suffix: str = "id", exclude: tuple[str, ...] = ()) -> list[str]:
+    """Columns whose name ends with ``suffix``, ignoring case, minus
+    ``exclude`` (also case-insensitive). The suffix rule also catches names
+    like ``Paid`` or ``Valid``; list such columns in ``exclude``."""
     s = suffix.lower()
-    return [c for c in df.columns if c.lower().endswith(s)]
+    skip = {e.lower() for e in exclude}
+    return [c for c in df.columns if c.lower().endswith(s) and c.lower() not in skip]
 
 
-def cast_ids_by_suffix(df: DataFrame, suffix: str = "id") -> DataFrame:
+def cast_ids_by_suffix(df: DataFrame, suffix: str = "id", exclude: tuple[str, ...] = ()) -> DataFrame:
     """Cast every column named ``*<suffix>`` (any case) to bigint; see
     ``to_bigint`` for fractions, NaN and NULL. Other columns pass through."""
-    ids = set(id_columns(df, suffix))
+    ids = set(id_columns(df, suffix, exclude))
     return df.select(*[to_bigint(c).alias(c) if c in ids else F.col(c) for c in df.columns])
 
 

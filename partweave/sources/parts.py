@@ -63,9 +63,10 @@ def check_part_schemas(spark: SparkSession, paths: Sequence[str]) -> T.StructTyp
     return first_schema
 
 
-def land(df: DataFrame, id_suffix: str = "id") -> DataFrame:
-    """A landed table: every ``*<id_suffix>`` column as bigint."""
-    return cast_ids_by_suffix(df, id_suffix)
+def land(df: DataFrame, id_suffix: str = "id", exclude: tuple[str, ...] = ()) -> DataFrame:
+    """A landed table: every ``*<id_suffix>`` column (except ``exclude``) as
+    bigint."""
+    return cast_ids_by_suffix(df, id_suffix, exclude)
 
 
 def write_parts(df: DataFrame, path: str, part: str = "part", mode: str = "errorifexists") -> None:

@@ -84,3 +84,10 @@ def test_profile_by_group_matches_duckdb(spark, duck):
         ).fetchall()
     }
     assert got == want
+
+
+def test_suffix_rule_catches_paid_unless_excluded(spark):
+    df = spark.createDataFrame([(1.0, 12.5)], "PatID double, Paid double")
+    assert id_columns(df) == ["PatID", "Paid"]
+    out = cast_ids_by_suffix(df, exclude=("paid",))
+    assert dict(out.dtypes) == {"PatID": "bigint", "Paid": "double"}
