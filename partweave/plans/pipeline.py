@@ -59,8 +59,18 @@ class Pipeline:
         self._keymaps: dict[str, DataFrame] = {}
         self._rows: dict[str, int] = {}
         self._rewritten: dict[str, DataFrame] = {}
+        self._checked: set[str] = set()
 
     # -- stages ---------------------------------------------------------
+    def source(self, table: str) -> DataFrame:
+        """The input table, its part and key columns checked on first use
+        (a lazy input is only built when a result needs it)."""
+        df = self.raw[table]
+        if table not in self._checked:
+            _check_columns(table, df, self.raw, self.reg)
+            self._checked.add(table)
+        return df
+
     def rebased(self, owner: str) -> DataFrame:
         """Owner with ``Orig<id>`` and a new dense ``<id>``, from raw rows."""
         if owner not in self._rebased:
@@ -70,7 +80,7 @@ class Pipeline:
     def _assign(self, owner: str):
         stats: dict = {}
         rb, km = assign_ids(
-            self.raw[owner], self.reg.owners[owner], self.part, self.method, self.on_duplicates,
+            self.source(owner), self.reg.owners[owner], self.part, self.method, self.on_duplicates,
             stats=stats, broadcast_max_bytes=self.broadcast_max_bytes,
         )
         return rb, km, stats
@@ -109,13 +119,13 @@ class Pipeline:
         if not self.number_owners_together or self.method != "two_pass" or self.on_duplicates != "fail":
             return False
         types = {
-            (self.raw[o].schema[self.part].dataType.simpleString(), self.raw[o].schema[self.reg.owners[o]].dataType.simpleString())
+            (self.source(o).schema[self.part].dataType.simpleString(), self.source(o).schema[self.reg.owners[o]].dataType.simpleString())
             for o in todo
         }
         if len(types) != 1:
             return False
         done = assign_ids_many(
-            {o: (self.raw[o], self.reg.owners[o]) for o in todo}, self.part, broadcast_max_bytes=self.broadcast_max_bytes
+            {o: (self.source(o), self.reg.owners[o]) for o in todo}, self.part, broadcast_max_bytes=self.broadcast_max_bytes
         )
         for o, (rb, km, rows) in done.items():
             self._keep(o, rb, km, {"rows": rows})
@@ -148,7 +158,7 @@ class Pipeline:
         if table in self._rewritten:
             return self._rewritten[table]
         self.rebase_owners(sorted(self._owners_needed(table)))
-        cur = self.rebased(table) if table in self.reg.owners else self.raw[table]
+        cur = self.rebased(table) if table in self.reg.owners else self.source(table)
         keys = [k for k in self.reg.keys_of(table) if self.reg.owner_of(k) in self.raw]
         for k in keys:
             km = self.key_map(k)
@@ -166,7 +176,7 @@ class Pipeline:
     def orphans(self, table: str, id_col: str) -> DataFrame:
         """Rows of ``table`` (before its rewrites) that the ``id_col`` rewrite
         drops."""
-        src = self.rebased(table) if table in self.reg.owners else self.raw[table]
+        src = self.rebased(table) if table in self.reg.owners else self.source(table)
         return orphans(src, self.key_map(id_col), id_col, self.part)
 
     def audit(self) -> DataFrame:
@@ -179,7 +189,7 @@ class Pipeline:
         for fk in self.reg.foreign_keys:
             if fk.child not in self.raw or fk.owner not in self.raw:
                 continue
-            src = self.rebased(fk.child) if fk.child in self.reg.owners else self.raw[fk.child]
+            src = self.rebased(fk.child) if fk.child in self.reg.owners else self.source(fk.child)
             km = self.key_map(fk.id_col).select(
                 self.part, F.col(orig_name(fk.id_col)).alias(fk.id_col), F.lit(True).alias("_hit")
             )
@@ -215,6 +225,19 @@ class Pipeline:
         return paths
 
 
+def _check_columns(t: str, df: DataFrame, tables: Mapping[str, DataFrame], reg: Registry) -> None:
+    """Fail early, naming the table, when a part or key column is missing
+    (names compared without regard to case, as Spark resolves them)."""
+    needed = [reg.part]
+    if t in reg.owners:
+        needed.append(reg.owners[t])
+    needed += [fk.id_col for fk in reg.foreign_keys if fk.child == t and fk.owner in tables]
+    have = {c.lower() for c in df.columns}
+    missing = [c for c in needed if c.lower() not in have]
+    if missing:
+        raise KeyError(f"table {t!r} lacks column(s) {missing}")
+
+
 def run(tables: dict[str, DataFrame], registry: Registry = CLAIMS, out_dir: str | None = None, **kw) -> dict[str, DataFrame]:
     """Rebase, rewrite and bind every table; write them if ``out_dir`` is given."""
     p = Pipeline(tables, registry, **kw)

@@ -152,3 +152,13 @@ def test_pipeline_with_owners_numbered_together(spark, sf001):
     a = Pipeline(fixture(spark, sf001).tables(), number_owners_together=True).output("diagnosis")
     b = pipeline(spark, sf001).output("diagnosis")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_missing_key_column_is_named_up_front(spark):
+    demo = spark.createDataFrame([(1, 1)], "part long, PatID long")
+    enr = spark.createDataFrame([(1, "Y")], "part long, MedCov string")
+    with pytest.raises(KeyError, match="enrollment.*PatID"):
+        Pipeline({"demographic": demo, "enrollment": enr}).output("enrollment")
+    no_part = spark.createDataFrame([(1,)], "PatID long")
+    with pytest.raises(KeyError, match="demographic.*part"):
+        Pipeline({"demographic": no_part}).output("demographic")
