@@ -77,11 +77,11 @@ class Pipeline:
             self._keep(owner, *self._assign(owner))
         return self._rebased[owner]
 
-    def _assign(self, owner: str):
+    def _assign(self, owner: str, src: DataFrame | None = None):
         stats: dict = {}
         rb, km = assign_ids(
-            self.source(owner), self.reg.owners[owner], self.part, self.method, self.on_duplicates,
-            stats=stats, broadcast_max_bytes=self.broadcast_max_bytes,
+            self.source(owner) if src is None else src, self.reg.owners[owner], self.part, self.method,
+            self.on_duplicates, stats=stats, broadcast_max_bytes=self.broadcast_max_bytes,
         )
         return rb, km, stats
 
@@ -104,8 +104,11 @@ class Pipeline:
             for o in todo:
                 self.rebased(o)
             return
+        # Inputs are resolved here, one after another: a lazy input shared by
+        # two owners is built once, not raced for by two threads.
+        srcs = [self.source(o) for o in todo]
         with ThreadPoolExecutor(max_workers=min(self.parallel_jobs, len(todo))) as ex:
-            done = list(ex.map(self._assign, todo))
+            done = list(ex.map(self._assign, todo, srcs))
         for o, (rb, km, stats) in zip(todo, done):
             self._keep(o, rb, km, stats)
 
