@@ -28,13 +28,15 @@ def read_parts(
     layout: str = "partitioned",
     pattern: str = PART_FILE_PATTERN,
     schema: T.StructType | None = None,
+    check_schemas: bool = True,
 ) -> DataFrame:
     """All parts of one table as one DataFrame with a ``part`` column.
 
     ``layout='partitioned'``: ``<path>/part=NN/*.parquet`` - partition
     discovery, and a filter on ``part`` prunes whole directories.
     ``layout='flat'``: files named like ``<table>-<i>-snappy.parquet`` - the
-    part is read from each file's name (a data filter, not a pruning one).
+    part is read from each file's name (a data filter, not a pruning one);
+    the files' schemas must agree (``check_schemas``).
     """
     paths = [path] if isinstance(path, str) else list(path)
     r = spark.read.schema(schema) if schema is not None else spark.read
@@ -44,6 +46,10 @@ def read_parts(
             raise ValueError(f"no {part}=NN directories under {paths}")
         return df.withColumn(part, F.col(part).cast("long"))
     if layout == "flat":
+        if check_schemas and schema is None and len(paths) > 1:
+            # Parts are bound by position downstream: refuse drifting schemas
+            # (footers only, no data read).
+            check_part_schemas(spark, paths)
         df = r.parquet(*paths)
         return df.withColumn(part, part_from_file_name(pattern))
     raise ValueError("layout must be 'partitioned' or 'flat'")

@@ -107,3 +107,16 @@ def test_csv_parts_by_spark_reader(spark, tmp_path):
     got = sorted((r.part, r.PatID, r.Source) for r in df.collect())
     assert got == [(1, 0, "s1"), (1, 1, "s1"), (12, 0, "s12"), (12, 1, "s12"), (12, 2, "s12")]
     assert dict(df.dtypes)["PatID"] == "bigint"
+
+
+def test_flat_parts_with_drifting_schema_are_refused(spark, tmp_path):
+    import os
+
+    for i, ddl, row in ((1, "PatID double, s string", (1.0, "a")), (2, "s string, PatID double", ("b", 2.0))):
+        stage_dir = tmp_path / f"stage{i}"
+        spark.createDataFrame([row], ddl).coalesce(1).write.parquet(str(stage_dir))
+        [f] = [x for x in os.listdir(stage_dir) if x.endswith(".parquet")]
+        os.link(stage_dir / f, tmp_path / f"t-{i}-snappy.parquet")
+    paths = [str(tmp_path / f"t-{i}-snappy.parquet") for i in (1, 2)]
+    with pytest.raises(SchemaMismatch):
+        read_parts(spark, paths, layout="flat")
