@@ -162,3 +162,16 @@ def test_missing_key_column_is_named_up_front(spark):
     no_part = spark.createDataFrame([(1,)], "PatID long")
     with pytest.raises(KeyError, match="demographic.*part"):
         Pipeline({"demographic": no_part}).output("demographic")
+
+
+def test_audit_rows_in_equal_rows_out_plus_orphans(spark, sf001):
+    p = pipeline(spark, sf001)
+    audit = {(r.table_name, r.id_col): (r.rows_in, r.orphans) for r in p.audit().collect()}
+    assert len(audit) == 12
+    for t in ("death", "enrollment"):  # one key each: exact balance
+        rows_in, orph = audit[(t, "PatID")]
+        assert rows_in - orph == p.output(t).count()
+    enc_out = p.output("encounter").count()
+    for k in ("PatID", "FacilityID"):
+        rows_in, orph = audit[("encounter", k)]
+        assert enc_out <= rows_in - orph
