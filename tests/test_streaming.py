@@ -1,6 +1,7 @@
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from partweave.session import new_stage_path
 from partweave.streaming.landing import land_stream, part_row_counts, read_part_stream
@@ -18,10 +19,7 @@ def test_land_stream_incremental_and_exactly_once(spark, tmp_path):
     src.mkdir()
     out = str(tmp_path / "out")
     ckpt = str(tmp_path / "ckpt")
-    schema = "PatID double, s string"
-    from pyspark.sql.types import _parse_datatype_string
-
-    st = _parse_datatype_string(schema)
+    st = StructType.fromDDL("PatID double, s string")
     _drop_part(spark, str(src), "enrollment", 1, 5)
     _drop_part(spark, str(src), "enrollment", 12, 3)
     q = land_stream(spark, str(src), out, st, checkpoint=ckpt)
@@ -38,9 +36,7 @@ def test_land_stream_incremental_and_exactly_once(spark, tmp_path):
 def test_part_row_counts_stateful(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
-    from pyspark.sql.types import _parse_datatype_string
-
-    st = _parse_datatype_string("PatID double, s string")
+    st = StructType.fromDDL("PatID double, s string")
     _drop_part(spark, str(src), "demographic", 3, 7)
     _drop_part(spark, str(src), "demographic", 4, 2)
     counts = part_row_counts(read_part_stream(spark, str(src), st, max_files_per_trigger=1))
