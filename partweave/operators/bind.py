@@ -37,7 +37,12 @@ def bind(df: DataFrame, part: str = "part", columns: Sequence[str] | None = None
     return out.select(*columns) if columns else out
 
 
-def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_table(df: DataFrame, path: str, mode: str = "errorifexists", max_records_per_file: int | None = None) -> None:
     """Snappy Parquet. Write each run to a new path: overwriting a path the
-    plan still reads from deletes its own input."""
-    df.write.mode(mode).option("compression", "snappy").parquet(path)
+    plan still reads from deletes its own input. ``max_records_per_file``
+    caps file size when a task writes many rows (files are split, no row is
+    dropped)."""
+    w = df.write.mode(mode).option("compression", "snappy")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    w.parquet(path)

@@ -218,13 +218,13 @@ class Pipeline:
     def outputs(self) -> dict[str, DataFrame]:
         return {t: self.output(t) for t in self.reg.tables if t in self.raw}
 
-    def write(self, out_dir: str) -> dict[str, str]:
+    def write(self, out_dir: str, max_records_per_file: int | None = None) -> dict[str, str]:
         """Write every output as Snappy Parquet to ``out_dir/<table>`` (a new
         directory per run)."""
         outs = self.outputs()
         paths = {t: f"{out_dir.rstrip('/')}/{t}" for t in outs}
         with ThreadPoolExecutor(max_workers=self.parallel_jobs) as ex:
-            list(ex.map(lambda t: write_table(outs[t], paths[t]), outs))
+            list(ex.map(lambda t: write_table(outs[t], paths[t], max_records_per_file=max_records_per_file), outs))
         return paths
 
 

@@ -120,3 +120,14 @@ def test_flat_parts_with_drifting_schema_are_refused(spark, tmp_path):
     paths = [str(tmp_path / f"t-{i}-snappy.parquet") for i in (1, 2)]
     with pytest.raises(SchemaMismatch):
         read_parts(spark, paths, layout="flat")
+
+
+def test_max_records_per_file_splits_files_not_rows(spark, tmp_path):
+    import os
+
+    from partweave.operators.bind import write_table
+
+    path = str(tmp_path / "capped")
+    write_table(spark.range(100).coalesce(1), path, max_records_per_file=30)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) == 4 and spark.read.parquet(path).count() == 100
