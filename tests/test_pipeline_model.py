@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from partweave.plans.pipeline import Pipeline
 
 
-def _model(demo, fac, enc, dx):
+def _model(demo, fac, enc, dx, how="inner"):
     """Reference semantics: new ID = rank over (part, old id), NULLs last;
     each rewrite an inner join on (part, old id); encounter keys rewritten
     before its IDs are used (the cascade)."""
@@ -31,18 +31,28 @@ def _model(demo, fac, enc, dx):
     kd, kf = keymap(d, "PatID"), keymap(f, "FacilityID")
 
     def rewrite(child, col, km):
-        m = child.dropna(subset=[col]).merge(km, left_on=["part", col], right_on=["part", "_old"], how="inner")
-        return m.drop(columns=[col, "_old"]).rename(columns={"_new": col})
+        # NULL keys never match (SQL semantics; pandas would pair NULL with NULL)
+        keyed, nulls = child.dropna(subset=[col]), child[child[col].isna()]
+        m = keyed.merge(km, left_on=["part", col], right_on=["part", "_old"], how=how)
+        m = m.drop(columns=[col, "_old"]).rename(columns={"_new": col})
+        if how == "left" and len(nulls):
+            m = pd.concat([m, nulls.assign(**{col: pd.NA})], ignore_index=True)
+        return m
 
     e2 = rewrite(rewrite(e, "PatID", kd), "FacilityID", kf)
     ke = keymap(e2, "EncounterID")
     x = rewrite(rewrite(dx, "PatID", kd), "EncounterID", ke)
-    return sorted(map(tuple, x[["EncounterID", "PatID", "code"]].astype(object).values.tolist()))
+    out = x[["EncounterID", "PatID", "code"]].astype(object).where(x[["EncounterID", "PatID", "code"]].notna(), None)
+    return sorted(map(tuple, out.values.tolist()), key=_order)
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck), phases=[Phase.explicit, Phase.generate])
-@given(seed=st.integers(0, 10_000), n_parts=st.integers(1, 3))
-def test_integration_matches_model(spark, seed, n_parts):
+def _order(t):
+    return tuple((v is None, v if v is not None else 0) for v in t)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck), phases=[Phase.explicit, Phase.generate])
+@given(seed=st.integers(0, 10_000), n_parts=st.integers(1, 3), how=st.sampled_from(["inner", "left"]))
+def test_integration_matches_model(spark, seed, n_parts, how):
     rnd = random.Random(seed)
     demo, fac, enc, dx = [], [], [], []
     for p in range(1, n_parts + 1):
@@ -65,7 +75,7 @@ def test_integration_matches_model(spark, seed, n_parts):
     }
     sdf = {k: spark.createDataFrame(rows, ddl) for k, (ddl, _, rows) in cols.items()}
     pdf = {k: pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in names if c not in ("Sex", "code")}) for k, (_, names, rows) in cols.items()}
-    p = Pipeline({"demographic": sdf["demo"], "facility": sdf["fac"], "encounter": sdf["enc"], "diagnosis": sdf["dx"]})
-    got = sorted((r.EncounterID, r.PatID, r.code) for r in p.output("diagnosis").collect())
-    want = _model(pdf["demo"], pdf["fac"], pdf["enc"], pdf["dx"])
+    p = Pipeline({"demographic": sdf["demo"], "facility": sdf["fac"], "encounter": sdf["enc"], "diagnosis": sdf["dx"]}, how=how)
+    got = sorted(((r.EncounterID, r.PatID, r.code) for r in p.output("diagnosis").collect()), key=_order)
+    want = _model(pdf["demo"], pdf["fac"], pdf["enc"], pdf["dx"], how)
     assert got == want
