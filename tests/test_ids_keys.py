@@ -76,14 +76,15 @@ def test_rewrite_left_keeps_orphans_with_null(owner, child):
     assert out["orphan"] is None and out["null"] is None and out["x1"] == 1
 
 
-def test_hot_key_split_matches_plain_join(spark, owner):
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_key_split_matches_plain_join(spark, owner, how):
     hot = spark.range(0, 500).select(F.lit(1).cast("long").alias("part"), F.lit(10).cast("long").alias("PatID"), F.col("id").cast("string").alias("what"))
-    cold = spark.createDataFrame([(2, 13, "c"), (2, 77, "orphan")], "part long, PatID long, what string")
+    cold = spark.createDataFrame([(2, 13, "c"), (2, 77, "orphan"), (2, None, "null")], "part long, PatID long, what string")
     ch = hot.unionByName(cold)
     km = key_map(rebase_ids(owner, "PatID"), "PatID")
-    a = rewrite_fk(ch, km, "PatID", broadcast="never")
-    b = rewrite_fk(ch, km, "PatID", broadcast="never", hot_key_rows=100)
-    assert a.count() == 501
+    a = rewrite_fk(ch, km, "PatID", how=how, broadcast="never")
+    b = rewrite_fk(ch, km, "PatID", how=how, broadcast="never", hot_key_rows=100)
+    assert a.count() == (501 if how == "inner" else 503)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
