@@ -81,7 +81,12 @@ def profile_column(
     vals = df.select(*by, c.alias("_v")).where(F.col("_v").isNotNull())
     sizes = group_sizes(vals, by) if by else None
     stats: dict = {}
-    ranked = number_rows(vals, ["_v"], "_rk", restart_by=by, stats=stats)
+    # Equal values share a range partition, so a value held by a third of the
+    # rows would land in one task. Ties may come in any order for quantiles:
+    # a per-row tiebreaker lets the range partitioner split such a value.
+    # (The ranks are staged, so a recomputation cannot reorder them.)
+    tied = vals.withColumn("_tb", F.monotonically_increasing_id())
+    ranked = number_rows(tied, ["_v", "_tb"], "_rk", restart_by=by, stats=stats)
     if not by:
         sizes = {(): stats["rows"]}
     if sizes is None:

@@ -91,3 +91,31 @@ def test_suffix_rule_catches_paid_unless_excluded(spark):
     assert id_columns(df) == ["PatID", "Paid"]
     out = cast_ids_by_suffix(df, exclude=("paid",))
     assert dict(out.dtypes) == {"PatID": "bigint", "Paid": "double"}
+
+
+def test_profile_quantiles_split_a_hot_value(spark, duck, monkeypatch):
+    """90% of rows share one value: still exact, and the ranking spreads that
+    value over several range partitions instead of one task."""
+    import partweave.operators.numbering as N
+
+    sizes = []
+    real = N.stage
+
+    def spy(df, tag):
+        out = real(df, tag)
+        if tag == "numbering":
+            sizes.extend(r["count"] for r in out.groupBy(N.PID).count().collect())
+        return out
+
+    monkeypatch.setattr(N, "stage", spy)
+    df = spark.range(0, 4000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(7)).alias("x"))
+    # keep the range partitions visible: AQE would merge such small ones
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        p = profile_column(df.repartition(8), "x").first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    duck.execute("CREATE OR REPLACE TABLE hv AS SELECT CASE WHEN i % 10 = 0 THEN i ELSE 7 END AS x FROM range(4000) t(i)")
+    want = duck.execute("SELECT quantile_cont(x, 0.25), quantile_cont(x, 0.5), quantile_cont(x, 0.75) FROM hv").fetchone()
+    assert (p.q25, p.q50, p.q75) == tuple(want)
+    assert max(sizes) < 0.5 * 4000
