@@ -13,6 +13,7 @@ from .numbering import DuplicateKeys, group_sizes, number_rows, sort_keys
 
 
 _ROW_HASH = "_pw_row_hash"
+_ROW_ID = "_pw_row_id"
 # Owners with more columns than this besides part and id are numbered
 # through their keys only (see assign_ids).
 KEYS_ONLY_MIN_EXTRA_COLUMNS = 4
@@ -175,10 +176,16 @@ def _rebase_full_rows(df, id_col, part, method, on_duplicates, num_partitions, s
     if method == "two_pass":
         if on_duplicates == "keep":
             # Repeated keys: break the tie by a hash of the whole row, so a
-            # re-run gives every copy the same ID again.
-            hashed = renamed.withColumn(_ROW_HASH, F.xxhash64(*renamed.columns))
-            out = number_rows(hashed, [part, orig, _ROW_HASH], id_col, num_partitions=num_partitions, stats=stats)
-            return out.drop(_ROW_HASH)
+            # re-run gives every distinct copy the same ID again; then by a row
+            # id, so even a hot group of identical rows can be split across
+            # range partitions (identical rows are interchangeable).
+            hashed = renamed.withColumn(_ROW_HASH, F.xxhash64(*renamed.columns)).withColumn(
+                _ROW_ID, F.monotonically_increasing_id()
+            )
+            out = number_rows(
+                hashed, [part, orig, _ROW_HASH, _ROW_ID], id_col, num_partitions=num_partitions, stats=stats
+            )
+            return out.drop(_ROW_HASH, _ROW_ID)
         try:
             return number_rows(renamed, [part, orig], id_col, num_partitions=num_partitions, on_ties="fail", stats=stats)
         except DuplicateKeys as e:
