@@ -4,6 +4,7 @@ random overlapping parts with NULL and orphan keys (hypothesis)."""
 import random
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
@@ -50,6 +51,7 @@ def _order(t):
     return tuple((v is None, v if v is not None else 0) for v in t)
 
 
+@pytest.mark.filterwarnings("ignore:The behavior of DataFrame concatenation:FutureWarning")
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck), phases=[Phase.explicit, Phase.generate])
 @given(seed=st.integers(0, 10_000), n_parts=st.integers(1, 3), how=st.sampled_from(["inner", "left"]))
 def test_integration_matches_model(spark, seed, n_parts, how):
