@@ -167,13 +167,14 @@ class SasPartsReader(DataSourceReader):
                 raise ValueError(f"{partition.uri} lacks columns {sorted(missing)}")
             chunk = chunk[data_cols].copy()
             for f in self.schema.fields:
-                if f.name == "part":
+                if f.name == "part" or not isinstance(f.dataType, StringType):
                     continue
-                if isinstance(f.dataType, StringType):
-                    col = chunk[f.name]
-                    chunk[f.name] = col.map(
-                        lambda v: v.decode(self.encoding or "utf-8") if isinstance(v, bytes) else v
-                    ).where(col.notna(), None)
+                col = chunk[f.name]
+                sample = col.dropna().head(1)
+                # Text comes back as bytes when no encoding was given: decode
+                # the column at once (not per cell), and only then.
+                if len(sample) and isinstance(sample.iloc[0], bytes):
+                    chunk[f.name] = col.str.decode(self.encoding or "utf-8")
             chunk["part"] = partition.part
             yield pa.RecordBatch.from_pandas(chunk, schema=arrow_schema, preserve_index=False)
 

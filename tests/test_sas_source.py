@@ -69,3 +69,13 @@ def test_real_xport_parts_through_the_sas_decoder(spark, tmp_path):
         (12, 7, 70, "Z", 3.0),
         (12, 8, 80, "", 0.0),
     ]
+
+
+def test_xport_text_without_encoding_is_decoded(spark, tmp_path):
+    from tests.xport_writer import write_xport
+
+    write_xport(str(tmp_path / "death_1.xpt"), "DEATH", [("PatID", "num", 8), ("Src", "char", 4)], [(1.0, "ab"), (2.0, None)])
+    register(spark)
+    df = spark.read.format("sasparts").option("path", str(tmp_path)).option("table", "death").option("format", "xport").load()
+    got = sorted((r.PatID, r.Src) for r in land(df).collect())
+    assert got == [(1, "ab"), (2, "")]
