@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.bind import bind, union_parts
 from ..operators.columns import cast_ids_by_suffix, rename_orig
@@ -23,6 +24,7 @@ from ..operators.rollups import code_year_rollup, coverage_count
 from ..session import new_stage_path, stage
 from ..sources.csv import csv_view, read_csv, write_csv
 from ..sources.parts import land, read_parts, write_parts
+from ..streaming.landing import land_stream
 from .fixtures import fixture, read_table
 from .pipeline import Pipeline
 
@@ -273,6 +275,20 @@ def q_land_parts(spark, d):
     return land(read_parts(spark, path)).select("part", "PatID", "MedCov", "DrugCov")
 
 
+def q_land_parts_stream(spark, d):
+    """The same landing as a Structured Streaming query: part folders picked
+    up by the file source, IDs cast, appended exactly-once to a partitioned
+    table; run to completion (availableNow), then read back."""
+    raw = fixture(spark, d).enroll_src.withColumn("PatID", F.col("PatID").cast("double"))
+    src = new_stage_path(spark, "stream-src-enrollment")
+    out = new_stage_path(spark, "stream-out-enrollment")
+    write_parts(raw, src)
+    schema = T.StructType([f for f in raw.schema.fields if f.name != "part"])
+    q = land_stream(spark, src, out, schema, layout="partitioned")
+    q.awaitTermination()
+    return read_parts(spark, out).select("part", "PatID", "MedCov", "DrugCov")
+
+
 def q_scan_table_sql(spark, d):
     return spark.sql(f"SELECT * FROM parquet.`{d.rstrip('/')}/region.parquet`")
 
@@ -415,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "part_inventory": q_part_inventory,
     "px_code_year_after_rebase": q_px_code_year_after_rebase,
     "rewrite_audit": q_rewrite_audit,
+    "land_parts_stream": q_land_parts_stream,
 }
 
 
@@ -576,6 +593,7 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["code_year_rollup_sql"] = ORACLES["code_year_rollup"]
 ORACLES["code_year_rollup_csv"] = ORACLES["code_year_rollup"]
+ORACLES["land_parts_stream"] = ORACLES["land_parts"]
 ORACLES.update(
     {
         "scan_table_sql": "SELECT * FROM region",

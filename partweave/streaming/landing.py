@@ -28,13 +28,25 @@ def read_part_stream(
     schema: T.StructType,
     pattern: str = PART_FILE_PATTERN,
     max_files_per_trigger: int | None = None,
+    layout: str = "flat",
 ) -> DataFrame:
     """Streaming DataFrame of every part file landing in ``source_dir``,
-    with its ``part`` column. File sources need a declared schema."""
+    with its ``part`` column. File sources need a declared schema.
+
+    ``layout='flat'``: ``<table>-<i>-snappy.parquet`` files, part from the
+    name. ``'partitioned'``: ``part=NN/`` folders, found by the source's
+    partition discovery (``part`` is added to the schema)."""
+    if layout == "partitioned" and "part" not in schema.fieldNames():
+        schema = T.StructType(schema.fields + [T.StructField("part", T.LongType(), True)])
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(source_dir).withColumn("part", part_from_file_name(pattern))
+    df = r.parquet(source_dir)
+    if layout == "flat":
+        return df.withColumn("part", part_from_file_name(pattern))
+    if layout == "partitioned":
+        return df
+    raise ValueError("layout must be 'flat' or 'partitioned'")
 
 
 def land_stream(
@@ -47,11 +59,12 @@ def land_stream(
     pattern: str = PART_FILE_PATTERN,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    layout: str = "flat",
 ) -> StreamingQuery:
     """Start the landing query. ``available_now`` lands what is there and stops
     (a scheduled batch); otherwise it keeps watching. The checkpoint defaults
     to a fresh folder under ``spark.checkpoint.dir``."""
-    src = read_part_stream(spark, source_dir, schema, pattern, max_files_per_trigger)
+    src = read_part_stream(spark, source_dir, schema, pattern, max_files_per_trigger, layout)
     landed = cast_ids_by_suffix(src, id_suffix)
     w = (
         landed.writeStream.format("parquet")
