@@ -23,7 +23,7 @@ from ..operators.broadcast import DEFAULT_MAX_BYTES, max_rows_for
 from ..operators.ids import assign_ids, assign_ids_many, key_map, orig_name
 from ..operators.keys import orphans, rewrite_fk
 from ..registry import CLAIMS, Registry
-from ..session import stage_counted
+from ..session import stage_bucketed, stage_counted
 
 
 class Pipeline:
@@ -60,6 +60,7 @@ class Pipeline:
         self._rows: dict[str, int] = {}
         self._rewritten: dict[str, DataFrame] = {}
         self._checked: set[str] = set()
+        self._bucketed: dict[str, DataFrame] = {}
 
     # -- stages ---------------------------------------------------------
     def source(self, table: str) -> DataFrame:
@@ -148,8 +149,28 @@ class Pipeline:
         owner = self.reg.owner_of(id_col)
         self.rebased(owner)
         if owner in self._keymaps:
-            return self._keymaps[owner]
-        return key_map(self.rewritten(owner), id_col, self.part)
+            km = self._keymaps[owner]
+        else:
+            km = key_map(self.rewritten(owner), id_col, self.part)
+        return self._co_located(id_col, km)
+
+    def _co_located(self, id_col: str, km: DataFrame) -> DataFrame:
+        """A key map too big to broadcast, joined by two or more children,
+        is written once bucketed and sorted on (part, Orig<id>): every later
+        sort-merge join shuffles only the child."""
+        rows = self.key_map_rows(id_col)
+        if (
+            self.broadcast == "never"
+            or rows is None
+            or rows <= max_rows_for(km, self.broadcast_max_bytes)
+            or len([c for c in self.reg.children_of(id_col) if c in self.raw]) < 2
+        ):
+            return km
+        if id_col not in self._bucketed:
+            self._bucketed[id_col] = stage_bucketed(
+                km.select(self.part, orig_name(id_col), id_col), [self.part, orig_name(id_col)], f"keymap-{id_col}"
+            )
+        return self._bucketed[id_col]
 
     def key_map_rows(self, id_col: str) -> int | None:
         """Row count of a key map when already known (owners that are not

@@ -71,3 +71,23 @@ def test_no_numbering_in_a_full_run_shuffles_twice(spark, sf001, monkeypatch):
         df.count()
     profile_column(p.rebased("demographic"), "PatID", by=["part"]).collect()
     assert len(above) >= 5 and all(a == [] for a in above), above
+
+
+def test_big_key_map_is_bucketed_once_and_not_reshuffled(spark, sf001):
+    """A key map over the broadcast budget, used by several children, is
+    staged bucketed on (part, Orig<id>): the child join shuffles the child
+    only, and results equal the broadcast plan's."""
+    from partweave.plans.fixtures import Fixture
+    from partweave.plans.pipeline import Pipeline
+
+    fx = Fixture(spark, sf001)
+    big = Pipeline(fx.tables(), broadcast_max_bytes=100)
+    ref = Pipeline(fx.tables())
+    a, b = big.output("enrollment"), ref.output("enrollment")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert "PatID" in big._bucketed
+    lines = _plan(a).splitlines()
+    smj = next(i for i, line in enumerate(lines) if "SortMergeJoin [part" in line)
+    scan = next(i for i, line in enumerate(lines) if "pw_keymap_patid" in line)
+    # nothing between the join and the bucketed key-map scan re-partitions it
+    assert not any("Exchange" in line for line in lines[smj + 1 : scan] if line.lstrip().startswith("+-"))
