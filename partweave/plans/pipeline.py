@@ -61,6 +61,7 @@ class Pipeline:
         self._rewritten: dict[str, DataFrame] = {}
         self._checked: set[str] = set()
         self._bucketed: dict[str, DataFrame] = {}
+        self._bucketed_names: list = []
 
     # -- stages ---------------------------------------------------------
     def source(self, table: str) -> DataFrame:
@@ -167,9 +168,11 @@ class Pipeline:
         ):
             return km
         if id_col not in self._bucketed:
-            self._bucketed[id_col] = stage_bucketed(
+            table, name = stage_bucketed(
                 km.select(self.part, orig_name(id_col), id_col), [self.part, orig_name(id_col)], f"keymap-{id_col}"
             )
+            self._bucketed[id_col] = table
+            self._bucketed_names.append((table.sparkSession, name))
         return self._bucketed[id_col]
 
     def key_map_rows(self, id_col: str) -> int | None:
@@ -239,6 +242,15 @@ class Pipeline:
     def outputs(self) -> dict[str, DataFrame]:
         return {t: self.output(t) for t in self.reg.tables if t in self.raw}
 
+    def close(self) -> None:
+        """Drop the catalog entries of bucketed key maps (their files stay
+        under the staging folder). Call once the outputs are written: later
+        reads of outputs that joined them would fail."""
+        for spark, name in self._bucketed_names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._bucketed.clear()
+        self._bucketed_names.clear()
+
     def write(self, out_dir: str, max_records_per_file: int | None = None) -> dict[str, str]:
         """Write every output as Snappy Parquet to ``out_dir/<table>`` (a new
         directory per run)."""

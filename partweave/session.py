@@ -107,15 +107,16 @@ def stage_counted(df: DataFrame, tag: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(path), int(obs.get["rows"])
 
 
-def stage_bucketed(df: DataFrame, keys: list[str], tag: str, buckets: int | None = None) -> DataFrame:
+def stage_bucketed(df: DataFrame, keys: list[str], tag: str, buckets: int | None = None) -> tuple[DataFrame, str]:
     """Stage ``df`` as a bucketed, sorted table on ``keys`` (files under the
     staging root, table in the session catalog). Sort-merge joins on exactly
     those keys then shuffle only the other side - each later join saves the
     shuffle and sort of this one. Buckets default to
-    ``spark.sql.shuffle.partitions`` so the planner keeps this side as is."""
+    ``spark.sql.shuffle.partitions`` so the planner keeps this side as is.
+    Returns the table and its catalog name (drop it when done)."""
     spark = df.sparkSession
     n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_stage_path(spark, tag)
     name = f"pw_{tag.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
     df.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name

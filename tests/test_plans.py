@@ -91,3 +91,6 @@ def test_big_key_map_is_bucketed_once_and_not_reshuffled(spark, sf001):
     scan = next(i for i, line in enumerate(lines) if "pw_keymap_patid" in line)
     # nothing between the join and the bucketed key-map scan re-partitions it
     assert not any("Exchange" in line for line in lines[smj + 1 : scan] if line.lstrip().startswith("+-"))
+    names = [n for _, n in big._bucketed_names]
+    big.close()
+    assert not [t for t in spark.catalog.listTables() if t.name in names]
