@@ -69,4 +69,7 @@ def integrate(
 ) -> dict[str, str]:
     """Rebase owners, rewrite keys, bind and write every landed table."""
     p = Pipeline(read_landing(spark, landing_dir, registry, tables), registry, **pipeline_options)
-    return p.write(out_dir)
+    try:
+        return p.write(out_dir)
+    finally:
+        p.close()
