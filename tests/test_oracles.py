@@ -41,4 +41,9 @@ def test_query_matches_oracle(spark, duck, sf001, name):
     o_cols = [d[0] for d in res.description]
     o_rows = res.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
+    from partweave.functions.types import SQL_TYPE_NAMES
+
+    s_types = {f.name: SQL_TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString().upper()) for f in df.schema.fields}
+    o_types = {d[0]: str(d[1]) for d in res.description}
+    assert s_types == o_types
     assert _rows(df.columns, s_rows) == _rows(o_cols, o_rows)
