@@ -2,6 +2,7 @@
 
   land       <source_dir> <landing_dir> [--format sas7bdat|xport|csv] [--tables t1,t2]
   integrate  <landing_dir> <out_dir> [--tables t1,t2] [--method two_pass|window] [--how inner|left]
+             [--broadcast-max-bytes N] [--hot-key-rows N] [--max-records-per-file N] [--parallel-jobs N]
   describe   <parquet_path>
   count      <parquet_path>
   rollup     <parquet_path> <code> <code_type> <date>
@@ -31,6 +32,10 @@ def main(argv=None) -> None:
     a.add_argument("--tables")
     a.add_argument("--method", default="two_pass")
     a.add_argument("--how", default="inner")
+    a.add_argument("--broadcast-max-bytes", type=int, help="budget for one broadcast key map")
+    a.add_argument("--hot-key-rows", type=int, help="split off keys with at least this many child rows")
+    a.add_argument("--max-records-per-file", type=int, help="cap rows per output file")
+    a.add_argument("--parallel-jobs", type=int, default=4, help="independent rebases / writes submitted at once")
     for name in ("describe", "count"):
         sub.add_parser(name).add_argument("path")
     a = sub.add_parser("rollup")
@@ -52,7 +57,15 @@ def main(argv=None) -> None:
         for t, p in land_tables(spark, args.source_dir, args.landing_dir, fmt=args.format, tables=tables).items():
             print(t, p)
     elif args.cmd == "integrate":
-        for t, p in integrate(spark, args.landing_dir, args.out_dir, tables=tables, method=args.method, how=args.how).items():
+        opts = {"method": args.method, "how": args.how, "parallel_jobs": args.parallel_jobs}
+        if args.broadcast_max_bytes:
+            opts["broadcast_max_bytes"] = args.broadcast_max_bytes
+        if args.hot_key_rows:
+            opts["hot_key_rows"] = args.hot_key_rows
+        written = integrate(
+            spark, args.landing_dir, args.out_dir, tables=tables, max_records_per_file=args.max_records_per_file, **opts
+        )
+        for t, p in written.items():
             print(t, p)
     elif args.cmd == "describe":
         describe_columns(spark.read.parquet(args.path)).show(1000, truncate=False)

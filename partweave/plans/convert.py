@@ -65,11 +65,12 @@ def integrate(
     out_dir: str,
     registry: Registry = CLAIMS,
     tables: Iterable[str] | None = None,
+    max_records_per_file: int | None = None,
     **pipeline_options,
 ) -> dict[str, str]:
     """Rebase owners, rewrite keys, bind and write every landed table."""
     p = Pipeline(read_landing(spark, landing_dir, registry, tables), registry, **pipeline_options)
     try:
-        return p.write(out_dir)
+        return p.write(out_dir, max_records_per_file=max_records_per_file)
     finally:
         p.close()

@@ -60,7 +60,10 @@ def test_cli_land_integrate_coverage(spark, sf001, tmp_path, capsys):
     src.mkdir()
     _write_extracts(spark, fixture(spark, sf001), str(src))
     main(["land", str(src), str(tmp_path / "landing"), "--format", "csv", "--tables", "demographic,enrollment"])
-    main(["integrate", str(tmp_path / "landing"), str(tmp_path / "out"), "--tables", "demographic,enrollment"])
+    main([
+        "integrate", str(tmp_path / "landing"), str(tmp_path / "out"), "--tables", "demographic,enrollment",
+        "--hot-key-rows", "50", "--max-records-per-file", "500", "--broadcast-max-bytes", "1000",
+    ])
     capsys.readouterr()
     main(["coverage", str(tmp_path / "out/demographic"), str(tmp_path / "out/enrollment"), "--by", "Sex,Race"])
     out = capsys.readouterr().out
