@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .line_dedup import line_counts
 from .near_dup import near_duplicates
 
 
@@ -17,13 +18,59 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = line_counts(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+_OP2_SQL = """
+WITH lines AS (
+  SELECT doc_id, i - 1 AS line_no, parts[i] AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+       unnest(range(1, len(parts) + 1)) AS t(i)),
+tok AS (
+  SELECT doc_id, line_no, line, list_sort(list_distinct(regexp_extract_all(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+'))) AS ts
+  FROM lines),
+cls AS (
+  SELECT ts, len(ts) AS n, min(struct_pack(d := doc_id, l := line_no)) AS f,
+         row_number() OVER (ORDER BY min(struct_pack(d := doc_id, l := line_no))) AS id
+  FROM tok WHERE len(ts) > 0 GROUP BY ts),
+w AS (SELECT id, n, unnest(ts) AS t FROM cls),
+df AS (SELECT t, count(*) AS c FROM w GROUP BY t),
+r AS (SELECT id, n, t, row_number() OVER (PARTITION BY id ORDER BY c, t) AS pos FROM w JOIN df USING (t)),
+pre AS (SELECT * FROM r WHERE pos <= n - (4 * n + 4) // 5 + 1),
+cand AS (
+  SELECT DISTINCT a.id AS x, b.id AS y FROM pre a JOIN pre b ON a.t = b.t
+  WHERE a.id < b.id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
+gone AS (
+  SELECT DISTINCT y FROM (
+    SELECT y, a.n AS na, b.n AS nb, len(list_intersect(a.ts, b.ts)) AS shared
+    FROM cand JOIN cls a ON a.id = x JOIN cls b ON b.id = y)
+  WHERE 100 * shared >= 80 * (na + nb - shared)),
+marked AS (
+  SELECT tok.doc_id, line_no, line,
+         cls.id IS NOT NULL AND (gone.y IS NOT NULL OR cls.f < struct_pack(d := tok.doc_id, l := line_no)) AS removed
+  FROM tok LEFT JOIN cls USING (ts) LEFT JOIN gone ON gone.y = cls.id),
+sums AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+         md5(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT removed), '')) AS text_md5
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, text_md5
+FROM documents d LEFT JOIN sums USING (doc_id)
+"""
+
+
 def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(_documents(spark, sf_dir), words=3, num=85, den=100)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op8_minhash_near_dup": op8_minhash_near_dup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": _OP2_SQL,
+}
