@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .langid import fit_languages, held_out, identify_languages
 from .line_dedup import line_counts
 from .near_dup import near_duplicates
 
@@ -61,6 +62,13 @@ FROM documents d LEFT JOIN sums USING (doc_id)
 """
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    unseen = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    model = fit_languages(docs, unseen)
+    return identify_languages(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+
+
 def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(_documents(spark, sf_dir), words=3, num=85, den=100)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
@@ -68,6 +76,7 @@ def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op6_language_id": op6_language_id,
     "op8_minhash_near_dup": op8_minhash_near_dup,
 }
 
