@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partweave.operators.broadcast import is_at_most
 from partweave.session import stage, stage_counted  # noqa: F401  (re-exported for the operators)
 
 U64 = np.uint64
@@ -83,6 +84,12 @@ def rows_of(column: pa.Array, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), width)
 
 
+def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
+    """A broadcast of ``df`` if it is found to have at most ``rows`` rows (the caller
+    knows their width), else ``df`` itself for a shuffle join."""
+    return F.broadcast(df) if is_at_most(df, rows) else df
+
+
 def fresh_name(taken: list[str], wanted: str) -> str:
     """``wanted``, with underscores in front until no column has that name (any case)."""
     low = {c.lower() for c in taken}

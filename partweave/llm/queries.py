@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .langid import fit_languages, held_out, identify_languages
 from .line_dedup import line_counts
+from .mixing import mix_sources
 from .near_dup import near_duplicates
 
 
@@ -19,6 +20,61 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, names = mix_sources(_documents(spark, sf_dir))
+    picked = [F.col(names[c]).alias(c) for c in ("tokens", "epoch", "block", "place")]
+    return out.select("doc_id", "source", *picked, F.round(F.col(names["weight"]), 6).alias("weight"))
+
+
+_OP1_SQL = """
+WITH RECURSIVE base AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) + 1 AS tokens,
+         md5('0|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS perm
+  FROM documents),
+sizes AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS tokens FROM base GROUP BY source),
+tot AS (SELECT CAST(sum(tokens) AS DOUBLE) AS t, count(*) AS k, min(tokens) AS low, max(tokens) AS high FROM sizes),
+p AS (SELECT tokens / t AS p FROM sizes, tot),
+flat(i, a, b) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, CASE WHEN h >= 0.9 * ln(k) THEN m ELSE a END, CASE WHEN h >= 0.9 * ln(k) THEN b ELSE m END
+  FROM (SELECT i, a, b, m, ln(sum(pow(p, m))) - m * sum(pow(p, m) * ln(p)) / sum(pow(p, m)) AS h
+        FROM (SELECT i, a, b, (a + b) / 2 AS m FROM flat WHERE i < 54), p GROUP BY i, a, b, m), tot),
+reps(i, a, b) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, CASE WHEN pow(high / low, 1 - (a + b) / 2) <= 4 THEN a ELSE (a + b) / 2 END,
+         CASE WHEN pow(high / low, 1 - (a + b) / 2) <= 4 THEN (a + b) / 2 ELSE b END
+  FROM reps, tot WHERE i < 54),
+mixed AS (
+  SELECT CASE WHEN low = high OR -(SELECT sum(p * ln(p)) FROM p) >= 0.9 * ln(k) THEN 1
+              ELSE (SELECT a FROM flat WHERE i = 54) END AS alpha, low, high FROM tot),
+exponent AS (
+  SELECT CASE WHEN pow(high / low, 1 - alpha) > 4 THEN (SELECT b FROM reps WHERE i = 54) ELSE alpha END AS alpha
+  FROM mixed),
+raw AS (SELECT source, tokens, pow(CAST(tokens AS DOUBLE), alpha) AS r FROM sizes, exponent),
+goals AS (
+  SELECT source, tokens AS every, r / (SELECT sum(r) FROM raw) AS weight,
+         greatest(tokens, CAST(round(r * (SELECT max(tokens / r) FROM raw)) AS BIGINT)) AS goal
+  FROM raw),
+run AS (SELECT greatest(1, ceil(sum(goal) / 262144)) AS blocks FROM goals),
+pos AS (
+  SELECT doc_id, b.source, tokens, perm, every, weight, goal,
+         CAST(sum(tokens) OVER (PARTITION BY b.source ORDER BY perm ROWS UNBOUNDED PRECEDING) AS BIGINT) - tokens AS start
+  FROM base b JOIN goals g ON b.source IS NOT DISTINCT FROM g.source),
+used AS (SELECT *, unnest(range(0, (goal - start - 1) // every + 1)) AS epoch FROM pos),
+placed AS (
+  SELECT doc_id, source, tokens, epoch, perm, weight,
+         CAST(least(floor(CAST(start + epoch * every AS DOUBLE) / CAST(goal AS DOUBLE) * CAST(blocks AS DOUBLE)),
+                    blocks - 1) AS BIGINT) AS block
+  FROM used, run)
+SELECT doc_id, source, CAST(tokens AS BIGINT) AS tokens, CAST(epoch AS INTEGER) AS epoch, block,
+       CAST(row_number() OVER (PARTITION BY block ORDER BY md5(block || '|' || epoch || '|' || perm)) AS INTEGER) AS place,
+       round(weight, 6) AS weight
+FROM placed
+"""
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = line_counts(_documents(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
@@ -75,11 +131,13 @@ def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
     "op2_line_dedup": op2_line_dedup,
     "op6_language_id": op6_language_id,
     "op8_minhash_near_dup": op8_minhash_near_dup,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_source_mixing": _OP1_SQL,
     "op2_line_dedup": _OP2_SQL,
 }
