@@ -14,6 +14,7 @@ from .langid import fit_languages, held_out, identify_languages
 from .line_dedup import line_counts
 from .mixing import mix_sources
 from .near_dup import near_duplicates
+from .packing import pack_documents
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +119,16 @@ FROM documents d LEFT JOIN sums USING (doc_id)
 """
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), vocabulary())
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     unseen = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
@@ -133,6 +144,7 @@ def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_line_dedup": op2_line_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op8_minhash_near_dup": op8_minhash_near_dup,
 }
