@@ -15,6 +15,7 @@ from .line_dedup import line_counts
 from .mixing import mix_sources
 from .near_dup import near_duplicates
 from .packing import pack_documents
+from .pii import KINDS, find_personal_data
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +120,24 @@ FROM documents d LEFT JOIN sums USING (doc_id)
 """
 
 
+def _joined(found: str, where: str = "true") -> str:
+    """SQL for kind:start:end of the spans in an array of structs, comma-joined in its order."""
+    spans = f"transform(filter({found}, x -> {where}), x -> concat_ws(':', x.kind, x.start, x.`end`))"
+    return f"array_join({spans}, ',')"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_documents(spark, sf_dir))
+    count = "cast(size(filter(found, x -> x.kind = '{}' and x.added = {})) as bigint)"
+    return found.select(
+        "doc_id",
+        *(F.expr(count.format(k, "false")).alias(f"n_{k}") for k in KINDS),
+        F.expr(f"sha2({_joined('found', 'not x.added')}, 256)").alias("base_sha256"),
+        F.expr(_joined("found")).alias("spans"),
+        *(F.expr(count.format(k, "true")).alias(f"added_{k}") for k in KINDS),
+    )
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -144,6 +163,7 @@ def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_line_dedup": op2_line_dedup,
+    "op3_pii": op3_pii,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op8_minhash_near_dup": op8_minhash_near_dup,
