@@ -4,7 +4,7 @@ Arrow columns from numpy arrays, connected components and row packing."""
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -84,6 +84,39 @@ def rows_of(column: pa.Array, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), width)
 
 
+RARITY_SIZE = 1 << 20
+COUNT_SCHEMA = "slice int, counts binary"
+_SLICE = 1 << 14
+
+
+def count_slices(counts: np.ndarray) -> pa.RecordBatch:
+    """A task's ``RARITY_SIZE`` counters as rows that can be dealt out and added up."""
+    rows = counts.astype("<u8").reshape(-1, _SLICE)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(len(rows), dtype=np.int32)), binary_rows(rows)], ["slice", "counts"]
+    )
+
+
+def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            total[i] = total.get(i, 0) + np.frombuffer(x, "<u8")
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
+        ["slice", "counts"],
+    )
+
+
+def rarity_of(counts: DataFrame) -> bytes:
+    """One byte, below 64, for each of ``RARITY_SIZE`` counters: twice the binary
+    logarithm of its sum over all tasks' ``count_slices``. Its size is the same at any input size."""
+    total = np.zeros(RARITY_SIZE, np.uint64)
+    for r in in_arrow(counts.repartition("slice"), _add_slices, COUNT_SCHEMA).collect():
+        total[r["slice"] * _SLICE : (r["slice"] + 1) * _SLICE] += np.frombuffer(r["counts"], "<u8")
+    return np.minimum(63, 2 * np.log2(total + 1.0)).astype(np.uint8).tobytes()
+
+
 def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast of ``df`` if it is found to have at most ``rows`` rows (the caller
     knows their width), else ``df`` itself for a shuffle join."""

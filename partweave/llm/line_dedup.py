@@ -5,7 +5,7 @@ A line is the set of its words. A line is removed when an earlier line, by
 that the earlier line may itself be removed doesn't matter.
 
 Words are ordered by rarity over the whole table: a fixed table of
-``2 ** RARITY_BITS`` counters, added up over all texts, ranks a word by its
+``RARITY_SIZE`` counters, added up over all texts, ranks a word by its
 counter (any one order common to all lines keeps the prefix filter exact, so
 words that share a counter cost time only). Two similar lines share a word
 among their first ``n - ceil(t * n) + 1`` words. Equal sets are one class, found
@@ -32,52 +32,43 @@ from pyspark.sql import functions as F
 
 from partweave.operators.broadcast import checked_broadcast, is_at_most
 
-from .common import U64, as_long, fresh_name, in_arrow, mix64, stage, stage_counted, word_hashes
+from .common import (
+    COUNT_SCHEMA,
+    RARITY_SIZE,
+    U64,
+    as_long,
+    count_slices,
+    fresh_name,
+    in_arrow,
+    mix64,
+    rarity_of,
+    stage,
+    stage_counted,
+    word_hashes,
+)
 
-RARITY_BITS = 20
 LISTED = 8
 BUCKET_ENTRIES = 300_000  # prefix entries a bucket should have
 BROADCAST_LINES = 2_000_000  # removed line numbers that may be broadcast: 16 MB
-_SLICE = 1 << 14
 _LINES = 4096  # lines worked on at a time: their index takes 12 bits of a sort key
 _WORD_BITS = 46
 _ENTRY = np.dtype([("word", "<u4"), ("n", "<u2"), ("pos", "u1"), ("sketch", "<u8"), ("doc", "<i8"), ("line", "<u4")])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << RARITY_BITS, np.uint64)
+    counts = np.zeros(RARITY_SIZE, np.uint64)
     for batch in batches:
         for text in batch.column(0).to_pylist():
             if text:
                 h = word_hashes(text.lower().split())
-                np.add.at(counts, (h & U64((1 << RARITY_BITS) - 1)).astype(np.int64), 1)
-    yield _slices({i: counts[i * _SLICE : (i + 1) * _SLICE] for i in range(len(counts) // _SLICE)})
-
-
-def _slices(found: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(found), pa.int32()), pa.array([x.astype("<u8").tobytes() for x in found.values()], pa.binary())],
-        ["slice", "counts"],
-    )
-
-
-def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            total[i] = total.get(i, 0) + np.frombuffer(x, "<u8")
-    yield _slices(total)
+                np.add.at(counts, (h % U64(RARITY_SIZE)).astype(np.int64), 1)
+    yield count_slices(counts)
 
 
 def rarity_classes(texts: DataFrame) -> bytes:
     """One byte for each counter: twice the binary logarithm of how often its
-    words occur in ``texts`` (one binary column). ``2 ** RARITY_BITS`` bytes at any input size."""
-    part = in_arrow(texts, _count_words, "slice int, counts binary")
-    sums = in_arrow(part.repartition("slice"), _add_slices, "slice int, counts binary").collect()
-    total = np.zeros(1 << RARITY_BITS, np.uint64)
-    for r in sums:
-        total[r["slice"] * _SLICE : (r["slice"] + 1) * _SLICE] += np.frombuffer(r["counts"], "<u8")
-    return np.minimum(63, 2 * np.log2(total + 1.0)).astype(np.uint8).tobytes()
+    words occur in ``texts`` (one binary column). ``RARITY_SIZE`` bytes at any input size."""
+    return rarity_of(in_arrow(texts, _count_words, COUNT_SCHEMA))
 
 
 def _line_words(texts: list[bytes | None], rarity: np.ndarray):
@@ -95,7 +86,7 @@ def _line_words(texts: list[bytes | None], rarity: np.ndarray):
         split = [x.split() for x in lines[a : a + _LINES]]
         size = np.fromiter(map(len, split), np.int64, len(split))
         h = word_hashes(list(chain.from_iterable(split)))
-        rare = rarity[(h & U64((1 << RARITY_BITS) - 1)).astype(np.int64)].astype(U64)
+        rare = rarity[(h % U64(RARITY_SIZE)).astype(np.int64)].astype(U64)
         key = np.repeat(np.arange(len(split), dtype=U64), size) << U64(52)
         key |= (rare << U64(_WORD_BITS)) | (h >> U64(64 - _WORD_BITS))
         key.sort()

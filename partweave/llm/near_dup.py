@@ -16,9 +16,13 @@ are confirmed by their distance, then on the full shingle sets.
 Copies and hot groups. Documents with equal sets form one class (pre-aggregated
 before the shuffle) and only classes are indexed. Within a key no pairs are
 listed at first: each class is compared with the key's most connected class
-only (a star, linear in the key's rows). A second round compares just those
-classes of a key that the stars left in different components; after it every
-pair that shares a key is either in one component or was tested itself.
+only (a star, linear in the key's rows). A second round takes the classes of
+keys whose members the stars left in different components. Listing those pairs
+would square a large family of copies that drifted apart, so a pair is listed
+there only if it also shares one of the rarest shingles that any two sets at the
+threshold must share (prefix filter, exact); a copy too far from all others has
+a prefix of its own and is listed with none. After that round every pair within
+the radius is in one component, was tested, or is below the threshold.
 """
 
 from __future__ import annotations
@@ -35,7 +39,20 @@ from pyspark.sql import functions as F
 
 from partweave.operators.broadcast import checked_broadcast
 
-from .common import U64, as_long, connected_components, in_arrow, mix64, rows_of, stage, word_hashes
+from .common import (
+    COUNT_SCHEMA,
+    RARITY_SIZE,
+    U64,
+    as_long,
+    connected_components,
+    count_slices,
+    in_arrow,
+    mix64,
+    rarity_of,
+    rows_of,
+    stage,
+    word_hashes,
+)
 
 _SLOT = np.uint16
 _PART = 8192  # shingles hashed at a time, which bounds a task's memory
@@ -127,6 +144,29 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["cid", "ids"])
 
 
+def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(RARITY_SIZE, np.uint64)
+    for batch in batches:
+        for ids in batch.column(0).to_pylist():
+            np.add.at(counts, (np.frombuffer(ids, U64) % U64(RARITY_SIZE)).astype(np.int64), 1)
+    yield count_slices(counts)
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """The rarest shingles of each set, as many as the threshold needs, with the set's size."""
+    rarity = np.frombuffer(rarity.value, np.uint8)
+    for batch in batches:
+        size, prefix = [], []
+        for ids in batch.column(1).to_pylist():
+            x = np.frombuffer(ids, U64)
+            order = np.lexsort((x, rarity[(x % U64(RARITY_SIZE)).astype(np.int64)]))
+            size.append(len(x))
+            prefix.append(x[order[: len(x) - (num * len(x) + den - 1) // den + 1]].view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))], ["cid", "n", "prefix"]
+        )
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -166,6 +206,13 @@ def _components(
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     live = stage(keys.join(shared, "key"), "nd-live")
 
+    # Whole texts are read once more, so that only the sets of classes that share a key are ever written.
+    wanted = classes.join(live.select("cid").distinct(), "cid").select("cid", "first.doc_id", "first.text_hash")
+    wanted = stage(wanted.withColumnsRenamed({"doc_id": "d", "text_hash": "h"}), "nd-wanted")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
+    sets = docs.join(checked_broadcast(wanted), same).dropDuplicates(["cid"]).select("cid", "body")
+    sets = stage(in_arrow(sets, _sets, "cid long, ids binary", words=words), "nd-sets")
+
     def linked(pairs: DataFrame, tag: str) -> DataFrame:
         """The distinct pairs that are near by signature, then linked on their full sets."""
         one = pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
@@ -173,13 +220,6 @@ def _components(
         near = one.join(sig.toDF("u", "sig_u"), "u").join(sig.toDF("v", "sig_v"), "v")
         near = near.select("u", "v", "sig_u", "sig_v")
         near = stage(in_arrow(near, _close, "u long, v long", radius=radius, slots=slots), f"{tag}-near")
-        wanted = near.select(F.col("u").alias("cid")).unionAll(near.select("v")).distinct()
-        wanted = classes.join(wanted, "cid").select("cid", "first.doc_id", "first.text_hash")
-        wanted = stage(wanted.withColumnsRenamed({"doc_id": "d", "text_hash": "h"}), f"{tag}-wanted")
-        # Whole texts are read once more, so that only the sets of wanted classes are ever written.
-        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
-        sets = docs.join(checked_broadcast(wanted), same).dropDuplicates(["cid"]).select("cid", "body")
-        sets = stage(in_arrow(sets, _sets, "cid long, ids binary", words=words), f"{tag}-sets")
         both = near.join(sets.toDF("u", "ids_u"), "u").join(sets.toDF("v", "ids_v"), "v")
         both = both.select("u", "v", "ids_u", "ids_v")
         return stage(in_arrow(both, _confirm, "u long, v long", num=num, den=den), f"{tag}-links")
@@ -200,8 +240,13 @@ def _components(
     placed = live.select("key", "cid").join(parts_of(links, "nd-star"), "cid", "left")
     placed = stage(placed.select("key", "cid", root), "nd-placed")
     apart = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    left = placed.join(apart, "key")
-    pairs = left.toDF("key", "u", "ru").join(left.toDF("key", "v", "rv"), "key").where("ru < rv").select("u", "v")
+    apart = stage(placed.join(apart, "key").select("cid", "root").distinct(), "nd-apart")
+    apart_sets = sets.join(apart, "cid").select("cid", "ids")
+    rarity = docs.sparkSession.sparkContext.broadcast(rarity_of(in_arrow(apart_sets.select("ids"), _count_ids, COUNT_SCHEMA)))
+    prefix = in_arrow(apart_sets, _prefixes, "cid long, n long, prefix array<long>", rarity=rarity, num=num, den=den)
+    prefix = stage(prefix.join(apart, "cid").select(F.explode("prefix").alias("shingle"), "cid", "root", "n"), "nd-prefix")
+    pairs = prefix.toDF("shingle", "u", "ru", "nu").join(prefix.toDF("shingle", "v", "rv", "nv"), "shingle")
+    pairs = pairs.where(f"ru < rv and {den} * nu >= {num} * nv and {den} * nv >= {num} * nu").select("u", "v")
     links = links.unionAll(linked(pairs, "nd-rest"))
 
     named = classes.select("cid", "set_id", "first.doc_id").join(parts_of(links, "nd-all"), "cid", "left")
