@@ -16,6 +16,8 @@ from .mixing import mix_sources
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .pii import KINDS, find_personal_data
+from .secret_scan import KINDS as SECRET_KINDS
+from .secret_scan import find_secrets
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +162,20 @@ def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_documents(spark, sf_dir))
+    count = "cast(size(filter(found, x -> {})) as bigint)"
+    return found.select(
+        "doc_id",
+        *(F.expr(count.format(f"x.kind = '{k}' and not x.added")).alias(f"n_{k}") for k in SECRET_KINDS),
+        F.expr(f"sha2({_joined('found', 'not x.added')}, 256)").alias("base_sha256"),
+        F.expr(_joined("found")).alias("spans"),
+        F.expr(count.format("x.added")).alias("n_added"),
+        F.expr(count.format("x.live")).alias("n_live"),
+        F.expr(count.format("x.owners > 2")).alias("n_example"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -167,6 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op8_minhash_near_dup": op8_minhash_near_dup,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
