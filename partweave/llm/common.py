@@ -56,6 +56,59 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_WORDS.__getitem__, words), U64, len(words))
 
 
+_SLICE_BYTES = 1 << 20
+_R = 0x9E3779B97F4A7C15  # 5 modulo 8, so its powers have the longest period
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def _byte_terms() -> np.ndarray:
+    x = np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95)
+    for _ in range(2):
+        x = mix64(x)
+    x[ord("A") : ord("Z") + 1] = x[ord("a") : ord("z") + 1]
+    return x
+
+
+class _Powers:
+    """Powers of ``_R`` and of its inverse, as many as were ever needed."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, U64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            with np.errstate(over="ignore"):
+                up, down = np.full(n, _R, U64), np.full(n, pow(_R, -1, 1 << 64), U64)
+                up[0] = down[0] = 1
+                self.up, self.down = np.cumprod(up), np.cumprod(down)
+        return self.up, self.down
+
+
+_POWERS = _Powers()
+
+
+def hashed_words(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of the words of a text (uint8 array): what stands between
+    ASCII white space, A-Z hashed like a-z. Works on slices cut at white space, so its
+    arrays stay small beside a very long text."""
+    starts, hashes, done = [], [], 0
+    while done < len(text):
+        stop = min(len(text), done + _SLICE_BYTES)
+        while stop < len(text) and not _SPACE[text[stop]]:
+            stop = min(len(text), stop + 1)
+        part = text[done:stop]
+        blank = np.concatenate([[True], _SPACE[part], [True]])
+        first = np.flatnonzero(blank[:-2] & ~blank[1:-1])
+        last = np.flatnonzero(~blank[1:-1] & blank[2:]) + 1
+        up, down = _POWERS.upto(len(part) + 1)
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE_TERMS[part] * up[: len(part)])])
+        hashes.append(mix64((sums[last] - sums[first]) * down[first] + (last - first).astype(U64)))
+        starts.append(first + done)
+        done = stop
+    return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.empty(0, np.int64), np.empty(0, U64))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (wrapping arithmetic)."""
     x = x ^ (x >> U64(30))
@@ -65,6 +118,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+_BYTE_TERMS = _byte_terms()
+
+
 def as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == U64 else x.astype(np.int64, copy=False))
 
@@ -77,6 +133,13 @@ def binary_rows(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
 
 
+def binary_runs(words: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Consecutive runs of an array, ``size`` items each, as binary values."""
+    offsets = (np.concatenate([[0], np.cumsum(size)]) * words.dtype.itemsize).astype(np.int32)
+    words = np.ascontiguousarray(words)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(words)])
+
+
 def rows_of(column: pa.Array, dtype, width: int) -> np.ndarray:
     """The inverse of ``binary_rows``: (n, width) array of a fixed-width binary column."""
     if not len(column):

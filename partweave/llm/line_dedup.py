@@ -23,7 +23,6 @@ is lost to that limit.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,31 +36,47 @@ from .common import (
     RARITY_SIZE,
     U64,
     as_long,
+    binary_runs,
     count_slices,
     fresh_name,
+    hashed_words,
     in_arrow,
     mix64,
     rarity_of,
     stage,
     stage_counted,
-    word_hashes,
 )
 
-LISTED = 8
+LISTED = 2
 BUCKET_ENTRIES = 300_000  # prefix entries a bucket should have
 BROADCAST_LINES = 2_000_000  # removed line numbers that may be broadcast: 16 MB
 _LINES = 4096  # lines worked on at a time: their index takes 12 bits of a sort key
 _WORD_BITS = 46
+_BYTES = 1 << 20  # of text worked on at a time
 _ENTRY = np.dtype([("word", "<u4"), ("n", "<u2"), ("pos", "u1"), ("sketch", "<u8"), ("doc", "<i8"), ("line", "<u4")])
 
 
+def _groups(texts: list[bytes | None]) -> Iterator[list[int]]:
+    """Indices of the non-null texts, in groups of about ``_BYTES`` bytes."""
+    group, size = [], 0
+    for i, text in enumerate(texts):
+        if text is not None:
+            group.append(i)
+            size += len(text)
+            if size >= _BYTES:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(RARITY_SIZE, np.uint64)
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            if text:
-                h = word_hashes(text.lower().split())
-                np.add.at(counts, (h % U64(RARITY_SIZE)).astype(np.int64), 1)
+        texts = batch.column(0).to_pylist()
+        for group in _groups(texts):
+            _, h = hashed_words(np.frombuffer(b"\n".join(texts[i] for i in group), np.uint8))
+            np.add.at(counts, (h % U64(RARITY_SIZE)).astype(np.int64), 1)
     yield count_slices(counts)
 
 
@@ -72,29 +87,27 @@ def rarity_classes(texts: DataFrame) -> bytes:
 
 
 def _line_words(texts: list[bytes | None], rarity: np.ndarray):
-    """Yields (text index, line number, n, start, words) for up to ``_LINES`` lines at
-    once; ``words`` holds each line's distinct words, rarest first."""
-    doc, number, lines = [], [], []
-    for i, text in enumerate(texts):
-        if text is None:
-            continue
-        own = text.lower().split(b"\n")
-        doc += [i] * len(own)
-        number += range(len(own))
-        lines += own
-    for a in range(0, len(lines), _LINES):
-        split = [x.split() for x in lines[a : a + _LINES]]
-        size = np.fromiter(map(len, split), np.int64, len(split))
-        h = word_hashes(list(chain.from_iterable(split)))
+    """Yields (text index, line number, n, start, words) for the lines of some texts at
+    a time; ``words`` holds each line's distinct words, rarest first."""
+    for group in _groups(texts):
+        text = np.frombuffer(b"\n".join(texts[i] for i in group), np.uint8)
+        lines = np.fromiter((texts[i].count(b"\n") + 1 for i in group), np.int64, len(group))
+        doc = np.repeat(np.array(group), lines)
+        number = np.arange(len(doc)) - np.repeat(np.cumsum(lines) - lines, lines)
+        at, h = hashed_words(text)
+        line = np.searchsorted(np.flatnonzero(text == 10), at)
         rare = rarity[(h % U64(RARITY_SIZE)).astype(np.int64)].astype(U64)
-        key = np.repeat(np.arange(len(split), dtype=U64), size) << U64(52)
-        key |= (rare << U64(_WORD_BITS)) | (h >> U64(64 - _WORD_BITS))
-        key.sort()
-        if len(key):
-            key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-        n = np.bincount((key >> U64(52)).astype(np.int64), minlength=len(split))
-        start = np.concatenate([[0], np.cumsum(n)])[:-1]
-        yield doc[a : a + _LINES], number[a : a + _LINES], n, start, key & U64((1 << 52) - 1)
+        word = (rare << U64(_WORD_BITS)) | (h >> U64(64 - _WORD_BITS))
+        for a in range(0, len(doc), _LINES):
+            b = min(len(doc), a + _LINES)
+            i, j = np.searchsorted(line, [a, b])
+            key = ((line[i:j] - a).astype(U64) << U64(52)) | word[i:j]
+            key.sort()
+            if len(key):
+                key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+            n = np.bincount((key >> U64(52)).astype(np.int64), minlength=b - a)
+            start = np.concatenate([[0], np.cumsum(n)])[:-1]
+            yield doc[a:b], number[a:b], n, start, key & U64((1 << 52) - 1)
 
 
 def _reduced(op: np.ufunc, x: np.ndarray, n: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -122,8 +135,8 @@ def _lines(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Ite
             offsets = np.concatenate([[0], np.cumsum(first)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    as_long(docs[np.array(doc, np.int64)]),
-                    pa.array(np.array(number, np.int32)),
+                    as_long(docs[doc]),
+                    pa.array(number.astype(np.int32)),
                     pa.array(n.astype(np.int32)),
                     as_long(h1),
                     as_long(h2),
@@ -213,27 +226,33 @@ def _line_sets(batches: Iterator[pa.RecordBatch], rarity) -> Iterator[pa.RecordB
         docs = batch.column(0).to_numpy(zero_copy_only=False)
         for doc, number, n, start, words in _line_words(batch.column(1).to_pylist(), rarity):
             h1, h2 = _hashes(words, n, start)
-            sets = [words[a:b].tobytes() for a, b in zip(start, start + n, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    as_long(docs[np.array(doc, np.int64)]),
-                    pa.array(np.array(number, np.int32)),
+                    as_long(docs[doc]),
+                    pa.array(number.astype(np.int32)),
                     as_long(h1),
                     as_long(h2),
-                    pa.array(sets, pa.binary()),
+                    binary_runs(words, n),
                 ],
                 ["doc", "line", "h1", "h2", "words"],
             )
 
 
 def _verify(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Keeps the rows whose two word sets (of 52-bit words) are similar; 4096 pairs at a time."""
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            p, q = np.frombuffer(x, U64), np.frombuffer(y, U64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            keep.append(den * both >= num * (len(p) + len(q) - both))
-        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        for at in range(0, batch.num_rows, _LINES):
+            part = batch.slice(at, _LINES)
+            size, keys = [], []
+            for column in part.columns[2:4]:
+                words = column.to_pylist()
+                size.append(np.fromiter(map(len, words), np.int64, len(words)) // 8)
+                pair = np.repeat(np.arange(len(words), dtype=U64), size[-1])
+                keys.append((pair << U64(52)) | np.frombuffer(b"".join(words), U64))
+            both = np.sort(np.concatenate(keys))
+            both = both[1:][both[1:] == both[:-1]]
+            shared = np.bincount((both >> U64(52)).astype(np.int64), minlength=part.num_rows)
+            yield part.select([0, 1]).filter(pa.array(den * shared >= num * (size[0] + size[1] - shared)))
 
 
 def _doc_key(id_col: str, text_col: str):
