@@ -19,6 +19,8 @@ from .pii import KINDS, find_personal_data
 from .secret_scan import KINDS as SECRET_KINDS
 from .secret_scan import find_secrets
 
+from .sharding import SHARDS, SIZE, assign_shards
+
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -150,6 +152,42 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), vocabulary())
 
 
+def shard_names() -> list[str]:
+    return [f"shard-{i:04d}" for i in range(SHARDS)]
+
+
+def op5_lookup_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, slot, shard = assign_shards(_documents(spark, sf_dir), shard_names())
+    return out.select("doc_id", F.col(slot).alias("slot"), F.col(shard).alias("shard"))
+
+
+_OP5_SQL = f"""
+WITH RECURSIVE names AS (SELECT i, printf('shard-%04d', i) AS name FROM range({SHARDS}) t(i)),
+start AS (
+  SELECT i, name, CAST('0x' || substr(md5('offset|' || name), 1, 8) AS BIGINT) % {SIZE} AS o,
+         CAST('0x' || substr(md5('skip|' || name), 1, 8) AS BIGINT) % ({SIZE} - 1) + 1 AS s
+  FROM names),
+orders AS (
+  SELECT list(prefs ORDER BY i) AS orders
+  FROM (SELECT i, list_transform(range({SIZE}), lambda j: (o + j * s) % {SIZE}) AS prefs FROM start)),
+fill(turn, owner) AS (
+  SELECT 0, list_transform(range({SIZE}), lambda x: -1)
+  UNION ALL
+  SELECT turn + 1, list_concat(list_concat(owner[1:slot], [turn % {SHARDS}]), owner[slot + 2:])
+  FROM (SELECT turn, owner,
+               list_filter(orders[turn % {SHARDS} + 1], lambda p: owner[p + 1] < 0)[1] AS slot
+        FROM fill, orders WHERE turn < {SIZE})),
+slots AS (
+  SELECT slot, name AS shard
+  FROM (SELECT unnest(range({SIZE})) AS slot, unnest(owner) AS at FROM fill WHERE turn = {SIZE}) f
+  JOIN names ON names.i = f.at)
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, shard
+FROM (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % {SIZE} AS slot
+      FROM documents) d
+JOIN slots USING (slot)
+"""
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     unseen = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
@@ -181,6 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_pii": op3_pii,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_lookup_sharding": op5_lookup_sharding,
     "op6_language_id": op6_language_id,
     "op8_minhash_near_dup": op8_minhash_near_dup,
     "op9_secret_scan": op9_secret_scan,
@@ -189,4 +228,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_source_mixing": _OP1_SQL,
     "op2_line_dedup": _OP2_SQL,
+    "op5_lookup_sharding": _OP5_SQL,
 }
