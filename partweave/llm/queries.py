@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .langid import fit_languages, held_out, identify_languages
 from .line_dedup import line_counts
 from .mixing import mix_sources
@@ -20,6 +21,7 @@ from .secret_scan import KINDS as SECRET_KINDS
 from .secret_scan import find_secrets
 
 from .sharding import SHARDS, SIZE, assign_shards
+from .topk import exact_top_k
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +197,34 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
 
 
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(_embeddings(spark, sf_dir), F.col("id") % 50 == 0)
+
+
+_OP7_SQL = """
+WITH parts AS (
+  SELECT vec_id, unnest(range(len(embedding))) AS t, unnest(embedding) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT vec_id, t, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS w FROM parts),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM w q JOIN w c ON q.t = c.t AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+
+def op10_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_embeddings(spark, sf_dir), F.col("id") % 50 == 0)
+
+
 def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(_documents(spark, sf_dir), words=3, num=85, den=100)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
@@ -221,12 +251,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_lookup_sharding": op5_lookup_sharding,
     "op6_language_id": op6_language_id,
+    "op7_exact_top_k": op7_exact_top_k,
     "op8_minhash_near_dup": op8_minhash_near_dup,
     "op9_secret_scan": op9_secret_scan,
+    "op10_multiprobe_ann": op10_multiprobe_ann,
 }
 
 ORACLES: dict[str, str] = {
     "op1_source_mixing": _OP1_SQL,
     "op2_line_dedup": _OP2_SQL,
     "op5_lookup_sharding": _OP5_SQL,
+    "op7_exact_top_k": _OP7_SQL,
 }
