@@ -185,28 +185,29 @@ def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
     pass the filters, at most ``LISTED`` for a line and word; ``more`` where there are others."""
     e = np.frombuffer(b"".join(table.column("entries").to_pylist()), _ENTRY)
     e = e[np.lexsort((e["line"], e["doc"], e["word"]))]
+    n, pos, sketch = e["n"].astype(np.int64), e["pos"].astype(np.int64), e["sketch"].copy()
+    first = np.flatnonzero(np.concatenate([[True], e["word"][1:] != e["word"][:-1]])) if len(e) else np.empty(0, np.int64)
+    depth = np.arange(len(e)) - np.repeat(first, np.diff(np.append(first, len(e))))  # earlier entries of the word
     listed = np.zeros(len(e), np.int64)
     more = np.zeros(len(e), bool)
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    later, back = np.arange(len(e)), 0
+    later, back = np.flatnonzero(depth > 0), 1
     while len(later):
-        back += 1
-        later = later[later >= back]
-        later = later[e["word"][later] == e["word"][later - back]]
-        x, y = e[later - back], e[later]
-        nx, ny = x["n"].astype(np.int64), y["n"].astype(np.int64)
-        open_ = (nx == 0xFFFF) | (ny == 0xFFFF)  # a length beyond the field: only verification decides
+        nx, ny = n[later - back], n[later]
+        near = np.bitwise_count(sketch[later - back] ^ sketch[later]) * (num + den) <= (den - num) * (nx + ny)
+        near &= (den * nx >= num * ny) & (den * ny >= num * nx)
+        near |= (nx == 0xFFFF) | (ny == 0xFFFF)  # a length beyond the field: only verification decides
+        hit, nx, ny = later[near], nx[near], ny[near]
         need = (num * (nx + ny) + num + den - 1) // (num + den)
-        ok = (den * nx >= num * ny) & (den * ny >= num * nx)
-        ok &= 1 + np.minimum(nx - 1 - x["pos"], ny - 1 - y["pos"]) >= need
-        ok &= np.bitwise_count(x["sketch"] ^ y["sketch"]) <= nx + ny - 2 * need
-        hit = later[ok | open_]
+        ok = np.minimum(nx - pos[hit - back], ny - pos[hit]) >= need
+        hit = hit[ok | (nx == 0xFFFF) | (ny == 0xFFFF)]
         full = listed[hit] >= LISTED
         more[hit[full]] = True
         hit = hit[~full]
         listed[hit] += 1
         found.append((hit - back, hit))
-        later = later[~more[later]]
+        back += 1
+        later = later[(depth[later] >= back) & ~more[later]]
     x = np.concatenate([p for p, _ in found]) if found else np.empty(0, np.int64)
     y = np.concatenate([q for _, q in found]) if found else np.empty(0, np.int64)
     return pa.table(
@@ -325,9 +326,9 @@ def removed_lines(
         entry = [F.col(c) for c in ("doc", "line", "n", "sketch")]
         entries = classes.select(*entry, F.posexplode("prefix").alias("pos", "word"))
         names = ["doc", "line", "n", "sketch", "pos"]
-        y = entries.join(
-            checked_broadcast(rest), (F.col("doc") == F.col("ydoc")) & (F.col("line") == F.col("yline")), "left_semi"
-        ).select("word", *(F.col(c).alias(f"y{c}") for c in names))
+        here = (F.col("doc") == F.col("ydoc")) & (F.col("line") == F.col("yline"))
+        y = entries.join(checked_broadcast(rest), here, "left_semi")
+        y = checked_broadcast(stage(y.select("word", *(F.col(c).alias(f"y{c}") for c in names)), "ld-rest-words"))
         x = entries.select("word", *(F.col(c).alias(f"x{c}") for c in names))
         need = f"ceil({num} * (xn + yn) / {num + den})"
         more = x.join(y, "word").where(
