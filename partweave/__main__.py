@@ -3,19 +3,26 @@
   land       <source_dir> <landing_dir> [--format sas7bdat|xport|csv] [--tables t1,t2]
   integrate  <landing_dir> <out_dir> [--tables t1,t2] [--method two_pass|window] [--how inner|left]
              [--broadcast-max-bytes N] [--hot-key-rows N] [--max-records-per-file N] [--parallel-jobs N]
-  describe   <parquet_path>
+  describe   <parquet_path> [--out <path>]
   count      <parquet_path>
-  rollup     <parquet_path> <code> <code_type> <date>
-  coverage   <demographic_path> <enrollment_path> [--by Sex,Hispanic,Race]
+  rollup     <parquet_path> <code> <code_type> <date> [--out <path>]
+  coverage   <demographic_path> <enrollment_path> [--by Sex,Hispanic,Race] [--out <path>]
 
-Runs on the session ``spark-submit`` provides, or a local one.
+Results are complete: printed as CSV lines, or written as Parquet to ``--out``.
+Runs on the session ``spark-submit`` provides, or a local one, with the
+library's settings (UTC, measured broadcasts).
 """
 
 from __future__ import annotations
 
 import argparse
+import csv
+import sys
 
-from pyspark.sql import SparkSession
+from pyspark import SparkConf
+from pyspark.sql import DataFrame, SparkSession
+
+from .session import build_session
 
 
 def main(argv=None) -> None:
@@ -45,9 +52,12 @@ def main(argv=None) -> None:
     a.add_argument("demographic")
     a.add_argument("enrollment")
     a.add_argument("--by", default="Sex,Hispanic,Race")
+    for name in ("describe", "rollup", "coverage"):
+        sub.choices[name].add_argument("--out", help="write the result here as Parquet")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName("partweave").getOrCreate()
+    active = SparkSession.getActiveSession() is not None or "spark.master" in dict(SparkConf().getAll())
+    spark = build_session(master=None if active else "local[*]")
     from .operators.describe import describe_columns, row_count
     from .operators.rollups import code_year_rollup, coverage_count
     from .plans.convert import integrate, land_tables
@@ -58,29 +68,42 @@ def main(argv=None) -> None:
             print(t, p)
     elif args.cmd == "integrate":
         opts = {"method": args.method, "how": args.how, "parallel_jobs": args.parallel_jobs}
-        if args.broadcast_max_bytes:
+        if args.broadcast_max_bytes is not None:
             opts["broadcast_max_bytes"] = args.broadcast_max_bytes
-        if args.hot_key_rows:
+        if args.hot_key_rows is not None:
             opts["hot_key_rows"] = args.hot_key_rows
         written = integrate(
-            spark, args.landing_dir, args.out_dir, tables=tables, max_records_per_file=args.max_records_per_file, **opts
+            spark, args.landing_dir, args.out_dir, tables=tables, max_records_per_file=args.max_records_per_file, drop_staged=True, **opts
         )
         for t, p in written.items():
             print(t, p)
     elif args.cmd == "describe":
-        describe_columns(spark.read.parquet(args.path)).show(1000, truncate=False)
+        _give(describe_columns(spark.read.parquet(args.path)), args.out)
     elif args.cmd == "count":
         row_count(spark.read.parquet(args.path), formatted=True).show()
     elif args.cmd == "rollup":
-        code_year_rollup(spark.read.parquet(args.path), args.code, args.code_type, args.date).show(1000, truncate=False)
+        _give(code_year_rollup(spark.read.parquet(args.path), args.code, args.code_type, args.date), args.out)
     elif args.cmd == "coverage":
-        coverage_count(
+        counted = coverage_count(
             spark.read.parquet(args.demographic),
             spark.read.parquet(args.enrollment),
             on="PatID",
             by=args.by.split(","),
             flags={"MedCov": "Y", "DrugCov": "Y"},
-        ).show(1000, truncate=False)
+        )
+        _give(counted, args.out)
+
+
+def _give(df: DataFrame, out: str | None) -> None:
+    """The whole result: to ``out``, or row by row to standard output (one partition
+    of it is on the driver at a time)."""
+    if out:
+        df.write.parquet(out)
+        return
+    lines = csv.writer(sys.stdout)
+    lines.writerow(df.columns)
+    for row in df.toLocalIterator():
+        lines.writerow(row)
 
 
 if __name__ == "__main__":

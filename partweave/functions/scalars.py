@@ -12,10 +12,11 @@ def year_of(c: str | Column) -> Column:
 
 
 def to_bigint(c: str | Column) -> Column:
-    """Float to 64-bit integer: truncates toward zero; NaN, infinities and
-    out-of-range values become NULL instead of failing the job."""
+    """Number, or text that holds one, to 64-bit integer: truncates toward zero;
+    NaN, infinities, out-of-range values and other text become NULL instead of
+    failing the job."""
     col = F.col(c) if isinstance(c, str) else c
-    return col.try_cast("long")
+    return F.coalesce(col.try_cast("long"), col.cast("string").try_cast("decimal(38,6)").try_cast("long"))
 
 
 def thousands(c: str | Column) -> Column:

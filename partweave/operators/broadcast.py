@@ -10,16 +10,20 @@ from pyspark.sql import types as T
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
+_VARIABLE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+
+
 def row_bytes(schema: T.StructType) -> int:
-    """Rough in-memory width of one row (UnsafeRow-like: 8 bytes per field
-    plus variable-length payload by the type's default size)."""
-    width = 8
-    for f in schema.fields:
-        width += 8 + (f.dataType.defaultSize() if isinstance(f.dataType, (T.StringType, T.BinaryType)) else 0)
-    return width
+    """In-memory width of one row of fixed-width fields (UnsafeRow-like: 8
+    bytes per field and 8 of null bits); a text or binary field adds its own bytes."""
+    return 8 + 8 * len(schema.fields)
 
 
 def max_rows_for(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> int:
+    """Rows of ``df`` that surely fit ``max_bytes``. 0 where a field has no fixed
+    width: a row count alone then proves nothing (``checked_broadcast`` measures it)."""
+    if any(isinstance(f.dataType, _VARIABLE) for f in df.schema.fields):
+        return 0
     return max(1, max_bytes // row_bytes(df.schema))
 
 
@@ -37,7 +41,15 @@ def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES, max_row
 
     Call it on cheap inputs (scans, staged tables, small aggregates); on a lazy
     join the check would run the join."""
-    cap = max_rows_for(df, max_bytes)
+    cap = max(1, max_bytes // row_bytes(df.schema))
     if max_rows is not None:
         cap = min(cap, max_rows)
-    return F.broadcast(df) if is_at_most(df, cap) else df
+    varying = [f for f in df.schema.fields if isinstance(f.dataType, _VARIABLE)]
+    if not varying:
+        return F.broadcast(df) if is_at_most(df, cap) else df
+    if not all(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in varying):
+        return df
+    size = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) + 8 for f in varying), F.lit(0))
+    found = df.limit(cap + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    fits = found["n"] <= cap and found["n"] * row_bytes(df.schema) + (found["b"] or 0) <= max_bytes
+    return F.broadcast(df) if fits else df

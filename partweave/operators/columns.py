@@ -24,6 +24,29 @@ def cast_ids_by_suffix(df: DataFrame, suffix: str = "id", exclude: tuple[str, ..
     return df.select(*[to_bigint(c).alias(c) if c in ids else F.col(c) for c in df.columns])
 
 
+def cast_audit(df: DataFrame, suffix: str = "id", exclude: tuple[str, ...] = ()) -> DataFrame:
+    """What ``cast_ids_by_suffix`` does to each ID column, in one pass: (column_name,
+    n_rows, n_null, n_lost, n_truncated) - rows, values NULL before the cast, values
+    that become NULL in it, and values that lose a fraction."""
+    ids = id_columns(df, suffix, exclude)
+    one = []
+    for c in ids:
+        old, new = F.col(c), to_bigint(c)
+        cut = new.isNotNull() & (old.try_cast("double") != new.cast("double"))
+        one.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.count_if(old.isNull()).alias("n_null"),
+                F.count_if(old.isNotNull() & new.isNull()).alias("n_lost"),
+                F.count_if(cut).alias("n_truncated"),
+            )
+        )
+    if not one:
+        return df.sparkSession.createDataFrame([], "column_name string, n_rows long, n_null long, n_lost long, n_truncated long")
+    return df.agg(F.array(*one).alias("a")).select(F.inline("a"))
+
+
 def rename_orig(df: DataFrame, col: str) -> DataFrame:
     """Rename ``col`` to ``Orig<col>`` in place."""
     return df.withColumnRenamed(col, "Orig" + col)

@@ -7,23 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import thousands
 from ..functions.types import SQL_TYPE_NAMES, sql_type_name
-from .numbering import group_sizes, number_rows
-
-_VIEW_SEQ = [0]
+from ..session import stage
+from .numbering import number_rows
 
 
 def describe_columns(df: DataFrame) -> DataFrame:
-    """(column_name, column_type) of a query, with SQL type names, via
-    ``DESCRIBE QUERY`` on the session."""
-    spark = df.sparkSession
-    _VIEW_SEQ[0] += 1
-    view = f"_pw_describe_{_VIEW_SEQ[0]}"
-    df.createOrReplaceTempView(view)
-    # DESCRIBE QUERY runs when issued and returns local rows, so the view
-    # can go right away.
-    d = spark.sql(f"DESCRIBE QUERY SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
-    return d.select(F.col("col_name").alias("column_name"), sql_type_name(F.col("data_type")).alias("column_type"))
+    """(column_name, column_type) of a query, with SQL type names, from its schema."""
+    rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    d = df.sparkSession.createDataFrame(rows, "column_name string, data_type string")
+    return d.select("column_name", sql_type_name(F.col("data_type")).alias("column_type"))
 
 
 def row_count(df: DataFrame, formatted: bool = False) -> DataFrame:
@@ -49,7 +41,7 @@ def profile_column(
     ``lo + (hi - lo) * frac``). ``quantiles='exact'`` ranks the non-NULL values
     with the distributed numbering (range partition + staged sort; no value
     set is held in one buffer) and equi-joins the needed ranks - six per
-    group, a small broadcast table - back. ``'approx'`` uses ``percentile_approx``:
+    group, from the groups' counts - back, for any number of groups. ``'approx'`` uses ``percentile_approx``:
     one pass, bounded memory, rank error about 1/accuracy.
     """
     by = list(by or [])
@@ -77,33 +69,23 @@ def profile_column(
     if quantiles != "exact":
         raise ValueError("quantiles must be 'exact' or 'approx'")
 
-    spark = df.sparkSession
-    vals = df.select(*by, c.alias("_v")).where(F.col("_v").isNotNull())
-    sizes = group_sizes(vals, by) if by else None
-    stats: dict = {}
     # Equal values share a range partition, so a value held by a third of the
     # rows would land in one task. Ties may come in any order for quantiles:
-    # a per-row tiebreaker lets the range partitioner split such a value.
-    # (The ranks are staged, so a recomputation cannot reorder them.)
-    tied = vals.withColumn("_tb", F.monotonically_increasing_id())
-    ranked = number_rows(tied, ["_v", "_tb"], "_rk", restart_by=by, stats=stats)
-    if not by:
-        sizes = {(): stats["rows"]}
-    if sizes is None:
-        raise ValueError("too many groups for exact quantiles; use quantiles='approx'")
-    picks = []
-    for key, n in sizes.items():
-        for p, nm in zip(_PROBS, _QNAMES):
-            pos = (n - 1) * p
-            lo = int(pos)
-            hi = min(lo + 1, n - 1)
-            # one row per needed rank, so the join below is an equi-join
-            picks.append((*key, nm, lo + 1, "lo", pos - lo))
-            picks.append((*key, nm, hi + 1, "hi", pos - lo))
-    key_fields = [f"{k} {vals.schema[k].dataType.simpleString()}" for k in by]
-    schema = ", ".join([*key_fields, "_q string", "_rk long", "_role string", "_frac double"])
-    # Six rows per group, built from counts collected above: a proven bound.
-    pick_df = F.broadcast(spark.createDataFrame(picks, schema))
+    # a per-row tiebreaker lets the range partitioner split such a value. It is
+    # written with the values, so a re-run task cannot move a row across a bound.
+    vals = df.select(*by, c.alias("_v")).where(F.col("_v").isNotNull())
+    tied = stage(vals.withColumn("_tb", F.monotonically_increasing_id()), "profile-values")
+    ranked = number_rows(tied, ["_v", "_tb"], "_rk", restart_by=by)
+    # Six wanted ranks per group, made from the group's count where it stands.
+    wanted = []
+    for p, nm in zip(_PROBS, _QNAMES):
+        pos = (F.col("_n") - 1) * F.lit(p)
+        lo = F.floor(pos)
+        for role, at in (("lo", lo), ("hi", F.least(lo + 1, F.col("_n") - 1))):
+            wanted.append(F.struct(F.lit(nm).alias("_q"), (at + 1).alias("_rk"), F.lit(role).alias("_role"), (pos - lo).alias("_frac")))
+    counts = tied.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    picks = counts.select(*by, F.explode(F.array(*wanted)).alias("w")).select(*by, "w.*")
+    pick_df = picks if by else F.broadcast(picks)  # six rows without groups
     r, k = ranked.alias("r"), pick_df.alias("k")
     cond = [F.col(f"r.{b}").eqNullSafe(F.col(f"k.{b}")) for b in by] + [F.col("r._rk") == F.col("k._rk")]
     j = r.join(k, cond)

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .broadcast import DEFAULT_MAX_BYTES, max_rows_for
-from .numbering import DuplicateKeys, group_sizes, number_rows, sort_keys
+from .broadcast import DEFAULT_MAX_BYTES, checked_broadcast, max_rows_for
+from ..session import stage
+from .numbering import DuplicateKeys, number_rows, sort_keys
 
 
 _ROW_HASH = "_pw_row_hash"
@@ -129,18 +130,18 @@ def assign_ids_many(
         )
     except DuplicateKeys as e:
         raise DuplicateOwnerKeys(f"owner IDs repeat inside a part; see fan_out(): {e}") from e
-    sizes = stats.get("groups", {})
+    sizes = {r[tag]: r["n"] for r in numbered.groupBy(tag).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row an owner
     out = {}
     for name, (df, id_col) in owners.items():
         o = orig_name(id_col)
         km = numbered.where(F.col(tag) == name).select(part, F.col(orig).alias(o), F.col("_pw_new").alias(id_col))
-        rows = sizes.get((name,))
-        side = F.broadcast(km) if rows is not None and rows <= max_rows_for(km, broadcast_max_bytes) else km
+        rows = sizes.get(name, 0)
+        side = F.broadcast(km) if rows <= max_rows_for(km, broadcast_max_bytes) else km
         renamed = df.withColumnRenamed(id_col, o)
         r, k = renamed.alias("r"), side.alias("k")
         cond = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in (part, o)]
         rebased = r.join(k, cond, "inner").select(*[F.col(f"r.{c}") for c in renamed.columns], F.col(f"k.{id_col}"))
-        out[name] = (rebased, km, rows if rows is not None else 0)
+        out[name] = (rebased, km, rows)
     return out
 
 
@@ -173,46 +174,40 @@ def rebase_ids(
 def _rebase_full_rows(df, id_col, part, method, on_duplicates, num_partitions, stats, max_group_rows):
     orig = orig_name(id_col)
     renamed = df.withColumnRenamed(id_col, orig)
+    order = [orig]
+    if on_duplicates == "keep":
+        # Repeated keys, by either method: the tie is broken by a hash of the
+        # whole row, so a re-run gives every distinct copy the same ID again;
+        # then by a row id, so even a hot group of identical rows can be split
+        # across range partitions (identical rows are interchangeable). The row
+        # id is written with the rows: a re-run task cannot change it.
+        order += [_ROW_HASH, _ROW_ID]
+        keyed = renamed.withColumn(_ROW_HASH, F.xxhash64(*renamed.columns))
+        renamed = stage(keyed.withColumn(_ROW_ID, F.monotonically_increasing_id()), "rebase-rows")
+    if method == "window":
+        over = part_counts(df, part).where(F.col("n_rows") > max_group_rows)
+        method = "window" if over.isEmpty() else "two_pass"
+    elif method != "two_pass":
+        raise ValueError(f"unknown method {method!r}")
     if method == "two_pass":
-        if on_duplicates == "keep":
-            # Repeated keys: break the tie by a hash of the whole row, so a
-            # re-run gives every distinct copy the same ID again; then by a row
-            # id, so even a hot group of identical rows can be split across
-            # range partitions (identical rows are interchangeable).
-            hashed = renamed.withColumn(_ROW_HASH, F.xxhash64(*renamed.columns)).withColumn(
-                _ROW_ID, F.monotonically_increasing_id()
-            )
-            out = number_rows(
-                hashed, [part, orig, _ROW_HASH, _ROW_ID], id_col, num_partitions=num_partitions, stats=stats
-            )
-            return out.drop(_ROW_HASH, _ROW_ID)
+        ties = "fail" if on_duplicates == "fail" else "ignore"
         try:
-            return number_rows(renamed, [part, orig], id_col, num_partitions=num_partitions, on_ties="fail", stats=stats)
+            out = number_rows(renamed, [part, *order], id_col, num_partitions=num_partitions, on_ties=ties, stats=stats)
         except DuplicateKeys as e:
             raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out(): {e}") from e
-    if method == "window":
-        # Per-part row counts: the offsets, and the size guard of the window.
-        sizes = group_sizes(df, [part])
-        if sizes is None or max(sizes.values(), default=0) > max_group_rows:
-            return _rebase_full_rows(df, id_col, part, "two_pass", on_duplicates, num_partitions, stats, max_group_rows)
-        if on_duplicates == "fail" and fan_out(df, id_col, part).limit(1).count():
-            raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out()")
-        if stats is not None:
-            stats["rows"] = sum(sizes.values())
-        starts, acc = [], 1
-        for (p,), n in sorted(sizes.items(), key=lambda kv: (kv[0][0] is None, kv[0][0])):
-            starts.append((p, acc))
-            acc += n
-        schema = f"{part} {df.schema[part].dataType.simpleString()}, start_id bigint"
-        # One row per part, collected above: a proven size bound.
-        offs = F.broadcast(df.sparkSession.createDataFrame(starts, schema))
-        local = number_rows(renamed, [orig], "_pw_rn", restart_by=[part], method="window")
-        j = local.alias("l").join(offs.alias("o"), F.col(f"l.{part}").eqNullSafe(F.col(f"o.{part}")))
-        return j.select(
-            *[F.col(f"l.{c}") for c in renamed.columns],
-            (F.col("o.start_id") + F.col("l._pw_rn") - 1).cast("long").alias(id_col),
-        )
-    raise ValueError(f"unknown method {method!r}")
+        return out.drop(_ROW_HASH, _ROW_ID)
+    if on_duplicates == "fail" and not fan_out(df, id_col, part).isEmpty():
+        raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out()")
+    offs = part_offsets(df, part)
+    if stats is not None:
+        stats["rows"] = df.count()
+    local = number_rows(renamed, order, "_pw_rn", restart_by=[part], method="window")
+    # One row per part.
+    j = local.alias("l").join(checked_broadcast(offs).alias("o"), F.col(f"l.{part}").eqNullSafe(F.col(f"o.{part}")))
+    return j.select(
+        *[F.col(f"l.{c}") for c in renamed.columns if c not in (_ROW_HASH, _ROW_ID)],
+        (F.col("o.start_id") + F.col("l._pw_rn") - 1).cast("long").alias(id_col),
+    )
 
 
 def key_map(rebased: DataFrame, id_col: str, part: str = "part") -> DataFrame:

@@ -49,35 +49,38 @@ def rewrite_fk(
     # ``SELECT km.id, child.*`` without the old ID: the new key goes first.
     out_cols = [id_col] + [x for x in c.columns if x != orig]
 
-    if broadcast == "always":
-        km = F.broadcast(km)
-    elif broadcast == "auto":
-        if keymap_rows is not None:
-            km = F.broadcast(km) if keymap_rows <= max_rows_for(km, broadcast_max_bytes) else km
-        else:
-            km = checked_broadcast(km, broadcast_max_bytes)
-    elif broadcast != "never":
-        raise ValueError("broadcast must be 'auto', 'always' or 'never'")
+    side = known_broadcast(km, keymap_rows, broadcast, broadcast_max_bytes)
+    if hot_key_rows is None or side is not km:
+        # A broadcast key map never shuffles the child: no key can be hot.
+        return c.join(side, keys, how).select(*out_cols)
+
+    counts = c.where(F.col(orig).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # At most (child rows / hot_key_rows) keys; a hot key is dealt over as many
+    # salts as it has times that many rows.
+    salts = F.ceil(F.col("_n") / F.lit(hot_key_rows)).cast("int").alias("_salts")
+    hot = stage(counts.where(F.col("_n") >= hot_key_rows).select(*keys, salts), "hot-keys")
+    hot = checked_broadcast(hot, broadcast_max_bytes)
+    row = F.pmod(F.xxhash64(*c.columns, F.monotonically_increasing_id()), F.coalesce("_salts", F.lit(1)))
+    dealt = c.join(hot, keys, "left").withColumn("_salt", row.cast("int")).drop("_salts")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    spread = km.join(hot, keys, "left").withColumn("_salt", every).drop("_salts")
+    return dealt.join(spread, [*keys, "_salt"], how).select(*out_cols)
 
-    if hot_key_rows is None:
-        return c.join(km, keys, how).select(*out_cols)
 
-    hot = (
-        c.where(F.col(orig).isNotNull())
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_key_rows)
-        .select(*keys)
-    )
-    # Staged once: at most (child rows / hot_key_rows) keys, and both the
-    # size check and the two joins below read it.
-    hot = checked_broadcast(stage(hot, "hot-keys"), broadcast_max_bytes)
-    c_hot = c.join(hot, keys, "left_semi")
-    c_cold = c.join(hot, keys, "left_anti")
-    km_hot = checked_broadcast(keymap.select(part, orig, id_col).join(hot, keys, "left_semi"), broadcast_max_bytes)
-    j_hot = c_hot.join(km_hot, keys, how).select(*out_cols)
-    j_cold = c_cold.join(km, keys, how).select(*out_cols)
-    return j_hot.unionByName(j_cold)
+def known_broadcast(km: DataFrame, rows: int | None, broadcast: str, max_bytes: int) -> DataFrame:
+    """``km`` broadcast if its size is proven under ``max_bytes`` - by the row count its
+    maker knows, else by a bounded count - or if asked for; else ``km`` itself."""
+    if broadcast not in ("auto", "always", "never"):
+        raise ValueError("broadcast must be 'auto', 'always' or 'never'")
+    if broadcast == "always":
+        return F.broadcast(km)
+    if broadcast == "never":
+        return km
+    if rows is not None and rows <= max_rows_for(km, max_bytes):
+        return F.broadcast(km)
+    if rows is not None and max_rows_for(km, max_bytes):
+        return km
+    return checked_broadcast(km, max_bytes)
 
 
 def orphans(child: DataFrame, keymap: DataFrame, id_col: str, part: str = "part") -> DataFrame:

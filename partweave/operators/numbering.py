@@ -10,9 +10,9 @@ group (or the whole table) to one task.
      differently - after the write the tags are fixed facts;
   3. count rows per segment - per partition, or per (partition, restart key) -
      which is a table of at most ``n`` (+ number of restart keys) rows;
-  4. running sums over that small table give every segment's first number;
-     it is collected (bounded, like the partition counts of
-     ``RDD.zipWithIndex``), broadcast back, and the position added.
+  4. running sums over that small table give every segment's first number,
+     which is joined back (broadcast when the table is counted small) and the
+     position added.
   A duplicate-key check rides along at no extra shuffle (``on_ties='fail'``).
   A hot part or key range is cut into many partitions by the range
   partitioner, so no task holds more than about ``1/n`` of the rows
@@ -28,10 +28,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from ..session import stage
+from ..session import stage, stage_counted
 
 PID = "_pw_pid"
 POS = "_pw_pos"
@@ -67,9 +66,8 @@ class DuplicateKeys(ValueError):
     """The ordering keys repeat inside a restart group."""
 
 
-# Above this many segments the segment table is staged and shuffle-joined
-# instead of being collected and broadcast.
-MAX_LOCAL_SEGMENTS = 100_000
+# Segments (one per range partition and restart key) that may be broadcast: 3 MB.
+BROADCAST_SEGMENTS = 100_000
 
 
 def number_rows(
@@ -103,12 +101,10 @@ def number_rows(
         if not restart_by:
             raise ValueError("the window method needs restart_by (a whole-table window is one task)")
         if max_group_rows is not None:
-            sizes = group_sizes(df, restart_by)
-            if sizes is None or max(sizes.values(), default=0) > max_group_rows:
+            over = df.groupBy(*restart_by).count().where(F.col("count") > max_group_rows)
+            if not over.isEmpty():
                 # A group too big for one task: the exact distributed method.
                 return _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats)
-            if stats is not None:
-                stats["rows"] = sum(sizes.values())
         if on_ties == "fail" and df.groupBy(*restart_by, *order_by).count().where("count > 1").limit(1).count():
             raise DuplicateKeys(f"{restart_by + order_by} repeat")
         w = W.partitionBy(*restart_by).orderBy(*sort_keys(order_by))
@@ -118,17 +114,7 @@ def number_rows(
     return _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats)
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> dict | None:
-    """Rows per group as a dict, or None when there are more than
-    MAX_LOCAL_SEGMENTS groups (then they are not collected)."""
-    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_LOCAL_SEGMENTS + 1).collect()
-    if len(rows) > MAX_LOCAL_SEGMENTS:
-        return None
-    return {tuple(r[k] for k in keys): r["_n"] for r in rows}
-
-
 def _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats):
-    spark = df.sparkSession
     exprs = _null_last_keys(df, restart_by + order_by)
     keys = [e.asc() for e in exprs]
     pid = F.spark_partition_id()
@@ -155,48 +141,21 @@ def _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, st
         aggs.append(F.max(_TIES).alias("_ties"))
     counts = staged.groupBy(*seg_keys).agg(*aggs)
     # One row per segment: at most n rows without a restart key (one per
-    # partition id), n + groups - 1 with one. Small: collect it, like the
-    # partition counts of RDD.zipWithIndex, take running sums, broadcast back.
-    rows = counts.limit(MAX_LOCAL_SEGMENTS + 1).collect()
-    if len(rows) <= MAX_LOCAL_SEGMENTS:
-        total = sum(r["_n"] for r in rows)
-        worst = max((r["_ties"] for r in rows), default=1) if on_ties == "fail" else 1
-        ordered = sorted(rows, key=lambda r: (tuple((r[k] is None, r[k]) for k in restart_by), r[PID]))
-        seen: dict = {}
-        base_rows = []
-        for r in ordered:
-            group = tuple(r[k] for k in restart_by)
-            before = seen.get(group, 0)
-            base_rows.append((r[PID], *group, before - r["_first"]))
-            seen[group] = before + r["_n"]
-        schema = T.StructType(
-            [counts.schema[PID], *[counts.schema[k] for k in restart_by], T.StructField(_BASE, T.LongType())]
-        )
-        seg_df = F.broadcast(spark.createDataFrame(base_rows, schema))
-    else:
-        spec = W.partitionBy(*restart_by) if restart_by else W.partitionBy()
-        before = spec.orderBy(PID).rowsBetween(W.unboundedPreceding, -1)
-        seg = counts.select(
-            *seg_keys,
-            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias(_BASE),
-            "_n",
-            *(["_ties"] if on_ties == "fail" else []),
-        )
-        seg = stage(seg, "numbering-segments")
-        summary = seg.agg(F.sum("_n"), *([F.max("_ties")] if on_ties == "fail" else [])).first()
-        total = summary[0]
-        worst = summary[1] if on_ties == "fail" else 1
-        seg_df = seg.select(*seg_keys, _BASE)
-    if worst and worst > 1:
-        where = ""
-        if restart_by and len(rows) <= MAX_LOCAL_SEGMENTS:
-            bad = sorted({tuple(r[k] for k in restart_by) for r in rows if r["_ties"] > 1}, key=str)
-            where = f" in groups {bad}"
-        raise DuplicateKeys(f"{restart_by + order_by} repeat (up to {worst} rows per key){where}")
+    # partition id), n + groups - 1 with one. Running sums over them inside each
+    # restart group: a group's segments are at most n rows.
+    before = W.partitionBy(*(restart_by or [F.lit(0)])).orderBy(PID).rowsBetween(W.unboundedPreceding, -1)
+    base = (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias(_BASE)
+    ties = ["_ties"] if on_ties == "fail" else []
+    seg, n_segments = stage_counted(counts.select(*seg_keys, base, "_n", *ties), "numbering-segments")
+    summary = seg.agg(F.sum("_n"), *[F.max(t) for t in ties]).first()
+    if ties and (summary[1] or 1) > 1:
+        bad = seg.where("_ties > 1").select(*restart_by).distinct().limit(5).collect() if restart_by else []
+        where = f" in groups such as {[tuple(r) for r in bad]}" if bad else ""
+        raise DuplicateKeys(f"{restart_by + order_by} repeat (up to {summary[1]} rows per key){where}")
     if stats is not None:
-        stats["rows"] = total
-        if len(rows) <= MAX_LOCAL_SEGMENTS:
-            stats["groups"] = dict(seen)
+        stats["rows"] = summary[0] or 0
+    seg = seg.select(*seg_keys, _BASE)
+    seg_df = F.broadcast(seg) if n_segments <= BROADCAST_SEGMENTS else seg
 
     s, g = staged.alias("s"), seg_df.alias("g")
     cond = [F.col(f"s.{PID}") == F.col(f"g.{PID}")] + [F.col(f"s.{k}").eqNullSafe(F.col(f"g.{k}")) for k in restart_by]

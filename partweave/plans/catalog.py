@@ -22,9 +22,11 @@ from ..operators.keys import orphans
 from ..operators.parts import part_inventory
 from ..operators.rollups import code_year_rollup, coverage_count
 from ..session import new_stage_path, stage
-from ..sources.csv import csv_view, read_csv, write_csv
+from ..registry import CLAIMS, ForeignKey, Registry
+from ..sources.csv import csv_view, read_csv, read_csv_parts, write_csv
 from ..sources.parts import land, read_parts, write_parts
 from ..streaming.landing import land_stream
+from .convert import integrate
 from .fixtures import fixture, read_table
 from .pipeline import Pipeline
 
@@ -186,7 +188,7 @@ def q_coverage_after_rebase(spark, d):
         p.output("demographic"),
         p.output("enrollment"),
         on="PatID",
-        by=["Sex", "Race"],
+        by=["Sex", "Hispanic", "Race"],
         flags={"MedCov": "Y", "DrugCov": "Y"},
     )
 
@@ -339,7 +341,7 @@ def q_coverage_patients(spark, d):
         p.output("demographic"),
         p.output("enrollment"),
         on="PatID",
-        by=["Sex", "Race"],
+        by=["Sex", "Hispanic", "Race"],
         flags={"MedCov": "Y", "DrugCov": "Y"},
         distinct_people="PatID",
     )
@@ -376,7 +378,88 @@ def q_bind_parts_union(spark, d):
     return union_parts(frames)
 
 
+def _numbered_files(df: DataFrame, n: int, folder: str, table: str, fmt: str) -> None:
+    """Writes ``df`` (with ``part`` 1..n) as one file a part, named like an extract. Odd
+    CSV parts have their columns the other way round."""
+    spark = df.sparkSession
+    jvm = spark._jvm
+    to = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(to)
+    names = [c for c in df.columns if c != "part"]
+    for i in range(1, n + 1):
+        one = df.where(F.col("part") == i).select(*(reversed(names) if fmt == "csv" and i % 2 else names)).coalesce(1)
+        made = f"{folder}-made-{i}"
+        if fmt == "csv":
+            write_csv(one, made)
+        else:
+            one.write.parquet(made)
+        name = f"{table}_{i}.csv" if fmt == "csv" else f"{table}-{i}-snappy.parquet"
+        file = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{made}/part-*"))[0].getPath()
+        fs.rename(file, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+
+
+def q_csv_parts_lossless(spark, d):
+    """Numbered CSV extracts of every line item: columns in another order in odd
+    parts, codes with leading zeros, quotes and commas inside fields, and a file of
+    another table whose name begins alike."""
+    path = new_stage_path(spark, "csv-parts")
+    li = read_table(spark, d, "lineitem")
+    code = F.lpad(F.col("l_partkey").cast("string"), 11, "0").alias("NDC")
+    note = F.concat(F.lit('say "'), F.col("l_returnflag"), F.lit('", twice, "" end')).alias("Note")
+    out = li.select(F.col("l_linenumber").cast("long").alias("part"), F.col("l_orderkey").alias("EncounterID"), F.col("l_suppkey").alias("PatID"), code, note)
+    _numbered_files(out, 7, path, "dispensing", "csv")
+    decoy = read_table(spark, d, "region").select(F.lit(1).cast("long").alias("part"), F.col("r_regionkey").alias("EncounterID"))
+    _numbered_files(decoy, 1, f"{path}-decoy", "dispensing_codes", "csv")
+    fs = spark._jvm.org.apache.hadoop.fs
+    to = fs.Path(f"{path}/dispensing_codes_1.csv")
+    to.getFileSystem(spark._jsc.hadoopConfiguration()).rename(fs.Path(f"{path}-decoy/dispensing_codes_1.csv"), to)
+    return land(read_csv_parts(spark, path, "dispensing")).select("part", "EncounterID", "PatID", "NDC", "Note")
+
+
+def q_flat_parquet_parts(spark, d):
+    """Numbered Parquet parts in one folder, the part taken from each file's name."""
+    path = new_stage_path(spark, "flat-parts")
+    o = read_table(spark, d, "orders")
+    part = (F.col("o_orderkey") % 5 + 1).cast("long").alias("part")
+    _numbered_files(o.select(part, "o_orderkey", "o_custkey", "o_orderdate"), 5, path, "encounter", "parquet")
+    return read_parts(spark, path, layout="flat").select("part", "o_orderkey", "o_custkey", "o_orderdate")
+
+
+def q_mixed_case_key(spark, d):
+    """A foreign key spelled in another case than its owner's is rewritten all the same."""
+    fx = fixture(spark, d)
+    tables = {"demographic": fx.demo_src, "enrollment": fx.enroll_src.withColumnRenamed("PatID", "patid")}
+    reg = Registry(("demographic", "enrollment"), {"demographic": "PatID"}, (ForeignKey("enrollment", "patid", "demographic"),))
+    return Pipeline(tables, reg).output("enrollment").select(F.col("PatID").alias("PatID"), "MedCov", "DrugCov")
+
+
+_INTEGRATED: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _integrated(spark: SparkSession, d: str) -> dict[str, str]:
+    """All nine tables landed as ``part=NN/`` folders, integrated and written, once an application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _INTEGRATED:
+        landing, out = new_stage_path(spark, "landing"), new_stage_path(spark, "output")
+        for t, df in fixture(spark, d).tables().items():
+            write_parts(land(df), f"{landing}/{t}")
+        _INTEGRATED[key] = integrate(spark, landing, out)
+    return _INTEGRATED[key]
+
+
+def _q_integrated(table: str) -> Query:
+    def query(spark, d):
+        return spark.read.parquet(_integrated(spark, d)[table])
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
+    "csv_parts_lossless": q_csv_parts_lossless,
+    "flat_parquet_parts": q_flat_parquet_parts,
+    "mixed_case_key": q_mixed_case_key,
+    **{f"integrated_{t}": _q_integrated(t) for t in CLAIMS.tables},
     "scan_table": q_scan_table,
     "row_count": q_row_count,
     "row_count_formatted": q_row_count_formatted,
@@ -442,7 +525,7 @@ FIXTURE_CTES = """
 demo_raw AS (
   SELECT CAST(n_regionkey + 1 AS BIGINT) AS part,
          row_number() OVER (PARTITION BY n_regionkey ORDER BY c_custkey) AS PatID,
-         c_custkey, c_mktsegment AS Sex, c_nationkey AS Race
+         c_custkey, c_mktsegment AS Sex, CASE WHEN c_acctbal < 0 THEN 'Y' ELSE 'N' END AS Hispanic, c_nationkey AS Race
   FROM customer JOIN nation ON c_nationkey = n_nationkey),
 demo_src AS (SELECT * FROM demo_raw WHERE c_custkey % 10 <> 0),
 fac_src AS (
@@ -472,14 +555,14 @@ enroll_src AS (
   FROM orders JOIN demo_raw d ON o_custkey = d.c_custkey),
 death_src AS (
   SELECT d.part, d.PatID, d.Sex AS Source
-  FROM demo_raw d JOIN customer c ON c.c_custkey = d.c_custkey WHERE c.c_acctbal < 0),
+  FROM demo_raw d),
 disp_src AS (
   SELECT e.part, e.PatID, l_suppkey + e.part AS ProviderID, CAST(l_partkey AS VARCHAR) AS NDC, l_shipdate AS RxDate
   FROM lineitem JOIN enc_src e ON l_orderkey = e.o_orderkey),
 proc_src AS (
   SELECT e.part, e.EncounterID, e.PatID, l_suppkey + e.part AS ProviderID,
          CAST(l_linenumber AS VARCHAR) AS PX, l_linestatus AS PX_codetype, l_shipdate AS ADate
-  FROM lineitem JOIN enc_src e ON l_orderkey = e.o_orderkey WHERE l_returnflag = 'R')"""
+  FROM lineitem JOIN enc_src e ON l_orderkey = e.o_orderkey)"""
 
 # Rebased owners and the cascade, shared by several oracles.
 _D = "d AS (SELECT part, PatID AS OrigPatID, row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src)"
@@ -571,8 +654,8 @@ ORACLES: dict[str, str] = {
         "count(*) - count(PatID) AS n_null, (count(*) = count(DISTINCT PatID) AND min(PatID) = 1 AND max(PatID) = count(*)) AS is_dense FROM d"
     ),
     "coverage_after_rebase": fix() + (
-        "SELECT d.Sex, d.Race, count(*) AS count FROM demo_src d JOIN enroll_src b ON d.part = b.part AND d.PatID = b.PatID "
-        "WHERE b.MedCov = 'Y' AND b.DrugCov = 'Y' GROUP BY d.Sex, d.Race"
+        "SELECT d.Sex, d.Hispanic, d.Race, count(*) AS count FROM demo_src d JOIN enroll_src b ON d.part = b.part AND d.PatID = b.PatID "
+        "WHERE b.MedCov = 'Y' AND b.DrugCov = 'Y' GROUP BY d.Sex, d.Hispanic, d.Race"
     ),
     "orphans_encounter": fix() + (
         "SELECT e.part, e.EncounterID, e.PatID FROM enc_src e ANTI JOIN demo_src d ON d.part = e.part AND d.PatID = e.PatID"
@@ -658,10 +741,10 @@ ORACLES.update(
             + ") GROUP BY part"
         ),
         "coverage_patients": fix(_D) + (
-            "SELECT s.Sex, s.Race, count(*) AS count, count(DISTINCT d.PatID) AS n_people FROM d "
+            "SELECT s.Sex, s.Hispanic, s.Race, count(*) AS count, count(DISTINCT d.PatID) AS n_people FROM d "
             "JOIN demo_src s ON s.part = d.part AND s.PatID = d.OrigPatID "
             "JOIN enroll_src b ON d.part = b.part AND d.OrigPatID = b.PatID "
-            "WHERE b.MedCov = 'Y' AND b.DrugCov = 'Y' GROUP BY s.Sex, s.Race"
+            "WHERE b.MedCov = 'Y' AND b.DrugCov = 'Y' GROUP BY s.Sex, s.Hispanic, s.Race"
         ),
         "describe_diagnosis_output": (
             "SELECT column_name, column_type FROM (DESCRIBE ("
@@ -682,7 +765,7 @@ ORACLES.update(
         "describe_demographic_output": (
             "SELECT column_name, column_type FROM (DESCRIBE ("
             + fix(_D)
-            + "SELECT s.c_custkey, s.Sex, s.Race, d.PatID FROM demo_src s JOIN d ON d.part = s.part AND d.OrigPatID = s.PatID))"
+            + "SELECT s.c_custkey, s.Sex, s.Hispanic, s.Race, d.PatID FROM demo_src s JOIN d ON d.part = s.part AND d.OrigPatID = s.PatID))"
         ),
         "describe_enrollment_output": (
             "SELECT column_name, column_type FROM (DESCRIBE ("
@@ -717,4 +800,30 @@ ORACLES.update(
     }
 )
 
+_ENROLLED = "SELECT d.PatID, b.MedCov, b.DrugCov FROM d JOIN enroll_src b ON d.part = b.part AND d.OrigPatID = b.PatID"
+ORACLES.update(
+    {
+        "csv_parts_lossless": (
+            "SELECT CAST(l_linenumber AS BIGINT) AS part, l_orderkey AS EncounterID, l_suppkey AS PatID, "
+            "lpad(CAST(l_partkey AS VARCHAR), 11, '0') AS NDC, 'say \"' || l_returnflag || '\", twice, \"\" end' AS Note FROM lineitem"
+        ),
+        "flat_parquet_parts": "SELECT CAST(o_orderkey % 5 + 1 AS BIGINT) AS part, o_orderkey, o_custkey, o_orderdate FROM orders",
+        "mixed_case_key": fix(_D) + _ENROLLED,
+        "integrated_demographic": fix(_D) + (
+            "SELECT s.c_custkey, s.Sex, s.Hispanic, s.Race, d.PatID FROM demo_src s JOIN d ON d.part = s.part AND d.OrigPatID = s.PatID"
+        ),
+        "integrated_facility": fix(_F) + "SELECT FacilityID FROM f",
+        "integrated_provider": fix(_P) + (
+            "SELECT s.s_name, p.ProviderID FROM prov_src s JOIN p ON p.part = s.part AND p.OrigProviderID = s.ProviderID"
+        ),
+        "integrated_encounter": fix(_D, _F, _E) + (
+            "SELECT f.FacilityID, d.PatID, e.o_orderkey, e.ADate, e.NewEncounterID AS EncounterID FROM e "
+            "JOIN d ON d.part = e.part AND d.OrigPatID = e.PatID JOIN f ON f.part = e.part AND f.OrigFacilityID = e.FacilityID"
+        ),
+        "integrated_enrollment": fix(_D) + _ENROLLED,
+        "integrated_diagnosis": fix(_D, _F, _P, _E, _E2, _DX_OUT) + "SELECT * FROM dx_out",
+        **{f"integrated_{t}": ORACLES[f"rewrite_fk_{t}"] for t in ("procedure", "dispensing", "death")},
+    }
+)
+
 assert set(ORACLES) == set(QUERIES), set(QUERIES) ^ set(ORACLES)

@@ -9,23 +9,25 @@ Each step writes to a new folder and never over its input.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..registry import CLAIMS, Registry
 from ..sources.csv import read_csv_parts
 from ..sources.parts import land, read_parts, write_parts
+from ..session import drop_stages
 from ..sources.sas import register
 from .pipeline import Pipeline
 
 
-def read_extract(spark: SparkSession, source_dir: str, table: str, fmt: str = "sas7bdat", chunk_rows: int = 100_000) -> DataFrame:
+def read_extract(spark: SparkSession, source_dir: str, table: str, fmt: str = "sas7bdat", chunk_rows: int = 100_000, schema: T.StructType | None = None) -> DataFrame:
     """All ``<table>_<i>.<ext>`` extracts of one table. CSV goes through
-    Spark's CSV reader (split across tasks); SAS formats through the
+    Spark's CSV reader (split across tasks), as text unless ``schema`` says more; SAS formats through the
     ``sasparts`` source, one task per file."""
     if fmt == "csv":
-        return read_csv_parts(spark, source_dir, table)
+        return read_csv_parts(spark, source_dir, table, schema)
     register(spark)
     return (
         spark.read.format("sasparts")
@@ -44,12 +46,16 @@ def land_tables(
     registry: Registry = CLAIMS,
     fmt: str = "sas7bdat",
     tables: Iterable[str] | None = None,
+    schemas: Mapping[str, T.StructType] | None = None,
+    exclude: tuple[str, ...] = (),
 ) -> dict[str, str]:
-    """Land every table: decode its extracts, cast ``*id`` columns to bigint,
-    write ``<landing_dir>/<table>/part=NN/``. Returns the paths written."""
+    """Land every table: decode its extracts, cast ``*id`` columns (except
+    ``exclude``) to bigint, write ``<landing_dir>/<table>/part=NN/``. Returns the
+    paths written. CSV columns without a type in ``schemas`` land as text; a cast
+    that would lose values shows in ``operators.columns.cast_audit`` of the extract."""
     out = {}
     for t in tables or registry.tables:
-        df = land(read_extract(spark, source_dir, t, fmt), registry.id_suffix)
+        df = land(read_extract(spark, source_dir, t, fmt, schema=(schemas or {}).get(t)), registry.id_suffix, exclude)
         out[t] = f"{landing_dir.rstrip('/')}/{t}"
         write_parts(df, out[t], registry.part)
     return out
@@ -66,11 +72,14 @@ def integrate(
     registry: Registry = CLAIMS,
     tables: Iterable[str] | None = None,
     max_records_per_file: int | None = None,
+    drop_staged: bool = False,
     **pipeline_options,
 ) -> dict[str, str]:
-    """Rebase owners, rewrite keys, bind and write every landed table."""
+    """Rebase owners, rewrite keys, bind and write every landed table.
+    ``drop_staged`` then deletes everything this application has staged: only for
+    an application that does nothing else, like the command line."""
     p = Pipeline(read_landing(spark, landing_dir, registry, tables), registry, **pipeline_options)
-    try:
-        return p.write(out_dir, max_records_per_file=max_records_per_file)
-    finally:
-        p.close()
+    paths = p.write(out_dir, max_records_per_file=max_records_per_file)
+    if drop_staged:
+        drop_stages(spark)
+    return paths

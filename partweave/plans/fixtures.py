@@ -53,16 +53,17 @@ class Fixture:
 
     @cached_property
     def demo_raw(self) -> DataFrame:
-        cust = self.t("customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+        cust = self.t("customer").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
         nation = checked_broadcast(self.t("nation").select("n_nationkey", "n_regionkey"))
         j = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
             (F.col("n_regionkey") + 1).cast("long").alias("part"),
             "c_custkey",
             F.col("c_mktsegment").alias("Sex"),
+            F.when(F.col("c_acctbal") < 0, "Y").otherwise("N").alias("Hispanic"),
             F.col("c_nationkey").alias("Race"),
         )
         j = number_rows(j, ["c_custkey"], "PatID", restart_by=["part"], method=self.method)
-        return j.select("part", "PatID", "c_custkey", "Sex", "Race")
+        return j.select("part", "PatID", "c_custkey", "Sex", "Hispanic", "Race")
 
     @cached_property
     def demo_src(self) -> DataFrame:
@@ -120,9 +121,7 @@ class Fixture:
 
     @cached_property
     def death_src(self) -> DataFrame:
-        c = self.t("customer").where(F.col("c_acctbal") < 0).select("c_custkey")
-        j = self.demo_raw.join(c, "c_custkey")
-        return j.select("part", "PatID", F.col("Sex").alias("Source"))
+        return self.demo_raw.select("part", "PatID", F.col("Sex").alias("Source"))
 
     @cached_property
     def _lines_per_encounter(self) -> DataFrame:
@@ -146,8 +145,7 @@ class Fixture:
 
     @cached_property
     def proc_src(self) -> DataFrame:
-        j = self._lines_per_encounter.where(F.col("l_returnflag") == "R")
-        return j.select(
+        return self._lines_per_encounter.select(
             "part",
             "EncounterID",
             "PatID",

@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.bind import bind, write_table
-from ..operators.broadcast import DEFAULT_MAX_BYTES, max_rows_for
+from ..operators.broadcast import DEFAULT_MAX_BYTES
 from ..operators.ids import assign_ids, assign_ids_many, key_map, orig_name
-from ..operators.keys import orphans, rewrite_fk
+from ..operators.keys import known_broadcast, orphans, rewrite_fk
 from ..registry import CLAIMS, Registry
-from ..session import stage_bucketed, stage_counted
+from ..session import stage_counted
 
 
 class Pipeline:
@@ -39,6 +39,7 @@ class Pipeline:
         parallel_jobs: int = 4,
         broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
         number_owners_together: bool = False,
+        num_partitions: int | None = None,
     ):
         unknown = set(tables) - set(registry.tables)
         if unknown:
@@ -60,8 +61,7 @@ class Pipeline:
         self._rows: dict[str, int] = {}
         self._rewritten: dict[str, DataFrame] = {}
         self._checked: set[str] = set()
-        self._bucketed: dict[str, DataFrame] = {}
-        self._bucketed_names: list = []
+        self.num_partitions = num_partitions
 
     # -- stages ---------------------------------------------------------
     def source(self, table: str) -> DataFrame:
@@ -83,7 +83,7 @@ class Pipeline:
         stats: dict = {}
         rb, km = assign_ids(
             self.source(owner) if src is None else src, self.reg.owners[owner], self.part, self.method,
-            self.on_duplicates, stats=stats, broadcast_max_bytes=self.broadcast_max_bytes,
+            self.on_duplicates, num_partitions=self.num_partitions, stats=stats, broadcast_max_bytes=self.broadcast_max_bytes,
         )
         return rb, km, stats
 
@@ -130,7 +130,7 @@ class Pipeline:
         if len(types) != 1:
             return False
         done = assign_ids_many(
-            {o: (self.source(o), self.reg.owners[o]) for o in todo}, self.part, broadcast_max_bytes=self.broadcast_max_bytes
+            {o: (self.source(o), self.reg.owners[o]) for o in todo}, self.part, self.num_partitions, self.broadcast_max_bytes
         )
         for o, (rb, km, rows) in done.items():
             self._keep(o, rb, km, {"rows": rows})
@@ -153,27 +153,7 @@ class Pipeline:
             km = self._keymaps[owner]
         else:
             km = key_map(self.rewritten(owner), id_col, self.part)
-        return self._co_located(id_col, km)
-
-    def _co_located(self, id_col: str, km: DataFrame) -> DataFrame:
-        """A key map too big to broadcast, joined by two or more children,
-        is written once bucketed and sorted on (part, Orig<id>): every later
-        sort-merge join shuffles only the child."""
-        rows = self.key_map_rows(id_col)
-        if (
-            self.broadcast == "never"
-            or rows is None
-            or rows <= max_rows_for(km, self.broadcast_max_bytes)
-            or len([c for c in self.reg.children_of(id_col) if c in self.raw]) < 2
-        ):
-            return km
-        if id_col not in self._bucketed:
-            table, name = stage_bucketed(
-                km.select(self.part, orig_name(id_col), id_col), [self.part, orig_name(id_col)], f"keymap-{id_col}"
-            )
-            self._bucketed[id_col] = table
-            self._bucketed_names.append((table.sparkSession, name))
-        return self._bucketed[id_col]
+        return km
 
     def key_map_rows(self, id_col: str) -> int | None:
         """Row count of a key map when already known (owners that are not
@@ -210,26 +190,27 @@ class Pipeline:
         """Per foreign key: (table_name, id_col, rows_in, orphans) - the
         child's input rows and how many of them that key's rewrite drops
         (NULL or unknown in the owner's part; for a cascaded key, an owner row
-        that was itself dropped). One pass per key: a left join to the key map
-        (unique keys, so no row multiplies) counted in a single aggregate."""
+        that was itself dropped). One pass per child: its keys are looked up
+        one after the other (left joins to distinct owner keys, so no row
+        multiplies, repeated owner keys or not) and counted in one aggregate."""
         frames = []
-        for fk in self.reg.foreign_keys:
-            if fk.child not in self.raw or fk.owner not in self.raw:
+        for child in self.reg.tables:
+            keys = [k for k in self.reg.keys_of(child) if self.reg.owner_of(k) in self.raw]
+            if child not in self.raw or not keys:
                 continue
-            src = self.rebased(fk.child) if fk.child in self.reg.owners else self.source(fk.child)
-            km = self.key_map(fk.id_col).select(
-                self.part, F.col(orig_name(fk.id_col)).alias(fk.id_col), F.lit(True).alias("_hit")
-            )
-            rows = self.key_map_rows(fk.id_col)
-            if self.broadcast == "auto" and rows is not None and rows <= max_rows_for(km, self.broadcast_max_bytes):
-                km = F.broadcast(km)
-            j = src.select(self.part, fk.id_col).join(km, [self.part, fk.id_col], "left")
-            frames.append(
-                j.agg(
-                    F.count(F.lit(1)).alias("rows_in"),
-                    F.count(F.when(F.col("_hit").isNull(), 1)).alias("orphans"),
-                ).select(F.lit(fk.child).alias("table_name"), F.lit(fk.id_col).alias("id_col"), "rows_in", "orphans")
-            )
+            src = self.rebased(child) if child in self.reg.owners else self.source(child)
+            seen = src.select(self.part, *keys)
+            for i, k in enumerate(keys):
+                km = self.key_map(k).select(self.part, F.col(orig_name(k)).alias(k))
+                km = (km.distinct() if self.on_duplicates == "keep" else km).withColumn(f"_hit{i}", F.lit(True))
+                km = known_broadcast(km, self.key_map_rows(k), self.broadcast, self.broadcast_max_bytes)
+                seen = seen.join(km, [self.part, k], "left")
+            rows = F.count(F.lit(1))
+            one = [
+                F.struct(F.lit(child).alias("table_name"), F.lit(k).alias("id_col"), rows.alias("rows_in"), F.count_if(F.col(f"_hit{i}").isNull()).alias("orphans"))
+                for i, k in enumerate(keys)
+            ]
+            frames.append(seen.agg(F.array(*one).alias("a")).select(F.inline("a")))
         return reduce(DataFrame.unionByName, frames)
 
     def output(self, table: str) -> DataFrame:
@@ -237,20 +218,11 @@ class Pipeline:
         df = self.rewritten(table)
         if table in self.reg.owners:
             df = df.drop(orig_name(self.reg.owners[table]))
-        return bind(df, self.part)
+        return bind(df, self.part, self.reg.ordered(table, [c for c in df.columns if c.lower() != self.part.lower()]))
 
     def outputs(self) -> dict[str, DataFrame]:
         return {t: self.output(t) for t in self.reg.tables if t in self.raw}
 
-    def close(self) -> None:
-        """Drop the catalog entries of bucketed key maps (their files stay
-        under the staging folder). Call once the outputs are written: later
-        reads of outputs that joined them would fail."""
-        for spark, name in self._bucketed_names:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self._bucketed.clear()
-        self._bucketed_names.clear()
-
     def write(self, out_dir: str, max_records_per_file: int | None = None) -> dict[str, str]:
         """Write every output as Snappy Parquet to ``out_dir/<table>`` (a new
         directory per run)."""

@@ -24,7 +24,8 @@ class Registry:
     foreign_keys: tuple[ForeignKey, ...]
     part: str = "part"
     id_suffix: str = "id"
-    _order: tuple[str, ...] = field(default=(), compare=False)
+    # table -> leading columns of its output, in order; others follow as they came
+    output_order: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def owner_of(self, id_col: str) -> str:
         for t, c in self.owners.items():
@@ -33,12 +34,17 @@ class Registry:
         raise KeyError(id_col)
 
     def keys_of(self, table: str) -> list[str]:
-        """Foreign keys of ``table``, in rewrite order."""
-        mine = {fk.id_col for fk in self.foreign_keys if fk.child == table}
-        return [k for k in self.key_order() if k in mine]
+        """Foreign keys of ``table``, in rewrite order, spelled as their owner spells them."""
+        mine = {fk.id_col.lower() for fk in self.foreign_keys if fk.child == table}
+        return [k for k in self.key_order() if k.lower() in mine]
 
     def children_of(self, id_col: str) -> list[str]:
-        return [fk.child for fk in self.foreign_keys if fk.id_col == id_col]
+        return [fk.child for fk in self.foreign_keys if fk.id_col.lower() == id_col.lower()]
+
+    def ordered(self, table: str, columns: list[str]) -> list[str]:
+        """``columns`` in the declared output order of ``table`` (names ignoring case)."""
+        rank = {c.lower(): i for i, c in enumerate(self.output_order.get(table, ()))}
+        return sorted(columns, key=lambda c: rank.get(c.lower(), len(rank)))
 
     def key_order(self) -> list[str]:
         """Owner IDs in an order where every owner's own foreign keys are

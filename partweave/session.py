@@ -17,9 +17,9 @@ _STAGE_SUBDIR = "partweave-stage"
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     app_name: str = "partweave",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     driver_memory: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
@@ -30,14 +30,15 @@ def build_session(
       not a size bound. Broadcasts happen either where the code has checked the
       size (``checked_broadcast``) or at runtime by AQE, from measured shuffle
       sizes (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+    * ``shuffle_partitions`` only when given: the cluster's own setting stands.
+      ``master=None`` takes what ``spark-submit`` provides.
     * UTC session time zone, so ``year()`` of a timestamp is machine independent.
     """
     b = (
-        SparkSession.builder.master(master)
+        (SparkSession.builder.master(master) if master else SparkSession.builder)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -47,6 +48,8 @@ def build_session(
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
     )
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:
         b = b.config("spark.driver.memory", driver_memory)
     for k, v in (extra or {}).items():
@@ -107,16 +110,8 @@ def stage_counted(df: DataFrame, tag: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(path), int(obs.get["rows"])
 
 
-def stage_bucketed(df: DataFrame, keys: list[str], tag: str, buckets: int | None = None) -> tuple[DataFrame, str]:
-    """Stage ``df`` as a bucketed, sorted table on ``keys`` (files under the
-    staging root, table in the session catalog). Sort-merge joins on exactly
-    those keys then shuffle only the other side - each later join saves the
-    shuffle and sort of this one. Buckets default to
-    ``spark.sql.shuffle.partitions`` so the planner keeps this side as is.
-    Returns the table and its catalog name (drop it when done)."""
-    spark = df.sparkSession
-    n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    path = new_stage_path(spark, tag)
-    name = f"pw_{tag.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    df.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
-    return spark.table(name), name
+def drop_stages(spark: SparkSession) -> None:
+    """Deletes the tables that this application staged. Call it once everything
+    that reads them is written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{stage_root(spark)}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

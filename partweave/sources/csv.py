@@ -1,37 +1,77 @@
 """CSV readers: declared schema (the production path), inferred schema, and
-a SQL temp view over a CSV path."""
+a SQL temp view over a CSV path. One dialect for reading and writing: fields in
+double quotes, a quote inside a field doubled (RFC 4180)."""
 
 from __future__ import annotations
 
+import csv as _csv
 import re
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.bind import SchemaMismatch
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True) -> DataFrame:
-    """With ``schema``: no inference pass, types as declared. Without: one
-    extra pass over the data to infer types."""
-    r = spark.read.option("header", str(header).lower())
+# Part files looked into at once from the driver (a header line or a footer each).
+LOOKS_AT_ONCE = 16
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType | None = None,
+    header: bool = True,
+    multi_line: bool = False,
+) -> DataFrame:
+    """With ``schema``: no inference pass, types as declared; every file's header must
+    name the schema's columns in its order, else the read fails. Without: one
+    extra pass over the data to infer types. ``multi_line`` allows newlines inside
+    quoted fields (a file is then read by one task)."""
+    r = spark.read.option("header", str(header).lower()).option("escape", '"').option("multiLine", str(multi_line).lower())
+    paths = [path] if isinstance(path, str) else list(path)
     if schema is not None:
-        return r.schema(schema).csv(path)
-    return r.option("inferSchema", "true").csv(path)
+        return r.option("enforceSchema", str(not header).lower()).schema(schema).csv(paths)
+    return r.option("inferSchema", "true").csv(paths)
 
 
 def csv_view(spark: SparkSession, name: str, path: str, header: bool = True, schema_ddl: str | None = None) -> DataFrame:
     """``CREATE OR REPLACE TEMP VIEW name USING csv`` and return the view."""
     cols = f"({schema_ddl}) " if schema_ddl else ""
     infer = "false" if schema_ddl else "true"
+    enforce = "false" if schema_ddl and header else "true"
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY VIEW {name} {cols}USING csv "
-        f"OPTIONS (path '{path}', header '{str(header).lower()}', inferSchema '{infer}')"
+        f"OPTIONS (path '{path}', header '{str(header).lower()}', inferSchema '{infer}', "
+        f"enforceSchema '{enforce}', escape '\"')"
     )
     return spark.table(name)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+    df.write.mode(mode).option("header", str(header).lower()).option("escape", '"').csv(path)
+
+
+def part_files(spark: SparkSession, directory: str, pattern: str, glob: str) -> dict[int, str]:
+    """part number -> path of the files in ``directory`` whose whole name matches
+    ``pattern`` (its first group is the number). Other names belong to other tables
+    and are left alone; two files of one number are refused, as is no file at all."""
+    # A binary-file scan that selects the path alone lists files and opens none.
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory.rstrip("/")).select("path")
+    found: dict[int, str] = {}
+    for (path,) in listed.collect():
+        m = re.fullmatch(pattern, path.rsplit("/", 1)[-1])
+        if m is None:
+            continue
+        if int(m[1]) in found:
+            raise SchemaMismatch(f"two files for part {int(m[1])}: {found[int(m[1])]} and {path}")
+        found[int(m[1])] = path
+    if not found:
+        raise FileNotFoundError(f"no file named like {pattern} in {directory}")
+    return dict(sorted(found.items()))
 
 
 def read_csv_parts(
@@ -41,11 +81,45 @@ def read_csv_parts(
     schema: T.StructType | None = None,
     header: bool = True,
     part: str = "part",
+    multi_line: bool = False,
 ) -> DataFrame:
     """All ``<table>_<i>.csv`` extracts of one table, read by Spark's own CSV
     reader (JVM-side, large files split across tasks), with ``part`` taken
-    from each row's file name. Declared ``schema``, or one inference pass."""
-    glob = f"{directory.rstrip('/')}/{table}_*.csv"
-    df = read_csv(spark, glob, schema=schema, header=header)
-    pattern = rf"^{re.escape(table)}_(\d+)\.csv$"
-    return df.withColumn(part, F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).try_cast("long"))
+    from each row's file name.
+
+    Columns are bound by header name: parts may order their columns
+    differently, and files with one header are one scan. Every part must name the
+    same columns (ignoring case); a column more or fewer is refused. Types come
+    from ``schema``; without it every column is text, so nothing is lost to a guess
+    (leading zeros). Without a header line a ``schema`` is needed and binds by position."""
+    pattern = rf"{re.escape(table)}_(\d+)\.csv"
+    files = part_files(spark, directory, pattern, f"{table}_*.csv")
+    number = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).cast("long")
+    if not header:
+        if schema is None:
+            raise ValueError("files without a header line need a schema")
+        return read_csv(spark, list(files.values()), schema, header=False, multi_line=multi_line).withColumn(part, number)
+    heads = _headers(spark, list(files.values()))
+    first = next(iter(heads.values()))
+    names = schema.fieldNames() if schema is not None else list(first)
+    fields = {n.lower(): schema[n] if schema is not None else T.StructField(n, T.StringType()) for n in names}
+    by_head: dict[tuple[str, ...], list[str]] = {}
+    for path, head in heads.items():
+        if sorted(h.lower() for h in head) != sorted(fields):
+            raise SchemaMismatch(f"{path} has columns {list(head)}, expected {names}")
+        by_head.setdefault(head, []).append(path)
+    frames = []
+    for head, paths in by_head.items():
+        own = T.StructType([T.StructField(h, fields[h.lower()].dataType) for h in head])
+        df = read_csv(spark, paths, own, multi_line=multi_line).withColumn(part, number)
+        frames.append(df.select(*[F.col(n).alias(n) for n in names], part))
+    return reduce(DataFrame.unionAll, frames)
+
+
+def _headers(spark: SparkSession, paths: Sequence[str]) -> Mapping[str, tuple[str, ...]]:
+    def head(path: str) -> tuple[str, ...]:
+        line = spark.read.text(path).first()
+        return tuple(next(_csv.reader([line[0].lstrip("﻿")]))) if line and line[0] else ()
+
+    with ThreadPoolExecutor(LOOKS_AT_ONCE) as ex:
+        return dict(zip(paths, ex.map(head, paths), strict=True))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.bind import SchemaMismatch
 from ..operators.columns import cast_ids_by_suffix
+from .csv import LOOKS_AT_ONCE
 
 # Fixed value: file-name pattern of a converted part, ``<table>-<i>-snappy.parquet``.
 PART_FILE_PATTERN = r"-(\d+)-snappy\.parquet$"
@@ -35,8 +38,9 @@ def read_parts(
     ``layout='partitioned'``: ``<path>/part=NN/*.parquet`` - partition
     discovery, and a filter on ``part`` prunes whole directories.
     ``layout='flat'``: files named like ``<table>-<i>-snappy.parquet`` - the
-    part is read from each file's name (a data filter, not a pruning one);
-    the files' schemas must agree (``check_schemas``).
+    part is read from each file's name (a data filter, not a pruning one); a
+    file with another name is refused. In both layouts all parts must have one
+    schema (``check_schemas``, footers only), unless ``schema`` declares it.
     """
     paths = [path] if isinstance(path, str) else list(path)
     r = spark.read.schema(schema) if schema is not None else spark.read
@@ -44,29 +48,38 @@ def read_parts(
         df = r.parquet(*paths)
         if part not in df.columns:
             raise ValueError(f"no {part}=NN directories under {paths}")
+        if check_schemas and schema is None:
+            check_part_schemas(spark, sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()}))
         return df.withColumn(part, F.col(part).cast("long"))
     if layout == "flat":
-        if check_schemas and schema is None and len(paths) > 1:
-            # Parts are bound by position downstream: refuse drifting schemas
-            # (footers only, no data read).
-            check_part_schemas(spark, paths)
+        files = sorted(f for p in paths for f in spark.read.parquet(p).inputFiles())
+        foreign = [f for f in files if not re.search(pattern, f)]
+        if foreign:
+            raise ValueError(f"not named as a part ({pattern}): {foreign[:5]}")
+        if check_schemas and schema is None:
+            check_part_schemas(spark, files)
         df = r.parquet(*paths)
         return df.withColumn(part, part_from_file_name(pattern))
     raise ValueError("layout must be 'partitioned' or 'flat'")
 
 
-def check_part_schemas(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
-    """Refuse parts whose schemas differ (names ignoring case, and types).
-    Reads footers only."""
+def check_part_schemas(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
+    """Refuse parts (files, or folders of files) whose schemas differ (names
+    ignoring case, and types). Reads footers only, several parts at once; the
+    footers inside a folder are merged by a Spark job."""
+
+    def schema(path: str) -> T.StructType:
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
+
     first = None
-    for p in paths:
-        s = spark.read.parquet(p).schema
-        shape = [(f.name.lower(), f.dataType.simpleString()) for f in s.fields]
-        if first is None:
-            first, first_schema = shape, s
-        elif shape != first:
-            raise SchemaMismatch(f"part {p} has schema {shape}, expected {first}")
-    return first_schema
+    with ThreadPoolExecutor(LOOKS_AT_ONCE) as ex:
+        for p, s in zip(paths, ex.map(schema, paths), strict=True):
+            shape = [(f.name.lower(), f.dataType.simpleString()) for f in s.fields]
+            if first is None:
+                first, first_schema = shape, s
+            elif shape != first:
+                raise SchemaMismatch(f"part {p} has schema {shape}, expected {first}")
+    return None if first is None else first_schema
 
 
 def land(df: DataFrame, id_suffix: str = "id", exclude: tuple[str, ...] = ()) -> DataFrame:

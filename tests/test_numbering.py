@@ -67,13 +67,13 @@ def test_unknown_method(spark):
 
 
 def test_staged_segment_fallback_matches(spark, monkeypatch):
-    """More segments than fit a local table: staged and shuffle-joined."""
+    """More segments than may be broadcast: shuffle-joined."""
     import partweave.operators.numbering as N
 
     rows = [(p, i, "x") for p in range(1, 7) for i in range(20)]
     df = _frame(spark, rows)
     want = {(r.part, r.id): r.n for r in number_rows(df, ["id"], "n", restart_by=["part"]).collect()}
-    monkeypatch.setattr(N, "MAX_LOCAL_SEGMENTS", 1)
+    monkeypatch.setattr(N, "BROADCAST_SEGMENTS", 1)
     stats = {}
     got = {(r.part, r.id): r.n for r in number_rows(df, ["id"], "n", restart_by=["part"], stats=stats).collect()}
     assert got == want and stats["rows"] == 120
