@@ -625,10 +625,10 @@ ORACLES: dict[str, str] = {
         "FROM demo_src GROUP BY part"
     ),
     "rebase_patid": fix() + (
-        "SELECT part, PatID AS OrigPatID, c_custkey, Sex, Race, row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src"
+        "SELECT part, PatID AS OrigPatID, c_custkey, Sex, Hispanic, Race, row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src"
     ),
     "rebase_patid_window": fix() + (
-        "SELECT part, PatID AS OrigPatID, c_custkey, Sex, Race, row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src"
+        "SELECT part, PatID AS OrigPatID, c_custkey, Sex, Hispanic, Race, row_number() OVER (ORDER BY part, PatID) AS PatID FROM demo_src"
     ),
     "rebase_encounterid": fix() + (
         "SELECT part, EncounterID AS OrigEncounterID, o_orderkey, row_number() OVER (ORDER BY part, EncounterID) AS EncounterID FROM enc_src"

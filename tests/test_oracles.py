@@ -28,7 +28,7 @@ def test_every_query_has_an_oracle():
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.columns == ["Sex", "Race", "count"]
+    assert df.columns == ["Sex", "Hispanic", "Race", "count"]
     assert df.count() == 84
 
 
