@@ -32,7 +32,7 @@ from .common import broadcast_within, fresh_name, stage
 
 STEPS = 6  # halvings of the exponent's interval in one pass over the sources
 ROUNDS = 9  # 54 halvings: as fine as a double is between 0 and 1
-RANGE_ROWS = 20_000
+RANGE_ROWS = 1_000
 AHEAD_ROWS = 400_000  # range totals that may be broadcast, of about 120 bytes each: 48 MB
 FINE_BITS = 20  # a source has at most so many hash ranges, as a power of two
 WORD = "[^ \\t\\n\\x0B\\f\\r]+"

@@ -22,7 +22,6 @@ many documents share is no single task.
 from __future__ import annotations
 
 import bisect
-import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,7 +35,7 @@ from .common import as_long, broadcast_within, in_arrow, stage
 
 CAPACITY = 4096
 END_ID = 1
-RANGE_ROWS = 20_000
+RANGE_ROWS = 1_000
 AHEAD_ROWS = 1_000_000  # range totals that may be broadcast, 24 bytes each
 _CACHE = 300_000
 
@@ -251,19 +250,19 @@ def pack_documents(
     cut = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cut = in_arrow(cut, _cut, kind, path=tokenizer_path, capacity=capacity, end_id=end_id, keep=keep_ids)
     pieces = stage(cut, "pack-pieces")
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = PackingPlan(counts, capacity)
-    ranges = max(1, math.ceil(max(counts.values(), default=0) / RANGE_ROWS))
+    sizes = stage(pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")), "pack-sizes")  # `capacity` rows at most
+    plan = PackingPlan({r["length"]: r["n"] for r in sizes.collect()}, capacity)
 
-    at = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(ranges)).cast("int")
-    pieces = pieces.withColumn("range", at)
+    own = sizes.select("length", F.ceil(F.col("n") / RANGE_ROWS).alias("ranges"))
+    at = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("ranges")).cast("int")
+    pieces = pieces.join(F.broadcast(own), "length").withColumn("range", at).drop("ranges")
     before = Window.partitionBy("length").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ahead = pieces.groupBy("length", "range").agg(F.count(F.lit(1)).alias("n"))
     ahead = stage(ahead.select("length", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead")), "pack-ahead")
     inside = Window.partitionBy("length", "range").orderBy("doc_id", "piece", "ids_crc32")
     ranked = pieces.withColumn("nth", F.row_number().over(inside))
     ranked = ranked.join(broadcast_within(ahead, AHEAD_ROWS), ["length", "range"])
-    names = [c for c in pieces.columns if c != "range"]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids]
     ranked = ranked.select(*names, (F.col("ahead") + F.col("nth") - 1).alias("rank"))
     shared = docs.sparkSession.sparkContext.broadcast(plan.tables())
     return in_arrow(ranked, _place, f"{kind}, sequence_id long, offset long", plan=shared)
