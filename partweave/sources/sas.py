@@ -13,8 +13,7 @@ the driver. The part number is taken from the file name.
           .load())
     landed = land(df)                          # *id columns -> bigint
 
-Options: ``path``, ``table``, ``format`` (``sas7bdat`` | ``xport`` | ``csv``;
-``csv`` parts use the same layout and serve the CSV copies of extracts),
+Options: ``path``, ``table``, ``format`` (``sas7bdat`` | ``xport``),
 ``encoding``, ``chunk_rows``. Files are listed through ``pyarrow.fs``, which
 reads local, HDFS and object-store URIs.
 """
@@ -36,7 +35,7 @@ from pyspark.sql.types import (
 
 # File extension per format, and the part-number pattern
 # ``<table>_<i>.<ext>`` of an extract file.
-EXTENSIONS = {"sas7bdat": "sas7bdat", "xport": "xpt", "csv": "csv"}
+EXTENSIONS = {"sas7bdat": "sas7bdat", "xport": "xpt"}
 PART_NAME = r"^{table}_(\d+)\.{ext}$"
 
 
@@ -76,11 +75,7 @@ def _chunks(uri: str, fmt: str, encoding: str | None, chunk_rows: int):
 
     fh = _open(uri)
     try:
-        if fmt == "csv":
-            it = pd.read_csv(fh, chunksize=chunk_rows, encoding=encoding or "utf-8")
-        else:
-            it = pd.read_sas(fh, format=fmt, encoding=encoding, chunksize=chunk_rows)
-        for chunk in it:
+        for chunk in pd.read_sas(fh, format=fmt, encoding=encoding, chunksize=chunk_rows):
             if fmt == "xport":
                 for c in chunk.columns:
                     if pd.api.types.is_float_dtype(chunk[c].dtype):
@@ -117,10 +112,11 @@ class SasPartsDataSource(DataSource):
         return o["path"], o["table"], fmt, o.get("encoding"), int(o.get("chunk_rows", "100000"))
 
     def schema(self) -> StructType:
-        """Columns of the first part's first chunk, plus ``part``."""
+        """Columns of the first part, plus ``part``. Names and types stand in the file's
+        own header; one row is read to have pandas open it. Parts that lack a column are refused."""
         path, table, fmt, enc, _ = self._opts()
         _, first = _list_parts(path, table, fmt)[0]
-        head = next(iter(_chunks(first, fmt, enc, 1000)))
+        head = next(iter(_chunks(first, fmt, enc, 1)))
         fields = [StructField(str(c), _spark_type(t), True) for c, t in head.dtypes.items()]
         return StructType(fields + [StructField("part", LongType(), True)])
 

@@ -1,4 +1,3 @@
-import pandas as pd
 import pytest
 
 from partweave.sources.parts import land
@@ -6,27 +5,29 @@ from partweave.sources.sas import register
 
 
 def test_parts_read_in_parallel_with_part_from_name(spark, tmp_path):
+    from tests.xport_writer import write_xport
+
+    cols = [("PatID", "num", 8), ("PX", "char", 6), ("EncId", "num", 8)]
     for i, n in ((1, 3), (2, 2), (12, 4)):
-        pd.DataFrame(
-            {"PatID": [float(k) for k in range(n)], "PX": [f"p{i}{k}" for k in range(n)], "EncounterID": [k + 0.5 for k in range(n)]}
-        ).to_csv(tmp_path / f"procedure_{i}.csv", index=False)
-    (tmp_path / "procedure_x.csv").write_text("junk")
+        write_xport(str(tmp_path / f"procedure_{i}.xpt"), "PROC", cols, [(float(k + 1), f"p{i}{k}", k + 0.5) for k in range(n)])
+    (tmp_path / "procedure_x.xpt").write_text("junk")
     register(spark)
     df = (
         spark.read.format("sasparts")
         .option("path", str(tmp_path))
         .option("table", "procedure")
-        .option("format", "csv")
+        .option("format", "xport")
+        .option("encoding", "ascii")
         .option("chunk_rows", "2")
         .load()
     )
     assert df.rdd.getNumPartitions() == 3
-    assert [f.name for f in df.schema.fields] == ["PatID", "PX", "EncounterID", "part"]
+    assert [f.name for f in df.schema.fields] == ["PatID", "PX", "EncId", "part"]
     out = land(df)
-    assert dict(out.dtypes) == {"PatID": "bigint", "PX": "string", "EncounterID": "bigint", "part": "bigint"}
+    assert dict(out.dtypes) == {"PatID": "bigint", "PX": "string", "EncId": "bigint", "part": "bigint"}
     counts = {r.part: r["count"] for r in out.groupBy("part").count().collect()}
     assert counts == {1: 3, 2: 2, 12: 4}
-    assert out.where("part = 12 AND PX = 'p123'").first().EncounterID == 3
+    assert out.where("part = 12 AND PX = 'p123'").first().EncId == 3
 
 
 def test_missing_parts_fail(spark, tmp_path):
