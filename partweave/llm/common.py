@@ -9,7 +9,6 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,25 +34,6 @@ def in_arrow(df: DataFrame, step: Callable, schema: str, **options) -> DataFrame
     return df.mapInArrow(partial(step, **options), schema)
 
 
-_CACHE_WORDS = 400_000
-
-
-class _WordHashes(dict):
-    """word (bytes) -> 64-bit hash, remembered for the life of the Python worker.
-    Starts afresh when full, so a worker's memory stays bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_WORDS = _WordHashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_WORDS.__getitem__, words), U64, len(words))
 
 
 _SLICE_BYTES = 1 << 20

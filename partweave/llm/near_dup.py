@@ -46,12 +46,12 @@ from .common import (
     as_long,
     connected_components,
     count_slices,
+    hashed_words,
     in_arrow,
     mix64,
     rarity_of,
     rows_of,
     stage,
-    word_hashes,
 )
 
 _SLOT = np.uint16
@@ -82,7 +82,7 @@ def shingle_set(text: bytes | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit ids of a text's shingles: A-Z lower-cased, words
     between ASCII white space, ``words`` words to a shingle; a shorter text is
     one shingle, a text without words the empty set."""
-    h = word_hashes((text or b"").lower().split())
+    _, h = hashed_words(np.frombuffer(text or b"", np.uint8))
     if not len(h):
         return h
     k = min(words, len(h))
