@@ -19,10 +19,19 @@ U64 = np.uint64
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def workers_import(spark) -> None:
     """Puts this package's folder on the Python workers' path, for local mode and
     installations at one path. A cluster without one gets it by ``--py-files``.
-    Functions imported (not pickled) keep their caches for a worker's life."""
+    Functions imported (not pickled) keep their caches for a worker's life.
+
+    Also holds Arrow batches to ``BATCH_ROWS`` rows in this session, as rows here are
+    whole texts and vectors: the default of 10,000 would hold many MB a batch, more than once."""
+    if int(spark.conf.get(_BATCH_CONF)) > BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, env.get("PYTHONPATH")]))

@@ -49,11 +49,11 @@ from .common import (
 
 LISTED = 2
 BUCKET_ENTRIES = 300_000  # prefix entries a bucket should have
-BROADCAST_LINES = 2_000_000  # removed line numbers that may be broadcast: 16 MB
+BROADCAST_LINES = 2_000_000  # line numbers that may be broadcast, gathered by document
 _LINES = 4096  # lines worked on at a time: their index takes 12 bits of a sort key
 _WORD_BITS = 46
 _BYTES = 1 << 20  # of text worked on at a time
-_ENTRY = np.dtype([("word", "<u4"), ("n", "<u2"), ("pos", "u1"), ("sketch", "<u8"), ("doc", "<i8"), ("line", "<u4")])
+_ENTRY = np.dtype([("word", "<u4"), ("n", "<u2"), ("pos", "u1"), ("sketch", "<u8", 2), ("doc", "<i8"), ("line", "<u4")])
 
 
 def _groups(texts: list[bytes | None]) -> Iterator[list[int]]:
@@ -128,7 +128,9 @@ def _lines(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Ite
         docs = batch.column(0).to_numpy(zero_copy_only=False)
         for doc, number, n, start, words in _line_words(batch.column(1).to_pylist(), rarity):
             h1, h2 = _hashes(words, n, start)
-            sketch = _reduced(np.bitwise_xor, U64(1) << (mix64(words) >> U64(58)), n, start)
+            at = mix64(words) >> U64(57)  # of 128 bits: the parity of the words that fall on it
+            low, high = (np.where(at >> U64(6) == U64(i), U64(1) << (at & U64(63)), U64(0)) for i in (0, 1))
+            low, high = (_reduced(np.bitwise_xor, x, n, start) for x in (low, high))
             first = np.where(n > 0, n - (num * n + den - 1) // den + 1, 0)
             place = np.arange(len(words)) - np.repeat(start, n)
             prefix = (mix64(words) & U64(0xFFFFFFFF)).astype(np.uint32)[place < np.repeat(first, n)].view(np.int32)
@@ -140,10 +142,11 @@ def _lines(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Ite
                     pa.array(n.astype(np.int32)),
                     as_long(h1),
                     as_long(h2),
-                    as_long(sketch),
+                    as_long(low),
+                    as_long(high),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix)),
                 ],
-                ["doc", "line", "n", "h1", "h2", "sketch", "prefix"],
+                ["doc", "line", "n", "h1", "h2", "low", "high", "prefix"],
             )
 
 
@@ -164,14 +167,14 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         )
 
     for batch in batches:
-        doc, line, n, sketch = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        prefix = batch.column(4)
+        doc, line, n, low, high = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        prefix = batch.column(5)
         count = np.diff(prefix.offsets.to_numpy())
         out = np.empty(int(count.sum()), _ENTRY)
         out["word"] = prefix.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
         out["n"] = np.repeat(np.minimum(n, 0xFFFF), count)
         out["pos"] = np.minimum(np.arange(len(out)) - np.repeat(np.cumsum(count) - count, count), 255)
-        out["sketch"] = np.repeat(sketch.view(U64), count)
+        out["sketch"] = np.repeat(np.stack([low, high], axis=1).view(U64), count, axis=0)
         out["doc"], out["line"] = np.repeat(doc, count), np.repeat(line, count)
         held.append(out)
         if sum(map(len, held)) >= 1_000_000:
@@ -185,7 +188,8 @@ def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
     pass the filters, at most ``LISTED`` for a line and word; ``more`` where there are others."""
     e = np.frombuffer(b"".join(table.column("entries").to_pylist()), _ENTRY)
     e = e[np.lexsort((e["line"], e["doc"], e["word"]))]
-    n, pos, sketch = e["n"].astype(np.int64), e["pos"].astype(np.int64), e["sketch"].copy()
+    n, pos = e["n"].astype(np.int64), e["pos"].astype(np.int64)
+    low, high = (np.ascontiguousarray(e["sketch"][:, i]) for i in (0, 1))
     first = np.flatnonzero(np.concatenate([[True], e["word"][1:] != e["word"][:-1]])) if len(e) else np.empty(0, np.int64)
     depth = np.arange(len(e)) - np.repeat(first, np.diff(np.append(first, len(e))))  # earlier entries of the word
     listed = np.zeros(len(e), np.int64)
@@ -194,7 +198,8 @@ def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
     later, back = np.flatnonzero(depth > 0), 1
     while len(later):
         nx, ny = n[later - back], n[later]
-        near = np.bitwise_count(sketch[later - back] ^ sketch[later]) * (num + den) <= (den - num) * (nx + ny)
+        apart = np.bitwise_count(low[later - back] ^ low[later]) + np.bitwise_count(high[later - back] ^ high[later])
+        near = apart.astype(np.int64) * (num + den) <= (den - num) * (nx + ny)
         near &= (den * nx >= num * ny) & (den * ny >= num * nx)
         near |= (nx == 0xFFFF) | (ny == 0xFFFF)  # a length beyond the field: only verification decides
         hit, nx, ny = later[near], nx[near], ny[near]
@@ -222,18 +227,22 @@ def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
 
 
 def _line_sets(batches: Iterator[pa.RecordBatch], rarity) -> Iterator[pa.RecordBatch]:
+    """The word sets of each document's wanted lines."""
     rarity = np.frombuffer(rarity.value, np.uint8)
     for batch in batches:
         docs = batch.column(0).to_numpy(zero_copy_only=False)
+        wanted = batch.column(2).to_pylist()
         for doc, number, n, start, words in _line_words(batch.column(1).to_pylist(), rarity):
             h1, h2 = _hashes(words, n, start)
+            asked = np.concatenate([np.isin(number[doc == i], wanted[i]) for i in np.unique(doc)])
+            kept = words[np.repeat(asked, n)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    as_long(docs[doc]),
-                    pa.array(number.astype(np.int32)),
-                    as_long(h1),
-                    as_long(h2),
-                    binary_runs(words, n),
+                    as_long(docs[doc[asked]]),
+                    pa.array(number[asked].astype(np.int32)),
+                    as_long(h1[asked]),
+                    as_long(h2[asked]),
+                    binary_runs(kept, n[asked]),
                 ],
                 ["doc", "line", "h1", "h2", "words"],
             )
@@ -279,7 +288,7 @@ def removed_lines(
         in_arrow(
             texts,
             _lines,
-            "doc long, line int, n int, h1 long, h2 long, sketch long, prefix array<int>",
+            "doc long, line int, n int, h1 long, h2 long, low long, high long, prefix array<int>",
             rarity=rarity,
             num=num,
             den=den,
@@ -288,8 +297,8 @@ def removed_lines(
     )
     buckets = max(1, 10 * total // BUCKET_ENTRIES)
     worded = lines.where("n > 0")
-    first = worded.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "n", "sketch", "prefix")).alias("f"))
-    classes = first.select("f.doc", "f.line", "f.n", "f.sketch", "f.prefix")
+    first = worded.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "n", "low", "high", "prefix")).alias("f"))
+    classes = first.select("f.doc", "f.line", "f.n", "f.low", "f.high", "f.prefix")
     packed = in_arrow(classes, _pack, "bucket int, entries binary", buckets=buckets)
     pairs = stage(
         packed.groupBy("bucket")
@@ -305,11 +314,10 @@ def removed_lines(
         """Keys (h1, h2, ydoc, yline) of lines that have a verified earlier match among ``pairs``."""
         wanted = pairs.select(F.col("xdoc").alias("wdoc"), F.col("xline").alias("wline"))
         wanted = stage(wanted.unionAll(pairs.select("ydoc", "yline")).distinct(), f"{tag}-wanted")
-        owners = wanted.select("wdoc").distinct()
-        sets = texts.join(checked_broadcast(owners), F.col("doc") == F.col("wdoc"), "left_semi").select("doc", "body")
+        owners = wanted.groupBy("wdoc").agg(F.collect_list("wline").alias("wlines"))  # a document's own lines
+        owners = F.broadcast(owners) if is_at_most(wanted, BROADCAST_LINES) else owners
+        sets = texts.join(owners, F.col("doc") == F.col("wdoc")).select("doc", "body", "wlines")
         sets = in_arrow(sets, _line_sets, "doc long, line int, h1 long, h2 long, words binary", rarity=rarity)
-        here = (F.col("doc") == F.col("wdoc")) & (F.col("line") == F.col("wline"))
-        sets = sets.join(checked_broadcast(wanted), here, "left_semi")
         sets = stage(sets.dropDuplicates(["doc", "line", "h1", "h2"]), f"{tag}-sets")
         x = sets.select(F.col("doc").alias("xdoc"), F.col("line").alias("xline"), F.col("words").alias("xwords"))
         y = sets.toDF("ydoc", "yline", "h1", "h2", "ywords")
@@ -323,9 +331,9 @@ def removed_lines(
     rest = pairs.where("more").select("ydoc", "yline").distinct().join(gone, ["ydoc", "yline"], "left_anti")
     rest = stage(rest, "ld-rest")
     if not rest.isEmpty():
-        entry = [F.col(c) for c in ("doc", "line", "n", "sketch")]
+        entry = [F.col(c) for c in ("doc", "line", "n", "low", "high")]
         entries = classes.select(*entry, F.posexplode("prefix").alias("pos", "word"))
-        names = ["doc", "line", "n", "sketch", "pos"]
+        names = ["doc", "line", "n", "low", "high", "pos"]
         here = (F.col("doc") == F.col("ydoc")) & (F.col("line") == F.col("yline"))
         y = entries.join(checked_broadcast(rest), here, "left_semi")
         y = checked_broadcast(stage(y.select("word", *(F.col(c).alias(f"y{c}") for c in names)), "ld-rest-words"))
@@ -333,7 +341,7 @@ def removed_lines(
         need = f"ceil({num} * (xn + yn) / {num + den})"
         more = x.join(y, "word").where(
             f"(xdoc < ydoc or xdoc = ydoc and xline < yline) and {den} * xn >= {num} * yn and {den} * yn >= {num} * xn"
-            f" and least(xn - xpos, yn - ypos) >= {need} and bit_count(xsketch ^ ysketch) <= xn + yn - 2 * {need}"
+            f" and least(xn - xpos, yn - ypos) >= {need} and bit_count(xlow ^ ylow) + bit_count(xhigh ^ yhigh) <= xn + yn - 2 * {need}"
         )
         more = stage(more.select("xdoc", "xline", "ydoc", "yline").distinct(), "ld-more")
         gone = gone.unionAll(similar(more, "ld-second"))
