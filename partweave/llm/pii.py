@@ -14,7 +14,6 @@ must contain a rewritten character, so clean text gains nothing.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
