@@ -176,7 +176,7 @@ class _Reader:
 _READERS: dict[LanguageModel, _Reader] = {}
 
 
-def _identify(batches: Iterator[pa.RecordBatch], model, at: int) -> Iterator[pa.RecordBatch]:
+def _identify(batches: Iterator[pa.RecordBatch], model, at: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     if model.value not in _READERS:  # a worker keeps the words of its last model
         _READERS.clear()
         _READERS[model.value] = _Reader(model.value)
@@ -185,7 +185,7 @@ def _identify(batches: Iterator[pa.RecordBatch], model, at: int) -> Iterator[pa.
         found = [reader.read(t) for t in batch.column(at).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-            [*batch.schema.names, "lang_pred", "score"],
+            names,
         )
 
 
@@ -200,7 +200,7 @@ def identify_languages(
     pred, score = fresh_name(docs.columns, pred_col), fresh_name(docs.columns, score_col)
     schema = T.StructType([*docs.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return in_arrow(docs, _identify, schema, model=shared, at=docs.columns.index(text_col))
+    return in_arrow(docs, _identify, schema, model=shared, at=docs.columns.index(text_col), names=schema.names)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -158,7 +158,7 @@ def test_language_of_awkward_rows(awkward, nothing):
     assert out.columns[-2:] == ["lang_pred", "_score"]
     got = {r.doc_id: (r.lang_pred, r._score) for r in out.collect()}
     assert all(got[i] == ("und", 0.0) for i in (6, 7, 8, 9))
-    assert got[1][0] == "en" and got[13][0] == "de"
+    assert got[12][0] == "en" and got[13][0] == "de"
     empty = fit_languages(nothing, F.lit(True))
     assert {r.lang_pred for r in identify_languages(awkward, empty).collect()} == {"und"}
     assert identify_languages(nothing, model).count() == 0
