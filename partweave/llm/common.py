@@ -23,6 +23,18 @@ BATCH_ROWS = 1000
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+# Large arrays go back to the system when freed, so a worker that served one
+# operator does not hold their memory through the next.
+_WORKER_MEMORY = {
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+#: Module name -> what empties the caches that it keeps in a Python worker.
+WORKER_CACHES: dict[str, Callable[[], None]] = {}
+
+
 def workers_import(spark) -> None:
     """Puts this package's folder on the Python workers' path, for local mode and
     installations at one path. A cluster without one gets it by ``--py-files``.
@@ -33,6 +45,8 @@ def workers_import(spark) -> None:
     if int(spark.conf.get(_BATCH_CONF)) > BATCH_ROWS:
         spark.conf.set(_BATCH_CONF, BATCH_ROWS)
     env = spark.sparkContext.environment
+    for name, value in _WORKER_MEMORY.items():
+        env.setdefault(name, value)
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, env.get("PYTHONPATH")]))
 
@@ -40,12 +54,20 @@ def workers_import(spark) -> None:
 def in_arrow(df: DataFrame, step: Callable, schema: str, **options) -> DataFrame:
     """``df.mapInArrow`` of a module-level ``step(batches, **options)``."""
     workers_import(df.sparkSession)
-    return df.mapInArrow(partial(step, **options), schema)
+    return df.mapInArrow(partial(_alone, step=step, options=options), schema)
+
+
+def _alone(batches: Iterator[pa.RecordBatch], step: Callable, options: dict) -> Iterator[pa.RecordBatch]:
+    """Runs ``step`` after emptying the caches that other operators left in this worker."""
+    for module, clear in WORKER_CACHES.items():
+        if module != step.__module__:
+            clear()
+    return step(batches, **options)
 
 
 
 
-_SLICE_BYTES = 1 << 20
+_SLICE_BYTES = 1 << 18
 _R = 0x9E3779B97F4A7C15  # 5 modulo 8, so its powers have the longest period
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

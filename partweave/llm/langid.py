@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, as_long, fresh_name, in_arrow, mix64
+from .common import U64, WORKER_CACHES, as_long, fresh_name, in_arrow, mix64
 
 UNDETERMINED = "und"
 LENGTHS = (1, 2, 3, 4)
@@ -174,6 +174,7 @@ class _Reader:
 
 
 _READERS: dict[LanguageModel, _Reader] = {}
+WORKER_CACHES[__name__] = _READERS.clear
 
 
 def _identify(batches: Iterator[pa.RecordBatch], model, at: int, names: list[str]) -> Iterator[pa.RecordBatch]:

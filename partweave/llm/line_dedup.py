@@ -52,7 +52,8 @@ BUCKET_ENTRIES = 300_000  # prefix entries a bucket should have
 BROADCAST_LINES = 2_000_000  # line numbers that may be broadcast, gathered by document
 _LINES = 4096  # lines worked on at a time: their index takes 12 bits of a sort key
 _WORD_BITS = 46
-_BYTES = 1 << 20  # of text worked on at a time
+_BYTES = 1 << 19  # of text worked on at a time
+PACKED_ENTRIES = 250_000  # prefix entries that a task holds before it deals them out
 _ENTRY = np.dtype([("word", "<u4"), ("n", "<u2"), ("pos", "u1"), ("sketch", "<u8", 2), ("doc", "<i8"), ("line", "<u4")])
 
 
@@ -177,7 +178,7 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         out["sketch"] = np.repeat(np.stack([low, high], axis=1).view(U64), count, axis=0)
         out["doc"], out["line"] = np.repeat(doc, count), np.repeat(line, count)
         held.append(out)
-        if sum(map(len, held)) >= 1_000_000:
+        if sum(map(len, held)) >= PACKED_ENTRIES:
             yield packed()
     if sum(map(len, held)):
         yield packed()

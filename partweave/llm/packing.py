@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_long, broadcast_within, in_arrow, stage
+from .common import WORKER_CACHES, as_long, broadcast_within, in_arrow, stage
 
 CAPACITY = 4096
 END_ID = 1
 RANGE_ROWS = 1_000
 AHEAD_ROWS = 1_000_000  # range totals that may be broadcast, 24 bytes each
-_CACHE = 300_000
+_CACHE = 200_000
 
 
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the vocabulary's own split
@@ -90,6 +90,7 @@ class _Chunks(dict):
 
 
 _CHUNKS: dict[str, _Chunks] = {}
+WORKER_CACHES[__name__] = _CHUNKS.clear
 
 
 def token_ids(path: str, text: str | None) -> bytes:
