@@ -56,8 +56,8 @@ def main(argv=None) -> None:
         sub.choices[name].add_argument("--out", help="write the result here as Parquet")
     args = ap.parse_args(argv)
 
-    active = SparkSession.getActiveSession() is not None or "spark.master" in dict(SparkConf().getAll())
-    spark = build_session(master=None if active else "local[*]")
+    own = SparkSession.getActiveSession() is None
+    spark = build_session(master="local[*]" if own and "spark.master" not in dict(SparkConf().getAll()) else None)
     from .operators.describe import describe_columns, row_count
     from .operators.rollups import code_year_rollup, coverage_count
     from .plans.convert import integrate, land_tables
@@ -73,7 +73,7 @@ def main(argv=None) -> None:
         if args.hot_key_rows is not None:
             opts["hot_key_rows"] = args.hot_key_rows
         written = integrate(
-            spark, args.landing_dir, args.out_dir, tables=tables, max_records_per_file=args.max_records_per_file, drop_staged=True, **opts
+            spark, args.landing_dir, args.out_dir, tables=tables, max_records_per_file=args.max_records_per_file, drop_staged=own, **opts
         )
         for t, p in written.items():
             print(t, p)

@@ -36,7 +36,9 @@ def test_extracts_to_bound_tables(spark, sf001, duck, tmp_path):
     outs = integrate(spark, str(tmp_path / "landing"), str(tmp_path / "output"), tables=["demographic", "enrollment"])
     demo, enr = spark.read.parquet(outs["demographic"]), spark.read.parquet(outs["enrollment"])
     assert "part" not in demo.columns and "OrigPatID" not in demo.columns
-    got = coverage_count(demo, enr, on="PatID", by=["Sex", "Race"], flags={"MedCov": "Y", "DrugCov": "Y"})
+    # CSV columns land as text unless a schema declares them.
+    by = ["Sex", "Hispanic", F.col("Race").cast("int").alias("Race")]
+    got = coverage_count(demo, enr, on="PatID", by=by, flags={"MedCov": "Y", "DrugCov": "Y"})
     duck_views(duck, sf001)
     want = {tuple(r) for r in duck.execute(E.oracle_sql()["coverage_after_rebase"]).fetchall()}
     assert {tuple(r) for r in got.collect()} == want

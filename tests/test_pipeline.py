@@ -11,9 +11,9 @@ from partweave.registry import CLAIMS, ForeignKey, Registry
 # FIXTURES.md, sf0.001 column (death, dispensing, procedure: from the DuckDB
 # oracle of bound_row_counts_all).
 EXPECTED_SF0001 = {
-    "death": 8,
+    "death": 135,
     "dispensing": 5143,
-    "procedure": 1372,
+    "procedure": 4249,
     "demographic": 135,
     "facility": 22,
     "provider": 48,
