@@ -37,7 +37,7 @@ CAPACITY = 4096
 END_ID = 1
 RANGE_ROWS = 1_000
 AHEAD_ROWS = 1_000_000  # range totals that may be broadcast, 24 bytes each
-_CACHE = 200_000
+_CACHE = 150_000  # entries of a generation; a cache keeps two
 
 
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the vocabulary's own split
@@ -59,6 +59,8 @@ class _Chunks(dict):
         super().__init__()
         self.path, self.whole = path, Tokenizer.from_file(path)
         self.model, self.split, self.parts = self.whole.model, regex.compile(_PARTS).findall, {}
+        self.old: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
         # Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on.
         own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = [b for b in range(256) if b not in set(own)]
@@ -68,18 +70,26 @@ class _Chunks(dict):
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def part(self, part: str) -> bytes:
-        if part not in self.parts:
-            if len(self.parts) > _CACHE:
-                self.parts.clear()
-            shown = part.encode().decode("latin-1").translate(self.byte_chars)
-            self.parts[part] = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        return self.parts[part]
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.old_parts.get(part)
+            if ids is None:
+                shown = part.encode().decode("latin-1").translate(self.byte_chars)
+                ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+            if len(self.parts) >= _CACHE:
+                self.parts, self.old_parts = {}, self.parts
+            self.parts[part] = ids
+        return ids
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) > _CACHE:
+        ids = self.old.get(chunk)
+        if ids is None:
+            plain = _PLAIN.fullmatch(chunk) and "<|" not in chunk
+            ids = b"".join(map(self.part, self.split(chunk.lower()))) if plain else self.encode(chunk)
+        if len(self) >= _CACHE:  # the older generation goes, words in use come back from it one by one
+            self.old = dict(self)
             self.clear()
-        plain = _PLAIN.fullmatch(chunk) and "<|" not in chunk
-        ids = self[chunk] = b"".join(map(self.part, self.split(chunk.lower()))) if plain else self.encode(chunk)
+        self[chunk] = ids
         return ids
 
     def ids(self, text: str | None) -> bytes:
