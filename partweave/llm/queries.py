@@ -18,7 +18,7 @@ from .near_dup import near_duplicates
 from .packing import pack_documents
 from .pii import KINDS, find_personal_data
 from .secret_scan import KINDS as SECRET_KINDS
-from .secret_scan import find_secrets
+from .secret_scan import MOST_OWNERS, MOST_REPOSITORIES, find_secrets
 
 from .sharding import SHARDS, SIZE, assign_shards
 from .topk import exact_top_k
@@ -240,7 +240,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_joined("found")).alias("spans"),
         F.expr(count.format("x.added")).alias("n_added"),
         F.expr(count.format("x.live")).alias("n_live"),
-        F.expr(count.format("x.owners > 2")).alias("n_example"),
+        F.expr(count.format(f"x.owners > {MOST_OWNERS} or x.repositories > {MOST_REPOSITORIES}")).alias("n_example"),
     )
 
 

@@ -4,12 +4,13 @@ Base spans are found by fixed patterns and always stay. A wider net of candidate
 (provider token formats, private key blocks, other assignment keys, upper-case
 hex) is too loose to report by itself, so it is judged by how the corpus uses each
 value: values are hashed, and for each hash the distinct repositories (documents)
-and owners (sources) that hold it are counted. A value that many owners share is
-a copied example; one that few owners hold and that looks random is taken for a
+and owners (sources) that hold it are counted; documents of one text are one
+repository. A value that many owners share, or many repositories of few owners, is
+a copied example; one that few of both hold and that looks random is taken for a
 live credential. Live candidates are added to the spans, examples are not; base
 spans get the same verdict beside them.
 
-Counting is done on distinct (hash, owner) and (hash, repository) pairs, each
+Counting is done on distinct (hash, owner), (hash, text) and (hash, repository) pairs, each
 pre-aggregated before its shuffle, so a value that a third of all documents hold
 is spread over its documents.
 """
@@ -30,6 +31,7 @@ from .common import in_arrow, stage
 
 KINDS = ("assign", "access", "hex")
 MOST_OWNERS = 2  # owners of a live-looking value
+MOST_REPOSITORIES = 4  # repositories that hold it, equal texts counted once
 LEAST_BITS = 3.0  # Shannon entropy a character of a live-looking value
 
 _ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -91,9 +93,10 @@ _FOUND = pa.list_(
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
+        rows, texts = [], []
         for text in batch.column(2).to_pylist():
             text = text or ""
+            texts.append(xxhash.xxh3_128_digest(text.encode()))
             base = base_secrets(text)
             taken = {(k, a, b) for k, a, b, _ in base}
             own: dict[str, list[tuple[int, int]]] = {k: [(a, b) for kind, a, b, _ in base if kind == k] for k in KINDS}
@@ -112,32 +115,40 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for k, a, b, new, v in found
                 ]
             )
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, _FOUND)], ["doc_id", "owner", "found"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.binary()), pa.array(rows, _FOUND)], ["doc_id", "owner", "body", "found"])
 
 
 def find_secrets(
-    docs: DataFrame, most_owners: int = MOST_OWNERS, id_col: str = "doc_id", owner_col: str = "source", text_col: str = "text"
+    docs: DataFrame,
+    most_owners: int = MOST_OWNERS,
+    id_col: str = "doc_id",
+    owner_col: str = "source",
+    text_col: str = "text",
+    most_repositories: int = MOST_REPOSITORIES,
 ) -> DataFrame:
     """``doc_id, found`` for each row: ``found`` lists ``start, place, kind, end, added,
     owners, repositories, live`` by start, then kind (assign, access, hex).
 
     Base spans are all there; added ones are wider candidates that look live: at
-    least ``LEAST_BITS`` bits a character and at most ``most_owners`` owners.
-    ``owners`` and ``repositories`` count the distinct owners and doc_ids whose
-    texts hold the value. A null owner is one owner, a null doc_id one
+    least ``LEAST_BITS`` bits a character, at most ``most_owners`` owners and at most
+    ``most_repositories`` repositories. ``owners`` and ``repositories`` count the
+    distinct owners and doc_ids whose texts hold the value; for ``repositories``,
+    doc_ids of one text count as the smallest of them. A null owner is one owner, a null doc_id one
     repository; null texts count as empty; repeated rows are scanned each."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(owner_col).cast("string").alias("owner"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     found = "struct<start:long,place:int,kind:string,end:long,added:boolean,hash:long,random:boolean>"
-    rows = in_arrow(rows, _scan, f"doc_id {id_type}, owner string, found array<{found}>")
+    rows = in_arrow(rows, _scan, f"doc_id {id_type}, owner string, body binary, found array<{found}>")
     rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "secret-rows")
 
-    each = rows.select("row", "doc_id", "owner", F.explode("found").alias("f"))
-    each = each.select("row", "doc_id", "owner", "f.*")
+    each = rows.select("row", "doc_id", "owner", "body", F.explode("found").alias("f"))
+    each = each.select("row", "doc_id", "owner", "body", "f.*")
     owners = each.select("hash", "owner").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
-    repos = each.select("hash", "doc_id").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("repositories"))
-    judged = each.join(owners, "hash").join(repos, "hash")
-    judged = judged.withColumn("live", F.col("random") & (F.col("owners") <= most_owners)).where("not added or live")
+    repos = each.groupBy("hash", "body").agg(F.min("doc_id").alias("doc_id"))
+    repos = repos.select("hash", "doc_id").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("repositories"))
+    judged = each.drop("body").join(owners, "hash").join(repos, "hash")
+    few = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
+    judged = judged.withColumn("live", F.col("random") & few).where("not added or live")
     kept = F.struct("start", "place", "kind", "end", "added", "owners", "repositories", "live")
     judged = judged.groupBy("row").agg(F.array_sort(F.collect_list(kept)).alias("found"))
     none = F.array().cast("array<struct<start:long,place:int,kind:string,end:long,added:boolean,owners:long,repositories:long,live:boolean>>")

@@ -336,6 +336,15 @@ def test_secrets_by_ownership(spark, nothing):
     assert find_secrets(nothing).count() == 0
 
 
+def test_secrets_copied_inside_one_source_are_examples(spark):
+    live, copied = "ghp_aB3dE5fG7hJ9kL1mN3pQ5rS7tU9vW1xY3zA5", "ghp_Zy9Xw7Vu5Ts3Rq1Po9Nm7Lk5Ji3Hg1Fe9Dc7"
+    rows = [(i, f"page {i}: use {copied} as shown", "s1") for i in range(30)]
+    rows += [(100 + i, f"mine {live} here", "s1") for i in range(30)] + [(200, f"again {live}", "s1")]
+    got = {r.doc_id: r.found for r in find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(not got[i] for i in range(30))
+    assert all([(f.live, f.owners, f.repositories) for f in got[i]] == [(True, 1, 2)] for i in [*range(100, 130), 200])
+
+
 # -- op5 ---------------------------------------------------------------------
 
 
