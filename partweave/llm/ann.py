@@ -6,7 +6,8 @@ bucket. For a neighbour at cosine c of a query, ``a . u`` of the neighbour is
 normal around ``c * (a . q)`` with variance ``1 - c * c``: that gives each slot of
 each function a probability, and a bucket the product. A query visits buckets
 in the order of that estimate until their sum reaches ``reach`` in each table;
-tables' candidates are merged and reranked by the exact cosine.
+tables' candidates are merged and reranked by the exact cosine. A query that met
+fewer than ``k`` candidates though the table has more is compared with all rows.
 
 ``c`` is what the sample shows: the cosine of the k-th neighbour inside a bounded
 sample, which is no larger than among all rows, so the estimate errs towards
@@ -159,7 +160,8 @@ def nearest(
     vectors: DataFrame, is_query, k: int = 5, seed: int = 0, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row where ``is_query`` (a Column over
-    ``id``) holds, the ``k`` rows of another id found with the largest cosine, nearest first.
+    ``id``) holds, the ``k`` rows of another id found with the largest cosine, nearest first;
+    all of them where the table has fewer.
 
     Ties go to the smaller id. Rows with a null id or vector, a null or non-finite
     component, or only zeros take no part; a shorter vector counts as filled up
@@ -168,7 +170,8 @@ def nearest(
     spark = vectors.sparkSession
     rows, n = usable(vectors, id_col, vector_col)
     rows = rows.where(F.exists("v", lambda x: x != 0))
-    dim = rows.agg(F.max(F.size("v")).alias("d")).first()["d"] or 1
+    dim, present = rows.agg(F.max(F.size("v")), F.count(F.lit(1))).first()
+    dim = dim or 1
     sample = rows.orderBy(F.xxhash64("row")).limit(SAMPLE).select("v").toPandas()["v"]
     sample = _units([np.asarray(v, np.float64) for v in sample], dim)
     tables = spark.sparkContext.broadcast(Tables(dim, hashes_for(n), neighbour_cosine(sample, k), seed))
@@ -185,4 +188,17 @@ def nearest(
         return _rerank(q, c, k, dim)
 
     found = block_pairs(asked.join(sizes, keys), indexed.join(sizes, keys), keys, step, SCHEMA)
-    return best_of(found.distinct(), k)
+    found = stage(found.distinct(), "ann-found")
+    queries = rows.where(is_query)
+    same = rows.groupBy("id").agg(F.count(F.lit(1)).alias("same"))
+    own = queries.select("row", "id").join(same, "id").select("row", F.least(F.lit(k), F.lit(present) - F.col("same")).alias("most"))
+    met = found.groupBy("row").agg(F.count(F.lit(1)).alias("met"))
+    short = own.join(met, "row", "left").where(F.coalesce("met", F.lit(0)) < F.col("most")).select("row")
+    short = stage(queries.join(short, "row", "left_semi").select("row", "id", "v"), "ann-short")
+    n_short = short.count()
+    if n_short:
+        whole = F.lit(0).alias("all")
+        every = [blocks_of(n_short).alias("q_blocks"), blocks_of(present).alias("c_blocks")]
+        rest = block_pairs(short.select(whole, "row", "id", "v", *every), rows.select(whole, "row", "id", "v", *every), ["all"], step, SCHEMA)
+        found = found.join(short.select("row"), "row", "left_anti").unionByName(rest)
+    return best_of(found, k)

@@ -96,6 +96,31 @@ def test_nearest_of_awkward_rows(odd_vectors):
     assert nearest(odd_vectors.limit(0), EVEN).count() == 0
 
 
+def cosine(x, y):
+    return sum(a * b for a, b in zip(x, y)) / math.sqrt(sum(a * a for a in x) * sum(b * b for b in y))
+
+
+def rounded(rows):
+    return sorted((q, r, i, round(s, 9)) for q, r, i, s in rows)
+
+
+@pytest.mark.parametrize("n", range(2, 7))
+def test_nearest_of_small_tables_is_whole(spark, n):
+    rows = [(i, [(-1.0) ** i * (8.0 + i), 0.1 * i, 0.3]) for i in range(n)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], DDL)
+    assert rounded(nearest(df, EVEN).collect()) == rounded(scored(rows, cosine))
+
+
+def test_outliers_beside_copies_get_all_neighbours(spark):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(3, 16))
+    rows = [(i, (centre[i % 3] + 1e-6 * rng.normal(size=16)).tolist()) for i in range(9000)]
+    rows += [(i, rng.normal(size=16).tolist()) for i in range(9000, 9040)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], DDL)
+    got = nearest(df, "id >= 9000 or id < 6").toPandas()
+    assert set(got.query_id) == {*range(6), *range(9000, 9040)} and (got.groupby("query_id").size() == 5).all()
+
+
 def test_visits_reach_the_estimated_share():
     """Planted neighbours at the tables' cosine are found about as often as the estimate says."""
     rng = np.random.default_rng(2)
