@@ -186,7 +186,8 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
 
 def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
     """Earlier candidates of each line of one bucket, word by word: the pairs that
-    pass the filters, at most ``LISTED`` for a line and word; ``more`` where there are others."""
+    pass the filters, at most ``LISTED`` for a line and word; ``more`` where there are others.
+    Two words of a line may share their 32 bits: the line is no candidate of itself."""
     e = np.frombuffer(b"".join(table.column("entries").to_pylist()), _ENTRY)
     e = e[np.lexsort((e["line"], e["doc"], e["word"]))]
     n, pos = e["n"].astype(np.int64), e["pos"].astype(np.int64)
@@ -207,6 +208,7 @@ def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
         need = (num * (nx + ny) + num + den - 1) // (num + den)
         ok = np.minimum(nx - pos[hit - back], ny - pos[hit]) >= need
         hit = hit[ok | (nx == 0xFFFF) | (ny == 0xFFFF)]
+        hit = hit[(e["doc"][hit - back] != e["doc"][hit]) | (e["line"][hit - back] != e["line"][hit])]
         full = listed[hit] >= LISTED
         more[hit[full]] = True
         hit = hit[~full]

@@ -5,10 +5,12 @@ import itertools
 import re
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from partweave.llm import near_dup
+from partweave.llm import line_dedup, near_dup
 from partweave.llm.langid import fit_languages, held_out, identify_languages
 from partweave.llm.line_dedup import drop_repeated_lines, line_counts, removed_lines
 from partweave.llm.mixing import mix_sources
@@ -139,6 +141,16 @@ def test_lines_take_awkward_rows(awkward, nothing):
     assert gone == {(2, 0), (3, 0), (4, 0), (5, 2)}
 
 
+def test_line_whose_prefix_words_share_their_bits_stays():
+    entries = np.zeros(2, line_dedup._ENTRY)
+    entries["word"], entries["n"], entries["doc"], entries["line"], entries["pos"] = 7, 10, 3, 0, [0, 1]
+    other = np.zeros(1, line_dedup._ENTRY)
+    other["word"], other["n"], other["doc"], other["line"] = 7, 10, 9, 4
+    table = pa.table({"own": [0, 0], "entries": [entries.tobytes(), other.tobytes()]})
+    found = line_dedup._pairs(table, 80, 100).to_pylist()
+    assert {(r["xdoc"], r["xline"], r["ydoc"], r["yline"]) for r in found} == {(3, 0, 9, 4)}
+
+
 # -- op6 ---------------------------------------------------------------------
 
 
