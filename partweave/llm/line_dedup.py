@@ -1,7 +1,7 @@
 """Line dedup by an exact set-similarity join.
 
 A line is the set of its words. A line is removed when an earlier line, by
-(doc_id, line number), has Jaccard similarity ``num / den`` or more with it;
+(doc_id, line number) and then a hash of the text where rows of other texts repeat a doc_id, has Jaccard similarity ``num / den`` or more with it;
 that the earlier line may itself be removed doesn't matter.
 
 Words are ordered by rarity over the whole table: a fixed table of
@@ -54,7 +54,7 @@ _LINES = 4096  # lines worked on at a time: their index takes 12 bits of a sort
 _WORD_BITS = 46
 _BYTES = 1 << 19  # of text worked on at a time
 PACKED_ENTRIES = 250_000  # prefix entries that a task holds before it deals them out
-_ENTRY = np.dtype([("word", "<u4"), ("n", "<u2"), ("pos", "u1"), ("sketch", "<u8", 2), ("doc", "<i8"), ("line", "<u4")])
+_ENTRY = np.dtype([("word", "<u4"), ("n", "<u2"), ("pos", "u1"), ("sketch", "<u8", 2), ("doc", "<i8"), ("line", "<u4"), ("key", "<i8")])
 
 
 def _groups(texts: list[bytes | None]) -> Iterator[list[int]]:
@@ -126,8 +126,8 @@ def _hashes(words: np.ndarray, n: np.ndarray, start: np.ndarray) -> tuple[np.nda
 def _lines(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Iterator[pa.RecordBatch]:
     rarity = np.frombuffer(rarity.value, np.uint8)
     for batch in batches:
-        docs = batch.column(0).to_numpy(zero_copy_only=False)
-        for doc, number, n, start, words in _line_words(batch.column(1).to_pylist(), rarity):
+        docs, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        for doc, number, n, start, words in _line_words(batch.column(2).to_pylist(), rarity):
             h1, h2 = _hashes(words, n, start)
             at = mix64(words) >> U64(57)  # of 128 bits: the parity of the words that fall on it
             low, high = (np.where(at >> U64(6) == U64(i), U64(1) << (at & U64(63)), U64(0)) for i in (0, 1))
@@ -140,6 +140,7 @@ def _lines(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Ite
                 [
                     as_long(docs[doc]),
                     pa.array(number.astype(np.int32)),
+                    as_long(keys[doc]),
                     pa.array(n.astype(np.int32)),
                     as_long(h1),
                     as_long(h2),
@@ -147,7 +148,7 @@ def _lines(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Ite
                     as_long(high),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix)),
                 ],
-                ["doc", "line", "n", "h1", "h2", "low", "high", "prefix"],
+                ["doc", "line", "key", "n", "h1", "h2", "low", "high", "prefix"],
             )
 
 
@@ -168,15 +169,15 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         )
 
     for batch in batches:
-        doc, line, n, low, high = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-        prefix = batch.column(5)
+        doc, line, key, n, low, high = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        prefix = batch.column(6)
         count = np.diff(prefix.offsets.to_numpy())
         out = np.empty(int(count.sum()), _ENTRY)
         out["word"] = prefix.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
         out["n"] = np.repeat(np.minimum(n, 0xFFFF), count)
         out["pos"] = np.minimum(np.arange(len(out)) - np.repeat(np.cumsum(count) - count, count), 255)
         out["sketch"] = np.repeat(np.stack([low, high], axis=1).view(U64), count, axis=0)
-        out["doc"], out["line"] = np.repeat(doc, count), np.repeat(line, count)
+        out["doc"], out["line"], out["key"] = (np.repeat(x, count) for x in (doc, line, key))
         held.append(out)
         if sum(map(len, held)) >= PACKED_ENTRIES:
             yield packed()
@@ -189,7 +190,7 @@ def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
     pass the filters, at most ``LISTED`` for a line and word; ``more`` where there are others.
     Two words of a line may share their 32 bits: the line is no candidate of itself."""
     e = np.frombuffer(b"".join(table.column("entries").to_pylist()), _ENTRY)
-    e = e[np.lexsort((e["line"], e["doc"], e["word"]))]
+    e = e[np.lexsort((e["key"], e["line"], e["doc"], e["word"]))]
     n, pos = e["n"].astype(np.int64), e["pos"].astype(np.int64)
     low, high = (np.ascontiguousarray(e["sketch"][:, i]) for i in (0, 1))
     first = np.flatnonzero(np.concatenate([[True], e["word"][1:] != e["word"][:-1]])) if len(e) else np.empty(0, np.int64)
@@ -208,7 +209,7 @@ def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
         need = (num * (nx + ny) + num + den - 1) // (num + den)
         ok = np.minimum(nx - pos[hit - back], ny - pos[hit]) >= need
         hit = hit[ok | (nx == 0xFFFF) | (ny == 0xFFFF)]
-        hit = hit[(e["doc"][hit - back] != e["doc"][hit]) | (e["line"][hit - back] != e["line"][hit])]
+        hit = hit[np.any([e[c][hit - back] != e[c][hit] for c in ("doc", "line", "key")], axis=0)]
         full = listed[hit] >= LISTED
         more[hit[full]] = True
         hit = hit[~full]
@@ -222,8 +223,10 @@ def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
         {
             "xdoc": e["doc"][x],
             "xline": e["line"][x].astype(np.int32),
+            "xkey": e["key"][x],
             "ydoc": e["doc"][y],
             "yline": e["line"][y].astype(np.int32),
+            "ykey": e["key"][y],
             "more": more[y],
         }
     )
@@ -233,21 +236,22 @@ def _line_sets(batches: Iterator[pa.RecordBatch], rarity) -> Iterator[pa.RecordB
     """The word sets of each document's wanted lines."""
     rarity = np.frombuffer(rarity.value, np.uint8)
     for batch in batches:
-        docs = batch.column(0).to_numpy(zero_copy_only=False)
-        wanted = batch.column(2).to_pylist()
-        for doc, number, n, start, words in _line_words(batch.column(1).to_pylist(), rarity):
+        docs, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        wanted = batch.column(3).to_pylist()
+        for doc, number, n, start, words in _line_words(batch.column(2).to_pylist(), rarity):
             h1, h2 = _hashes(words, n, start)
             asked = np.concatenate([np.isin(number[doc == i], wanted[i]) for i in np.unique(doc)])
             kept = words[np.repeat(asked, n)]
             yield pa.RecordBatch.from_arrays(
                 [
                     as_long(docs[doc[asked]]),
+                    as_long(keys[doc[asked]]),
                     pa.array(number[asked].astype(np.int32)),
                     as_long(h1[asked]),
                     as_long(h2[asked]),
                     binary_runs(kept, n[asked]),
                 ],
-                ["doc", "line", "h1", "h2", "words"],
+                ["doc", "key", "line", "h1", "h2", "words"],
             )
 
 
@@ -275,23 +279,29 @@ def _doc_key(id_col: str, text_col: str):
     ).alias("doc")
 
 
+def _text_key(text_col: str):
+    """Tells texts of one doc_id apart."""
+    return F.xxhash64(F.col(text_col)).alias("key")
+
+
 def removed_lines(
     docs: DataFrame, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(doc, line)`` of the lines of ``docs`` to remove: ``line`` counts from 0,
-    ``doc`` is the doc_id or, for a null one, a key made from the text.
+    """``(doc, key, line)`` of the lines of ``docs`` to remove: ``line`` counts from 0,
+    ``doc`` is the doc_id or, for a null one, a key made from the text; ``key`` is a
+    hash of the text, as rows may repeat a doc_id with other texts.
 
     A line is what stands between newlines; its words stand between ASCII white
     space, A-Z lower-cased. Lines without words are never removed. Rows that
     repeat a doc_id and text are one document. Null texts have no lines."""
-    texts = docs.select(_doc_key(id_col, text_col), F.col(text_col).cast("binary").alias("body"))
+    texts = docs.select(_doc_key(id_col, text_col), _text_key(text_col), F.col(text_col).cast("binary").alias("body"))
     spark = docs.sparkSession
     rarity = spark.sparkContext.broadcast(rarity_classes(texts.select("body")))
     lines, total = stage_counted(
         in_arrow(
             texts,
             _lines,
-            "doc long, line int, n int, h1 long, h2 long, low long, high long, prefix array<int>",
+            "doc long, line int, key long, n int, h1 long, h2 long, low long, high long, prefix array<int>",
             rarity=rarity,
             num=num,
             den=den,
@@ -300,60 +310,63 @@ def removed_lines(
     )
     buckets = max(1, 10 * total // BUCKET_ENTRIES)
     worded = lines.where("n > 0")
-    first = worded.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "n", "low", "high", "prefix")).alias("f"))
-    classes = first.select("f.doc", "f.line", "f.n", "f.low", "f.high", "f.prefix")
+    first = worded.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "key", "n", "low", "high", "prefix")).alias("f"))
+    classes = first.select("f.doc", "f.line", "f.key", "f.n", "f.low", "f.high", "f.prefix")
     packed = in_arrow(classes, _pack, "bucket int, entries binary", buckets=buckets)
     pairs = stage(
         packed.groupBy("bucket")
         .applyInArrow(
-            lambda t: _pairs(t, num, den), "xdoc long, xline int, ydoc long, yline int, more boolean"
+            lambda t: _pairs(t, num, den), "xdoc long, xline int, xkey long, ydoc long, yline int, ykey long, more boolean"
         )
-        .groupBy("xdoc", "xline", "ydoc", "yline")
+        .groupBy("xdoc", "xline", "xkey", "ydoc", "yline", "ykey")
         .agg(F.max("more").alias("more")),
         "ld-pairs",
     )
 
     def similar(pairs: DataFrame, tag: str) -> DataFrame:
-        """Keys (h1, h2, ydoc, yline) of lines that have a verified earlier match among ``pairs``."""
-        wanted = pairs.select(F.col("xdoc").alias("wdoc"), F.col("xline").alias("wline"))
-        wanted = stage(wanted.unionAll(pairs.select("ydoc", "yline")).distinct(), f"{tag}-wanted")
-        owners = wanted.groupBy("wdoc").agg(F.collect_list("wline").alias("wlines"))  # a document's own lines
+        """Keys (h1, h2, ydoc, ykey, yline) of lines that have a verified earlier match among ``pairs``."""
+        wanted = pairs.select(F.col("xdoc").alias("wdoc"), F.col("xkey").alias("wkey"), F.col("xline").alias("wline"))
+        wanted = stage(wanted.unionAll(pairs.select("ydoc", "ykey", "yline")).distinct(), f"{tag}-wanted")
+        owners = wanted.groupBy("wdoc", "wkey").agg(F.collect_list("wline").alias("wlines"))  # a text's own lines
         owners = F.broadcast(owners) if is_at_most(wanted, BROADCAST_LINES) else owners
-        sets = texts.join(owners, F.col("doc") == F.col("wdoc")).select("doc", "body", "wlines")
-        sets = in_arrow(sets, _line_sets, "doc long, line int, h1 long, h2 long, words binary", rarity=rarity)
-        sets = stage(sets.dropDuplicates(["doc", "line", "h1", "h2"]), f"{tag}-sets")
-        x = sets.select(F.col("doc").alias("xdoc"), F.col("line").alias("xline"), F.col("words").alias("xwords"))
-        y = sets.toDF("ydoc", "yline", "h1", "h2", "ywords")
-        both = pairs.select("xdoc", "xline", "ydoc", "yline").join(x, ["xdoc", "xline"]).join(y, ["ydoc", "yline"])
-        both = both.select(F.struct("h1", "h2").alias("h"), F.struct("ydoc", "yline").alias("y"), "xwords", "ywords")
-        kind = "h struct<h1:long,h2:long>, y struct<ydoc:long,yline:int>"
+        own = (F.col("doc") == F.col("wdoc")) & (F.col("key") == F.col("wkey"))
+        sets = texts.join(owners, own).select("doc", "key", "body", "wlines")
+        kind = "doc long, key long, line int, h1 long, h2 long, words binary"
+        sets = in_arrow(sets, _line_sets, kind, rarity=rarity)
+        sets = stage(sets.dropDuplicates(["doc", "key", "line", "h1", "h2"]), f"{tag}-sets")
+        x = sets.select("doc", "key", "line", "words").toDF("xdoc", "xkey", "xline", "xwords")
+        y = sets.toDF("ydoc", "ykey", "yline", "h1", "h2", "ywords")
+        both = pairs.drop("more").join(x, ["xdoc", "xkey", "xline"]).join(y, ["ydoc", "ykey", "yline"])
+        both = both.select(F.struct("h1", "h2").alias("h"), F.struct("ydoc", "ykey", "yline").alias("y"), "xwords", "ywords")
+        kind = "h struct<h1:long,h2:long>, y struct<ydoc:long,ykey:long,yline:int>"
         same = in_arrow(both, _verify, kind, num=num, den=den)
-        return stage(same.select("h.h1", "h.h2", "y.ydoc", "y.yline").distinct(), f"{tag}-similar")
+        return stage(same.select("h.h1", "h.h2", "y.ydoc", "y.ykey", "y.yline").distinct(), f"{tag}-similar")
 
     gone = similar(pairs, "ld-first")
-    rest = pairs.where("more").select("ydoc", "yline").distinct().join(gone, ["ydoc", "yline"], "left_anti")
+    line = ["ydoc", "ykey", "yline"]
+    rest = pairs.where("more").select(*line).distinct().join(gone, line, "left_anti")
     rest = stage(rest, "ld-rest")
     if not rest.isEmpty():
-        entry = [F.col(c) for c in ("doc", "line", "n", "low", "high")]
+        entry = [F.col(c) for c in ("doc", "line", "key", "n", "low", "high")]
         entries = classes.select(*entry, F.posexplode("prefix").alias("pos", "word"))
-        names = ["doc", "line", "n", "low", "high", "pos"]
-        here = (F.col("doc") == F.col("ydoc")) & (F.col("line") == F.col("yline"))
+        names = ["doc", "line", "key", "n", "low", "high", "pos"]
+        here = (F.col("doc") == F.col("ydoc")) & (F.col("line") == F.col("yline")) & (F.col("key") == F.col("ykey"))
         y = entries.join(checked_broadcast(rest), here, "left_semi")
         y = checked_broadcast(stage(y.select("word", *(F.col(c).alias(f"y{c}") for c in names)), "ld-rest-words"))
         x = entries.select("word", *(F.col(c).alias(f"x{c}") for c in names))
         need = f"ceil({num} * (xn + yn) / {num + den})"
         more = x.join(y, "word").where(
-            f"(xdoc < ydoc or xdoc = ydoc and xline < yline) and {den} * xn >= {num} * yn and {den} * yn >= {num} * xn"
+            f"struct(xdoc, xline, xkey) < struct(ydoc, yline, ykey) and {den} * xn >= {num} * yn and {den} * yn >= {num} * xn"
             f" and least(xn - xpos, yn - ypos) >= {need} and bit_count(xlow ^ ylow) + bit_count(xhigh ^ yhigh) <= xn + yn - 2 * {need}"
         )
-        more = stage(more.select("xdoc", "xline", "ydoc", "yline").distinct(), "ld-more")
+        more = stage(more.select("xdoc", "xline", "xkey", "ydoc", "yline", "ykey").distinct(), "ld-more")
         gone = gone.unionAll(similar(more, "ld-second"))
 
     gone = gone.select("h1", "h2").distinct().withColumn("all", F.lit(True))
-    kept = first.select("h1", "h2", "f.doc", "f.line").toDF("h1", "h2", "fdoc", "fline")
-    seen = worded.select("doc", "line", "h1", "h2").join(kept, ["h1", "h2"]).join(gone, ["h1", "h2"], "left")
-    later = "all is not null or fdoc < doc or fdoc = doc and fline < line"
-    return seen.where(later).select("doc", "line").distinct()
+    kept = first.select("h1", "h2", "f.doc", "f.line", "f.key").toDF("h1", "h2", "fdoc", "fline", "fkey")
+    seen = worded.select("doc", "line", "key", "h1", "h2").join(kept, ["h1", "h2"]).join(gone, ["h1", "h2"], "left")
+    later = "all is not null or struct(fdoc, fline, fkey) < struct(doc, line, key)"
+    return seen.where(later).select("doc", "key", "line").distinct()
 
 
 def drop_repeated_lines(
@@ -373,10 +386,11 @@ def line_counts(
     names: lines, lines removed, worded lines left."""
     gone = stage(removed_lines(docs, num, den, id_col, text_col), "ld-gone")
     few = is_at_most(gone, BROADCAST_LINES)
-    key, which, cut = (fresh_name(docs.columns, x) for x in ("line_doc", "line_gone", "line_cut"))
-    gone = gone.groupBy(F.col("doc").alias(key)).agg(F.collect_set("line").alias(which))
+    key, body, which, cut = (fresh_name(docs.columns, x) for x in ("line_doc", "line_text", "line_gone", "line_cut"))
+    gone = gone.groupBy(F.col("doc").alias(key), F.col("key").alias(body)).agg(F.collect_set("line").alias(which))
     names = [fresh_name(docs.columns, x) for x in ("n_lines", "n_removed", "n_left")]
-    out = docs.withColumn(key, _doc_key(id_col, text_col)).join(F.broadcast(gone) if few else gone, key, "left")
+    out = docs.withColumns({key: _doc_key(id_col, text_col), body: _text_key(text_col)})
+    out = out.join(F.broadcast(gone) if few else gone, [key, body], "left")
     parts = F.split(F.col(text_col), "\n", -1)
     left = F.filter(parts, lambda x, i: ~F.array_contains(F.coalesce(F.col(which), F.array().cast("array<int>")), i))
     out = out.withColumn(cut, F.when(F.col(which).isNull(), parts).otherwise(left))

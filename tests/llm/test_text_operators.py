@@ -151,6 +151,15 @@ def test_line_whose_prefix_words_share_their_bits_stays():
     assert {(r["xdoc"], r["xline"], r["ydoc"], r["yline"]) for r in found} == {(3, 0, 9, 4)}
 
 
+def test_lines_of_texts_that_repeat_a_doc_id(spark):
+    words = [f"w{i}" for i in range(20)]
+    texts = [" ".join(words), " ".join([*words[:-1], "changed"]) + "\nonly in the second text", "wholly other words stand here\nonly in the third one"]
+    docs = spark.createDataFrame([(1, t) for t in texts], "doc_id long, text string")
+    left = [line for r in line_counts(docs)[0].collect() for line in r.text.split("\n")]
+    assert sum("w3" in line for line in left) == 1
+    assert {"only in the second text", *texts[2].split("\n")} <= set(left)
+
+
 # -- op6 ---------------------------------------------------------------------
 
 
