@@ -12,6 +12,9 @@ among their first ``n - ceil(t * n) + 1`` words. Equal sets are one class, found
 by pre-aggregation, and only classes are indexed. Their prefix entries travel
 packed, in buckets by word; inside a bucket, pairs of one word pass the length,
 positional and parity-sketch filters (each drops only pairs below the threshold).
+Prefix entries are counted by word first: those of a word with more than
+``PIECE_ENTRIES`` are dealt by line into pieces, and each pair of pieces meets in
+a group of its own.
 
 A word shared by a long run of similar lines would list the run's square, so a
 line lists ``LISTED`` earlier candidates a word at first. All listed pairs are
@@ -49,6 +52,7 @@ from .common import (
 
 LISTED = 2
 BUCKET_ENTRIES = 300_000  # prefix entries a bucket should have
+PIECE_ENTRIES = 100_000  # prefix entries of one word that stay together
 BROADCAST_LINES = 2_000_000  # line numbers that may be broadcast, gathered by document
 _LINES = 4096  # lines worked on at a time: their index takes 12 bits of a sort key
 _WORD_BITS = 46
@@ -152,20 +156,35 @@ def _lines(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Ite
             )
 
 
-def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Prefix entries of the classes, packed by the bucket of their word."""
+def _count_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(RARITY_SIZE, np.uint64)
+    for batch in batches:
+        word = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint32)
+        np.add.at(counts, word % np.uint32(RARITY_SIZE), 1)
+    yield count_slices(counts)
+
+
+def _pack(batches: Iterator[pa.RecordBatch], often, buckets: int, piece: int) -> Iterator[pa.RecordBatch]:
+    """Prefix entries of the classes, packed by the bucket of their word, or by word and piece."""
     held: list[np.ndarray] = []
+    most = 2 ** ((np.frombuffer(often.value, np.uint8) + 1) / 2)  # no fewer than were counted
+    pieces_of = np.ceil(most / piece).astype(np.int64)
 
     def packed() -> pa.RecordBatch:
         every = np.concatenate(held)
-        bucket = every["word"] % np.uint32(buckets)
-        order = np.argsort(bucket, kind="stable")
-        every, bucket = every[order], bucket[order]
-        at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        pieces = pieces_of[every["word"] % np.uint32(RARITY_SIZE)]
+        word = every["word"].astype(np.int64)
+        bucket = np.where(pieces > 1, -1 - word, word % buckets)
+        spread = mix64(mix64(every["doc"].view(U64) ^ mix64(every["key"].view(U64))) ^ every["line"].astype(U64))
+        own = np.where(pieces > 1, spread % pieces.astype(U64), U64(0)).astype(np.int64)
+        order = np.lexsort((own, bucket))
+        every, bucket, own, pieces = every[order], bucket[order], own[order], np.where(bucket < 0, pieces, 1)[order]
+        at = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (own[1:] != own[:-1])]))
         parts = [x.tobytes() for x in np.split(every, at[1:])]
         held.clear()
         return pa.RecordBatch.from_arrays(
-            [pa.array(bucket[at].astype(np.int32)), pa.array(parts, pa.binary())], ["bucket", "entries"]
+            [as_long(bucket[at]), as_long(own[at]), as_long(pieces[at]), pa.array(parts, pa.binary())],
+            ["bucket", "own", "pieces", "entries"],
         )
 
     for batch in batches:
@@ -185,36 +204,65 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         yield packed()
 
 
+def _dealt(classes: DataFrame, total: int) -> DataFrame:
+    """``own, entries`` in groups by ``bucket, i, j``: the entries of a bucket's words, or
+    of the pieces ``i`` and ``j`` of one word."""
+    counted = rarity_of(in_arrow(classes.select("prefix"), _count_prefixes, COUNT_SCHEMA))
+    packed = in_arrow(
+        classes,
+        _pack,
+        "bucket long, own long, pieces long, entries binary",
+        often=classes.sparkSession.sparkContext.broadcast(counted),
+        buckets=max(1, 10 * total // BUCKET_ENTRIES),
+        piece=PIECE_ENTRIES,
+    )
+    met = packed.select("bucket", "own", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"), "entries")
+    return met.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "entries")
+
+
 def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
-    """Earlier candidates of each line of one bucket, word by word: the pairs that
-    pass the filters, at most ``LISTED`` for a line and word; ``more`` where there are others.
+    """Earlier candidates of each line of one bucket, word by word, or of each line of a
+    piece in the other piece: the pairs that pass the filters, at most ``LISTED`` for a
+    line and word; ``more`` where there are others.
     Two words of a line may share their 32 bits: the line is no candidate of itself."""
-    e = np.frombuffer(b"".join(table.column("entries").to_pylist()), _ENTRY)
-    e = e[np.lexsort((e["key"], e["line"], e["doc"], e["word"]))]
+    parts = [np.frombuffer(x, _ENTRY) for x in table.column("entries").to_pylist()]
+    own = np.repeat(table.column("own").to_numpy(), [len(x) for x in parts])
+    e = np.concatenate(parts)
+    order = np.lexsort((e["key"], e["line"], e["doc"], e["word"]))
+    e, own = e[order], own[order]
     n, pos = e["n"].astype(np.int64), e["pos"].astype(np.int64)
     low, high = (np.ascontiguousarray(e["sketch"][:, i]) for i in (0, 1))
-    first = np.flatnonzero(np.concatenate([[True], e["word"][1:] != e["word"][:-1]])) if len(e) else np.empty(0, np.int64)
-    depth = np.arange(len(e)) - np.repeat(first, np.diff(np.append(first, len(e))))  # earlier entries of the word
+    every = np.arange(len(e))
+    # Earlier candidates of entry y: earlier[end[y] - 1] back to earlier[end[y] - depth[y]].
+    if (own == own[0]).all():
+        first = np.flatnonzero(np.concatenate([[True], e["word"][1:] != e["word"][:-1]]))
+        earlier, end, depth = every, every, every - np.repeat(first, np.diff(np.append(first, len(e))))
+    else:
+        one = own == own[0]
+        earlier = np.concatenate([every[one], every[~one]])
+        depth = np.where(one, np.cumsum(~one), np.cumsum(one))
+        end = np.where(one, one.sum(), 0) + depth
     listed = np.zeros(len(e), np.int64)
     more = np.zeros(len(e), bool)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     later, back = np.flatnonzero(depth > 0), 1
     while len(later):
-        nx, ny = n[later - back], n[later]
-        apart = np.bitwise_count(low[later - back] ^ low[later]) + np.bitwise_count(high[later - back] ^ high[later])
+        x = earlier[end[later] - back]
+        nx, ny = n[x], n[later]
+        apart = np.bitwise_count(low[x] ^ low[later]) + np.bitwise_count(high[x] ^ high[later])
         near = apart.astype(np.int64) * (num + den) <= (den - num) * (nx + ny)
         near &= (den * nx >= num * ny) & (den * ny >= num * nx)
         near |= (nx == 0xFFFF) | (ny == 0xFFFF)  # a length beyond the field: only verification decides
-        hit, nx, ny = later[near], nx[near], ny[near]
+        x, hit, nx, ny = x[near], later[near], nx[near], ny[near]
         need = (num * (nx + ny) + num + den - 1) // (num + den)
-        ok = np.minimum(nx - pos[hit - back], ny - pos[hit]) >= need
-        hit = hit[ok | (nx == 0xFFFF) | (ny == 0xFFFF)]
-        hit = hit[np.any([e[c][hit - back] != e[c][hit] for c in ("doc", "line", "key")], axis=0)]
+        ok = (np.minimum(nx - pos[x], ny - pos[hit]) >= need) | (nx == 0xFFFF) | (ny == 0xFFFF)
+        ok &= np.any([e[c][x] != e[c][hit] for c in ("doc", "line", "key")], axis=0)
+        x, hit = x[ok], hit[ok]
         full = listed[hit] >= LISTED
         more[hit[full]] = True
-        hit = hit[~full]
+        x, hit = x[~full], hit[~full]
         listed[hit] += 1
-        found.append((hit - back, hit))
+        found.append((x, hit))
         back += 1
         later = later[(depth[later] >= back) & ~more[later]]
     x = np.concatenate([p for p, _ in found]) if found else np.empty(0, np.int64)
@@ -308,13 +356,13 @@ def removed_lines(
         ),
         "ld-lines",
     )
-    buckets = max(1, 10 * total // BUCKET_ENTRIES)
     worded = lines.where("n > 0")
     first = worded.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "key", "n", "low", "high", "prefix")).alias("f"))
-    classes = first.select("f.doc", "f.line", "f.key", "f.n", "f.low", "f.high", "f.prefix")
-    packed = in_arrow(classes, _pack, "bucket int, entries binary", buckets=buckets)
+    first = stage(first.select("h1", "h2", "f.*"), "ld-classes")
+    classes = first.select("doc", "line", "key", "n", "low", "high", "prefix")
     pairs = stage(
-        packed.groupBy("bucket")
+        _dealt(classes, total)
+        .groupBy("bucket", "i", "j")
         .applyInArrow(
             lambda t: _pairs(t, num, den), "xdoc long, xline int, xkey long, ydoc long, yline int, ykey long, more boolean"
         )
@@ -363,7 +411,7 @@ def removed_lines(
         gone = gone.unionAll(similar(more, "ld-second"))
 
     gone = gone.select("h1", "h2").distinct().withColumn("all", F.lit(True))
-    kept = first.select("h1", "h2", "f.doc", "f.line", "f.key").toDF("h1", "h2", "fdoc", "fline", "fkey")
+    kept = first.select("h1", "h2", "doc", "line", "key").toDF("h1", "h2", "fdoc", "fline", "fkey")
     seen = worded.select("doc", "line", "key", "h1", "h2").join(kept, ["h1", "h2"]).join(gone, ["h1", "h2"], "left")
     later = "all is not null or struct(fdoc, fline, fkey) < struct(doc, line, key)"
     return seen.where(later).select("doc", "key", "line").distinct()

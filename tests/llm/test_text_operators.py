@@ -160,6 +160,24 @@ def test_lines_of_texts_that_repeat_a_doc_id(spark):
     assert {"only in the second text", *texts[2].split("\n")} <= set(left)
 
 
+def test_words_of_many_lines_are_dealt_into_pieces(spark, monkeypatch):
+    rows = [(i, f"the value of item number is set to v{i % 90} now") for i in range(100)]
+    rows += [(200 + i, f"number set q{i} r{i} s{i}") for i in range(60)] + [(300, "of number set q1 r1 s1 t1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sizes = []
+
+    def dealt(classes, total, whole=line_dedup._dealt):
+        out = whole(classes, total)
+        one = out.groupBy("bucket", "i", "j").agg(F.sum(F.length("entries")).alias("n"))
+        sizes.extend(r.n // line_dedup._ENTRY.itemsize for r in one.where("bucket < 0").collect())
+        return out
+
+    monkeypatch.setattr(line_dedup, "PIECE_ENTRIES", 8)
+    monkeypatch.setattr(line_dedup, "_dealt", dealt)
+    assert {r.doc_id: r.text for r in line_counts(docs)[0].collect()} == kept_lines(rows)
+    assert len(sizes) > 50 and max(sizes) < 50
+
+
 # -- op6 ---------------------------------------------------------------------
 
 
