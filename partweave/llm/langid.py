@@ -4,7 +4,7 @@ Fitting finds, for each language, its typical character n-grams: those at least
 ``LEAST_COUNT`` times in the language's sample whose share of the language's
 n-grams is no less than half the largest share in any language, at most
 ``GRAMS`` a language. A bit-sliced Bloom filter holds all languages at once: a
-row is a bitmask of languages, an n-gram sets its language's bit in ``HASHES``
+row is a bitmask of languages, in as many 64-bit words as they need; an n-gram sets its language's bit in ``HASHES``
 rows, and the AND of its rows gives every language that has it.
 
 A text's n-grams are looked up; each language's popcount is corrected for the
@@ -35,7 +35,7 @@ LEAST_COUNT = 3
 FIT_DOCS = 4_000  # labelled documents a language is fitted on, in expectation
 ROWS = 1 << 20
 HASHES = 3
-MOST_LANGUAGES = 63  # bits of a row
+WORD = 64  # languages a word of a row holds
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 200_000
@@ -43,14 +43,19 @@ _CACHE_WORDS = 200_000
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``rows`` are the filter's bitmasks (int64, ``ROWS`` of them)."""
+    """``rows`` are the filter's bitmasks: ``ROWS`` 64-bit words for the first ``WORD`` languages, then for the next."""
 
     languages: tuple[str, ...]
     rows: bytes
 
     def false_positives(self) -> np.ndarray:
-        rows = np.frombuffer(self.rows, U64)
-        return np.array([float(((rows >> U64(i)) & U64(1)).mean()) ** HASHES for i in range(len(self.languages))])
+        words = self.words()
+        return np.array(
+            [float(((words[i // WORD] >> U64(i % WORD)) & U64(1)).mean()) ** HASHES for i in range(len(self.languages))]
+        )
+
+    def words(self) -> np.ndarray:
+        return np.frombuffer(self.rows, U64).reshape(-1, ROWS)
 
 
 def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,19 +108,17 @@ def fit_languages(
 
     Rows without text or language are left out. About ``fit_docs`` documents of
     each language are read, all if it has fewer, chosen by a hash of the id;
-    the model's size is bounded by ``ROWS`` and ``GRAMS``. More than
-    ``MOST_LANGUAGES`` languages are refused."""
+    the model has ``ROWS`` words for each ``WORD`` languages, of any number."""
     known = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     known = known.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sizes = dict(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect())
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages; group them first")
+    sizes = dict(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
     languages = tuple(sorted(sizes))
-    table = np.zeros(ROWS, U64)
+    table = np.zeros((-(-len(languages) // WORD), ROWS), U64)
     if languages:
-        share = F.create_map(*(F.lit(x) for k in languages for x in (k, min(1.0, fit_docs / sizes[k]))))
-        drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
-        counts = in_arrow(known.where(drawn).select("lang", "text"), _count_grams, "lang string, gram long, n long")
+        shares = [(k, min(1.0, fit_docs / sizes[k])) for k in languages]
+        shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, drawn double"))
+        drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("drawn") * (1 << 30)
+        counts = in_arrow(known.join(shares, "lang").where(drawn).select("lang", "text"), _count_grams, "lang string, gram long, n long")
         counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
         by_lang, by_gram = Window.partitionBy("lang"), Window.partitionBy("gram")
         share = counts.withColumn("share", F.col("n") / F.sum("n").over(by_lang))
@@ -125,10 +128,11 @@ def fit_languages(
         place = F.row_number().over(by_lang.orderBy(F.desc("n"), "gram"))
         kept = typical.withColumn("place", place).where(F.col("place") <= GRAMS).select("lang", "gram")
         kept = kept.toPandas()  # at most GRAMS a language
-        for i, lang in enumerate(languages):
-            h = kept["gram"][kept["lang"] == lang].to_numpy().astype(np.int64).view(U64)
-            for at in _rows_for(h):
-                table[at] |= U64(1 << i)
+        place = {lang: i for i, lang in enumerate(languages)}
+        for lang, grams in kept.groupby("lang")["gram"]:
+            word, bit = divmod(place[lang], WORD)
+            for at in _rows_for(grams.to_numpy().astype(np.int64).view(U64)):
+                table[word, at] |= U64(1 << bit)
     return LanguageModel(languages, table.tobytes())
 
 
@@ -137,7 +141,8 @@ class _Reader:
 
     def __init__(self, model: LanguageModel):
         self.languages = model.languages
-        self.rows, self.wrong = np.frombuffer(model.rows, U64), model.false_positives()
+        self.words, self.wrong = model.words(), model.false_positives()
+        self.most = _CACHE_WORDS * WORD // max(WORD, len(self.languages))
         self.clear()
 
     def clear(self) -> None:
@@ -146,14 +151,14 @@ class _Reader:
 
     def learn(self, words: list[str]) -> None:
         h, owner = grams_of(words)
-        mask = np.full(len(h), ~U64(0))
-        for at in _rows_for(h):
-            mask &= self.rows[at]
+        rows = list(_rows_for(h))
         n, start = len(words), len(self.place)
         while start + n > len(self.hits):
             self.hits = np.concatenate([self.hits, np.zeros_like(self.hits)])
         for i in range(len(self.languages)):
-            bit = ((mask >> U64(i)) & U64(1)).astype(bool)
+            if i % WORD == 0:
+                mask = np.bitwise_and.reduce([self.words[i // WORD, at] for at in rows])
+            bit = ((mask >> U64(i % WORD)) & U64(1)).astype(bool)
             self.hits[start : start + n, i] = np.bincount(owner[bit], minlength=n)
         self.hits[start : start + n, -1] = np.bincount(owner, minlength=n)
         self.place.update(zip(words, range(start, start + n), strict=True))
@@ -162,7 +167,7 @@ class _Reader:
         words = _LETTERS.findall((text or "").lower())
         if not words or not self.languages:
             return UNDETERMINED, 0.0
-        if len(self.place) > _CACHE_WORDS:
+        if len(self.place) > self.most:
             self.clear()
         new = [w for w in dict.fromkeys(words) if w not in self.place]
         if new:

@@ -203,6 +203,19 @@ def test_language_of_awkward_rows(awkward, nothing):
     assert identify_languages(nothing, model).count() == 0
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    def text(i, j):
+        return " ".join(f"{chr(0x4E00 + 8 * i + (j * 3 + w) % 8)}{chr(0x4E00 + 8 * i + w % 8)}" for w in range(12))
+
+    rows = [(i * 10 + j, text(i, j), f"l{i:03}") for i in range(150) for j in range(6)]
+    rows += [(10_000 + i, f"stray {i}", f"stray{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_languages(docs, F.lit(True))
+    assert len(model.languages) == 190
+    read = identify_languages(docs, model).where("doc_id < 10000").collect()
+    assert len(read) == 900 and all(r.lang_pred == r.lang for r in read)
+
+
 # -- op1 ---------------------------------------------------------------------
 
 
