@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest
+from .divergence import source_divergence
+from .fim import fill_in_middle, restored
 from .langid import fit_languages, held_out, identify_languages
 from .line_dedup import line_counts
 from .mixing import mix_sources
@@ -244,6 +246,86 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_documents(spark, sf_dir))
+
+
+_OP11_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts
+  FROM documents),
+entry AS (SELECT r, lang, source, unnest(ts) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM entry GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+cell AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0) AS n
+  FROM grp g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM entry GROUP BY ALL) c
+    ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sized AS (
+  SELECT *, count(*) OVER (PARTITION BY lang, source) AS v, sum(n) OVER (PARTITION BY lang, source) AS own,
+         sum(total) OVER (PARTITION BY lang, source) AS every FROM cell),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * CAST(n + 1 AS HUGEINT)) // (own + v) AS p,
+         1 + (1000000000 * CAST(total + 1 AS HUGEINT)) // (every + v) AS q
+  FROM sized),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+term AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+  FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, names = fill_in_middle(_documents(spark, sf_dir).select("doc_id", "text"))
+    output, form = F.col(names["output"]), F.col(names["form"])
+    return out.select(
+        "doc_id",
+        *(F.col(names[c]).alias(c) for c in ("n", "form", "prefix_chars", "middle_chars")),
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(restored(output, form), 256).alias("restored_sha256"),
+    )
+
+
+_OP12_SQL = """
+WITH base AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, units, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS b,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 AS plain,
+         CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 AS spm
+  FROM base),
+cut AS (
+  SELECT doc_id, n, text, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(units[1:least(a, b)], '') AS p, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS m,
+         array_to_string(units[greatest(a, b) + 1:], '') AS s
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -255,6 +337,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dup": op8_minhash_near_dup,
     "op9_secret_scan": op9_secret_scan,
     "op10_multiprobe_ann": op10_multiprobe_ann,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
@@ -262,4 +346,6 @@ ORACLES: dict[str, str] = {
     "op2_line_dedup": _OP2_SQL,
     "op5_lookup_sharding": _OP5_SQL,
     "op7_exact_top_k": _OP7_SQL,
+    "op11_source_divergence": _OP11_SQL,
+    "op12_fill_in_middle": _OP12_SQL,
 }
