@@ -23,6 +23,7 @@ from .secret_scan import KINDS as SECRET_KINDS
 from .secret_scan import MOST_OWNERS, MOST_REPOSITORIES, find_secrets
 
 from .sharding import SHARDS, SIZE, assign_shards
+from .substring_dedup import drop_repeated_substrings
 from .topk import exact_top_k
 
 
@@ -326,6 +327,39 @@ FROM cut
 """
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_repeated_substrings(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_OP13_SQL = """
+WITH base AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+found AS (
+  SELECT doc_id, range(0, greatest(0, len(x) // 2 - 99)) AS starts,
+         list_transform(range(0, greatest(0, len(x) // 2 - 99)), lambda i: md5(substr(x, 2 * i + 1, 200))) AS hs
+  FROM base),
+win AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS turn
+  FROM (SELECT doc_id, unnest(starts) AS i, unnest(hs) AS h FROM found)),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS opens
+  FROM win WHERE turn > 1),
+spans AS (
+  SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY ALL),
+ends AS (
+  SELECT doc_id, a, b FROM spans
+  UNION ALL SELECT doc_id, len(x) // 2, len(x) // 2 FROM base),
+pieces AS (
+  SELECT e.doc_id, a, b, substr(x, 2 * p + 1, 2 * (a - p)) AS piece
+  FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS p FROM ends) e
+  JOIN base ON base.doc_id = e.doc_id)
+SELECT doc_id, CAST(sum(len(piece)) // 2 + sum(b - a) AS BIGINT) AS n_bytes, CAST(sum(b - a) AS BIGINT) AS n_removed,
+       count(*) - 1 AS n_spans, sha256(unhex(string_agg(piece, '' ORDER BY a, b))) AS kept_sha256
+FROM pieces GROUP BY doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -339,6 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_multiprobe_ann": op10_multiprobe_ann,
     "op11_source_divergence": op11_source_divergence,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -348,4 +383,5 @@ ORACLES: dict[str, str] = {
     "op7_exact_top_k": _OP7_SQL,
     "op11_source_divergence": _OP11_SQL,
     "op12_fill_in_middle": _OP12_SQL,
+    "op13_suffix_dedup": _OP13_SQL,
 }
