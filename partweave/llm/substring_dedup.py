@@ -41,7 +41,7 @@ from .suffixes import SEPARATOR, common_prefixes, suffix_array
 WIDTH = 100
 SEED_BYTES = 24
 SLICE_BYTES = 1 << 18
-SHARD_BYTES = 1 << 19
+SHARD_BYTES = 1 << 16  # its lists stay in a core's cache
 KEY_BYTES = 1 << 22
 MOST_WINDOWS = (1 << 12) - 1
 NO_ID = -(1 << 63)
