@@ -22,12 +22,15 @@ many documents share is no single task.
 from __future__ import annotations
 
 import bisect
-import re
+import itertools
+import json
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,104 +40,143 @@ CAPACITY = 4096
 END_ID = 1
 RANGE_ROWS = 1_000
 AHEAD_ROWS = 1_000_000  # range totals that may be broadcast, 24 bytes each
-_CACHE = 150_000  # entries of a generation; a cache keeps two
+_CACHE = 300_000  # entries of a generation; a cache keeps two
 
 
-_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the vocabulary's own split
-_PLAIN = re.compile(r"[!-~\u00a1-\u00ff]+")
+# How a vocabulary file that drops white space says so, and its own split.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPLITS = [
+    {"type": "Split", "pattern": {"Regex": _PARTS}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+_PLAIN = "^[!-~\u00a1-\u00ff]*$"
 
 
-class _Chunks(dict):
-    """white-space chunk -> its ids (unsigned 32 bit, little-endian), remembered for a worker's life.
-
-    The vocabulary drops white space and splits what stands between, so a text's
-    ids are those of its chunks in turn. A chunk of ASCII and Latin-1 characters
-    is split and lower-cased here and its parts go straight to the merges; any
-    other chunk, or one that may hold a special token, goes through the whole tokenizer."""
-
-    def __init__(self, path: str):
-        import regex
-        from tokenizers import Tokenizer
+class _Cache(dict):
+    """key -> ids (unsigned 32 bit, little-endian) made by ``make``; two generations of ``_CACHE`` entries."""
 
+    def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.path, self.whole = path, Tokenizer.from_file(path)
-        self.model, self.split, self.parts = self.whole.model, regex.compile(_PARTS).findall, {}
-        self.old: dict[str, bytes] = {}
-        self.old_parts: dict[str, bytes] = {}
-        # Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on.
-        own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-        rest = [b for b in range(256) if b not in set(own)]
-        self.byte_chars = {b: b for b in own} | {b: 256 + i for i, b in enumerate(rest)}
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            ids = self.old_parts.get(part)
-            if ids is None:
-                shown = part.encode().decode("latin-1").translate(self.byte_chars)
-                ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-            if len(self.parts) >= _CACHE:
-                self.parts, self.old_parts = {}, self.parts
-            self.parts[part] = ids
-        return ids
+        self.make, self.old = make, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
         if ids is None:
-            plain = _PLAIN.fullmatch(chunk) and "<|" not in chunk
-            ids = b"".join(map(self.part, self.split(chunk.lower()))) if plain else self.encode(chunk)
-        if len(self) >= _CACHE:  # the older generation goes, words in use come back from it one by one
+            ids = self.make(key)
+        if len(self) >= _CACHE:  # the older generation goes, entries in use come back from it one by one
             self.old = dict(self)
             self.clear()
-        self[chunk] = ids
+        self[key] = ids
         return ids
 
-    def ids(self, text: str | None) -> bytes:
-        # str.split also splits at these four, which the tokenizer keeps
-        if text and ("\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text):
-            return self.encode(text)
-        return b"".join(map(self.__getitem__, (text or "").split()))
 
+def _gather(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``at`` of ``flat`` (runs of ``size``, one behind the other) in turn, and where each begins (and the last ends)."""
+    n = size[at]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    start = np.cumsum(size) - size
+    return flat[np.arange(upto[-1]) + np.repeat(start[at] - upto[:-1], n)], upto
 
-_CHUNKS: dict[str, _Chunks] = {}
-WORKER_CACHES[__name__] = _CHUNKS.clear
 
+def _looked_up(cache: _Cache, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    known = [cache[k] for k in keys.to_pylist()]
+    return np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) // 4
+
+
+class _Tokens:
+    """Ids of texts by a tokenizer file.
+
+    A vocabulary that drops white space splits what stands between into parts, so a
+    text's ids are those of its parts in turn (``by_parts``: whether the file says so; with
+    other rules every text is encoded whole). Distinct white-space chunks of a batch are split and
+    lower-cased once, their distinct parts looked up once, and ids gathered by array
+    operations. A chunk beyond ASCII and Latin-1, or one that may hold a special token, goes
+    through the whole tokenizer."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        normal, split = ((rules[k] or {}) for k in ("normalizer", "pre_tokenizer"))
+        self.by_parts = normal.get("normalizers") == _NORMALIZERS and split.get("pretokenizers") == _SPLITS
+        self.parts, self.chunks = _Cache(self._merged), _Cache(self._encoded)
+        # Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on.
+        own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        rest = [b for b in range(256) if b not in set(own)]
+        self.byte_chars = {b: b for b in own} | {b: 256 + i for i, b in enumerate(rest)}
 
-def token_ids(path: str, text: str | None) -> bytes:
-    if path not in _CHUNKS:
-        _CHUNKS.clear()
-        _CHUNKS[path] = _Chunks(path)
-    return _CHUNKS[path].ids(text)
+    def _encoded(self, text: str) -> bytes:
+        return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _merged(self, part: str) -> bytes:
+        shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.byte_chars)
+        return array("I", [t.id for t in self.whole.model.tokenize(shown)]).tobytes()
+
+    def _of_chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        plain = pc.and_(pc.match_substring_regex(chunks, _PLAIN), pc.invert(pc.match_substring(chunks, "<|")))
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(pc.if_else(plain, chunks, "")), _PARTS, "\\0 "))
+        parts = lists.flatten().dictionary_encode()
+        ids, upto = _gather(*_looked_up(self.parts, parts.dictionary), parts.indices.to_numpy())
+        size = np.diff(upto[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])])
+        other = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        if len(other):
+            more, each = _looked_up(self.chunks, chunks.take(pa.array(other)))
+            ids = np.insert(ids, np.repeat((np.cumsum(size) - size)[other], each), more)
+            size[other] = each
+        return ids, size
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and how many each has."""
+        if not self.by_parts:
+            own = [x.ids for x in self.whole.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            size = np.fromiter(map(len, own), np.int64, len(own))
+            return np.fromiter(itertools.chain.from_iterable(own), "<u4", size.sum()), size
+        lists = pc.utf8_split_whitespace(texts)
+        chunks = lists.flatten().dictionary_encode()
+        ids, upto = _gather(*self._of_chunks(chunks.dictionary), chunks.indices.to_numpy())
+        each = np.diff(upto[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])])
+        # White space to the splitter, but not to the tokenizer.
+        odd = np.flatnonzero(pc.match_substring_regex(texts, "[\x1c-\x1f]").to_numpy(zero_copy_only=False))
+        if len(odd):
+            parts = np.split(ids, np.cumsum(each)[:-1])
+            for i in odd:
+                parts[i] = np.frombuffer(self._encoded(texts[i].as_py()), "<u4")
+            ids, each = np.concatenate(parts), np.array([len(x) for x in parts])
+        return ids, each
+
+
+_TOKENS: dict[str, _Tokens] = {}
+WORKER_CACHES[__name__] = _TOKENS.clear
+
+
+def token_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts by the tokenizer file, and how many each text has."""
+    if path not in _TOKENS:
+        _TOKENS.clear()
+        _TOKENS[path] = _Tokens(path)
+    return _TOKENS[path].ids(texts)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, keep: bool):
-    end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
-        row, piece, crc, size, ids = [], [], [], [], []
-        for i, text in enumerate(batch.column(1).to_pylist()):
-            own = token_ids(path, text) + end
-            for k, at in enumerate(range(0, len(own), 4 * capacity)):
-                part = own[at : at + 4 * capacity]
-                row.append(i)
-                piece.append(k)
-                crc.append(zlib.crc32(part))
-                size.append(len(part) // 4)
-                if keep:
-                    ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-        piece = np.array(piece, np.int64)
-        columns = [
-            batch.column(0).take(pa.array(row, pa.int64())),
-            pa.array(piece.astype(np.int32)),
-            as_long(piece * capacity),
-            as_long(np.array(size, np.int64)),
-            as_long(np.array(crc, np.int64)),
-        ]
+        texts = pc.fill_null(batch.column(1), "")
+        ids, each = token_ids(path, texts)
+        stop = np.cumsum(each)
+        ids = np.insert(ids, stop, end_id).astype("<u4")
+        each, pieces = each + 1, -(-(each + 1) // capacity)
+        row = np.repeat(np.arange(len(each)), pieces)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        size = np.minimum(each[row] - piece * capacity, capacity)
+        ends = np.cumsum(size)
+        data = memoryview(ids.view(np.uint8))
+        crc = np.fromiter((zlib.crc32(data[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), size.tolist(), strict=True)), np.int64, len(ends))
+        columns = [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), as_long(piece * capacity), as_long(size), as_long(crc)]
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         if keep:
-            columns.append(pa.array(ids, pa.list_(pa.int32())))
+            columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.astype(np.int32))))
             names.append("ids")
         yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -255,8 +297,10 @@ def pack_documents(
 
     Null and empty texts are the end id alone. Rows that repeat a document are
     packed as often as they stand there; a null doc_id stays null. Columns other
-    than the id and the text are ignored; an empty table gives no rows. The
-    tokenizer file is read on the executors at ``tokenizer_path``."""
+    than the id and the text are ignored, whatever their names; an empty table gives
+    no rows. A very long text is tokenized in one task and cut into pieces like any other.
+    The tokenizer file, of any rules, is read on the executors at ``tokenizer_path``;
+    where it drops white space, words are looked up one by one, else texts are encoded whole."""
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
     cut = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cut = in_arrow(cut, _cut, kind, path=tokenizer_path, capacity=capacity, end_id=end_id, keep=keep_ids)

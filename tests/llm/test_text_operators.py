@@ -262,15 +262,40 @@ def test_packing_covers_every_token_once(awkward, nothing):
     assert pack_documents(nothing, vocabulary()).count() == 0
 
 
-@pytest.mark.parametrize(
-    "text", ["a\x1cb c", "İstanbul ΣΑΣ o'clock <|endoftext|> x", "tab\tline nbsp\xa0end", "é ﬁ 12½ ²", "x" * 3000]
-)
-def test_tokens_equal_the_tokenizers(text):
-    import numpy as np
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_tokens_equal_the_tokenizers(name):
+    """Of a vocabulary whose words are looked up one by one, and of one that needs whole texts."""
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
-    want = Tokenizer.from_file(vocabulary()).encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(token_ids(vocabulary(), text), "<u4").tolist() == want
+    texts = ["a\x1cb c", "İstanbul ΣΑΣ o'clock <|endoftext|> x", "", "tab\tline nbsp\xa0end ", "é ﬁ 12½ ²", "x" * 3000, " \n ", "e\u0301 don't we'll U.S."]
+    whole = Tokenizer.from_file(vocabulary(name))
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    for some in (texts, texts[1:2], texts[2:3], []):
+        ids, each = token_ids(vocabulary(name), pa.array(some, pa.string()))
+        own = want[texts.index(some[0]) :][: len(some)] if some else []
+        assert each.tolist() == [len(x) for x in own] and ids.tolist() == [i for x in own for i in x]
+
+
+def test_packing_needs_no_more_sequences_than_plain_best_fit(spark):
+    """Against the least possible and against best fit over all pieces, the largest first."""
+    import bisect
+
+    rows = [(i, "word " * (1 + i * i * 7919 % 5000)) for i in range(300)]
+    out = pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary()).toPandas()
+    gaps = []
+    for n in sorted(out.length, reverse=True):
+        at = bisect.bisect_left(gaps, n)
+        bisect.insort(gaps, (gaps.pop(at) if at < len(gaps) else 4096) - n)
+    used = out.sequence_id.nunique()
+    assert -(-out.length.sum() // 4096) <= used <= len(gaps)
+
+
+def test_packing_takes_clashing_names(awkward):
+    clash = awkward.withColumnsRenamed({"lang": "length", "source": "rank", "n_chars": "ids"})
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    rows = [sorted(map(str, pack_documents(d, vocabulary()).select(key).collect())) for d in (awkward, clash)]
+    assert rows[0] == rows[1]
 
 
 @pytest.mark.parametrize(
