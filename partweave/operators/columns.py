@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +26,8 @@ def cast_ids_by_suffix(df: DataFrame, suffix: str = "id", exclude: tuple[str, ..
     return df.select(*[to_bigint(c).alias(c) if c in ids else F.col(c) for c in df.columns])
 
 
-def cast_audit(df: DataFrame, suffix: str = "id", exclude: tuple[str, ...] = ()) -> DataFrame:
-    """What ``cast_ids_by_suffix`` does to each ID column, in one pass: (column_name,
+def cast_audit(df: DataFrame, suffix: str = "id", exclude: tuple[str, ...] = (), by: Sequence[str] = ()) -> DataFrame:
+    """What ``cast_ids_by_suffix`` does to each ID column, in one pass: (by.., column_name,
     n_rows, n_null, n_lost, n_truncated) - rows, values NULL before the cast, values
     that become NULL in it, and values that lose a fraction."""
     ids = id_columns(df, suffix, exclude)
@@ -43,8 +45,10 @@ def cast_audit(df: DataFrame, suffix: str = "id", exclude: tuple[str, ...] = ())
             )
         )
     if not one:
-        return df.sparkSession.createDataFrame([], "column_name string, n_rows long, n_null long, n_lost long, n_truncated long")
-    return df.agg(F.array(*one).alias("a")).select(F.inline("a"))
+        kinds = ", ".join(f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by)
+        return df.sparkSession.createDataFrame([], f"{kinds + ', ' if by else ''}column_name string, n_rows long, n_null long, n_lost long, n_truncated long")
+    grouped = df.groupBy(*by) if by else df
+    return grouped.agg(F.array(*one).alias("_audit")).select(*by, F.inline("_audit"))
 
 
 def rename_orig(df: DataFrame, col: str) -> DataFrame:

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import thousands
 from ..functions.types import SQL_TYPE_NAMES, sql_type_name
-from ..session import stage
-from .numbering import number_rows
+from .profiles import ONE, PROBS, QNAMES, exact_profile, finished
 
 
 def describe_columns(df: DataFrame) -> DataFrame:
@@ -38,11 +37,10 @@ def profile_column(
     assignment).
 
     Quantiles are continuous (linear interpolation between order statistics,
-    ``lo + (hi - lo) * frac``). ``quantiles='exact'`` ranks the non-NULL values
-    with the distributed numbering (range partition + staged sort; no value
-    set is held in one buffer) and equi-joins the needed ranks - six per
-    group, from the groups' counts - back, for any number of groups. ``'approx'`` uses ``percentile_approx``:
-    one pass, bounded memory, rank error about 1/accuracy.
+    ``lo + (hi - lo) * frac``). ``quantiles='exact'`` counts distinct values and ranks
+    those inside a bracket of each quantile (see ``profiles``), for any number of
+    groups. ``'approx'`` uses ``percentile_approx``: one pass, bounded memory, rank
+    error about 1/accuracy.
     """
     by = list(by or [])
     c = F.col(col)
@@ -64,59 +62,8 @@ def profile_column(
     ]
     grouped = df.groupBy(*by) if by else df
     if quantiles == "approx":
-        qs = F.percentile_approx(c.cast("double"), list(_PROBS), accuracy)
-        return grouped.agg(*base, *[F.round(qs[i], 6).alias(nm) for i, nm in enumerate(_QNAMES)], *tail)
+        qs = F.percentile_approx(c.cast("double"), list(PROBS), accuracy)
+        return grouped.agg(*base, *[F.round(qs[i], 6).alias(nm) for i, nm in enumerate(QNAMES)], *tail)
     if quantiles != "exact":
         raise ValueError("quantiles must be 'exact' or 'approx'")
-
-    # Equal values share a range partition, so a value held by a third of the
-    # rows would land in one task. Ties may come in any order for quantiles:
-    # a per-row tiebreaker lets the range partitioner split such a value. It is
-    # written with the values, so a re-run task cannot move a row across a bound.
-    vals = df.select(*by, c.alias("_v")).where(F.col("_v").isNotNull())
-    tied = stage(vals.withColumn("_tb", F.monotonically_increasing_id()), "profile-values")
-    ranked = number_rows(tied, ["_v", "_tb"], "_rk", restart_by=by)
-    # Six wanted ranks per group, made from the group's count where it stands.
-    wanted = []
-    for p, nm in zip(_PROBS, _QNAMES):
-        pos = (F.col("_n") - 1) * F.lit(p)
-        lo = F.floor(pos)
-        for role, at in (("lo", lo), ("hi", F.least(lo + 1, F.col("_n") - 1))):
-            wanted.append(F.struct(F.lit(nm).alias("_q"), (at + 1).alias("_rk"), F.lit(role).alias("_role"), (pos - lo).alias("_frac")))
-    counts = tied.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
-    picks = counts.select(*by, F.explode(F.array(*wanted)).alias("w")).select(*by, "w.*")
-    pick_df = picks if by else F.broadcast(picks)  # six rows without groups
-    r, k = ranked.alias("r"), pick_df.alias("k")
-    cond = [F.col(f"r.{b}").eqNullSafe(F.col(f"k.{b}")) for b in by] + [F.col("r._rk") == F.col("k._rk")]
-    j = r.join(k, cond)
-    v = F.col("r._v").cast("double")
-    per_q = j.groupBy(*[F.col(f"k.{b}").alias(b) for b in by], F.col("k._q").alias("_q")).agg(
-        F.max(F.when(F.col("k._role") == "lo", v)).alias("_vlo"),
-        F.max(F.when(F.col("k._role") == "hi", v)).alias("_vhi"),
-        F.first("k._frac").alias("_frac"),
-    )
-    qv = F.round(F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo")), 6)
-    qcols = [F.max(F.when(F.col("_q") == nm, qv)).alias(nm) for nm in _QNAMES]
-    qtab = per_q.groupBy(*by).agg(*qcols) if by else per_q.agg(*qcols)
-    prof = grouped.agg(*base, *tail)
-    if not by:
-        # Both sides are single rows; fold the quantile row in as literals.
-        qrow = qtab.first()
-        vals_q = [F.lit(qrow[nm] if qrow else None).cast("double").alias(nm) for nm in _QNAMES]
-        return prof.select(
-            "column_name", "column_type", "min", "max", "n_unique", "avg", "std", *vals_q, "count", "null_percentage"
-        )
-    p_, q_ = prof.alias("p"), qtab.alias("q")
-    jc = [F.col(f"p.{b}").eqNullSafe(F.col(f"q.{b}")) for b in by]
-    out = p_.join(q_, jc, "left")
-    return out.select(
-        *[F.col(f"p.{b}") for b in by],
-        *[F.col(f"p.{x}") for x in ("column_name", "column_type", "min", "max", "n_unique", "avg", "std")],
-        *[F.col(f"q.{nm}") for nm in _QNAMES],
-        F.col("p.count"),
-        F.col("p.null_percentage"),
-    )
-
-
-_PROBS = (0.25, 0.5, 0.75)
-_QNAMES = ("q25", "q50", "q75")
+    return finished(exact_profile(df, [col], by), by, ONE)

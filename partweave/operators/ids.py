@@ -6,11 +6,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 from pyspark.sql.window import Window as W
 
 from .broadcast import DEFAULT_MAX_BYTES, checked_broadcast, max_rows_for
 from ..session import stage
 from .numbering import DuplicateKeys, number_rows, sort_keys
+from .segments import whole
 
 
 _ROW_HASH = "_pw_row_hash"
@@ -167,6 +169,9 @@ def rebase_ids(
     ``method='window'`` numbers each part with ``row_number()`` (one task per
     part, no staging) - only while every part has at most ``max_group_rows``
     rows; a bigger part switches the call to the exact two-pass method.
+
+    ``method='segments'`` cuts each part by an exact histogram of its IDs and numbers the
+    pieces: no staged copy, any part size. For a result that is read once.
     """
     return assign_ids(df, id_col, part, method, on_duplicates, num_partitions, stats, max_group_rows)[0]
 
@@ -187,8 +192,15 @@ def _rebase_full_rows(df, id_col, part, method, on_duplicates, num_partitions, s
     if method == "window":
         over = part_counts(df, part).where(F.col("n_rows") > max_group_rows)
         method = "window" if over.isEmpty() else "two_pass"
-    elif method != "two_pass":
+    elif method not in ("two_pass", "segments"):
         raise ValueError(f"unknown method {method!r}")
+    if method == "segments" and not (on_duplicates == "fail" and whole(df.schema[id_col].dataType)):
+        method = "two_pass"  # the histogram needs whole, unique keys; the numbers are the same
+    if method == "segments":
+        try:
+            return number_rows(renamed, [part, orig], id_col, method=method, on_ties="fail", stats=stats)
+        except DuplicateKeys as e:
+            raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out(): {e}") from e
     if method == "two_pass":
         ties = "fail" if on_duplicates == "fail" else "ignore"
         try:
@@ -215,20 +227,51 @@ def key_map(rebased: DataFrame, id_col: str, part: str = "part") -> DataFrame:
     return rebased.select(part, orig_name(id_col), id_col)
 
 
-def check_ids(df: DataFrame, id_col: str) -> DataFrame:
+# Bitmaps hold this many neighbouring IDs each (fixed value of Spark's bitmap functions), and
+# pay while at least one in so many of the IDs between the least and the greatest is there.
+BITMAP_IDS = 32_768
+LEAST_SHARE = 256
+
+
+def check_ids(df: DataFrame, id_col: str, bitmaps: bool | None = None) -> DataFrame:
     """One row: n_rows, n_distinct, min_id, max_id, n_null, is_dense
-    (unique, no NULL, exactly 1..n_rows)."""
+    (unique, no NULL, exactly 1..n_rows).
+
+    ``bitmaps``: distinct IDs are counted as the bits of one bitmap for each stretch of
+    ``BITMAP_IDS`` of them, made before the shuffle: a task sends 4 KB a stretch, and no ID.
+    That is for whole IDs without wide gaps, as after a rebase; the default (None) looks at
+    their extremes and number first. Else IDs are counted by a distinct aggregation."""
     c = F.col(id_col)
     n = F.count(F.lit(1))
-    nd = F.count_distinct(c)
-    return df.agg(
-        n.alias("n_rows"),
-        nd.alias("n_distinct"),
-        F.min(c).alias("min_id"),
-        F.max(c).alias("max_id"),
-        (n - F.count(c)).alias("n_null"),
-        ((n == nd) & (F.min(c) == 1) & (F.max(c) == n)).alias("is_dense"),
-    )
+    if bitmaps is None:
+        bitmaps = whole(df.schema[id_col].dataType) and not isinstance(df.schema[id_col].dataType, DateType)
+        if bitmaps:
+            low, high, rows = df.agg(F.min(c), F.max(c), F.count(c)).first()
+            bitmaps = rows > 0 and high - low < LEAST_SHARE * rows
+    if not bitmaps:
+        nd = F.count_distinct(c)
+        found = df.agg(n.alias("n_rows"), nd.alias("n_distinct"), F.min(c).alias("min_id"), F.max(c).alias("max_id"), F.count(c).alias("_set"))
+    else:
+        v = c.cast("long")
+        stretch = df.groupBy(F.floor(v / F.lit(BITMAP_IDS)).alias("_stretch")).agg(
+            n.alias("_n"),
+            F.count(c).alias("_set"),
+            F.bitmap_construct_agg(F.pmod(v, F.lit(BITMAP_IDS))).alias("_bits"),
+            F.min(c).alias("_min"),
+            F.max(c).alias("_max"),
+        )
+        found = stretch.agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+            F.coalesce(F.sum(F.when(F.col("_set") > 0, F.bitmap_count("_bits")).otherwise(0)), F.lit(0)).alias("n_distinct"),
+            F.min("_min").alias("min_id"),
+            F.max("_max").alias("max_id"),
+            F.coalesce(F.sum("_set"), F.lit(0)).alias("_set"),
+        )
+    rows, distinct = F.col("n_rows"), F.col("n_distinct")
+    return found.select(
+        "n_rows", "n_distinct", "min_id", "max_id", (rows - F.col("_set")).alias("n_null"),
+        ((rows == distinct) & (F.col("min_id") == 1) & (F.col("max_id") == rows)).alias("is_dense"),
+    )
 
 
 __all__ = [

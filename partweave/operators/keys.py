@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .broadcast import DEFAULT_MAX_BYTES, checked_broadcast, max_rows_for
 from ..session import stage
+from .compact import key_filter
 from .ids import orig_name
 
 JOIN_KINDS = ("inner", "left")
@@ -23,6 +24,7 @@ def rewrite_fk(
     hot_key_rows: int | None = None,
     keymap_rows: int | None = None,
     broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Child with ``id_col`` replaced by the new ID from ``keymap``
     (part, Orig<id>, <id>), the new column first and the old one dropped.
@@ -39,6 +41,10 @@ def rewrite_fk(
     single key reaches one task. ``keymap_rows``, when the caller knows the
     key map's row count, replaces the size check's counting job.
     ``broadcast_max_bytes`` is the budget for one broadcast key map.
+
+    ``prefilter`` (inner joins, key maps over the budget): most orphans are dropped where the child
+    is scanned, by a bitmap filter of the key map's hashes within the budget (``compact.key_filter``),
+    so they are never shuffled.
     """
     if how not in JOIN_KINDS:
         raise ValueError(f"how must be one of {JOIN_KINDS}")
@@ -50,6 +56,9 @@ def rewrite_fk(
     out_cols = [id_col] + [x for x in c.columns if x != orig]
 
     side = known_broadcast(km, keymap_rows, broadcast, broadcast_max_bytes)
+    if prefilter and how == "inner" and side is km:
+        rows = keymap_rows if keymap_rows is not None else km.count()
+        c = key_filter(km, id_col, rows, part, broadcast_max_bytes).of(c, orig)
     if hot_key_rows is None or side is not km:
         # A broadcast key map never shuffles the child: no key can be hot.
         return c.join(side, keys, how).select(*out_cols)
@@ -60,11 +69,22 @@ def rewrite_fk(
     salts = F.ceil(F.col("_n") / F.lit(hot_key_rows)).cast("int").alias("_salts")
     hot = stage(counts.where(F.col("_n") >= hot_key_rows).select(*keys, salts), "hot-keys")
     hot = checked_broadcast(hot, broadcast_max_bytes)
-    row = F.pmod(F.xxhash64(*c.columns, F.monotonically_increasing_id()), F.coalesce("_salts", F.lit(1)))
-    dealt = c.join(hot, keys, "left").withColumn("_salt", row.cast("int")).drop("_salts")
+    # The salt is a function of the row, so a map task that runs again deals it out alike.
+    # Rows of a hot key that agree in all columns share a salt; that partition is left to AQE.
+    salt = fresh_name([*c.columns, *km.columns], "_salt")
+    row = F.pmod(F.xxhash64(*c.columns), F.coalesce("_salts", F.lit(1)))
+    dealt = c.join(hot, keys, "left").withColumn(salt, row.cast("int")).drop("_salts")
     every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    spread = km.join(hot, keys, "left").withColumn("_salt", every).drop("_salts")
-    return dealt.join(spread, [*keys, "_salt"], how).select(*out_cols)
+    spread = km.join(hot, keys, "left").withColumn(salt, every).drop("_salts")
+    return dealt.join(spread, [*keys, salt], how).select(*out_cols)
+
+
+def fresh_name(taken: list[str], wanted: str) -> str:
+    """``wanted``, with underscores in front until no column has that name (any case)."""
+    low = {c.lower() for c in taken}
+    while wanted.lower() in low:
+        wanted = "_" + wanted
+    return wanted
 
 
 def known_broadcast(km: DataFrame, rows: int | None, broadcast: str, max_bytes: int) -> DataFrame:

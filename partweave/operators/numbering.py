@@ -18,6 +18,10 @@ group (or the whole table) to one task.
   partitioner, so no task holds more than about ``1/n`` of the rows
   (duplicated ordering keys excepted: equal keys share a partition).
 
+``segments``: for whole-number keys, by an exact histogram of the last one; the
+rows are neither staged nor sampled (see ``segments``). Best where the result is
+read once; a staged result is cheaper to read again.
+
 ``window``: ``row_number()`` over ``partitionBy(restart_by)``. Each restart
 group is sorted by one task - fine for small groups and as a test reference.
 """
@@ -31,13 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..session import stage, stage_counted
+from .segments import number_by_segments, whole
 
 PID = "_pw_pid"
 POS = "_pw_pos"
 _BASE = "_pw_base"
 _TIES = "_pw_ties"
 
-METHODS = ("two_pass", "window")
+METHODS = ("two_pass", "segments", "window")
 
 
 def sort_keys(cols: Sequence[str]) -> list[Column]:
@@ -109,6 +114,15 @@ def number_rows(
             raise DuplicateKeys(f"{restart_by + order_by} repeat")
         w = W.partitionBy(*restart_by).orderBy(*sort_keys(order_by))
         return df.withColumn(name, F.row_number().over(w).cast("long"))
+    if method == "segments":
+        if not whole(df.schema[order_by[-1]].dataType):
+            raise ValueError(f"the segments method needs a whole number or date as last key, not {order_by[-1]}")
+        if on_ties == "fail" and not df.groupBy(*restart_by, *order_by).count().where("count > 1").isEmpty():
+            raise DuplicateKeys(f"{restart_by + order_by} repeat")
+        out, rows = number_by_segments(df, order_by, name, restart_by)
+        if stats is not None:
+            stats["rows"] = rows
+        return out
     if method != "two_pass":
         raise ValueError(f"unknown numbering method {method!r}; use one of {METHODS}")
     return _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, stats)
@@ -140,24 +154,41 @@ def _number_two_pass(df, order_by, name, restart_by, num_partitions, on_ties, st
     if on_ties == "fail":
         aggs.append(F.max(_TIES).alias("_ties"))
     counts = staged.groupBy(*seg_keys).agg(*aggs)
-    # One row per segment: at most n rows without a restart key (one per
-    # partition id), n + groups - 1 with one. Running sums over them inside each
-    # restart group: a group's segments are at most n rows.
-    before = W.partitionBy(*(restart_by or [F.lit(0)])).orderBy(PID).rowsBetween(W.unboundedPreceding, -1)
-    base = (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias(_BASE)
     ties = ["_ties"] if on_ties == "fail" else []
-    seg, n_segments = stage_counted(counts.select(*seg_keys, base, "_n", *ties), "numbering-segments")
-    summary = seg.agg(F.sum("_n"), *[F.max(t) for t in ties]).first()
-    if ties and (summary[1] or 1) > 1:
-        bad = seg.where("_ties > 1").select(*restart_by).distinct().limit(5).collect() if restart_by else []
+    if restart_by:
+        seg_df, rows, most = _segments_by_group(counts, seg_keys, restart_by, ties)
+    else:
+        seg_df, rows, most = _segments_in_order(df.sparkSession, counts, ties)
+    if most > 1:
+        bad = counts.where("_ties > 1").select(*restart_by).distinct().limit(5).collect() if restart_by else []
         where = f" in groups such as {[tuple(r) for r in bad]}" if bad else ""
-        raise DuplicateKeys(f"{restart_by + order_by} repeat (up to {summary[1]} rows per key){where}")
+        raise DuplicateKeys(f"{restart_by + order_by} repeat (up to {most} rows per key){where}")
     if stats is not None:
-        stats["rows"] = summary[0] or 0
-    seg = seg.select(*seg_keys, _BASE)
-    seg_df = F.broadcast(seg) if n_segments <= BROADCAST_SEGMENTS else seg
+        stats["rows"] = rows
 
     s, g = staged.alias("s"), seg_df.alias("g")
     cond = [F.col(f"s.{PID}") == F.col(f"g.{PID}")] + [F.col(f"s.{k}").eqNullSafe(F.col(f"g.{k}")) for k in restart_by]
     out = s.join(g, cond, "inner")
     return out.select(*[F.col(f"s.{c}") for c in df.columns], (F.col(f"g.{_BASE}") + F.col(f"s.{POS}") + 1).alias(name))
+
+
+def _segments_in_order(spark, counts, ties):
+    """One row a range partition - at most ``spark.sql.shuffle.partitions`` - summed up on the driver."""
+    before, rows, most = 0, [], 0
+    for r in counts.orderBy(PID).collect():
+        rows.append((r[PID], before - r["_first"]))
+        before += r["_n"]
+        most = max(most, r["_ties"] if ties else 0)
+    return F.broadcast(spark.createDataFrame(rows, f"{PID} int, {_BASE} long")), before, most
+
+
+def _segments_by_group(counts, seg_keys, restart_by, ties):
+    """One row a segment: at most n + groups - 1. Running sums over them inside each
+    restart group: a group's segments are at most n rows."""
+    before = W.partitionBy(*restart_by).orderBy(PID).rowsBetween(W.unboundedPreceding, -1)
+    base = (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias(_BASE)
+    seg, n_segments = stage_counted(counts.select(*seg_keys, base, "_n", *ties), "numbering-segments")
+    summary = seg.agg(F.sum("_n"), *[F.max(t) for t in ties]).first()
+    seg_df = seg.select(*seg_keys, _BASE)
+    seg_df = F.broadcast(seg_df) if n_segments <= BROADCAST_SEGMENTS else seg_df
+    return seg_df, summary[0] or 0, (summary[1] or 0) if ties else 0

@@ -7,7 +7,6 @@ Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +23,11 @@ from ..operators.rollups import code_year_rollup, coverage_count
 from ..session import new_stage_path, stage
 from ..registry import CLAIMS, ForeignKey, Registry
 from ..sources.csv import csv_view, read_csv, read_csv_parts, write_csv
-from ..sources.parts import land, read_parts, write_parts
+from ..sources.parts import land, part_folders, read_parts, write_parts
 from ..streaming.landing import land_stream
+from .catalog_state import ORACLES as STATE_ORACLES
+from .catalog_state import QUERIES as STATE_QUERIES
+from .catalog_state import SAME_AS
 from .convert import integrate
 from .fixtures import fixture, read_table
 from .pipeline import Pipeline
@@ -373,30 +375,30 @@ def q_bind_parts_union(spark, d):
     path = new_stage_path(spark, "landing-enrollment")
     write_parts(fixture(spark, d).enroll_src, path)
     landed = read_parts(spark, path)
-    parts = sorted({int(m) for m in re.findall(r"/part=(\d+)/", " ".join(landed.inputFiles()))})
-    frames = [landed.where(F.col("part") == i).drop("part").select("PatID", "MedCov", "DrugCov") for i in parts]
+    numbers = [int(f.rsplit("=", 1)[1]) for f in part_folders(spark, [path])]
+    frames = [landed.where(F.col("part") == i).drop("part").select("PatID", "MedCov", "DrugCov") for i in numbers]
     return union_parts(frames)
 
 
-def _numbered_files(df: DataFrame, n: int, folder: str, table: str, fmt: str) -> None:
-    """Writes ``df`` (with ``part`` 1..n) as one file a part, named like an extract. Odd
-    CSV parts have their columns the other way round."""
+def _numbered_files(df: DataFrame, folder: str, table: str, fmt: str) -> None:
+    """Writes ``df`` (with ``part``) as one file a part, named like an extract, in one job: rows are dealt
+    out by part and each task writes its parts' folders, whose files are then renamed. Odd CSV parts have
+    their columns the other way round (a job each way)."""
     spark = df.sparkSession
-    jvm = spark._jvm
-    to = jvm.org.apache.hadoop.fs.Path(folder)
+    fs_ = spark._jvm.org.apache.hadoop.fs
+    to = fs_.Path(folder)
     fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(to)
     names = [c for c in df.columns if c != "part"]
-    for i in range(1, n + 1):
-        one = df.where(F.col("part") == i).select(*(reversed(names) if fmt == "csv" and i % 2 else names)).coalesce(1)
-        made = f"{folder}-made-{i}"
-        if fmt == "csv":
-            write_csv(one, made)
-        else:
-            one.write.parquet(made)
-        name = f"{table}_{i}.csv" if fmt == "csv" else f"{table}-{i}-snappy.parquet"
-        file = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{made}/part-*"))[0].getPath()
-        fs.rename(file, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+    ways = {"made": names} if fmt != "csv" else {"made-odd": names[::-1], "made-even": names}
+    for made, order in ways.items():
+        some = df if fmt != "csv" else df.where(F.col("part") % 2 == int(made == "made-odd"))
+        writer = some.select(*order, "part").repartition("part").write.partitionBy("part")
+        (writer.option("header", "true").option("escape", '"').csv if fmt == "csv" else writer.parquet)(f"{folder}-{made}")
+        for file in fs.globStatus(fs_.Path(f"{folder}-{made}/part=*/part-*")):
+            i = file.getPath().getParent().getName().removeprefix("part=")
+            name = f"{table}_{i}.csv" if fmt == "csv" else f"{table}-{i}-snappy.parquet"
+            fs.rename(file.getPath(), fs_.Path(f"{folder}/{name}"))
 
 
 def q_csv_parts_lossless(spark, d):
@@ -408,9 +410,9 @@ def q_csv_parts_lossless(spark, d):
     code = F.lpad(F.col("l_partkey").cast("string"), 11, "0").alias("NDC")
     note = F.concat(F.lit('say "'), F.col("l_returnflag"), F.lit('", twice, "" end')).alias("Note")
     out = li.select(F.col("l_linenumber").cast("long").alias("part"), F.col("l_orderkey").alias("EncounterID"), F.col("l_suppkey").alias("PatID"), code, note)
-    _numbered_files(out, 7, path, "dispensing", "csv")
+    _numbered_files(out, path, "dispensing", "csv")
     decoy = read_table(spark, d, "region").select(F.lit(1).cast("long").alias("part"), F.col("r_regionkey").alias("EncounterID"))
-    _numbered_files(decoy, 1, f"{path}-decoy", "dispensing_codes", "csv")
+    _numbered_files(decoy, f"{path}-decoy", "dispensing_codes", "csv")
     fs = spark._jvm.org.apache.hadoop.fs
     to = fs.Path(f"{path}/dispensing_codes_1.csv")
     to.getFileSystem(spark._jsc.hadoopConfiguration()).rename(fs.Path(f"{path}-decoy/dispensing_codes_1.csv"), to)
@@ -422,7 +424,7 @@ def q_flat_parquet_parts(spark, d):
     path = new_stage_path(spark, "flat-parts")
     o = read_table(spark, d, "orders")
     part = (F.col("o_orderkey") % 5 + 1).cast("long").alias("part")
-    _numbered_files(o.select(part, "o_orderkey", "o_custkey", "o_orderdate"), 5, path, "encounter", "parquet")
+    _numbered_files(o.select(part, "o_orderkey", "o_custkey", "o_orderdate"), path, "encounter", "parquet")
     return read_parts(spark, path, layout="flat").select("part", "o_orderkey", "o_custkey", "o_orderdate")
 
 
@@ -826,4 +828,7 @@ ORACLES.update(
     }
 )
 
+QUERIES.update(STATE_QUERIES)
+ORACLES.update(STATE_ORACLES | {name: ORACLES[other] for name, other in SAME_AS.items()})
+
 assert set(ORACLES) == set(QUERIES), set(QUERIES) ^ set(ORACLES)

@@ -6,19 +6,16 @@ from __future__ import annotations
 
 import csv as _csv
 import re
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.bind import SchemaMismatch
 
-# Part files looked into at once from the driver (a header line or a footer each).
-LOOKS_AT_ONCE = 16
-
 
 def read_csv(
     spark: SparkSession,
@@ -55,23 +52,15 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
     df.write.mode(mode).option("header", str(header).lower()).option("escape", '"').csv(path)
 
 
-def part_files(spark: SparkSession, directory: str, pattern: str, glob: str) -> dict[int, str]:
-    """part number -> path of the files in ``directory`` whose whole name matches
-    ``pattern`` (its first group is the number). Other names belong to other tables
-    and are left alone; two files of one number are refused, as is no file at all."""
-    # A binary-file scan that selects the path alone lists files and opens none.
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory.rstrip("/")).select("path")
-    found: dict[int, str] = {}
-    for (path,) in listed.collect():
-        m = re.fullmatch(pattern, path.rsplit("/", 1)[-1])
-        if m is None:
-            continue
-        if int(m[1]) in found:
-            raise SchemaMismatch(f"two files for part {int(m[1])}: {found[int(m[1])]} and {path}")
-        found[int(m[1])] = path
-    if not found:
-        raise FileNotFoundError(f"no file named like {pattern} in {directory}")
-    return dict(sorted(found.items()))
+def list_parts(spark: SparkSession, path: str | Sequence[str], pattern: str, glob: str | None = None) -> DataFrame:
+    """``(part, path, file_name, bytes)`` of the files under ``path``, as a table: a binary-file scan
+    that selects no content lists files and opens none. ``part`` is the first group of
+    ``pattern`` on the whole name, NULL for other names."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    r = r.option("pathGlobFilter", glob) if glob else r
+    name = F.element_at(F.split("path", "/"), -1)
+    number = F.regexp_extract(name, f"^(?:{pattern})$", 1).try_cast("long")
+    return r.load([path] if isinstance(path, str) else list(path)).select(number.alias("part"), "path", name.alias("file_name"), F.col("length").alias("bytes"))
 
 
 def read_csv_parts(
@@ -88,38 +77,61 @@ def read_csv_parts(
     from each row's file name.
 
     Columns are bound by header name: parts may order their columns
-    differently, and files with one header are one scan. Every part must name the
+    differently, and files with one header are one scan. Headers are read by one job over
+    all files. Every part must name the
     same columns (ignoring case); a column more or fewer is refused. Types come
     from ``schema``; without it every column is text, so nothing is lost to a guess
     (leading zeros). Without a header line a ``schema`` is needed and binds by position."""
     pattern = rf"{re.escape(table)}_(\d+)\.csv"
-    files = part_files(spark, directory, pattern, f"{table}_*.csv")
+    glob = f"{table}_*.csv"
     number = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).cast("long")
+    # Other names belong to other tables and are left alone.
+    files = list_parts(spark, directory, pattern, glob).where(F.col("part").isNotNull())
+    twice = files.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).where("n > 1").first()
+    if twice:
+        raise SchemaMismatch(f"{twice['n']} files for part {twice['part']}, one is {twice['path']}")
+    heads = _heads(spark, directory, pattern, glob) if header else None
+    if header:
+        kinds = heads.collect()  # a row a different header, not a file
+        found = [tuple(next(_csv.reader([k["head"]]))) if k["head"] else () for k in kinds]
+    elif schema is None:
+        raise ValueError("files without a header line need a schema")
+    if files.isEmpty():
+        raise FileNotFoundError(f"no file named like {pattern} in {directory}")
     if not header:
-        if schema is None:
-            raise ValueError("files without a header line need a schema")
-        return read_csv(spark, list(files.values()), schema, header=False, multi_line=multi_line).withColumn(part, number)
-    heads = _headers(spark, list(files.values()))
-    first = next(iter(heads.values()))
-    names = schema.fieldNames() if schema is not None else list(first)
+        paths = [r["path"] for r in files.select("path").collect()]
+        return read_csv(spark, paths, schema, header=False, multi_line=multi_line).withColumn(part, number)
+    names = schema.fieldNames() if schema is not None else list(found[0])
     fields = {n.lower(): schema[n] if schema is not None else T.StructField(n, T.StringType()) for n in names}
-    by_head: dict[tuple[str, ...], list[str]] = {}
-    for path, head in heads.items():
-        if sorted(h.lower() for h in head) != sorted(fields):
-            raise SchemaMismatch(f"{path} has columns {list(head)}, expected {names}")
-        by_head.setdefault(head, []).append(path)
     frames = []
-    for head, paths in by_head.items():
+    for kind, head in zip(kinds, found, strict=True):
+        if sorted(h.lower() for h in head) != sorted(fields):
+            raise SchemaMismatch(f"{kind['first_path']} has columns {list(head)}, expected {names}")
         own = T.StructType([T.StructField(h, fields[h.lower()].dataType) for h in head])
-        df = read_csv(spark, paths, own, multi_line=multi_line).withColumn(part, number)
+        df = read_csv(spark, kind["paths"], own, multi_line=multi_line).withColumn(part, number)
         frames.append(df.select(*[F.col(n).alias(n) for n in names], part))
     return reduce(DataFrame.unionAll, frames)
 
 
-def _headers(spark: SparkSession, paths: Sequence[str]) -> Mapping[str, tuple[str, ...]]:
-    def head(path: str) -> tuple[str, ...]:
-        line = spark.read.text(path).first()
-        return tuple(next(_csv.reader([line[0].lstrip("﻿")]))) if line and line[0] else ()
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of each file that begins in this task; a task of one file stops there."""
+    seen: set[str] = set()
+    for batch in batches:
+        for path, start, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if start == 0 and path not in seen:
+                seen.add(path)
+                yield pa.RecordBatch.from_pydict({"path": [path], "head": [line]})
+
 
-    with ThreadPoolExecutor(LOOKS_AT_ONCE) as ex:
-        return dict(zip(paths, ex.map(head, paths), strict=True))
+def _heads(spark: SparkSession, directory: str, pattern: str, glob: str) -> DataFrame:
+    """``(head, first_path, paths)``: the different header lines and the files that have them. One job;
+    lines of later blocks are dropped inside the scan, and no column is parsed."""
+    lines = spark.read.option("pathGlobFilter", glob).text(directory)
+    named = F.regexp_extract(F.col("_metadata.file_name"), f"^(?:{pattern})$", 1) != ""
+    lines = lines.where(named).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    heads = lines.where("start = 0").mapInArrow(_first_lines, "path string, head string")
+    clean = F.regexp_replace("head", "^\ufeff", "")
+    by = heads.groupBy(clean.alias("head")).agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    return by.select("head", F.col("paths")[0].alias("first_path"), "paths").orderBy("first_path")

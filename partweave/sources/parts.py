@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -12,7 +11,10 @@ from pyspark.sql import types as T
 
 from ..operators.bind import SchemaMismatch
 from ..operators.columns import cast_ids_by_suffix
-from .csv import LOOKS_AT_ONCE
+from .csv import list_parts
+
+# Parts whose footers are looked into at once.
+LOOKS_AT_ONCE = 16
 
 # Fixed value: file-name pattern of a converted part, ``<table>-<i>-snappy.parquet``.
 PART_FILE_PATTERN = r"-(\d+)-snappy\.parquet$"
@@ -49,20 +51,26 @@ def read_parts(
         if part not in df.columns:
             raise ValueError(f"no {part}=NN directories under {paths}")
         if check_schemas and schema is None:
-            check_part_schemas(spark, sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()}))
+            check_part_schemas(spark, part_folders(spark, paths, part))
         return df.withColumn(part, F.col(part).cast("long"))
     if layout == "flat":
-        files = sorted(f for p in paths for f in spark.read.parquet(p).inputFiles())
-        foreign = [f for f in files if not re.search(pattern, f)]
+        files = list_parts(spark, paths, rf".*?{pattern}", "*.parquet")
+        foreign = [r["path"] for r in files.where(F.col("part").isNull()).limit(5).collect()]
         if foreign:
-            raise ValueError(f"not named as a part ({pattern}): {foreign[:5]}")
+            raise ValueError(f"not named as a part ({pattern}): {foreign}")
         if check_schemas and schema is None:
-            check_part_schemas(spark, files)
+            check_part_schemas(spark, [r["path"] for r in files.groupBy("part").agg(F.array_sort(F.collect_list("path")).alias("p")).select(F.explode("p").alias("path")).collect()])
         df = r.parquet(*paths)
         return df.withColumn(part, part_from_file_name(pattern))
     raise ValueError("layout must be 'partitioned' or 'flat'")
 
 
+def part_folders(spark: SparkSession, paths: Sequence[str], part: str = "part") -> list[str]:
+    """The ``part=NN`` folders under ``paths`` (a row a part comes to the driver, not a file)."""
+    files = list_parts(spark, paths, "(.*)", "*.parquet").select(F.regexp_extract("path", rf"^(.*/{part}=[^/]*)/", 1).alias("folder"))
+    return [r["folder"] for r in files.where("folder <> ''").distinct().orderBy("folder").collect()]
+
+
 def check_part_schemas(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
     """Refuse parts (files, or folders of files) whose schemas differ (names
     ignoring case, and types). Reads footers only, several parts at once; the

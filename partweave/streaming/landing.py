@@ -34,7 +34,7 @@ def read_part_stream(
     with its ``part`` column. File sources need a declared schema.
 
     ``layout='flat'``: ``<table>-<i>-snappy.parquet`` files, part from the
-    name. ``'partitioned'``: ``part=NN/`` folders, found by the source's
+    name; a file with another name fails the query, as it fails the batch reader. ``'partitioned'``: ``part=NN/`` folders, found by the source's
     partition discovery (``part`` is added to the schema)."""
     if layout == "partitioned" and "part" not in schema.fieldNames():
         schema = T.StructType(schema.fields + [T.StructField("part", T.LongType(), True)])
@@ -43,7 +43,9 @@ def read_part_stream(
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.parquet(source_dir)
     if layout == "flat":
-        return df.withColumn("part", part_from_file_name(pattern))
+        number = part_from_file_name(pattern)
+        stray = F.raise_error(F.concat(F.lit("not named as a part: "), F.col("_metadata.file_path"))).cast("long")
+        return df.withColumn("part", F.coalesce(number, stray))
     if layout == "partitioned":
         return df
     raise ValueError("layout must be 'flat' or 'partitioned'")
@@ -60,12 +62,13 @@ def land_stream(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     layout: str = "flat",
+    exclude: tuple[str, ...] = (),
 ) -> StreamingQuery:
-    """Start the landing query. ``available_now`` lands what is there and stops
+    """Start the landing query; ``exclude``: columns with the ID suffix that are no IDs. ``available_now`` lands what is there and stops
     (a scheduled batch); otherwise it keeps watching. The checkpoint defaults
     to a fresh folder under ``spark.checkpoint.dir``."""
     src = read_part_stream(spark, source_dir, schema, pattern, max_files_per_trigger, layout)
-    landed = cast_ids_by_suffix(src, id_suffix)
+    landed = cast_ids_by_suffix(src, id_suffix, exclude)
     w = (
         landed.writeStream.format("parquet")
         .option("path", out_dir)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partweave.operators.columns import cast_ids_by_suffix, id_columns, rename_orig
+from partweave.operators.profiles import from_sketches, profile_table, sketch_columns, union_sketches, value_counts
 from partweave.operators.describe import describe_columns, profile_column, row_count
 from partweave.operators.rollups import code_year_rollup
 
@@ -93,29 +94,53 @@ def test_suffix_rule_catches_paid_unless_excluded(spark):
     assert dict(out.dtypes) == {"PatID": "bigint", "Paid": "double"}
 
 
-def test_profile_quantiles_split_a_hot_value(spark, duck, monkeypatch):
-    """90% of rows share one value: still exact, and the ranking spreads that
-    value over several range partitions instead of one task."""
-    import partweave.operators.numbering as N
-
-    sizes = []
-    real = N.stage
-
-    def spy(df, tag):
-        out = real(df, tag)
-        if tag == "numbering":
-            sizes.extend(r["count"] for r in out.groupBy(N.PID).count().collect())
-        return out
-
-    monkeypatch.setattr(N, "stage", spy)
+def test_profile_quantiles_of_a_hot_value(spark, duck):
+    """90% of rows share one value: it is one row after the partial count, and the quantiles are exact."""
     df = spark.range(0, 4000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(7)).alias("x"))
-    # keep the range partitions visible: AQE would merge such small ones
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        p = profile_column(df.repartition(8), "x").first()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    counts = value_counts(df.repartition(8), ["x"])
+    assert {r["_v"]: r["_n"] for r in counts.where("_n > 1").collect()} == {7.0: 3600}
+    p = profile_column(df.repartition(8), "x").first()
     duck.execute("CREATE OR REPLACE TABLE hv AS SELECT CASE WHEN i % 10 = 0 THEN i ELSE 7 END AS x FROM range(4000) t(i)")
     want = duck.execute("SELECT quantile_cont(x, 0.25), quantile_cont(x, 0.5), quantile_cont(x, 0.75) FROM hv").fetchone()
     assert (p.q25, p.q50, p.q75) == tuple(want)
-    assert max(sizes) < 0.5 * 4000
+
+
+def test_profile_within_brackets(spark, duck):
+    """More rows than need no bracket: skewed and repeated values, an outlier, NaN-free doubles, groups."""
+    df = spark.range(60_000).select(
+        (F.col("id") % 3).alias("g"),
+        F.when(F.col("id") % 2 == 0, F.lit(5.5)).when(F.col("id") == 59_999, F.lit(1e15)).otherwise(F.sqrt("id")).alias("x"),
+    )
+    duck.execute(
+        "CREATE OR REPLACE TABLE br AS SELECT i % 3 AS g, CASE WHEN i % 2 = 0 THEN 5.5 WHEN i = 59999 THEN 1e15 ELSE sqrt(i) END AS x FROM range(60000) t(i)"
+    )
+    sql = "round(quantile_cont(x, 0.25), 6), round(quantile_cont(x, 0.5), 6), round(quantile_cont(x, 0.75), 6), count(DISTINCT x) FROM br"
+    p = profile_column(df, "x").first()
+    assert (p.q25, p.q50, p.q75, p.n_unique) == duck.execute(f"SELECT {sql}").fetchone()
+    got = {(r.g, r.q25, r.q50, r.q75, r.n_unique) for r in profile_table(df, ["x"], by=["g"]).collect()}
+    assert got == set(duck.execute(f"SELECT g, {sql} GROUP BY g").fetchall())
+
+
+def test_profile_of_all_columns(spark):
+    rows = [(1, 2.5, "b", dt.date(2020, 1, 2)), (3, None, "a", None), (2**60, 0.5, "b", dt.date(2019, 1, 1)), (None, 1.0, None, None)]
+    df = spark.createDataFrame(rows, "i long, d double, s string, t date")
+    for mode in ("exact", "sketch"):
+        got = {r.column_name: r for r in profile_table(df, quantiles=mode).collect()}
+        assert [got[c].n_unique for c in "idst"] == [3, 3, 2, 2]
+        assert [got[c].column_type for c in "idst"] == ["BIGINT", "DOUBLE", "VARCHAR", "DATE"]
+        assert [got[c].null_percentage for c in "idst"] == [25.0, 25.0, 25.0, 50.0]
+        assert (got["s"].min_text, got["s"].max_text, got["t"].min_text, got["s"].avg, got["s"].q50) == ("a", "b", "2019-01-01", None, None)
+        assert (got["d"].min_number, got["d"].max_number, got["d"].avg) == (0.5, 2.5, 1.333333)
+        assert got["d"].q50 == 1.0
+    empty = profile_table(df.limit(0)).collect()
+    assert len(empty) == 4 and all(r["count"] == 0 and r.n_unique == 0 and r.q50 is None for r in empty)
+
+
+def test_sketches_of_parts_merge_within_their_error(spark):
+    df = spark.range(40_000).select((F.col("id") % 4).alias("part"), (F.col("id") * 7919 % 40_000).alias("x"), F.concat(F.lit("v"), F.col("id") % 9000).alias("s"))
+    kept = [sketch_columns(df.where(F.col("part") == p), ["x", "s"]) for p in range(4)]
+    got = {r.column_name: r for r in from_sketches(union_sketches(kept)).collect()}
+    assert abs(got["x"].n_unique - 40_000) < 3 * 0.016 * 40_000 and abs(got["s"].n_unique - 9000) < 3 * 0.016 * 9000
+    for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        assert abs(got["x"][name] - p * 40_000) < 0.01 * 40_000
+    assert got["x"]["count"] == 40_000 and abs(got["x"].avg - 19_999.5) < 1e-6 and abs(got["x"].std - 11547.14972) < 1e-3

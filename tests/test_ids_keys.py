@@ -29,7 +29,7 @@ def test_part_offsets_count_earlier_parts(owner):
     assert got == {1: (3, 1), 2: (2, 4)}
 
 
-@pytest.mark.parametrize("method", ["two_pass", "window"])
+@pytest.mark.parametrize("method", ["two_pass", "segments", "window"])
 def test_rebase_is_dense_and_keeps_old_id(owner, method):
     rb = rebase_ids(owner, "PatID", method=method)
     assert rb.columns == ["part", "OrigPatID", "name", "PatID"]

@@ -113,3 +113,59 @@ def test_numbering_equals_pandas_rank(spark, rows):
     pdf["n"] = pdf.groupby("part")["key"].rank(method="first").astype(int)
     want = {(p, None if pd.isna(i) else int(i)): n for p, i, n in zip(pdf.part, pdf.id, pdf.n)}
     assert got == want
+
+
+def _both(spark, df, order, restart=(), rows=None):
+    from partweave.operators.segments import number_by_segments
+
+    got, n = number_by_segments(df, order, "n", list(restart), rows)
+    want = number_rows(df, order, "n", restart_by=list(restart))
+    assert got.columns == want.columns and n == df.count()
+    return got, want
+
+
+@pytest.mark.parametrize("rows", [1, 7, 1000])
+def test_segments_agree_with_two_pass(spark, rows):
+    """Even, clustered far from zero, negative and NULL keys; groups of any size."""
+    even = spark.range(0, 400).select(F.lit(1).alias("part"), F.col("id"))
+    far = spark.range(0, 300).select(F.lit(2).alias("part"), (F.col("id") * 3 + 10**18).alias("id"))
+    low = spark.range(0, 200).select(F.lit(3).alias("part"), (F.col("id") * F.col("id") * -977 - 2**62).alias("id"))
+    odd = spark.createDataFrame([(None, 4), (2, None), (3, None), (3, -(2**63)), (3, 2**63 - 1)], "part int, id long")
+    df = even.union(far).union(low).union(odd).withColumn("v", F.col("id") * 0)
+    for order, restart in ((["part", "id"], []), (["id"], ["part"])):
+        got, want = _both(spark, df, order, restart, rows)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_segments_of_dates_and_repeats(spark):
+    df = spark.range(0, 500).select(F.date_add(F.lit("1960-01-01").cast("date"), (F.col("id") * 37).cast("int")).alias("d"))
+    got, want = _both(spark, df, ["d"], [], 40)
+    assert got.exceptAll(want).count() == 0
+    hot = spark.range(0, 300).select(F.when(F.col("id") < 200, 5).otherwise(F.col("id")).cast("long").alias("k"))
+    got, _ = _both(spark, hot, ["k"], [], 20)
+    numbers = sorted((r.n, r.k) for r in got.collect())
+    assert [n for n, _ in numbers] == list(range(1, 301)) and [k for _, k in numbers] == sorted(k for _, k in numbers)
+
+
+def test_segments_stage_the_histogram_alone(spark, monkeypatch):
+    import partweave.operators.segments as S
+
+    written = []
+    real = S.stage
+    monkeypatch.setattr(S, "stage", lambda df, tag: written.append(df.columns) or real(df, tag))
+    df = spark.range(0, 5000).withColumn("payload", F.lit("x"))
+    out = number_rows(df, ["id"], "n", method="segments", on_ties="fail", stats=(stats := {}))
+    assert stats["rows"] == 5000 and out.where("n <> id + 1").count() == 0
+    assert written and not any("payload" in c for c in written)
+    empty = number_rows(df.limit(0), ["id"], "n", method="segments")
+    assert empty.count() == 0 and empty.columns == ["id", "payload", "n"]
+
+
+def test_segments_refuse_what_they_cannot_cut(spark):
+    from partweave.operators.numbering import DuplicateKeys
+
+    df = _frame(spark, [(1, 1, "a"), (1, 1, "b")])
+    with pytest.raises(ValueError, match="whole number"):
+        number_rows(df, ["v"], "n", method="segments")
+    with pytest.raises(DuplicateKeys):
+        number_rows(df, ["part", "id"], "n", method="segments", on_ties="fail")
