@@ -19,10 +19,13 @@ listed at first: each class is compared with the key's most connected class
 only (a star, linear in the key's rows). A second round takes the classes of
 keys whose members the stars left in different components. Listing those pairs
 would square a large family of copies that drifted apart, so a pair is listed
-there only if it also shares one of the rarest shingles that any two sets at the
-threshold must share (prefix filter, exact); a copy too far from all others has
-a prefix of its own and is listed with none. After that round every pair within
-the radius is in one component, was tested, or is below the threshold.
+only where it passes filters that no pair at the threshold fails: its sizes allow it; it
+shares a shingle among the rarest of both (prefix filter, with the shorter prefix on
+the side of the smaller set); behind the first one it shares, both sets have enough left
+(positional filter); and the parity sketches of the sets differ in no more bits than the
+sets may differ in shingles. A copy too far from all others has a prefix of its own and
+is listed with none. After that round every pair within the radius is in one
+component, was tested, or is below the threshold.
 """
 
 from __future__ import annotations
@@ -152,21 +155,49 @@ def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield count_slices(counts)
 
 
+def _parity(ids: np.ndarray) -> list[int]:
+    """256 bits, each the parity of the shingles that fall on it: two sets differ in at least as many shingles as bits."""
+    bits = np.bincount((mix64(ids) >> U64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _prefixes(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """The rarest shingles of each set, as many as the threshold needs, with the set's size."""
+    """The rarest shingles of each set in their order, as many as the threshold needs, with the set's size and sketch."""
     rarity = np.frombuffer(rarity.value, np.uint8)
     for batch in batches:
-        size, prefix = [], []
+        size, prefix, parity = [], [], []
         for ids in batch.column(1).to_pylist():
             x = np.frombuffer(ids, U64)
             order = np.lexsort((x, rarity[(x % U64(RARITY_SIZE)).astype(np.int64)]))
             size.append(len(x))
             prefix.append(x[order[: len(x) - (num * len(x) + den - 1) // den + 1]].view(np.int64))
+            parity.append(_parity(x))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))], ["cid", "n", "prefix"]
+            [batch.column(0), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), *(pa.array([p[k] for p in parity], pa.int64()) for k in range(4))],
+            ["cid", "n", "prefix", *_SKETCH],
         )
 
 
+_SKETCH = ("s0", "s1", "s2", "s3")
+
+
+def _listed(prefix: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs ``(u, v)`` of ``prefix(shingle, pos, cid, root, n, s0..)`` that may reach the threshold, from
+    different components; ``u`` is the smaller set. Every pair that does is listed at the first shingle it shares."""
+    u = prefix.where(f"pos <= n - ceil({2 * num} * n / {num + den})").toDF(*(f"{c}_u" if c != "shingle" else c for c in prefix.columns))
+    v = prefix.toDF(*(f"{c}_v" if c != "shingle" else c for c in prefix.columns))
+    shared = f"ceil({num} * (n_u + n_v) / {num + den})"  # what sets at the threshold share at least
+    apart = " + ".join(f"bit_count({c}_u ^ {c}_v)" for c in _SKETCH)
+    ok = [
+        "root_u <> root_v",
+        "(n_u < n_v or n_u = n_v and cid_u < cid_v)",
+        f"{num} * n_v <= {den} * n_u",
+        f"least(n_u - pos_u, n_v - pos_v) >= {shared}",
+        f"{apart} <= n_u + n_v - 2 * {shared}",
+    ]
+    return u.join(v, "shingle").where(" and ".join(ok)).select(F.col("cid_u").alias("u"), F.col("cid_v").alias("v"))
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -243,10 +274,10 @@ def _components(
     apart = stage(placed.join(apart, "key").select("cid", "root").distinct(), "nd-apart")
     apart_sets = sets.join(apart, "cid").select("cid", "ids")
     rarity = docs.sparkSession.sparkContext.broadcast(rarity_of(in_arrow(apart_sets.select("ids"), _count_ids, COUNT_SCHEMA)))
-    prefix = in_arrow(apart_sets, _prefixes, "cid long, n long, prefix array<long>", rarity=rarity, num=num, den=den)
-    prefix = stage(prefix.join(apart, "cid").select(F.explode("prefix").alias("shingle"), "cid", "root", "n"), "nd-prefix")
-    pairs = prefix.toDF("shingle", "u", "ru", "nu").join(prefix.toDF("shingle", "v", "rv", "nv"), "shingle")
-    pairs = pairs.where(f"ru < rv and {den} * nu >= {num} * nv and {den} * nv >= {num} * nu").select("u", "v")
+    kinds = "cid long, n long, prefix array<long>, " + ", ".join(f"{c} long" for c in _SKETCH)
+    prefix = in_arrow(apart_sets, _prefixes, kinds, rarity=rarity, num=num, den=den).join(apart, "cid")
+    prefix = prefix.select(F.posexplode("prefix").alias("pos", "shingle"), "cid", "root", "n", *_SKETCH)
+    pairs = _listed(stage(prefix, "nd-prefix"), num, den)
     links = links.unionAll(linked(pairs, "nd-rest"))
 
     named = classes.select("cid", "set_id", "first.doc_id").join(parts_of(links, "nd-all"), "cid", "left")

@@ -233,6 +233,30 @@ def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+_OP8_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+    ELSE list_distinct(list_transform(range(1, greatest(len(ws) - 2, 1) + 1), lambda i: array_to_string(ws[i:i + 2], ' '))) END AS s
+  FROM words),
+entry AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM entry a JOIN entry b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(u, v) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v),
+component AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+SELECT sets.doc_id, len(s) AS n_shingles, component_id, sets.doc_id = component_id AS kept
+FROM sets JOIN component ON component.doc_id = sets.doc_id
+"""
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(_documents(spark, sf_dir))
     count = "cast(size(filter(found, x -> {})) as bigint)"
@@ -381,6 +405,7 @@ ORACLES: dict[str, str] = {
     "op2_line_dedup": _OP2_SQL,
     "op5_lookup_sharding": _OP5_SQL,
     "op7_exact_top_k": _OP7_SQL,
+    "op8_minhash_near_dup": _OP8_SQL,
     "op11_source_divergence": _OP11_SQL,
     "op12_fill_in_middle": _OP12_SQL,
     "op13_suffix_dedup": _OP13_SQL,
