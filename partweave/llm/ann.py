@@ -5,9 +5,11 @@ Vectors are scaled to length 1. A table has ``hashes`` functions
 bucket. For a neighbour at cosine c of a query, ``a . u`` of the neighbour is
 normal around ``c * (a . q)`` with variance ``1 - c * c``: that gives each slot of
 each function a probability, and a bucket the product. A query visits buckets
-in the order of that estimate until their sum reaches ``reach`` in each table;
-tables' candidates are merged and reranked by the exact cosine. A query that met
-fewer than ``k`` candidates though the table has more is compared with all rows.
+in the order of that estimate - taken one by one from a heap, so only visited ones
+are ever made - until their sum reaches ``reach`` in each table; tables' candidates
+are merged and reranked by the exact cosine. A probe is a row of ids: queries' vectors are
+broadcast, a bounded batch at a time. A query that met fewer than ``k`` candidates though
+the table has more is compared with all rows, scanned in place.
 
 ``c`` is what the sample shows: the cosine of the k-th neighbour inside a bounded
 sample, which is no larger than among all rows, so the estimate errs towards
@@ -17,6 +19,8 @@ into blocks of rows that are searched apart (see ``vectors``).
 
 from __future__ import annotations
 
+import copy
+import heapq
 import math
 from collections.abc import Iterator
 from functools import reduce
@@ -28,15 +32,15 @@ from pyspark.sql import functions as F
 
 from partweave.operators.broadcast import checked_broadcast
 
-from .common import as_long, in_arrow, stage
-from .vectors import best_of, block_pairs, blocks_of, table_vectors, usable
+from .common import U64, as_long, in_arrow, mix64, stage
+from .vectors import Bests, batches, best_of, block_pairs, block_rows, blocks_of, table_vectors, usable
 
 TABLES = 2
 REACH = 0.85  # estimated share of neighbours that each table's visits find
 WIDTH = 2.0
 SAMPLE = 4096  # rows that the neighbours' cosine is estimated on
 ASKED = 256  # of them, as queries
-MOST_HASHES = 10
+MOST_HASHES = 16
 SCHEMA = "row long, query_id long, vec_row long, vec_id long, score double"
 
 
@@ -88,18 +92,31 @@ class Tables:
         spread = math.sqrt(1 - self.cosine**2)
         for table, (a, b) in enumerate(zip(self.a, self.b, strict=True)):
             middle = self.cosine * (unit @ a) + b
-            low = np.floor((middle - 4 * spread) / WIDTH).astype(int)
-            high = np.floor((middle + 4 * spread) / WIDTH).astype(int)
-            slots = [np.arange(x, y + 1) for x, y in zip(low, high, strict=True)]
-            share = [
-                np.diff([_normal((edge * WIDTH - m) / spread) for edge in range(s[0], s[-1] + 2)])
-                for s, m in zip(slots, middle, strict=True)
-            ]
-            estimate = reduce(np.multiply.outer, share)
-            order = np.argsort(-estimate, axis=None)
-            n = int(np.searchsorted(np.cumsum(estimate.ravel()[order]), REACH)) + 1
-            at = np.unravel_index(order[:n], estimate.shape)
-            yield table, _code(np.stack([s[i] for s, i in zip(slots, at, strict=True)], axis=1))
+            low = np.floor((middle - 4 * spread) / WIDTH).astype(int).tolist()
+            high = np.floor((middle + 4 * spread) / WIDTH).astype(int).tolist()
+            slots = []
+            for x, y, m in zip(low, high, middle.tolist(), strict=True):
+                edges = [_normal((edge * WIDTH - m) / spread) for edge in range(x, y + 2)]
+                slots.append(sorted(((q - p, s) for s, p, q in zip(range(x, y + 1), edges[:-1], edges[1:], strict=True)), reverse=True))
+            yield table, _code(np.array(list(_best_first(slots)), np.int64))
+
+
+def _best_first(slots: list[list[tuple[float, int]]]) -> Iterator[list[int]]:
+    """Combinations of one slot a function, the most likely first, until they reach ``REACH``. ``slots``: (share,
+    slot) of each function, falling. A combination's successors step one function on, none before
+    the last one stepped, so each is made once."""
+    start = math.prod(s[0][0] for s in slots)
+    heap = [(-start, (0,) * len(slots), 0)]
+    seen = 0.0
+    while heap and seen < REACH:
+        share, at, last = heapq.heappop(heap)
+        seen -= share
+        yield [s[i][1] for s, i in zip(slots, at, strict=True)]
+        for j in range(last, len(slots)):
+            i = at[j] + 1
+            if i < len(slots[j]) and slots[j][i][0] > 0:
+                step = share / slots[j][i - 1][0] * slots[j][i][0]
+                heapq.heappush(heap, (step, (*at[:j], i, *at[j + 1 :]), j))
 
 
 def _normal(x: float) -> float:
@@ -107,98 +124,141 @@ def _normal(x: float) -> float:
 
 
 def _code(slots: np.ndarray) -> np.ndarray:
-    code = np.zeros(len(slots), np.int64)
+    """A 64-bit hash of each row of slots: buckets that share one are searched together."""
+    code = np.zeros(len(slots), U64)
     for j in range(slots.shape[1]):
-        code = code * 64 + (slots[:, j] & 63)  # `MOST_HASHES` of 6 bits
-    return code
+        code = mix64(code * U64(0x9E3779B97F4A7C15) + slots[:, j].astype(np.int64).view(U64))
+    return code.view(np.int64)
 
 
-def _index(batches: Iterator[pa.RecordBatch], tables, probe: bool) -> Iterator[pa.RecordBatch]:
-    tables = tables.value
+def _units_of(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Pieces of batches with their unit vectors, few rows at a time where vectors are long."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        units = _units(table_vectors(pa.Table.from_batches([batch]))[2], tables.dim)
-        if probe:
-            rows = [(i, t, codes) for i, u in enumerate(units) for t, codes in tables.probes(u)]
-        else:
-            each = np.arange(len(units))
-            rows = [(each, t, codes) for t, codes in enumerate(tables.buckets(units))]
-        at = np.concatenate([np.broadcast_to(i, len(c)) for i, _, c in rows])
-        table = np.concatenate([np.full(len(c), t, np.int32) for _, t, c in rows])
-        kept = batch.take(pa.array(at))
-        yield pa.RecordBatch.from_arrays(
-            [kept.column("row"), kept.column("id"), kept.column("v"), pa.array(table), as_long(np.concatenate([c for *_, c in rows]))],
-            ["row", "id", "v", "table", "bucket"],
-        )
-
-
-def _rerank(queries: pa.Table, candidates: pa.Table, k: int, dim: int) -> pa.Table:
-    q_row, q_id, q = table_vectors(queries)
-    c_row, c_id, c = table_vectors(candidates)
-    q, c = _scaled(q, dim), _scaled(c, dim)
-    q_len, c_len = np.sqrt((q * q).sum(axis=1)), np.sqrt((c * c).sum(axis=1))
-    found = []
-    for a in range(0, len(q) if len(c) else 0, 256):
-        near = (q[a : a + 256] @ c.T) / (q_len[a : a + 256, None] * c_len)
-        for i, score in enumerate(near, a):
-            other = np.flatnonzero(c_id != q_id[i])
-            if len(other) > k:
-                bound = np.partition(score[other], len(other) - k)[len(other) - k]
+        for a in range(0, batch.num_rows, block_rows(dim)):
+            piece = batch.slice(a, block_rows(dim))
+            yield piece, _units(table_vectors(pa.Table.from_batches([piece]))[2], dim)
+
+
+def _index(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBatch]:
+    """Each row under its bucket in each table."""
+    tables = tables.value
+    for piece, units in _units_of(batches, tables.dim):
+        for t, codes in enumerate(tables.buckets(units)):
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(np.full(len(codes), t, np.int32)), as_long(codes)], ["row", "id", "v", "table", "bucket"])
+
+
+def _probe(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBatch]:
+    """The buckets that each query visits: ids only."""
+    tables = tables.value
+    for piece, units in _units_of(batches, tables.dim):
+        for row, unit in zip(piece.column(0).to_pylist(), units, strict=True):
+            for t, codes in tables.probes(unit):
+                n = len(codes)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row)), pa.array(np.full(n, t, np.int32)), as_long(codes)], ["row", "table", "bucket"])
+
+
+class Asked:
+    """A batch of queries: rows and ids in the order of rows, scaled vectors and their lengths."""
+
+    def __init__(self, table: pa.Table, dim: int):
+        row, id_, v = table_vectors(table)
+        order = np.argsort(row)
+        self.row, self.id, self.v = row[order], id_[order], _scaled([v[i] for i in order], dim)
+        self.length = np.sqrt((self.v * self.v).sum(axis=1))
+
+
+def _meet(bests: Bests, asked: Asked, some: np.ndarray, c_row: np.ndarray, c_id: np.ndarray, c: np.ndarray) -> None:
+    """Adds candidates to the bests of the queries ``some``."""
+    c_len = np.sqrt((c * c).sum(axis=1))
+    for a in range(0, len(some) if len(c) else 0, 256):
+        part = some[a : a + 256]
+        near = (asked.v[part] @ c.T) / (asked.length[part, None] * c_len)
+        for i, score in zip(part.tolist(), near, strict=True):
+            least = bests.least(i)
+            other = np.flatnonzero((c_row != asked.row[i]) & (True if least is None else score >= least - 1e-9))
+            if len(other) > bests.k:
+                bound = np.partition(score[other], len(other) - bests.k)[len(other) - bests.k]
                 other = other[score[other] >= bound - 1e-9]
-            # The measure itself, row by row: equal vectors get equal scores wherever they stand.
-            exact = (c[other] * q[i]).sum(axis=1) / (q_len[i] * c_len[other])
-            best = np.lexsort((c_row[other], c_id[other], -exact))[:k]
-            found.append((np.full(len(best), i), other[best], exact[best]))
-    if not found:
-        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
-    i, j, score = (np.concatenate(x) for x in zip(*found, strict=True))
-    return pa.table({"row": q_row[i], "query_id": q_id[i], "vec_row": c_row[j], "vec_id": c_id[j], "score": score})
+            if len(other):
+                # The measure itself, row by row: equal vectors get equal scores wherever they stand.
+                exact = (c[other] * asked.v[i]).sum(axis=1) / (asked.length[i] * c_len[other])
+                bests.add(i, c_row[other], c_id[other], exact)
+
+
+def _rerank(queries: pa.Table, candidates: pa.Table, asked, k: int, dim: int) -> pa.Table:
+    """The bests of a block of probes among a block of a bucket."""
+    asked = asked.value
+    some = np.searchsorted(asked.row, queries.column("row").to_numpy())
+    c_row, c_id, c = table_vectors(candidates)
+    own = Bests(len(some), k, np.float64)
+    picked = copy.copy(asked)
+    picked.row, picked.id, picked.v, picked.length = (x[some] for x in (asked.row, asked.id, asked.v, asked.length))
+    _meet(own, picked, np.arange(len(some)), c_row, c_id, _scaled(c, dim))
+    return pa.Table.from_batches([own.table(picked.row, picked.id)])
+
+
+def _reranked(asked, k: int, dim: int):
+    def step(q: pa.Table, c: pa.Table) -> pa.Table:
+        return _rerank(q, c, asked, k, dim)
+
+    return step
+
+
+def _scan(batches: Iterator[pa.RecordBatch], asked, k: int, dim: int) -> Iterator[pa.RecordBatch]:
+    """The bests of all queries of a batch among a task's rows."""
+    asked = asked.value
+    bests, every = Bests(len(asked.row), k, np.float64), np.arange(len(asked.row))
+    for batch in batches:
+        for a in range(0, batch.num_rows, block_rows(dim)):
+            c_row, c_id, c = table_vectors(pa.Table.from_batches([batch.slice(a, block_rows(dim))]))
+            _meet(bests, asked, every, c_row, c_id, _scaled(c, dim))
+    yield bests.table(asked.row, asked.id)
 
 
 def nearest(
     vectors: DataFrame, is_query, k: int = 5, seed: int = 0, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row where ``is_query`` (a Column over
-    ``id``) holds, the ``k`` rows of another id found with the largest cosine, nearest first;
+    ``id``) holds, the ``k`` other rows found with the largest cosine, nearest first;
     all of them where the table has fewer.
 
     Ties go to the smaller id. Rows with a null id or vector, a null or non-finite
     component, or only zeros take no part; a shorter vector counts as filled up
-    with zeros. Rows that repeat an id are queries and candidates of their own.
-    An empty table gives no rows."""
+    with zeros. Rows that repeat an id are queries and candidates of their own: each
+    meets the others, and the id has as many lists, ranks from 1 in each. Very long
+    vectors are read in smaller blocks. Other columns and their names play no part; an
+    empty table gives no rows."""
     spark = vectors.sparkSession
     rows, n = usable(vectors, id_col, vector_col)
     rows = rows.where(F.exists("v", lambda x: x != 0))
     dim, present = rows.agg(F.max(F.size("v")), F.count(F.lit(1))).first()
     dim = dim or 1
-    sample = rows.orderBy(F.xxhash64("row")).limit(SAMPLE).select("v").toPandas()["v"]
+    sample = rows.orderBy(F.xxhash64("row")).limit(min(SAMPLE, block_rows(dim))).select("v").toPandas()["v"]
     sample = _units([np.asarray(v, np.float64) for v in sample], dim)
     tables = spark.sparkContext.broadcast(Tables(dim, hashes_for(n), neighbour_cosine(sample, k), seed))
 
-    kind = "row long, id long, v array<double>, table int, bucket long"
-    indexed = stage(in_arrow(rows.select("row", "id", "v"), _index, kind, tables=tables, probe=False), "ann-index")
-    asked = stage(in_arrow(rows.where(is_query).select("row", "id", "v"), _index, kind, tables=tables, probe=True), "ann-asked")
+    rows = rows.select("row", "id", "v")
+    indexed = stage(in_arrow(rows, _index, "row long, id long, v array<double>, table int, bucket long", tables=tables), "ann-index")
+    queries = stage(rows.where(is_query), "ann-asked")
     keys = ["table", "bucket"]
-    there = indexed.groupBy(*keys).agg(blocks_of(F.count(F.lit(1))).alias("c_blocks"))
-    here = asked.groupBy(*keys).agg(blocks_of(F.count(F.lit(1))).alias("q_blocks"))
-    sizes = checked_broadcast(stage(there.join(here, keys), "ann-sizes"))
-
-    def step(q: pa.Table, c: pa.Table) -> pa.Table:
-        return _rerank(q, c, k, dim)
-
-    found = block_pairs(asked.join(sizes, keys), indexed.join(sizes, keys), keys, step, SCHEMA)
-    found = stage(found.distinct(), "ann-found")
-    queries = rows.where(is_query)
-    same = rows.groupBy("id").agg(F.count(F.lit(1)).alias("same"))
-    own = queries.select("row", "id").join(same, "id").select("row", F.least(F.lit(k), F.lit(present) - F.col("same")).alias("most"))
-    met = found.groupBy("row").agg(F.count(F.lit(1)).alias("met"))
-    short = own.join(met, "row", "left").where(F.coalesce("met", F.lit(0)) < F.col("most")).select("row")
-    short = stage(queries.join(short, "row", "left_semi").select("row", "id", "v"), "ann-short")
-    n_short = short.count()
-    if n_short:
-        whole = F.lit(0).alias("all")
-        every = [blocks_of(n_short).alias("q_blocks"), blocks_of(present).alias("c_blocks")]
-        rest = block_pairs(short.select(whole, "row", "id", "v", *every), rows.select(whole, "row", "id", "v", *every), ["all"], step, SCHEMA)
-        found = found.join(short.select("row"), "row", "left_anti").unionByName(rest)
-    return best_of(found, k)
+    there = indexed.groupBy(*keys).agg(blocks_of(F.count(F.lit(1)), dim).alias("c_blocks"))
+    done = []
+    for some, table in batches(queries):
+        asked = spark.sparkContext.broadcast(Asked(table, dim))
+        probes = stage(in_arrow(some, _probe, "row long, table int, bucket long", tables=tables), "ann-probes")
+        here = probes.groupBy(*keys).agg(blocks_of(F.count(F.lit(1)), dim).alias("q_blocks"))
+        sizes = checked_broadcast(stage(there.join(here, keys), "ann-sizes"))
+
+        pairs = block_pairs(probes.join(sizes, keys), indexed.join(sizes, keys), keys, _reranked(asked, k, dim), SCHEMA)
+        found = stage(pairs.distinct(), "ann-found")
+        met = found.groupBy("row").agg(F.count(F.lit(1)).alias("met"))
+        short = some.select("row").join(met, "row", "left").where(F.coalesce("met", F.lit(0)) < min(k, present - 1))
+        short = stage(some.join(short.select("row"), "row", "left_semi"), "ann-short")
+        if not short.isEmpty():
+            rest = spark.sparkContext.broadcast(Asked(short.toArrow(), dim))  # some of the batch's queries
+            whole = stage(in_arrow(rows, _scan, SCHEMA, asked=rest, k=k, dim=dim), "ann-whole")
+            found = found.join(short.select("row"), "row", "left_anti").unionByName(whole)
+        done.append(found)
+    if not done:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return best_of(reduce(DataFrame.unionAll, done), k)

@@ -209,16 +209,16 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _OP7_SQL = """
-WITH parts AS (
-  SELECT vec_id, unnest(range(len(embedding))) AS t, unnest(embedding) AS x FROM embeddings
+WITH rows AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL),
+parts AS (
+  SELECT r, vec_id, unnest(range(len(embedding))) AS t, unnest(embedding) AS x FROM rows
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-w AS (SELECT vec_id, t, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS w FROM parts),
+w AS (SELECT r, vec_id, t, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS w FROM parts),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
-  FROM w q JOIN w c ON q.t = c.t AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
+  SELECT q.r AS q, c.r AS c, q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM w q JOIN w c ON q.t = c.t AND q.r <> c.r WHERE q.vec_id % 50 = 0 GROUP BY ALL),
 ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
-         vec_id, score
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id, c) AS INTEGER) AS rank, vec_id, score
   FROM scored)
 SELECT * FROM ranked WHERE rank <= 5
 """

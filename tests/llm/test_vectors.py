@@ -1,5 +1,6 @@
 """Vector search: brute force, recall, awkward rows."""
 
+import itertools
 import math
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partweave.llm import vectors
-from partweave.llm.ann import Tables, nearest
+from partweave.llm.ann import REACH, SAMPLE, Tables, _best_first, hashes_for, nearest, neighbour_cosine
 from partweave.llm.topk import exact_top_k
 
 DDL = "vec_id long, embedding array<double>, label int"
@@ -39,7 +40,7 @@ def scored(rows, measure, k=5):
     out = []
     for q, (i, x) in enumerate(rows):
         if i % 2 == 0:
-            best = sorted((-measure(x, y), j, c) for c, (j, y) in enumerate(rows) if j != i)[:k]
+            best = sorted((-measure(x, y), j, c) for c, (j, y) in enumerate(rows) if c != q)[:k]
             out += [(i, r, j, -s) for r, (s, j, _) in enumerate(best, 1)]
     return sorted(out)
 
@@ -59,14 +60,43 @@ def test_exact_top_k_of_awkward_rows(spark, odd_vectors, monkeypatch):
     assert exact_top_k(odd_vectors.limit(0), EVEN).count() == 0
 
 
-def test_blocks_give_the_same_top_k(spark, monkeypatch):
+def test_query_batches_give_the_same(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(size=4)], 0) for i in range(60)]
+    rows += [(i, v, 1) for i, v, _ in rows[:7]]  # repeated rows meet each other
     df = spark.createDataFrame(rows, DDL)
-    whole = sorted(map(tuple, exact_top_k(df, EVEN).collect()))
+    top, near = sorted(map(tuple, exact_top_k(df, EVEN).collect())), rounded(nearest(df, EVEN).collect())
+    monkeypatch.setattr(vectors, "QUERY_BYTES", 700)
     monkeypatch.setattr(vectors, "BLOCK", 16)
-    assert sorted(map(tuple, exact_top_k(df, EVEN).collect())) == whole
-    assert whole == scored([(i, v) for i, v, _ in rows], lambda x, y: sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(x, y)))
+    assert sorted(map(tuple, exact_top_k(df, EVEN).collect())) == top
+    assert rounded(nearest(df, EVEN).collect()) == near
+    assert top == scored([(i, v) for i, v, _ in rows], lambda x, y: sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(x, y)))
+
+
+def test_search_takes_clashing_names_and_long_vectors(spark):
+    rng = np.random.default_rng(6)
+    long = [[float(x) for x in rng.normal(size=n)] for n in (60_000, 50_000, 3)]
+    rows = [(i, long[i % 3], 1, 2, 3) for i in range(6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, row int, score int, bucket int")
+
+    def product(x, y):
+        n = min(len(x), len(y))
+        return int(np.floor(256 * np.array(x[:n])).astype(np.int64) @ np.floor(256 * np.array(y[:n])).astype(np.int64))
+
+    pairs = [(i, v) for i, v, *_ in rows]
+    assert sorted(map(tuple, exact_top_k(df, EVEN).collect())) == scored(pairs, product)
+    assert rounded(nearest(df, EVEN).collect()) == rounded(scored(pairs, lambda x, y: cosine(x, y)))
+
+
+def test_probes_come_in_falling_order():
+    rng = np.random.default_rng(9)
+    for _ in range(20):
+        slots = [sorted(((float(p), i) for i, p in enumerate(rng.dirichlet(np.ones(4)))), reverse=True) for _ in range(4)]
+        got = list(_best_first(slots))
+        every = sorted((math.prod(s[i][0] for s, i in zip(slots, at)) for at in itertools.product(range(4), repeat=4)), reverse=True)
+        share = [math.prod(dict((b, a) for a, b in s)[i] for s, i in zip(slots, at)) for at in got]
+        assert np.allclose(share, every[: len(share)]) and len({tuple(x) for x in got}) == len(got)
+        assert sum(share) >= REACH > sum(share[:-1])
 
 
 def test_nearest_recall_and_scores(spark):
@@ -86,6 +116,15 @@ def test_nearest_recall_and_scores(spark):
         assert np.allclose(one.score, [by_id[v] for v in one.vec_id], atol=1e-12)
         assert one.sort_values("rank").score.is_monotonic_decreasing
     assert total == len(got) and hit / total >= 0.9
+    # The share of all rows that a query meets, beside its recall.
+    units = x / size[:, None]
+    tables = Tables(x.shape[1], hashes_for(len(x)), neighbour_cosine(units[:SAMPLE], 5))
+    own = tables.buckets(units)
+    visited = [np.zeros(len(x), bool) for _ in range(40)]
+    for i, seen in enumerate(visited):
+        for t, codes in tables.probes(units[i]):
+            seen |= np.isin(own[t], codes)
+    print(f"recall {hit / total:.3f}, visited {np.mean(visited):.3f} of the rows, {hashes_for(len(x))} hashes")
 
 
 def test_nearest_of_awkward_rows(odd_vectors):
