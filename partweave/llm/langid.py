@@ -2,10 +2,12 @@
 
 Fitting finds, for each language, its typical character n-grams: those at least
 ``LEAST_COUNT`` times in the language's sample whose share of the language's
-n-grams is no less than half the largest share in any language, at most
-``GRAMS`` a language. A bit-sliced Bloom filter holds all languages at once: a
-row is a bitmask of languages, in as many 64-bit words as they need; an n-gram sets its language's bit in ``HASHES``
-rows, and the AND of its rows gives every language that has it.
+n-grams is no less than half the largest share in any language, the ``grams`` most
+frequent ones of them. A bit-sliced Bloom filter holds all languages at once: a
+row is a bitmask of languages, in as many 64-bit words as they need; an n-gram sets its
+language's bit in ``HASHES`` rows, and the AND of its rows gives every language that has it.
+A filter has at most ``MOST_WORDS`` words a row (64 MB in a task, less in the broadcast, which is
+compressed); more languages are further filters, read one after the other.
 
 A text's n-grams are looked up; each language's popcount is corrected for the
 filter's false positives of that language, ``(hits / n - f) / (1 - f)`` with f
@@ -16,6 +18,8 @@ with the largest corrected share wins; that share is the score.
 from __future__ import annotations
 
 import re
+import sys
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,36 +30,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WORKER_CACHES, as_long, fresh_name, in_arrow, mix64
+from .common import U64, WORKER_CACHES, as_long, fresh_name, in_arrow, mix64, stage
 
 UNDETERMINED = "und"
 LENGTHS = (1, 2, 3, 4)
-GRAMS = 20_000
+GRAMS = 20_000  # kept of a language; see README for what fewer and more do to accuracy
 LEAST_COUNT = 3
 FIT_DOCS = 4_000  # labelled documents a language is fitted on, in expectation
 ROWS = 1 << 20
 HASHES = 3
 WORD = 64  # languages a word of a row holds
+MOST_WORDS = 8
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Numbers that are word characters but no decimal digits, such as fractions and superscripts: no letters.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 _CACHE_WORDS = 200_000
 
 
 @dataclass(frozen=True)
-class LanguageModel:
-    """``rows`` are the filter's bitmasks: ``ROWS`` 64-bit words for the first ``WORD`` languages, then for the next."""
+class Filter:
+    """``rows`` are bitmasks: ``ROWS`` 64-bit words for the first ``WORD`` of its languages, then for the next; compressed."""
 
     languages: tuple[str, ...]
     rows: bytes
 
-    def false_positives(self) -> np.ndarray:
-        words = self.words()
-        return np.array(
-            [float(((words[i // WORD] >> U64(i % WORD)) & U64(1)).mean()) ** HASHES for i in range(len(self.languages))]
-        )
-
     def words(self) -> np.ndarray:
-        return np.frombuffer(self.rows, U64).reshape(-1, ROWS)
+        return np.frombuffer(zlib.decompress(self.rows), U64).reshape(-1, ROWS)
+
+
+@dataclass(frozen=True)
+class LanguageModel:
+    """Filters of up to ``MOST_WORDS * WORD`` languages each, which stand in the order of their names."""
+
+    filters: tuple[Filter, ...]
+
+    @property
+    def languages(self) -> tuple[str, ...]:
+        return tuple(name for f in self.filters for name in f.languages)
 
 
 def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,18 +114,24 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_languages(
-    docs: DataFrame, train, fit_docs: int = FIT_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame,
+    train,
+    fit_docs: int = FIT_DOCS,
+    grams: int = GRAMS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
 ) -> LanguageModel:
     """A model of the languages of ``docs`` where ``train`` (a boolean Column) holds.
 
     Rows without text or language are left out. About ``fit_docs`` documents of
     each language are read, all if it has fewer, chosen by a hash of the id;
-    the model has ``ROWS`` words for each ``WORD`` languages, of any number."""
+    up to ``grams`` n-grams of each are kept, for any number of languages."""
     known = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     known = known.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sizes = dict(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
     languages = tuple(sorted(sizes))
-    table = np.zeros((-(-len(languages) // WORD), ROWS), U64)
+    filters = []
     if languages:
         shares = [(k, min(1.0, fit_docs / sizes[k])) for k in languages]
         shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, drawn double"))
@@ -126,22 +144,28 @@ def fit_languages(
             (F.col("share") * 2 >= F.col("top")) & (F.col("n") >= LEAST_COUNT)
         )
         place = F.row_number().over(by_lang.orderBy(F.desc("n"), "gram"))
-        kept = typical.withColumn("place", place).where(F.col("place") <= GRAMS).select("lang", "gram")
-        kept = kept.toPandas()  # at most GRAMS a language
-        place = {lang: i for i, lang in enumerate(languages)}
-        for lang, grams in kept.groupby("lang")["gram"]:
-            word, bit = divmod(place[lang], WORD)
-            for at in _rows_for(grams.to_numpy().astype(np.int64).view(U64)):
-                table[word, at] |= U64(1 << bit)
-    return LanguageModel(languages, table.tobytes())
+        kept = stage(typical.withColumn("place", place).where(F.col("place") <= grams).select("lang", "gram"), "langid-grams")
+        size = MOST_WORDS * WORD
+        for a in range(0, len(languages), size):
+            some = languages[a : a + size]
+            table = np.zeros((-(-len(some) // WORD), ROWS), U64)
+            own = kept.where((F.col("lang") >= some[0]) & (F.col("lang") <= some[-1])).toPandas()  # `grams` a language at most
+            for lang, found in own.groupby("lang")["gram"]:
+                word, bit = divmod(some.index(lang), WORD)
+                for at in _rows_for(found.to_numpy().astype(np.int64).view(U64)):
+                    table[word, at] |= U64(1 << bit)
+            filters.append(Filter(some, zlib.compress(table.tobytes(), 1)))
+    return LanguageModel(tuple(filters))
 
 
 class _Reader:
     """Looks words up in the filter and remembers their popcounts."""
 
-    def __init__(self, model: LanguageModel):
+    def __init__(self, model: Filter):
         self.languages = model.languages
-        self.words, self.wrong = model.words(), model.false_positives()
+        self.words = model.words()
+        share = [float(((self.words[i // WORD] >> U64(i % WORD)) & U64(1)).mean()) for i in range(len(self.languages))]
+        self.wrong = np.array(share) ** HASHES
         self.most = _CACHE_WORDS * WORD // max(WORD, len(self.languages))
         self.clear()
 
@@ -178,19 +202,25 @@ class _Reader:
         return self.languages[best], float(share[best])
 
 
-_READERS: dict[LanguageModel, _Reader] = {}
+_READERS: dict[Filter, _Reader] = {}
 WORKER_CACHES[__name__] = _READERS.clear
 
 
 def _identify(batches: Iterator[pa.RecordBatch], model, at: int, names: list[str]) -> Iterator[pa.RecordBatch]:
-    if model.value not in _READERS:  # a worker keeps the words of its last model
+    """Adds language and score, or, where an earlier filter has added them, raises them."""
+    if model.value not in _READERS:  # a worker keeps the words of its last filter
         _READERS.clear()
         _READERS[model.value] = _Reader(model.value)
     reader = _READERS[model.value]
     for batch in batches:
         found = [reader.read(t) for t in batch.column(at).to_pylist()]
+        columns = batch.columns
+        if len(columns) == len(names):
+            before = zip(columns[-2].to_pylist(), columns[-1].to_pylist(), strict=True)
+            found = [x if x[1] > y[1] or y[0] == UNDETERMINED else y for x, y in zip(found, before, strict=True)]
+            columns = columns[:-2]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
+            [*columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
             names,
         )
 
@@ -200,13 +230,17 @@ def identify_languages(
 ) -> DataFrame:
     """``docs`` with the predicted language of each whole text and its score (0 to 1).
 
-    ``und`` with score 0 where the text is null or has no letter, or the model
-    knows no language. Equal shares go to the first language by name. Where
-    ``docs`` has a column of a new one's name, the new one gets underscores in front."""
+    ``und`` with score 0 where the text is null or has no letter (digits, fractions and other
+    numbers are none), or the model knows no language. Equal shares go to the first language by
+    name. Rows that repeat a document are read as often and get the same answer; an empty
+    table gives an empty table. A very long text is read in one task, a word at a time.
+    Where ``docs`` has a column of a new one's name, the new one gets underscores in front."""
     pred, score = fresh_name(docs.columns, pred_col), fresh_name(docs.columns, score_col)
     schema = T.StructType([*docs.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return in_arrow(docs, _identify, schema, model=shared, at=docs.columns.index(text_col), names=schema.names)
+    at, spark = docs.columns.index(text_col), docs.sparkSession
+    for part in model.filters or (Filter((), zlib.compress(b"")),):
+        docs = in_arrow(docs, _identify, schema, model=spark.sparkContext.broadcast(part), at=at, names=schema.names)
+    return docs
 
 
 def held_out(id_col: str = "doc_id"):

@@ -4,13 +4,14 @@ import hashlib
 import itertools
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from partweave.llm import line_dedup, near_dup
+from partweave.llm import langid, line_dedup, near_dup
 from partweave.llm.langid import fit_languages, held_out, identify_languages
 from partweave.llm.line_dedup import drop_repeated_lines, line_counts, removed_lines
 from partweave.llm.mixing import mix_sources
@@ -203,7 +204,39 @@ def test_language_of_awkward_rows(awkward, nothing):
     assert identify_languages(nothing, model).count() == 0
 
 
-def test_more_languages_than_a_word_has_bits(spark):
+def test_language_of_numbers_is_undetermined(spark):
+    docs = spark.createDataFrame([(1, "½ ² 12 ④ Ⅷ _"), (2, "²x"), (3, "mot")], "doc_id long, text string").withColumn("lang", F.lit("xx"))
+    got = {r.doc_id: r.lang_pred for r in identify_languages(docs, fit_languages(docs, F.lit(True))).collect()}
+    assert got == {1: "und", 2: "xx", 3: "xx"}
+
+
+def test_language_filters_agree_with_plain_sets(spark):
+    """The same n-grams in Python sets: the same language, and a score as near as the filter's size allows."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    counts = {}
+    for r in rows:
+        words = langid._LETTERS.findall(r.text.lower())
+        if words:
+            counts.setdefault(r.lang, Counter()).update(langid.grams_of(words)[0].tolist())
+    share = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in counts.items()}
+    top = {}
+    for s in share.values():
+        for g, x in s.items():
+            top[g] = max(top.get(g, 0), x)
+    sets = {k: {g for g, n in c.items() if n >= langid.LEAST_COUNT and 2 * share[k][g] >= top[g]} for k, c in counts.items()}
+    assert max(map(len, sets.values())) < langid.GRAMS
+    got = {r.doc_id: (r.lang_pred, r.score) for r in identify_languages(docs, fit_languages(docs, F.lit(True))).collect()}
+    for r in rows:
+        words = langid._LETTERS.findall(r.text.lower())
+        grams = langid.grams_of(words)[0].tolist() if words else []
+        plain = {k: sum(g in s for g in grams) / len(grams) for k, s in sets.items()} if grams else {"und": 0.0}
+        lang, score = got[r.doc_id]
+        assert abs(score - max(plain.values())) < 0.01 and plain[lang] > max(plain.values()) - 0.01
+
+
+def test_more_languages_than_a_word_has_bits(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_WORDS", 1)  # three filters, one after the other
     def text(i, j):
         return " ".join(f"{chr(0x4E00 + 8 * i + (j * 3 + w) % 8)}{chr(0x4E00 + 8 * i + w % 8)}" for w in range(12))
 
@@ -211,7 +244,7 @@ def test_more_languages_than_a_word_has_bits(spark):
     rows += [(10_000 + i, f"stray {i}", f"stray{i}") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = fit_languages(docs, F.lit(True))
-    assert len(model.languages) == 190
+    assert len(model.languages) == 190 and len(model.filters) == 3
     read = identify_languages(docs, model).where("doc_id < 10000").collect()
     assert len(read) == 900 and all(r.lang_pred == r.lang for r in read)
 
