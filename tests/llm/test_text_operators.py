@@ -19,7 +19,7 @@ from partweave.llm.near_dup import drop_near_duplicates, near_duplicates, radius
 from partweave.llm.packing import PackingPlan, pack_documents, token_ids
 from partweave.llm.pii import find_personal_data, hidden_identifiers, identifiers
 from partweave.llm.queries import vocabulary
-from partweave.llm.secret_scan import find_secrets
+from partweave.llm.secret_scan import base_secrets, find_secrets
 from partweave.llm.sharding import assign_shards, lookup_table
 
 
@@ -432,6 +432,47 @@ def test_long_runs_stay_linear(text):
     hidden_identifiers(text, identifiers(text))
 
 
+_SECRETS = {
+    "assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII),
+    "access": re.compile("AKIA[A-Z0-9]+"),
+    "hex": re.compile("[0-9a-f]+"),
+}
+
+
+def plain_secrets(text):
+    def good(kind, m):
+        return len(m[2]) >= 6 if kind == "assign" else len(m[0]) >= {"access": 20, "hex": 24}[kind]
+
+    found = [(m.start(), i, k, m.end()) for i, (k, p) in enumerate(_SECRETS.items()) for m in p.finditer(text) if good(k, m)]
+    return [(k, a, b) for a, _, k, b in sorted(found)]
+
+
+def test_base_secrets_match_the_plain_patterns():
+    import random
+
+    r = random.Random(4)
+    pieces = ["password", "Api_Key", "apikey", "token", "secret", '"', "'", " ", ":", "=", "abc", "AKIA", "Z" * 8, "0f" * 6, "x9/+_.", "é", "\n", "AKIA" + "Q7" * 9, "ſecret", "toKen="]
+    for _ in range(4000):
+        text = "".join(r.choice(pieces) for _ in range(r.randint(0, 14)))
+        assert [x[:3] for x in sorted(base_secrets(text), key=lambda x: (x[1], list(_SECRETS).index(x[0])))] == plain_secrets(text), text
+
+
+def test_secrets_of_awkward_rows(spark, awkward, nothing):
+    text = 'token = "abcdef123456" é AKIA' + "Z" * 16
+    more = spark.createDataFrame([(20, text, None, None, 1), (20, text, None, None, 1), (21, "w " * 50_000 + text, "en", "a", 1)], awkward.schema)
+    docs = awkward.unionAll(more)
+    want = sorted((str(r.doc_id), [(k, a, b) for k, a, b in plain_secrets(r.text or "")]) for r in docs.collect())
+    for some in (docs, docs.withColumnsRenamed({"lang": "hash", "n_chars": "row"})):
+        got = find_secrets(some).collect()
+        assert sorted((str(r.doc_id), [(f.kind, f.start, f.end) for f in r.found if not f.added]) for r in got) == want
+        assert {(f.owners, f.repositories) for r in got if r.doc_id == 20 for f in r.found} == {(2, 2)}
+
+
+def test_personal_data_with_clashing_names(awkward):
+    plain, clash = (sorted(map(str, find_personal_data(d).select("doc_id", "found").collect())) for d in (awkward, awkward.withColumnsRenamed({"lang": "kind", "source": "body"})))
+    assert plain == clash
+
+
 def test_secrets_by_ownership(spark, nothing):
     live, copied = "ghp_aB3dE5fG7hJ9kL1mN3pQ5rS7tU9vW1xY3zA5", "ghp_Zy9Xw7Vu5Ts3Rq1Po9Nm7Lk5Ji3Hg1Fe9Dc7"
     rows = [(i, f"use {copied} as shown", f"s{i % 5}") for i in range(20)]
