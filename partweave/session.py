@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,9 +85,42 @@ def stage_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Paths staged inside the running ``stage_alone`` calls, the innermost last.
+_OPEN: list[list[str]] = []
+
+
 def new_stage_path(spark: SparkSession, tag: str) -> str:
     """A fresh, never reused path under the staging root."""
-    return f"{stage_root(spark)}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+def stage_alone(spark: SparkSession, make: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """``stage(make(), tag)``, after which the tables that ``make`` and its frame's plan staged are
+    deleted: nothing reads them once the frame is written. What was staged before stays. Calls may nest;
+    other threads must not stage meanwhile."""
+    inner: list[str] = []
+    _OPEN.append(inner)
+    try:
+        df = make()
+        _OPEN.append([])
+        try:
+            return stage(df, tag)
+        finally:
+            kept = _OPEN.pop()
+            if len(_OPEN) > 1:  # the enclosing call deletes it
+                _OPEN[-2].extend(kept)
+    finally:
+        _OPEN.pop()
+        for path in inner:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    to.getFileSystem(spark._jsc.hadoopConfiguration()).delete(to, True)
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:
@@ -113,5 +147,4 @@ def stage_counted(df: DataFrame, tag: str) -> tuple[DataFrame, int]:
 def drop_stages(spark: SparkSession) -> None:
     """Deletes the tables that this application staged. Call it once everything
     that reads them is written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{stage_root(spark)}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, f"{stage_root(spark)}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}")
