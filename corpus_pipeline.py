@@ -16,7 +16,7 @@ from partweave.llm.mixing import mix_sources
 from partweave.llm.near_dup import drop_near_duplicates
 from partweave.llm.packing import pack_documents
 from partweave.llm.queries import vocabulary
-from partweave.session import stage
+from partweave.session import stage_alone
 
 #: Below it too few n-grams belong to any one language. Clean prose scores above 0.5.
 LEAST_SCORE = 0.2
@@ -66,7 +66,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages. What a stage staged on its way goes once its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stage_alone(spark, lambda step=step, docs=docs: step(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
