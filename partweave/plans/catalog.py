@@ -8,6 +8,7 @@ Computed columns carry the same alias on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -457,7 +458,22 @@ def _q_integrated(table: str) -> Query:
     return query
 
 
+def q_integrated_columns(spark, d):
+    """Every column of the nine written tables in its place - keys of later rewrites first, new owner IDs
+    last - and how many of its values are set."""
+    frames = []
+    for table, path in sorted(_integrated(spark, d).items()):
+        df = spark.read.parquet(path)
+        one = [
+            F.struct(F.lit(i).cast("long").alias("position"), F.lit(c).alias("column_name"), F.count(c).alias("n_set"))
+            for i, c in enumerate(df.columns, 1)
+        ]
+        frames.append(df.agg(F.array(*one).alias("a")).select(F.lit(table).alias("table_name"), F.inline("a")))
+    return reduce(DataFrame.unionAll, frames)
+
+
 QUERIES: dict[str, Query] = {
+    "integrated_columns": q_integrated_columns,
     "csv_parts_lossless": q_csv_parts_lossless,
     "flat_parquet_parts": q_flat_parquet_parts,
     "mixed_case_key": q_mixed_case_key,
@@ -828,6 +844,23 @@ ORACLES.update(
     }
 )
 
+# The columns of each output in the order in which renames, joins and drops leave them.
+_OUTPUT_COLUMNS = {
+    "death": "PatID Source",
+    "demographic": "c_custkey Sex Hispanic Race PatID",
+    "diagnosis": "EncounterID ProviderID PatID DX DX_codetype ADate",
+    "dispensing": "ProviderID PatID NDC RxDate",
+    "encounter": "FacilityID PatID o_orderkey ADate EncounterID",
+    "enrollment": "PatID MedCov DrugCov",
+    "facility": "FacilityID",
+    "procedure": "EncounterID ProviderID PatID PX PX_codetype ADate",
+    "provider": "s_name ProviderID",
+}
+ORACLES["integrated_columns"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({i} AS BIGINT) AS position, '{c}' AS column_name, count({c}) AS n_set FROM ({ORACLES[f'integrated_{t}']})"
+    for t, columns in _OUTPUT_COLUMNS.items()
+    for i, c in enumerate(columns.split(), 1)
+)
 QUERIES.update(STATE_QUERIES)
 ORACLES.update(STATE_ORACLES | {name: ORACLES[other] for name, other in SAME_AS.items()})
 

@@ -175,3 +175,32 @@ def test_audit_rows_in_equal_rows_out_plus_orphans(spark, sf001):
     for k in ("PatID", "FacilityID"):
         rows_in, orph = audit[("encounter", k)]
         assert enc_out <= rows_in - orph
+
+
+def test_declared_output_order(spark):
+    """Columns named in ``output_order`` come first, in its order and in any case; others as they came."""
+    from partweave.registry import ForeignKey, Registry
+
+    demo = spark.createDataFrame([(1, 5, "F", 1990)], "part long, PatID long, Sex string, Born int")
+    enr = spark.createDataFrame([(1, "Y", 5, "N")], "part long, MedCov string, PatID long, DrugCov string")
+    tables = {"demographic": demo, "enrollment": enr}
+    keys = (("demographic", "enrollment"), {"demographic": "PatID"}, (ForeignKey("enrollment", "PatID", "demographic"),))
+    plain = Pipeline(tables, Registry(*keys))
+    assert plain.output("demographic").columns == ["Sex", "Born", "PatID"]
+    assert plain.output("enrollment").columns == ["PatID", "MedCov", "DrugCov"]
+    told = Pipeline(tables, Registry(*keys, output_order={"demographic": ("patid", "BORN"), "enrollment": ("DrugCov",)}))
+    assert told.output("demographic").columns == ["PatID", "Born", "Sex"]
+    assert tuple(told.output("demographic").first()) == (1, 1990, "F")
+    assert told.output("enrollment").columns == ["DrugCov", "PatID", "MedCov"]
+
+
+def test_audit_with_repeated_owner_keys(spark):
+    """Copies of an owner key multiply its children, but each child row is counted once."""
+    from partweave.registry import ForeignKey, Registry
+
+    demo = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 6, "c"), (2, 5, "d")], "part long, PatID long, v string")
+    enr = spark.createDataFrame([(1, 5), (1, 5), (1, 7), (2, 6), (2, None)], "part long, PatID long")
+    reg = Registry(("demographic", "enrollment"), {"demographic": "PatID"}, (ForeignKey("enrollment", "PatID", "demographic"),))
+    p = Pipeline({"demographic": demo, "enrollment": enr}, reg, on_duplicates="keep")
+    assert [tuple(r) for r in p.audit().collect()] == [("enrollment", "PatID", 5, 3)]
+    assert p.output("enrollment").count() == 4

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,3 +46,23 @@ def test_part_row_counts_stateful(spark, tmp_path):
     got = {r.part: r.n_rows for r in spark.sql("SELECT * FROM pw_part_counts").collect()}
     q.stop()
     assert got == {3: 7, 4: 2}
+
+
+def test_a_stray_file_fails_the_stream(spark, tmp_path):
+    """As it fails the batch reader: it must not land under no part."""
+    src = tmp_path / "in"
+    src.mkdir()
+    _drop_part(spark, str(src), "enrollment", 1, 2)
+    os.rename(src / "enrollment-1-snappy.parquet", src / "enrollment-one.parquet")
+    q = land_stream(spark, str(src), str(tmp_path / "out"), StructType.fromDDL("PatID double, s string"), checkpoint=str(tmp_path / "c"))
+    with pytest.raises(Exception, match="not named as a part"):
+        q.awaitTermination(120)
+
+
+def test_the_stream_leaves_excluded_columns(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _drop_part(spark, str(src), "enrollment", 1, 2)
+    out = str(tmp_path / "out")
+    land_stream(spark, str(src), out, StructType.fromDDL("PatID double, s string"), checkpoint=str(tmp_path / "c"), exclude=("patid",)).awaitTermination(120)
+    assert dict(spark.read.parquet(out).dtypes)["PatID"] == "double"
