@@ -33,16 +33,25 @@ def main(argv=None) -> None:
     a.add_argument("landing_dir")
     a.add_argument("--format", default="sas7bdat")
     a.add_argument("--tables")
+    a.add_argument("--manifest", action="store_true", help="land only parts that the landing's manifest lacks")
     a = sub.add_parser("integrate")
     a.add_argument("landing_dir")
     a.add_argument("out_dir")
     a.add_argument("--tables")
     a.add_argument("--method", default="two_pass")
     a.add_argument("--how", default="inner")
+    a.add_argument("--manifest", action="store_true", help="read only parts entered in the landing's manifest")
+    a.add_argument("--prefilter", action="store_true", help="drop orphans by a bitmap filter before a shuffle join")
     a.add_argument("--broadcast-max-bytes", type=int, help="budget for one broadcast key map")
     a.add_argument("--hot-key-rows", type=int, help="split off keys with at least this many child rows")
     a.add_argument("--max-records-per-file", type=int, help="cap rows per output file")
     a.add_argument("--parallel-jobs", type=int, default=4, help="independent rebases / writes submitted at once")
+    a = sub.add_parser("losses")
+    a.add_argument("landing_dir")
+    a = sub.add_parser("profile")
+    a.add_argument("path")
+    a.add_argument("--columns")
+    a.add_argument("--sketch", action="store_true", help="approximate, in one scan")
     for name in ("describe", "count"):
         sub.add_parser(name).add_argument("path")
     a = sub.add_parser("rollup")
@@ -52,7 +61,7 @@ def main(argv=None) -> None:
     a.add_argument("demographic")
     a.add_argument("enrollment")
     a.add_argument("--by", default="Sex,Hispanic,Race")
-    for name in ("describe", "rollup", "coverage"):
+    for name in ("describe", "rollup", "coverage", "losses", "profile"):
         sub.choices[name].add_argument("--out", help="write the result here as Parquet")
     args = ap.parse_args(argv)
 
@@ -60,23 +69,30 @@ def main(argv=None) -> None:
     spark = build_session(master="local[*]" if own and "spark.master" not in dict(SparkConf().getAll()) else None)
     from .operators.describe import describe_columns, row_count
     from .operators.rollups import code_year_rollup, coverage_count
-    from .plans.convert import integrate, land_tables
+    from .operators.profiles import profile_table
+    from .plans.convert import MANIFEST, integrate, land_tables
+    from .sources.manifest import losses
 
     tables = args.tables.split(",") if getattr(args, "tables", None) else None
     if args.cmd == "land":
-        for t, p in land_tables(spark, args.source_dir, args.landing_dir, fmt=args.format, tables=tables).items():
+        for t, p in land_tables(spark, args.source_dir, args.landing_dir, fmt=args.format, tables=tables, manifest=args.manifest).items():
             print(t, p)
     elif args.cmd == "integrate":
-        opts = {"method": args.method, "how": args.how, "parallel_jobs": args.parallel_jobs}
+        opts = {"method": args.method, "how": args.how, "parallel_jobs": args.parallel_jobs, "prefilter": args.prefilter}
         if args.broadcast_max_bytes is not None:
             opts["broadcast_max_bytes"] = args.broadcast_max_bytes
         if args.hot_key_rows is not None:
             opts["hot_key_rows"] = args.hot_key_rows
         written = integrate(
-            spark, args.landing_dir, args.out_dir, tables=tables, max_records_per_file=args.max_records_per_file, drop_staged=own, **opts
+            spark, args.landing_dir, args.out_dir, tables=tables, max_records_per_file=args.max_records_per_file, drop_staged=own, manifest=args.manifest, **opts
         )
         for t, p in written.items():
             print(t, p)
+    elif args.cmd == "losses":
+        _give(losses(spark, f"{args.landing_dir.rstrip('/')}/{MANIFEST}"), args.out)
+    elif args.cmd == "profile":
+        columns = args.columns.split(",") if args.columns else None
+        _give(profile_table(spark.read.parquet(args.path), columns, quantiles="sketch" if args.sketch else "exact"), args.out)
     elif args.cmd == "describe":
         _give(describe_columns(spark.read.parquet(args.path)), args.out)
     elif args.cmd == "count":

@@ -35,8 +35,13 @@ def part_counts(df: DataFrame, part: str = "part") -> DataFrame:
 def part_offsets(df: DataFrame, part: str = "part") -> DataFrame:
     """(part, n_rows, start_id): the first new ID of each part is 1 + the rows
     of all earlier parts. The window runs over one row per part."""
+    return offsets_of(part_counts(df, part), part)
+
+
+def offsets_of(counts: DataFrame, part: str = "part") -> DataFrame:
+    """``part_offsets`` from ``part_counts``."""
     before = W.orderBy(F.col(part).asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
-    return part_counts(df, part).withColumn(
+    return counts.withColumn(
         "start_id", (F.lit(1) + F.coalesce(F.sum("n_rows").over(before), F.lit(0))).cast("long")
     )
 
@@ -65,6 +70,7 @@ def assign_ids(
     max_group_rows: int = 1_000_000,
     broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
     keys_only: bool | None = None,
+    keys_only_above: int = KEYS_ONLY_MIN_EXTRA_COLUMNS,
 ) -> tuple[DataFrame, DataFrame]:
     """``(rebased owner, key map)``; see ``rebase_ids``.
 
@@ -76,14 +82,13 @@ def assign_ids(
     small). The key map for children is then that narrow staged table.
     It pays off for wide owners; for an owner with few columns the join-back
     costs more than it saves, so the default (None) uses it only when the
-    owner has more than ``KEYS_ONLY_MIN_EXTRA_COLUMNS`` columns besides
-    part and id.
+    owner has more than ``keys_only_above`` columns besides part and id.
     """
     orig = orig_name(id_col)
     if on_duplicates not in ("fail", "keep"):
         raise ValueError("on_duplicates must be 'fail' or 'keep'")
     if keys_only is None:
-        keys_only = len(df.columns) - 2 > KEYS_ONLY_MIN_EXTRA_COLUMNS
+        keys_only = len(df.columns) - 2 > keys_only_above
     if method == "two_pass" and on_duplicates == "fail" and keys_only:
         renamed = df.withColumnRenamed(id_col, orig)
         st: dict = {}
@@ -190,8 +195,9 @@ def _rebase_full_rows(df, id_col, part, method, on_duplicates, num_partitions, s
         keyed = renamed.withColumn(_ROW_HASH, F.xxhash64(*renamed.columns))
         renamed = stage(keyed.withColumn(_ROW_ID, F.monotonically_increasing_id()), "rebase-rows")
     if method == "window":
-        over = part_counts(df, part).where(F.col("n_rows") > max_group_rows)
-        method = "window" if over.isEmpty() else "two_pass"
+        counts = stage(part_counts(df, part), "part-counts")  # a row a part: for the guard, the offsets and the total
+        if not counts.where(F.col("n_rows") > max_group_rows).isEmpty():
+            method = "two_pass"
     elif method not in ("two_pass", "segments"):
         raise ValueError(f"unknown method {method!r}")
     if method == "segments" and not (on_duplicates == "fail" and whole(df.schema[id_col].dataType)):
@@ -210,9 +216,9 @@ def _rebase_full_rows(df, id_col, part, method, on_duplicates, num_partitions, s
         return out.drop(_ROW_HASH, _ROW_ID)
     if on_duplicates == "fail" and not fan_out(df, id_col, part).isEmpty():
         raise DuplicateOwnerKeys(f"{id_col} repeats inside a part; see fan_out()")
-    offs = part_offsets(df, part)
+    offs = offsets_of(counts, part)
     if stats is not None:
-        stats["rows"] = df.count()
+        stats["rows"] = counts.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     local = number_rows(renamed, order, "_pw_rn", restart_by=[part], method="window")
     # One row per part.
     j = local.alias("l").join(checked_broadcast(offs).alias("o"), F.col(f"l.{part}").eqNullSafe(F.col(f"o.{part}")))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.bind import bind, write_table
 from ..operators.broadcast import DEFAULT_MAX_BYTES
-from ..operators.ids import assign_ids, assign_ids_many, key_map, orig_name
+from ..operators.ids import KEYS_ONLY_MIN_EXTRA_COLUMNS, assign_ids, assign_ids_many, key_map, orig_name
 from ..operators.keys import known_broadcast, orphans, rewrite_fk
 from ..registry import CLAIMS, Registry
 from ..session import stage_counted
@@ -40,6 +40,9 @@ class Pipeline:
         broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
         number_owners_together: bool = False,
         num_partitions: int | None = None,
+        prefilter: bool = False,
+        max_group_rows: int = 1_000_000,
+        keys_only_above: int = KEYS_ONLY_MIN_EXTRA_COLUMNS,
     ):
         unknown = set(tables) - set(registry.tables)
         if unknown:
@@ -62,6 +65,9 @@ class Pipeline:
         self._rewritten: dict[str, DataFrame] = {}
         self._checked: set[str] = set()
         self.num_partitions = num_partitions
+        self.prefilter = prefilter
+        self.max_group_rows = max_group_rows
+        self.keys_only_above = keys_only_above
 
     # -- stages ---------------------------------------------------------
     def source(self, table: str) -> DataFrame:
@@ -84,6 +90,7 @@ class Pipeline:
         rb, km = assign_ids(
             self.source(owner) if src is None else src, self.reg.owners[owner], self.part, self.method,
             self.on_duplicates, num_partitions=self.num_partitions, stats=stats, broadcast_max_bytes=self.broadcast_max_bytes,
+            max_group_rows=self.max_group_rows, keys_only_above=self.keys_only_above,
         )
         return rb, km, stats
 
@@ -171,7 +178,7 @@ class Pipeline:
             km = self.key_map(k)
             cur = rewrite_fk(
                 cur, km, k, self.part, self.how, self.broadcast, self.hot_key_rows, self.key_map_rows(k),
-                self.broadcast_max_bytes,
+                self.broadcast_max_bytes, self.prefilter,
             )
         if keys and table in self.reg.owners and self.reg.children_of(self.reg.owners[table]):
             # It feeds later rewrites as well as the output: cut lineage once;

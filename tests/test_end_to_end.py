@@ -70,3 +70,33 @@ def test_cli_land_integrate_coverage(spark, sf001, tmp_path, capsys):
     main(["coverage", str(tmp_path / "out/demographic"), str(tmp_path / "out/enrollment"), "--by", "Sex,Race"])
     out = capsys.readouterr().out
     assert "Sex" in out and "Race" in out and "count" in out
+
+
+def test_cli_landing_with_a_manifest_grows_and_resumes(spark, sf001, tmp_path, capsys):
+    from partweave.__main__ import main
+
+    src, landing = tmp_path / "data", str(tmp_path / "landing")
+    src.mkdir()
+    late = tmp_path / "late"
+    late.mkdir()
+    _write_extracts(spark, fixture(spark, sf001), str(src))
+    for f in os.listdir(src):
+        if f.endswith(("_4.csv", "_5.csv")):
+            os.rename(src / f, late / f)
+    land = ["land", str(src), landing, "--format", "csv", "--tables", "demographic,enrollment", "--manifest"]
+    main(land)
+    first = spark.read.parquet(f"{landing}/demographic").count()
+    main(land)  # nothing to add
+    assert spark.read.parquet(f"{landing}/demographic").count() == first
+    for f in os.listdir(late):
+        os.rename(late / f, src / f)
+    main(land)
+    main(["integrate", landing, str(tmp_path / "out"), "--tables", "demographic,enrollment", "--manifest", "--prefilter", "--broadcast-max-bytes", "1000"])
+    fx = fixture(spark, sf001)
+    assert spark.read.parquet(str(tmp_path / "out/demographic")).count() == fx.demo_src.count()
+    capsys.readouterr()
+    main(["losses", landing])
+    lines = capsys.readouterr().out.split()
+    assert lines[0].startswith("table_name,part,column_name") and len(lines) == 1 + 10
+    main(["profile", str(tmp_path / "out/demographic"), "--columns", "PatID,Sex"])
+    assert "PatID,BIGINT,1.0" in capsys.readouterr().out
