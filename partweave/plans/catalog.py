@@ -861,6 +861,7 @@ ORACLES["integrated_columns"] = " UNION ALL ".join(
     for t, columns in _OUTPUT_COLUMNS.items()
     for i, c in enumerate(columns.split(), 1)
 )
+ORACLES["part_footers"] = fix() + "SELECT part, CAST(count(*) AS BIGINT) AS n_rows, true AS one_kind FROM enroll_src GROUP BY part"
 QUERIES.update(STATE_QUERIES)
 ORACLES.update(STATE_ORACLES | {name: ORACLES[other] for name, other in SAME_AS.items()})
 

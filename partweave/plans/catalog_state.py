@@ -15,7 +15,9 @@ from ..operators.numbering import number_rows
 from ..operators.profiles import profile_table
 from ..operators.tables import create_table_as, drop_table, expire_versions
 from ..session import new_stage_path
+from ..sources.csv import list_parts
 from ..sources.manifest import land_new_parts, losses, read_landed
+from ..sources.parts import part_footers, write_parts
 from ..streaming.ledger import Ledger, rebase_new_parts, rebase_stream
 from .fixtures import fixture, read_table
 
@@ -97,6 +99,16 @@ def q_land_with_manifest(spark: SparkSession, d: str) -> DataFrame:
     return read_landed(spark, path, manifest, "enrollment").select("part", "PatID", "MedCov", "DrugCov")
 
 
+def q_part_footers(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each landed part and whether all its files have the same columns, from the footers alone."""
+    path = new_stage_path(spark, "landed")
+    write_parts(fixture(spark, d).enroll_src, path)
+    found = part_footers(list_parts(spark, path, "(.*)", "*.parquet"))
+    part = F.regexp_extract("path", "/part=([0-9]+)/", 1).cast("long")
+    one_kind = F.min("columns").eqNullSafe(F.max("columns")) & F.min("columns").isNotNull()
+    return found.groupBy(part.alias("part")).agg(F.sum("n_rows").alias("n_rows"), one_kind.alias("one_kind"))
+
+
 def q_cast_losses(spark: SparkSession, d: str) -> DataFrame:
     """What the landing cast loses, per part and ID column: fractions, NaN, text that is no number."""
     part = F.col("l_linenumber").cast("long")
@@ -139,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rewrite_fk_prefiltered": q_rewrite_fk_prefiltered,
     "land_with_manifest": q_land_with_manifest,
     "cast_losses": q_cast_losses,
+    "part_footers": q_part_footers,
 }
 
 # Queries whose answer is that of another registered query.

@@ -23,12 +23,13 @@ def read_csv(
     schema: T.StructType | None = None,
     header: bool = True,
     multi_line: bool = False,
+    glob: str | None = None,
 ) -> DataFrame:
     """With ``schema``: no inference pass, types as declared; every file's header must
     name the schema's columns in its order, else the read fails. Without: one
     extra pass over the data to infer types. ``multi_line`` allows newlines inside
-    quoted fields (a file is then read by one task)."""
-    r = spark.read.option("header", str(header).lower()).option("escape", '"').option("multiLine", str(multi_line).lower())
+    quoted fields (a file is then read by one task). ``glob`` picks files of a folder by name."""
+    r = spark.read.options(**({"pathGlobFilter": glob} if glob else {})).option("header", str(header).lower()).option("escape", '"').option("multiLine", str(multi_line).lower())
     paths = [path] if isinstance(path, str) else list(path)
     if schema is not None:
         return r.option("enforceSchema", str(not header).lower()).schema(schema).csv(paths)
@@ -103,12 +104,16 @@ def read_csv_parts(
         return read_csv(spark, paths, schema, header=False, multi_line=multi_line).withColumn(part, number)
     names = schema.fieldNames() if schema is not None else list(found[0])
     fields = {n.lower(): schema[n] if schema is not None else T.StructField(n, T.StringType()) for n in names}
+    # Where one glob names just the parts' files and all have one header, Spark lists them; else they are named.
+    narrow = f"{table}_[0-9]*.csv"
+    plain = len(kinds) == 1 and list_parts(spark, directory, pattern, narrow).where(F.col("part").isNull()).isEmpty()
     frames = []
     for kind, head in zip(kinds, found, strict=True):
         if sorted(h.lower() for h in head) != sorted(fields):
             raise SchemaMismatch(f"{kind['first_path']} has columns {list(head)}, expected {names}")
         own = T.StructType([T.StructField(h, fields[h.lower()].dataType) for h in head])
-        df = read_csv(spark, kind["paths"], own, multi_line=multi_line).withColumn(part, number)
+        files = {"path": directory, "glob": narrow} if plain else {"path": kind["paths"]}
+        df = read_csv(spark, **files, schema=own, multi_line=multi_line).withColumn(part, number)
         frames.append(df.select(*[F.col(n).alias(n) for n in names], part))
     return reduce(DataFrame.unionAll, frames)
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+import pyarrow.fs as pa_fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +55,7 @@ def read_parts(
         if part not in df.columns:
             raise ValueError(f"no {part}=NN directories under {paths}")
         if check_schemas and schema is None:
-            check_part_schemas(spark, part_folders(spark, paths, part))
+            check_part_schemas(spark, list_parts(spark, paths, "(.*)", "*.parquet"))
         return df.withColumn(part, F.col(part).cast("long"))
     if layout == "flat":
         files = list_parts(spark, paths, rf".*?{pattern}", "*.parquet")
@@ -59,7 +63,7 @@ def read_parts(
         if foreign:
             raise ValueError(f"not named as a part ({pattern}): {foreign}")
         if check_schemas and schema is None:
-            check_part_schemas(spark, [r["path"] for r in files.groupBy("part").agg(F.array_sort(F.collect_list("path")).alias("p")).select(F.explode("p").alias("path")).collect()])
+            check_part_schemas(spark, files)
         df = r.parquet(*paths)
         return df.withColumn(part, part_from_file_name(pattern))
     raise ValueError("layout must be 'partitioned' or 'flat'")
@@ -71,11 +75,52 @@ def part_folders(spark: SparkSession, paths: Sequence[str], part: str = "part")
     return [r["folder"] for r in files.where("folder <> ''").distinct().orderBy("folder").collect()]
 
 
-def check_part_schemas(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
-    """Refuse parts (files, or folders of files) whose schemas differ (names
-    ignoring case, and types). Reads footers only, several parts at once; the
-    footers inside a folder are merged by a Spark job."""
-
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and columns of Parquet files, from their footers; the error's name where this task can't open one."""
+    for batch in batches:
+        rows, shapes, errors = [], [], []
+        for path in batch.column(0).to_pylist():
+            try:
+                where = re.sub("^file:/+", "/", path)
+                fs, inside = (pa_fs.LocalFileSystem(), where) if where.startswith("/") else pa_fs.FileSystem.from_uri(where)
+                with fs.open_input_file(inside) as file:
+                    footer = pq.read_metadata(file)
+                fields = footer.schema.to_arrow_schema()
+                rows.append(footer.num_rows)
+                shapes.append(", ".join(f"{f.name.lower()} {f.type}" for f in fields))
+                errors.append(None)
+            except (OSError, pa.ArrowException, ImportError) as e:
+                rows.append(None)
+                shapes.append(None)
+                errors.append(type(e).__name__)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(rows, pa.int64()), pa.array(shapes, pa.string()), pa.array(errors, pa.string())],
+            ["path", "n_rows", "columns", "error"],
+        )
+
+
+def part_footers(files: DataFrame) -> DataFrame:
+    """``(path, n_rows, columns, error)`` of the Parquet files in ``files(path)``, as a job: each task reads
+    its files' footers, and no data. ``columns`` spells names (lower case) and types in order."""
+    return files.select("path").repartition("path").mapInArrow(_footers, "path string, n_rows long, columns string, error string")
+
+
+def check_part_schemas(spark: SparkSession, files: DataFrame | Sequence[str]) -> None:
+    """Refuse parts (a table ``files(path)``, or paths of files or folders) whose files differ in their columns (names ignoring case, types, order).
+    Footers only, in one job; the different kinds of columns come to the driver, not the files. Files in a
+    store that only Spark's own readers open are compared by one schema read a folder, ``LOOKS_AT_ONCE`` at a time."""
+    if not isinstance(files, DataFrame):
+        files = list_parts(spark, files, "(.*)", "*.parquet")
+    kinds = part_footers(files).groupBy("columns").agg(F.min("path").alias("path"), F.max("error").alias("error")).orderBy("path").limit(3).collect()
+    if any(k["error"] for k in kinds):
+        folders = files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("f"), "path")
+        alone = folders.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.collect_list("path").alias("paths")).collect()
+        return _check_by_reading(spark, sorted(r["f"] for r in alone) if len(alone) > 1 else sorted(alone[0]["paths"]))
+    if len(kinds) > 1:
+        raise SchemaMismatch(f"{kinds[1]['path']} has columns {kinds[1]['columns']}, {kinds[0]['path']} has {kinds[0]['columns']}")
+
+
+def _check_by_reading(spark: SparkSession, paths: Sequence[str]) -> None:
     def schema(path: str) -> T.StructType:
         return spark.read.option("mergeSchema", "true").parquet(path).schema
 
@@ -84,10 +129,9 @@ def check_part_schemas(spark: SparkSession, paths: Sequence[str]) -> T.StructTyp
         for p, s in zip(paths, ex.map(schema, paths), strict=True):
             shape = [(f.name.lower(), f.dataType.simpleString()) for f in s.fields]
             if first is None:
-                first, first_schema = shape, s
+                first = shape
             elif shape != first:
                 raise SchemaMismatch(f"part {p} has schema {shape}, expected {first}")
-    return None if first is None else first_schema
 
 
 def land(df: DataFrame, id_suffix: str = "id", exclude: tuple[str, ...] = ()) -> DataFrame:

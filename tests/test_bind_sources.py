@@ -131,3 +131,23 @@ def test_max_records_per_file_splits_files_not_rows(spark, tmp_path):
     write_table(spark.range(100).coalesce(1), path, max_records_per_file=30)
     files = [f for f in os.listdir(path) if f.endswith(".parquet")]
     assert len(files) == 4 and spark.read.parquet(path).count() == 100
+
+
+def test_footers_as_a_table(spark, tmp_path):
+    from partweave.sources.csv import list_parts
+    from partweave.sources.parts import _check_by_reading, check_part_schemas, part_footers
+
+    path = str(tmp_path / "t")
+    spark.range(10).select((F.col("id") % 2).alias("part"), "id").write.partitionBy("part").parquet(path)
+    files = list_parts(spark, path, "(.*)", "*.parquet")
+    rows = part_footers(files).collect()
+    assert sum(r.n_rows for r in rows) == 10 and {r["columns"] for r in rows} == {"id int64"} and not any(r.error for r in rows)
+    lost = part_footers(spark.createDataFrame([("nowhere:/x.parquet",), ("/not/there.parquet",)], "path string")).collect()
+    assert all(r.error and r.n_rows is None for r in lost)
+    check_part_schemas(spark, files)
+    _check_by_reading(spark, [f"{path}/part=0", f"{path}/part=1"])
+    spark.range(3).select(F.col("id").cast("int").alias("id")).write.parquet(f"{path}/part=2")
+    with pytest.raises(SchemaMismatch):
+        check_part_schemas(spark, list_parts(spark, path, "(.*)", "*.parquet"))
+    with pytest.raises(SchemaMismatch):
+        _check_by_reading(spark, [f"{path}/part={i}" for i in range(3)])
