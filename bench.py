@@ -24,6 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from partweave.operators.describe import profile_column  # noqa: E402
 from partweave.operators.ids import rebase_ids  # noqa: E402
 from partweave.operators.numbering import number_rows  # noqa: E402
+from partweave.operators.profiles import profile_table  # noqa: E402
 from partweave.operators.rollups import code_year_rollup, coverage_count  # noqa: E402
 from partweave.plans.fixtures import Fixture, read_table  # noqa: E402
 from partweave.plans.pipeline import Pipeline  # noqa: E402
@@ -106,6 +107,16 @@ def main():
     def profile_exact():
         profile_column(read_table(spark, sf_dir, "orders"), "o_custkey").collect()
 
+    def profile_table_exact():
+        # All six columns of orders: keys, text, money, dates.
+        profile_table(read_table(spark, sf_dir, "orders")).collect()
+
+    def profile_table_sketch():
+        profile_table(read_table(spark, sf_dir, "orders"), quantiles="sketch").collect()
+
+    def dense_ids_segments():
+        consume(rebase_ids(tables["encounter"], "EncounterID", method="segments"))
+
     def dense_ids_two_pass():
         consume(rebase_ids(tables["encounter"], "EncounterID", method="two_pass"))
 
@@ -148,6 +159,9 @@ def main():
         "coverage_join": coverage_join,
         "coverage_bound_tables": coverage_bound_tables,
         "profile_column_exact": profile_exact,
+        "profile_table_exact": profile_table_exact,
+        "profile_table_sketch": profile_table_sketch,
+        "dense_ids_segments": dense_ids_segments,
         "dense_ids_two_pass": dense_ids_two_pass,
         "dense_ids_window": dense_ids_window,
         "dense_ids_global_orders": dense_ids_global_orders,

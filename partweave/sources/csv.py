@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,6 +95,8 @@ def read_csv_parts(
     heads = _heads(spark, directory, pattern, glob) if header else None
     if header:
         kinds = heads.collect()  # a row a different header, not a file
+        if any(k["head"] is None for k in kinds):
+            kinds = _heads(spark, directory, pattern, glob, opened=False).collect()
         found = [tuple(next(_csv.reader([k["head"]]))) if k["head"] else () for k in kinds]
     elif schema is None:
         raise ValueError("files without a header line need a schema")
@@ -118,8 +121,35 @@ def read_csv_parts(
     return reduce(DataFrame.unionAll, frames)
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line of each file that begins in this task; a task of one file stops there."""
+def open_in_task(path: str) -> pa.NativeFile:
+    """A file by its path, in a task: for a few bytes of it, where Spark has no scan that reads only these."""
+    where = re.sub("^file:/+", "/", path)
+    fs, inside = (pa_fs.LocalFileSystem(), where) if where.startswith("/") else pa_fs.FileSystem.from_uri(where)
+    return fs.open_input_file(inside)
+
+
+#: What ``open_in_task`` raises for a store that it can't open, or that has no such file.
+NOT_OPENED = (OSError, pa.ArrowException, ImportError)
+
+
+def _opened_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of each file; NULL where this task can't open it."""
+    for batch in batches:
+        heads = []
+        for path in batch.column(0).to_pylist():
+            try:
+                with open_in_task(path) as file:
+                    line = b""
+                    while b"\n" not in line and (more := file.read(1 << 14)):
+                        line += more
+                heads.append(line.split(b"\n", 1)[0].decode().removesuffix("\r"))
+            except NOT_OPENED:
+                heads.append(None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(heads, pa.string())], ["path", "head"])
+
+
+def _scanned_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of each file that begins in this task."""
     seen: set[str] = set()
     for batch in batches:
         for path, start, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -128,15 +158,20 @@ def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pydict({"path": [path], "head": [line]})
 
 
-def _heads(spark: SparkSession, directory: str, pattern: str, glob: str) -> DataFrame:
-    """``(head, first_path, paths)``: the different header lines and the files that have them. One job;
-    lines of later blocks are dropped inside the scan, and no column is parsed."""
-    lines = spark.read.option("pathGlobFilter", glob).text(directory)
-    named = F.regexp_extract(F.col("_metadata.file_name"), f"^(?:{pattern})$", 1) != ""
-    lines = lines.where(named).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
-    )
-    heads = lines.where("start = 0").mapInArrow(_first_lines, "path string, head string")
+def _heads(spark: SparkSession, directory: str, pattern: str, glob: str, opened: bool = True) -> DataFrame:
+    """``(head, first_path, paths)``: the different header lines and the files that have them. Each task opens
+    its files for their first lines; where that fails (a store that only Spark's readers open), one scan
+    of all lines finds them."""
+    if opened:
+        files = list_parts(spark, directory, pattern, glob).where(F.col("part").isNotNull()).select("path")
+        heads = files.repartition("path").mapInArrow(_opened_heads, "path string, head string")
+    else:
+        lines = spark.read.option("pathGlobFilter", glob).text(directory)
+        named = F.regexp_extract(F.col("_metadata.file_name"), f"^(?:{pattern})$", 1) != ""
+        lines = lines.where(named).select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
+        )
+        heads = lines.where("start = 0").mapInArrow(_scanned_heads, "path string, head string")
     clean = F.regexp_replace("head", "^\ufeff", "")
     by = heads.groupBy(clean.alias("head")).agg(F.array_sort(F.collect_list("path")).alias("paths"))
     return by.select("head", F.col("paths")[0].alias("first_path"), "paths").orderBy("first_path")

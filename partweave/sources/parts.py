@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-import pyarrow.fs as pa_fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..operators.bind import SchemaMismatch
 from ..operators.columns import cast_ids_by_suffix
-from .csv import list_parts
+from .csv import NOT_OPENED, list_parts, open_in_task
 
 # Parts whose footers are looked into at once.
 LOOKS_AT_ONCE = 16
@@ -81,15 +79,13 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, shapes, errors = [], [], []
         for path in batch.column(0).to_pylist():
             try:
-                where = re.sub("^file:/+", "/", path)
-                fs, inside = (pa_fs.LocalFileSystem(), where) if where.startswith("/") else pa_fs.FileSystem.from_uri(where)
-                with fs.open_input_file(inside) as file:
+                with open_in_task(path) as file:
                     footer = pq.read_metadata(file)
                 fields = footer.schema.to_arrow_schema()
                 rows.append(footer.num_rows)
                 shapes.append(", ".join(f"{f.name.lower()} {f.type}" for f in fields))
                 errors.append(None)
-            except (OSError, pa.ArrowException, ImportError) as e:
+            except NOT_OPENED as e:
                 rows.append(None)
                 shapes.append(None)
                 errors.append(type(e).__name__)

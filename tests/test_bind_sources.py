@@ -151,3 +151,14 @@ def test_footers_as_a_table(spark, tmp_path):
         check_part_schemas(spark, list_parts(spark, path, "(.*)", "*.parquet"))
     with pytest.raises(SchemaMismatch):
         _check_by_reading(spark, [f"{path}/part={i}" for i in range(3)])
+
+
+def test_headers_opened_and_scanned_are_alike(spark, tmp_path):
+    from partweave.sources.csv import _heads
+
+    (tmp_path / "t_1.csv").write_text("\ufeffPatID,Source\r\n1,a\r\n")
+    (tmp_path / "t_2.csv").write_text("Source,PatID\n" + "b,2\n" * 5000)
+    (tmp_path / "t_x.csv").write_text("other\n")
+    a, b = (_heads(spark, str(tmp_path), r"t_(\d+)\.csv", "t_*.csv", opened=o).collect() for o in (True, False))
+    assert [r["head"] for r in a] == [r["head"] for r in b] == ["PatID,Source", "Source,PatID"]
+    assert [len(r.paths) for r in a] == [len(r.paths) for r in b] == [1, 1]
