@@ -18,7 +18,6 @@ with the largest corrected share wins; that share is the score.
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -42,12 +41,18 @@ HASHES = 3
 WORD = 64  # languages a word of a row holds
 MOST_WORDS = 8
 
-# Numbers that are word characters but no decimal digits, such as fractions and superscripts: no letters.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_WORDS = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 200_000
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text, lower-cased. Fractions, superscripts and such are word characters, but no letters."""
+    words = _WORDS.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return "".join(c if c.isalpha() else " " for c in " ".join(words)).split()
+
+
 @dataclass(frozen=True)
 class Filter:
     """``rows`` are bitmasks: ``ROWS`` 64-bit words for the first ``WORD`` of its languages, then for the next; compressed."""
@@ -100,7 +105,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: dict[str, Counter] = {}
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
+            words.setdefault(lang, Counter()).update(words_of(text))
     for lang, seen in words.items():
         if not seen:
             continue
@@ -188,7 +193,7 @@ class _Reader:
         self.place.update(zip(words, range(start, start + n), strict=True))
 
     def read(self, text: str | None) -> tuple[str, float]:
-        words = _LETTERS.findall((text or "").lower())
+        words = words_of(text or "")
         if not words or not self.languages:
             return UNDETERMINED, 0.0
         if len(self.place) > self.most:
