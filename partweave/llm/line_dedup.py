@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partweave.operators.broadcast import checked_broadcast, is_at_most
+from partweave.operators.broadcast import checked_broadcast
 
 from .common import (
     COUNT_SCHEMA,
@@ -40,6 +40,7 @@ from .common import (
     U64,
     as_long,
     binary_runs,
+    broadcast_lists,
     count_slices,
     fresh_name,
     hashed_words,
@@ -48,12 +49,12 @@ from .common import (
     rarity_of,
     stage,
     stage_counted,
+    tally,
 )
 
 LISTED = 2
 BUCKET_ENTRIES = 300_000  # prefix entries a bucket should have
 PIECE_ENTRIES = 100_000  # prefix entries of one word that stay together
-BROADCAST_LINES = 2_000_000  # line numbers that may be broadcast, gathered by document
 _LINES = 4096  # lines worked on at a time: their index takes 12 bits of a sort key
 _WORD_BITS = 46
 _BYTES = 1 << 19  # of text worked on at a time
@@ -78,10 +79,12 @@ def _groups(texts: list[bytes | None]) -> Iterator[list[int]]:
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(RARITY_SIZE, np.uint64)
     for batch in batches:
-        texts = batch.column(0).to_pylist()
+        texts, found = batch.column(0).to_pylist(), []
         for group in _groups(texts):
             _, h = hashed_words(np.frombuffer(b"\n".join(texts[i] for i in group), np.uint8))
-            np.add.at(counts, (h % U64(RARITY_SIZE)).astype(np.int64), 1)
+            found.append((h % U64(RARITY_SIZE)).astype(np.int32))
+        if found:
+            tally(counts, np.concatenate(found))
     yield count_slices(counts)
 
 
@@ -160,7 +163,7 @@ def _count_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     counts = np.zeros(RARITY_SIZE, np.uint64)
     for batch in batches:
         word = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint32)
-        np.add.at(counts, word % np.uint32(RARITY_SIZE), 1)
+        tally(counts, word % np.uint32(RARITY_SIZE))
     yield count_slices(counts)
 
 
@@ -174,10 +177,13 @@ def _pack(batches: Iterator[pa.RecordBatch], often, buckets: int, piece: int) ->
         every = np.concatenate(held)
         pieces = pieces_of[every["word"] % np.uint32(RARITY_SIZE)]
         word = every["word"].astype(np.int64)
-        bucket = np.where(pieces > 1, -1 - word, word % buckets)
-        spread = mix64(mix64(every["doc"].view(U64) ^ mix64(every["key"].view(U64))) ^ every["line"].astype(U64))
-        own = np.where(pieces > 1, spread % pieces.astype(U64), U64(0)).astype(np.int64)
-        order = np.lexsort((own, bucket))
+        bucket, own = word % buckets, np.zeros(len(word), np.int64)
+        hot = np.flatnonzero(pieces > 1)
+        bucket[hot] = -1 - word[hot]
+        doc, key, line = (np.ascontiguousarray(every[c][hot]) for c in ("doc", "key", "line"))
+        spread = mix64(mix64(doc.view(U64) ^ mix64(key.view(U64))) ^ line.astype(U64))
+        own[hot] = (spread % pieces[hot].astype(U64)).astype(np.int64)
+        order = np.lexsort((own, bucket)) if len(hot) else np.argsort(bucket)
         every, bucket, own, pieces = every[order], bucket[order], own[order], np.where(bucket < 0, pieces, 1)[order]
         at = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (own[1:] != own[:-1])]))
         parts = [x.tobytes() for x in np.split(every, at[1:])]
@@ -220,6 +226,25 @@ def _dealt(classes: DataFrame, total: int) -> DataFrame:
     return met.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "entries")
 
 
+_FOUND = pa.schema(
+    [(f"{end}{name}", kind) for end in "xy" for name, kind in (("doc", pa.int64()), ("line", pa.int32()), ("key", pa.int64()))]
+    + [("more", pa.bool_())]
+)
+
+
+def _in_order(e: np.ndarray) -> np.ndarray:
+    """The order of entries by word, doc, line and key; by one 64-bit number a line where the docs' range allows it."""
+    doc = np.ascontiguousarray(e["doc"])
+    low = doc.min()
+    if float(doc.max()) - float(low) < 2.0**32 and e["line"].max() < 1 << 31:
+        place = ((doc - low).astype(U64) << U64(31)) | e["line"].astype(U64)
+        order = np.lexsort((place, e["word"]))
+        key, place, word = e["key"][order], place[order], e["word"][order]
+        if not ((place[1:] == place[:-1]) & (word[1:] == word[:-1]) & (key[1:] != key[:-1])).any():
+            return order
+    return np.lexsort((e["key"], e["line"], e["doc"], e["word"]))
+
+
 def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
     """Earlier candidates of each line of one bucket, word by word, or of each line of a
     piece in the other piece: the pairs that pass the filters, at most ``LISTED`` for a
@@ -228,13 +253,21 @@ def _pairs(table: pa.Table, num: int, den: int) -> pa.Table:
     parts = [np.frombuffer(x, _ENTRY) for x in table.column("entries").to_pylist()]
     own = np.repeat(table.column("own").to_numpy(), [len(x) for x in parts])
     e = np.concatenate(parts)
-    order = np.lexsort((e["key"], e["line"], e["doc"], e["word"]))
+    # Words that stand here once pair with nothing; the rest by word, then from the earliest line on.
+    order = np.argsort(e["word"])
+    word = e["word"][order]
+    twice = word[1:] == word[:-1]
+    order = order[np.concatenate([twice, [False]]) | np.concatenate([[False], twice])]
+    e, own = e[order], own[order]
+    if not len(e):
+        return _FOUND.empty_table()
+    order = _in_order(e)
     e, own = e[order], own[order]
     n, pos = e["n"].astype(np.int64), e["pos"].astype(np.int64)
     low, high = (np.ascontiguousarray(e["sketch"][:, i]) for i in (0, 1))
     every = np.arange(len(e))
     # Earlier candidates of entry y: earlier[end[y] - 1] back to earlier[end[y] - depth[y]].
-    if (own == own[0]).all():
+    if (own == own[0]).all() and len(np.unique(table.column("own").to_numpy())) == 1:
         first = np.flatnonzero(np.concatenate([[True], e["word"][1:] != e["word"][:-1]]))
         earlier, end, depth = every, every, every - np.repeat(first, np.diff(np.append(first, len(e))))
     else:
@@ -376,7 +409,7 @@ def removed_lines(
         wanted = pairs.select(F.col("xdoc").alias("wdoc"), F.col("xkey").alias("wkey"), F.col("xline").alias("wline"))
         wanted = stage(wanted.unionAll(pairs.select("ydoc", "ykey", "yline")).distinct(), f"{tag}-wanted")
         owners = wanted.groupBy("wdoc", "wkey").agg(F.collect_list("wline").alias("wlines"))  # a text's own lines
-        owners = F.broadcast(owners) if is_at_most(wanted, BROADCAST_LINES) else owners
+        owners = broadcast_lists(stage(owners, f"{tag}-owners"), "wlines")
         own = (F.col("doc") == F.col("wdoc")) & (F.col("key") == F.col("wkey"))
         sets = texts.join(owners, own).select("doc", "key", "body", "wlines")
         kind = "doc long, key long, line int, h1 long, h2 long, words binary"
@@ -432,17 +465,20 @@ def line_counts(
 ) -> tuple[DataFrame, list[str]]:
     """``drop_repeated_lines`` with its three counts a document, and their column
     names: lines, lines removed, worded lines left."""
-    gone = stage(removed_lines(docs, num, den, id_col, text_col), "ld-gone")
-    few = is_at_most(gone, BROADCAST_LINES)
     key, body, which, cut = (fresh_name(docs.columns, x) for x in ("line_doc", "line_text", "line_gone", "line_cut"))
-    gone = gone.groupBy(F.col("doc").alias(key), F.col("key").alias(body)).agg(F.collect_set("line").alias(which))
+    gone = removed_lines(docs, num, den, id_col, text_col)
+    gone = gone.groupBy(F.col("doc").alias(key), F.col("key").alias(body)).agg(F.collect_list("line").alias(which))
+    gone = broadcast_lists(stage(gone, "ld-gone"), which)
     names = [fresh_name(docs.columns, x) for x in ("n_lines", "n_removed", "n_left")]
     out = docs.withColumns({key: _doc_key(id_col, text_col), body: _text_key(text_col)})
-    out = out.join(F.broadcast(gone) if few else gone, [key, body], "left")
+    out = out.join(gone, [key, body], "left")
     parts = F.split(F.col(text_col), "\n", -1)
-    left = F.filter(parts, lambda x, i: ~F.array_contains(F.coalesce(F.col(which), F.array().cast("array<int>")), i))
-    out = out.withColumn(cut, F.when(F.col(which).isNull(), parts).otherwise(left))
-    out = out.withColumn(names[0], F.coalesce(F.size(parts), F.lit(0)).cast("long"))
+    # By a set of line numbers: linear however many of a text's lines go.
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(which))
+    left = F.transform(stay, lambda i: F.get(F.col(cut), i))
+    out = out.withColumn(cut, parts)
+    out = out.withColumn(names[0], F.coalesce(F.size(cut), F.lit(0)).cast("long"))
+    out = out.withColumn(cut, F.when(F.col(which).isNull(), F.col(cut)).otherwise(left))
     out = out.withColumn(names[1], F.coalesce(F.size(which), F.lit(0)).cast("long"))
     out = out.withColumn(names[2], F.size(F.filter(cut, lambda x: x.rlike("[^ \\t-\\r]"))).cast("long"))
     text = F.when(F.col(which).isNull(), F.col(text_col)).otherwise(F.array_join(cut, "\n"))

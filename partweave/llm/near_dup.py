@@ -55,6 +55,7 @@ from .common import (
     rarity_of,
     rows_of,
     stage,
+    tally,
 )
 
 _SLOT = np.uint16
@@ -150,8 +151,11 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
 def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(RARITY_SIZE, np.uint64)
     for batch in batches:
+        found = []
         for ids in batch.column(0).to_pylist():
-            np.add.at(counts, (np.frombuffer(ids, U64) % U64(RARITY_SIZE)).astype(np.int64), 1)
+            found.append((np.frombuffer(ids, U64) % U64(RARITY_SIZE)).astype(np.int32))
+        if found:
+            tally(counts, np.concatenate(found))
     yield count_slices(counts)
 
 

@@ -216,7 +216,7 @@ def test_language_filters_agree_with_plain_sets(spark):
     rows = docs.collect()
     counts = {}
     for r in rows:
-        words = langid._LETTERS.findall(r.text.lower())
+        words = langid.words_of(r.text)
         if words:
             counts.setdefault(r.lang, Counter()).update(langid.grams_of(words)[0].tolist())
     share = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in counts.items()}
@@ -228,7 +228,7 @@ def test_language_filters_agree_with_plain_sets(spark):
     assert max(map(len, sets.values())) < langid.GRAMS
     got = {r.doc_id: (r.lang_pred, r.score) for r in identify_languages(docs, fit_languages(docs, F.lit(True))).collect()}
     for r in rows:
-        words = langid._LETTERS.findall(r.text.lower())
+        words = langid.words_of(r.text)
         grams = langid.grams_of(words)[0].tolist() if words else []
         plain = {k: sum(g in s for g in grams) / len(grams) for k, s in sets.items()} if grams else {"und": 0.0}
         lang, score = got[r.doc_id]
@@ -274,6 +274,23 @@ def test_mixing_takes_awkward_rows(awkward, nothing):
     assert mix_sources(nothing)[0].count() == 0
 
 
+def test_very_many_repeated_lines_in_one_text(spark):
+    """Linear in the removed lines, and in the lines that stay."""
+    import time
+
+    def seconds(n):
+        text = "\n".join(["some words that are said again"] * n + [f"line number{i} of{i} its{i} own{i}" for i in range(n)])
+        docs = spark.createDataFrame([(1, text), (2, "other words here")], "doc_id long, text string")
+        began = time.time()
+        out, (_, removed, left) = line_counts(docs)
+        got = {r.doc_id: (r[removed], r[left], len(r.text)) for r in out.collect()}
+        assert got[1][:2] == (n - 1, n + 1) and got[2][:2] == (0, 1)
+        return time.time() - began
+
+    few, many = seconds(10_000), seconds(200_000)
+    assert many < 20 * few + 30
+
+
 # -- op4 ---------------------------------------------------------------------
 
 
