@@ -123,7 +123,8 @@ def mix_sources(
 
     A null source is a source; null and empty texts count one token. Rows with
     equal id and text are interchangeable; other columns don't order anything.
-    An empty table gives no rows. One source, or equal ones: each row once."""
+    An empty table gives no rows. One source, or equal ones: each row once. A very
+    long text is one document: it lies in the block where it begins, past whose tokens it may reach."""
     names = {k: fresh_name(docs.columns, k) for k in ("tokens", "epoch", "block", "place", "weight")}
     own = {k: fresh_name(docs.columns, f"mix_{k}") for k in ("key", "perm", "range", "end")}
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -134,7 +134,8 @@ def find_secrets(
     ``most_repositories`` repositories. ``owners`` and ``repositories`` count the
     distinct owners and doc_ids whose texts hold the value; for ``repositories``,
     doc_ids of one text count as the smallest of them. A null owner is one owner, a null doc_id one
-    repository; null texts count as empty; repeated rows are scanned each."""
+    repository; null texts count as empty; repeated rows are scanned each. Other columns,
+    whatever their names, are ignored. A very long text is scanned in one task. An empty table gives no rows."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(owner_col).cast("string").alias("owner"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     found = "struct<start:long,place:int,kind:string,end:long,added:boolean,hash:long,random:boolean>"

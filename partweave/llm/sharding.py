@@ -69,7 +69,8 @@ def assign_shards(
 ) -> tuple[DataFrame, str, str]:
     """``docs`` with the slot and shard of each row, and those columns' names
     (``slot`` and ``shard``, underscores in front where taken). Rows with equal ids
-    share a shard; a null id hashes as the empty text. An empty table gives no rows."""
+    share a shard, repeated rows too; a null id hashes as the empty text. Texts, empty or very long ones,
+    play no part. An empty table gives no rows."""
     slot, shard = fresh_name(docs.columns, "slot"), fresh_name(docs.columns, "shard")
     table = lookup_table(docs.sparkSession, shards, size).withColumnsRenamed({"slot": slot, "shard": shard})
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
