@@ -130,6 +130,15 @@ def _hashes(words: np.ndarray, n: np.ndarray, start: np.ndarray) -> tuple[np.nda
     return _reduced(np.add, a, n, start), _reduced(np.add, b, n, start) ^ n.astype(U64)
 
 
+def _leads(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, line: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """For the earliest of equal lines how many there are, for the others 0."""
+    order = np.lexsort((key, line, doc, h2, h1))
+    new = np.flatnonzero(np.concatenate([[True], (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])]))
+    times = np.zeros(len(h1), np.int32)
+    times[order[new]] = np.diff(np.append(new, len(h1)))
+    return times
+
+
 def _lines(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Iterator[pa.RecordBatch]:
     rarity = np.frombuffer(rarity.value, np.uint8)
     for batch in batches:
@@ -154,8 +163,9 @@ def _lines(batches: Iterator[pa.RecordBatch], rarity, num: int, den: int) -> Ite
                     as_long(low),
                     as_long(high),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix)),
+                    pa.array(_leads(h1, h2, docs[doc], number, keys[doc])),
                 ],
-                ["doc", "line", "key", "n", "h1", "h2", "low", "high", "prefix"],
+                ["doc", "line", "key", "n", "h1", "h2", "low", "high", "prefix", "times"],
             )
 
 
@@ -382,7 +392,7 @@ def removed_lines(
         in_arrow(
             texts,
             _lines,
-            "doc long, line int, key long, n int, h1 long, h2 long, low long, high long, prefix array<int>",
+            "doc long, line int, key long, n int, h1 long, h2 long, low long, high long, prefix array<int>, times int",
             rarity=rarity,
             num=num,
             den=den,
@@ -390,8 +400,11 @@ def removed_lines(
         "ld-lines",
     )
     worded = lines.where("n > 0")
-    first = worded.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "key", "n", "low", "high", "prefix")).alias("f"))
-    first = stage(first.select("h1", "h2", "f.*"), "ld-classes")
+    # Equal lines of a batch are one row already, so a line that very many texts hold is a row a batch;
+    # most others are alone, and combining them before the shuffle would sort them twice.
+    leads = worded.where("times > 0").repartition("h1", "h2").groupBy("h1", "h2")
+    first = leads.agg(F.min(F.struct("doc", "line", "key", "n", "low", "high", "prefix")).alias("f"), F.sum("times").alias("times"))
+    first = stage(first.select("h1", "h2", "f.*", "times"), "ld-classes")
     classes = first.select("doc", "line", "key", "n", "low", "high", "prefix")
     pairs = stage(
         _dealt(classes, total)
@@ -443,11 +456,14 @@ def removed_lines(
         more = stage(more.select("xdoc", "xline", "xkey", "ydoc", "yline", "ykey").distinct(), "ld-more")
         gone = gone.unionAll(similar(more, "ld-second"))
 
-    gone = gone.select("h1", "h2").distinct().withColumn("all", F.lit(True))
-    kept = first.select("h1", "h2", "doc", "line", "key").toDF("h1", "h2", "fdoc", "fline", "fkey")
-    seen = worded.select("doc", "line", "key", "h1", "h2").join(kept, ["h1", "h2"]).join(gone, ["h1", "h2"], "left")
+    gone = stage(gone.select("h1", "h2").distinct().withColumn("all", F.lit(True)), "ld-similar")
+    # A class of one line goes by itself; only the lines of larger classes are looked up among all.
+    alone = first.where("times = 1").join(checked_broadcast(gone), ["h1", "h2"]).select("doc", "key", "line")
+    several = first.where("times > 1").select("h1", "h2", "doc", "line", "key").toDF("h1", "h2", "fdoc", "fline", "fkey")
+    several = checked_broadcast(stage(several.join(gone, ["h1", "h2"], "left"), "ld-several"))
+    seen = worded.select("doc", "line", "key", "h1", "h2").join(several, ["h1", "h2"])
     later = "all is not null or struct(fdoc, fline, fkey) < struct(doc, line, key)"
-    return seen.where(later).select("doc", "key", "line").distinct()
+    return seen.where(later).select("doc", "key", "line").unionAll(alone).distinct()
 
 
 def drop_repeated_lines(
