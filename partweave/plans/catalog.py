@@ -21,7 +21,7 @@ from ..operators.ids import check_ids, fan_out, key_map, part_counts, part_offse
 from ..operators.keys import orphans
 from ..operators.parts import part_inventory
 from ..operators.rollups import code_year_rollup, coverage_count
-from ..session import new_stage_path, stage
+from ..session import new_stage_path, stage, unsorted_folders
 from ..registry import CLAIMS, ForeignKey, Registry
 from ..sources.csv import csv_view, read_csv, read_csv_parts, write_csv
 from ..sources.parts import land, part_folders, read_parts, write_parts
@@ -395,7 +395,8 @@ def _numbered_files(df: DataFrame, folder: str, table: str, fmt: str) -> None:
     for made, order in ways.items():
         some = df if fmt != "csv" else df.where(F.col("part") % 2 == int(made == "made-odd"))
         writer = some.select(*order, "part").repartition("part").write.partitionBy("part")
-        (writer.option("header", "true").option("escape", '"').csv if fmt == "csv" else writer.parquet)(f"{folder}-{made}")
+        with unsorted_folders(spark):  # a task may have several parts
+            (writer.option("header", "true").option("escape", '"').csv if fmt == "csv" else writer.parquet)(f"{folder}-{made}")
         for file in fs.globStatus(fs_.Path(f"{folder}-{made}/part=*/part-*")):
             i = file.getPath().getParent().getName().removeprefix("part=")
             name = f"{table}_{i}.csv" if fmt == "csv" else f"{table}-{i}-snappy.parquet"

@@ -9,8 +9,10 @@ own folder when it is unset (local tests).
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -118,6 +120,34 @@ def stage_alone(spark: SparkSession, make: Callable[[], DataFrame], tag: str) ->
             delete_path(spark, path)
 
 
+# Files a task has open at once when it writes folders of parts; with more parts the rest is sorted.
+_OPEN_FILES_CONF, OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters", 32
+_UNSORTED: dict[str, list] = {}
+_UNSORTED_LOCK = threading.Lock()
+
+
+@contextmanager
+def unsorted_folders(spark: SparkSession) -> Iterator[None]:
+    """Inside, ``partitionBy`` writes keep a file open for each folder, up to ``OPEN_FILES`` a task,
+    instead of sorting a task's rows by folder first: a sort holds, or spills, all of them. The
+    session's own setting, if it has one, stands. Threads may overlap; the last one out resets it."""
+    app = spark.sparkContext.applicationId
+    with _UNSORTED_LOCK:
+        count = _UNSORTED.setdefault(app, [0, False])
+        if count[0] == 0 and int(spark.conf.get(_OPEN_FILES_CONF, "0")) == 0:
+            spark.conf.set(_OPEN_FILES_CONF, str(OPEN_FILES))
+            count[1] = True
+        count[0] += 1
+    try:
+        yield
+    finally:
+        with _UNSORTED_LOCK:
+            count[0] -= 1
+            if count[0] == 0 and count[1]:
+                spark.conf.unset(_OPEN_FILES_CONF)
+                count[1] = False
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     to = spark._jvm.org.apache.hadoop.fs.Path(path)
     to.getFileSystem(spark._jsc.hadoopConfiguration()).delete(to, True)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import cast_audit, cast_ids_by_suffix
-from ..session import stage
+from ..session import stage, unsorted_folders
 from .parts import read_parts
 
 _LOSS = T.StructType([T.StructField(n, t) for n, t in (("column_name", T.StringType()), ("n_null", T.LongType()), ("n_lost", T.LongType()), ("n_truncated", T.LongType()))])
@@ -65,9 +65,10 @@ def land_new_parts(
     # The audit reads the raw rows once more; only it sees what the cast loses.
     audit = cast_audit(todo, id_suffix, exclude, by=[part])
     audit = audit.groupBy(part).agg(F.max("n_rows").alias("n_rows"), F.array_sort(F.collect_list(F.struct(*_LOSS.fieldNames()))).alias("losses"))
-    cast_ids_by_suffix(todo, id_suffix, exclude).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
-        "compression", "snappy"
-    ).partitionBy(part).parquet(path)
+    with unsorted_folders(spark):
+        cast_ids_by_suffix(todo, id_suffix, exclude).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+            "compression", "snappy"
+        ).partitionBy(part).parquet(path)
     found = todo.groupBy(part).agg(F.count(F.lit(1)).alias("n_rows"))
     f, a = found.alias("f"), audit.alias("a")
     rows = f.join(a, F.col(f"f.{part}").eqNullSafe(F.col(f"a.{part}")), "left").select(

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..operators.bind import SchemaMismatch
 from ..operators.columns import cast_ids_by_suffix
+from ..session import unsorted_folders
 from .csv import NOT_OPENED, list_parts, open_in_task
 
 # Parts whose footers are looked into at once.
@@ -138,4 +139,5 @@ def land(df: DataFrame, id_suffix: str = "id", exclude: tuple[str, ...] = ()) ->
 
 def write_parts(df: DataFrame, path: str, part: str = "part", mode: str = "errorifexists") -> None:
     """Write a table partitioned by part (``part=NN/``), Snappy Parquet."""
-    df.write.mode(mode).partitionBy(part).option("compression", "snappy").parquet(path)
+    with unsorted_folders(df.sparkSession):
+        df.write.mode(mode).partitionBy(part).option("compression", "snappy").parquet(path)
