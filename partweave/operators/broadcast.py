@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 # Budget for one broadcast side, in estimated in-memory bytes.
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
+# From so many rows on, the smaller side of a shuffle join is hashed and the other not sorted.
+HASHED_ROWS = 1_000_000
+
 
 _VARIABLE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 
@@ -53,3 +56,11 @@ def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES, max_row
     found = df.limit(cap + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
     fits = found["n"] <= cap and found["n"] * row_bytes(df.schema) + (found["b"] or 0) <= max_bytes
     return F.broadcast(df) if fits else df
+
+
+def hashed(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df``, the right and smaller side of a shuffle join, with a hint for a shuffled hash join if it has
+    ``HASHED_ROWS`` or more. Only its share of a partition is then held; the other side streams by. A
+    sort-merge join sorts both, and adaptive execution merges partitions by compressed bytes: sorted rows
+    take several times that, and spill. Its rows must be about unique by the join's keys."""
+    return df.hint("shuffle_hash") if rows is not None and rows >= HASHED_ROWS else df

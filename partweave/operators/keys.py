@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .broadcast import DEFAULT_MAX_BYTES, checked_broadcast, max_rows_for
+from .broadcast import DEFAULT_MAX_BYTES, checked_broadcast, hashed, max_rows_for
 from ..session import stage
 from .compact import key_filter
 from .ids import orig_name
@@ -35,7 +35,8 @@ def rewrite_fk(
 
     Join strategy: ``broadcast='auto'`` broadcasts the key map when its size is
     proven under budget (no shuffle of the child at all); otherwise a shuffle
-    join on (part, id) whose hot partitions AQE splits at runtime. With
+    join on (part, id) whose hot partitions AQE splits at runtime (a key map of
+    known size that is large is hashed, so the child is not sorted). With
     ``hot_key_rows`` set, keys with at least that many child rows are split off
     up front and joined against a broadcast of just their key-map rows, so no
     single key reaches one task. ``keymap_rows``, when the caller knows the
@@ -61,6 +62,7 @@ def rewrite_fk(
         c = key_filter(km, id_col, rows, part, broadcast_max_bytes).of(c, orig)
     if hot_key_rows is None or side is not km:
         # A broadcast key map never shuffles the child: no key can be hot.
+        side = hashed(km, keymap_rows) if side is km else side
         return c.join(side, keys, how).select(*out_cols)
 
     counts = c.where(F.col(orig).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -103,9 +105,21 @@ def known_broadcast(km: DataFrame, rows: int | None, broadcast: str, max_bytes:
     return checked_broadcast(km, max_bytes)
 
 
-def orphans(child: DataFrame, keymap: DataFrame, id_col: str, part: str = "part") -> DataFrame:
+def orphans(
+    child: DataFrame,
+    keymap: DataFrame,
+    id_col: str,
+    part: str = "part",
+    keymap_rows: int | None = None,
+    broadcast: str = "auto",
+    broadcast_max_bytes: int = DEFAULT_MAX_BYTES,
+) -> DataFrame:
     """Child rows an inner rewrite would drop: ID NULL or absent from the
-    owner's same part."""
+    owner's same part. With ``keymap_rows`` known, the key map is broadcast or
+    hashed as ``rewrite_fk`` does."""
     orig = orig_name(id_col)
     km = keymap.select(part, F.col(orig).alias(id_col))
+    if keymap_rows is not None:
+        side = known_broadcast(km, keymap_rows, broadcast, broadcast_max_bytes)
+        km = hashed(km, keymap_rows) if side is km else side
     return child.join(km, [part, id_col], "left_anti")

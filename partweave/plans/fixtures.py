@@ -25,7 +25,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.broadcast import checked_broadcast
+from ..operators.broadcast import HASHED_ROWS, checked_broadcast, hashed, max_rows_for
 from ..operators.numbering import number_rows
 from ..session import stage
 
@@ -33,6 +33,9 @@ from ..session import stage
 N_PARTS = 5
 FACILITIES_PER_PART = 5
 
+# Encounters a task of a large join with line items, which are about four times as many rows.
+ENCOUNTERS_A_TASK = 200_000
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -43,6 +46,7 @@ class Fixture:
         self.spark = spark
         self.sf_dir = sf_dir
         self.method = method
+        self._rows: dict[str, int] = {}
 
     def t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -51,6 +55,18 @@ class Fixture:
         """``df`` once per part 1..N_PARTS (a generator, not a join)."""
         return df.withColumn("part", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(N_PARTS).cast("long"))))
 
+    def _numbered(self, role: str, df: DataFrame, order_by: list[str], name: str) -> DataFrame:
+        stats: dict = {}
+        out = number_rows(df, order_by, name, restart_by=["part"], method=self.method, stats=stats)
+        self._rows[role] = stats.get("rows")
+        return out
+
+    def _side(self, role: str, df: DataFrame) -> DataFrame:
+        """``df``, columns of a numbered frame, as the smaller side of a join: broadcast if its
+        counted rows prove it small, hashed if they are many."""
+        rows = self._rows[role]
+        return F.broadcast(df) if rows is not None and rows <= max_rows_for(df) else hashed(df, rows)
+
     @cached_property
     def demo_raw(self) -> DataFrame:
         cust = self.t("customer").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
@@ -62,7 +78,7 @@ class Fixture:
             F.when(F.col("c_acctbal") < 0, "Y").otherwise("N").alias("Hispanic"),
             F.col("c_nationkey").alias("Race"),
         )
-        j = number_rows(j, ["c_custkey"], "PatID", restart_by=["part"], method=self.method)
+        j = self._numbered("demographic", j, ["c_custkey"], "PatID")
         return j.select("part", "PatID", "c_custkey", "Sex", "Hispanic", "Race")
 
     @cached_property
@@ -85,13 +101,13 @@ class Fixture:
     @cached_property
     def enc_src(self) -> DataFrame:
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
-        d = self.demo_raw.select("part", "PatID", "c_custkey")
+        d = self._side("demographic", self.demo_raw.select("part", "PatID", "c_custkey"))
         j = o.join(d, o.o_custkey == d.c_custkey)
         fac = F.when(
             (F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 5 == 1), F.lit(None).cast("long")
         ).otherwise(F.substring("o_orderpriority", 1, 1).cast("long") + F.col("part"))
         j = j.select("part", "PatID", fac.alias("FacilityID"), "o_orderkey", F.col("o_orderdate").alias("ADate"))
-        j = number_rows(j, ["o_orderkey"], "EncounterID", restart_by=["part"], method=self.method)
+        j = self._numbered("encounter", j, ["o_orderkey"], "EncounterID")
         return j.select("part", "EncounterID", "PatID", "FacilityID", "o_orderkey", "ADate")
 
     @cached_property
@@ -110,7 +126,7 @@ class Fixture:
     @cached_property
     def enroll_src(self) -> DataFrame:
         o = self.t("orders").select("o_custkey", "o_orderstatus", "o_orderpriority")
-        d = self.demo_raw.select("part", "PatID", "c_custkey")
+        d = self._side("demographic", self.demo_raw.select("part", "PatID", "c_custkey"))
         j = o.join(d, o.o_custkey == d.c_custkey)
         return j.select(
             "part",
@@ -131,6 +147,12 @@ class Fixture:
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"
         )
         e = self.enc_src.select("part", "EncounterID", "PatID", "o_orderkey")
+        rows = self._rows["encounter"]
+        if rows is not None and rows >= HASHED_ROWS:
+            # Sorted, as lines of an encounter that lie together are staged and shuffled in half the bytes; so
+            # many tasks that no sort spills: adaptive execution would merge them by their compressed bytes.
+            n = -(-rows // ENCOUNTERS_A_TASK)
+            li, e = li.repartition(n, "l_orderkey"), e.repartition(n, "o_orderkey")
         return stage(li.join(e, li.l_orderkey == e.o_orderkey), "fixture-lines")
 
     @cached_property

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.bind import bind, write_table
-from ..operators.broadcast import DEFAULT_MAX_BYTES
+from ..operators.broadcast import DEFAULT_MAX_BYTES, hashed
 from ..operators.ids import KEYS_ONLY_MIN_EXTRA_COLUMNS, assign_ids, assign_ids_many, key_map, orig_name
 from ..operators.keys import known_broadcast, orphans, rewrite_fk
 from ..registry import CLAIMS, Registry
@@ -191,7 +191,8 @@ class Pipeline:
         """Rows of ``table`` (before its rewrites) that the ``id_col`` rewrite
         drops."""
         src = self.rebased(table) if table in self.reg.owners else self.source(table)
-        return orphans(src, self.key_map(id_col), id_col, self.part)
+        km = self.key_map(id_col)
+        return orphans(src, km, id_col, self.part, self.key_map_rows(id_col), self.broadcast, self.broadcast_max_bytes)
 
     def audit(self) -> DataFrame:
         """Per foreign key: (table_name, id_col, rows_in, orphans) - the
@@ -210,8 +211,9 @@ class Pipeline:
             for i, k in enumerate(keys):
                 km = self.key_map(k).select(self.part, F.col(orig_name(k)).alias(k))
                 km = (km.distinct() if self.on_duplicates == "keep" else km).withColumn(f"_hit{i}", F.lit(True))
-                km = known_broadcast(km, self.key_map_rows(k), self.broadcast, self.broadcast_max_bytes)
-                seen = seen.join(km, [self.part, k], "left")
+                side = known_broadcast(km, self.key_map_rows(k), self.broadcast, self.broadcast_max_bytes)
+                side = hashed(km, self.key_map_rows(k)) if side is km else side
+                seen = seen.join(side, [self.part, k], "left")
             rows = F.count(F.lit(1))
             one = [
                 F.struct(F.lit(child).alias("table_name"), F.lit(k).alias("id_col"), rows.alias("rows_in"), F.count_if(F.col(f"_hit{i}").isNull()).alias("orphans"))
