@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from functools import partial
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,8 @@ def _alone(batches: Iterator[pa.RecordBatch], step: Callable, options: dict) ->
 
 _SLICE_BYTES = 1 << 18
 _R = 0x9E3779B97F4A7C15  # 5 modulo 8, so its powers have the longest period
+_PIECED_BYTES = 256
+_FIRST_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], U64)  # masks
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -99,11 +102,10 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def hashed_words(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and 64-bit hashes of the words of a text (uint8 array): what stands between
-    ASCII white space, A-Z hashed like a-z. Works on slices cut at white space, so its
-    arrays stay small beside a very long text."""
-    starts, hashes, done = [], [], 0
+def _slices(text: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Start and bytes of the slices of a text (uint8 array), cut at white space: arrays
+    made from one stay small beside a very long text."""
+    done = 0
     while done < len(text):
         stop = min(len(text), done + _SLICE_BYTES)
         while stop < len(text):
@@ -112,7 +114,15 @@ def hashed_words(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 stop += int(blank[0])
                 break
             stop = min(len(text), stop + _SLICE_BYTES)
-        part = text[done:stop]
+        yield done, text[done:stop]
+        done = stop
+
+
+def hashed_words(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of the words of a text (uint8 array): what stands between
+    ASCII white space, A-Z hashed like a-z."""
+    starts, hashes = [], []
+    for done, part in _slices(text):
         blank = np.concatenate([[True], _SPACE[part], [True]])
         first = np.flatnonzero(blank[:-2] & ~blank[1:-1])
         last = np.flatnonzero(~blank[1:-1] & blank[2:]) + 1
@@ -120,7 +130,32 @@ def hashed_words(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sums = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE_TERMS[part] * up[: len(part)])])
         hashes.append(mix64((sums[last] - sums[first]) * down[first] + (last - first).astype(U64)))
         starts.append(first + done)
-        done = stop
+    return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.empty(0, np.int64), np.empty(0, U64))
+
+
+def piece_hashed_words(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``hashed_words``, with other hashes, in half the time: a word's 8-byte pieces are
+    mixed one after the other, and the few words beyond ``_PIECED_BYTES`` are hashed whole."""
+    starts, hashes = [], []
+    for done, part in _slices(text):
+        low = np.zeros(len(part) + 8, np.uint8)
+        low[: len(part)] = part | ((part - np.uint8(65) < 26).view(np.uint8) << 5)
+        blank = np.ones(len(part) + 2, bool)
+        np.logical_or(part == 32, part - np.uint8(9) < 5, out=blank[1:-1])
+        edge = np.flatnonzero(blank[1:] != blank[:-1])
+        first, size = edge[::2], edge[1::2] - edge[::2]
+        eight = np.ndarray(len(part) + 1, "<u8", low, strides=(1,))  # the 8 bytes from each place on
+        h = mix64((eight[first] & _FIRST_BYTES[np.minimum(size, 8)]) ^ (size.astype(U64) * U64(_R)))
+        at, rest = 8, np.flatnonzero(size > 8)
+        while len(rest) and at < _PIECED_BYTES:
+            h[rest] = mix64(h[rest] ^ (eight[first[rest] + at] & _FIRST_BYTES[np.minimum(size[rest] - at, 8)]))
+            at += 8
+            rest = rest[size[rest] > at]
+        for i in rest:
+            whole = blake2b(low[first[i] : first[i] + size[i]].tobytes(), digest_size=8)
+            h[i] = int.from_bytes(whole.digest(), "little")
+        hashes.append(h)
+        starts.append(first + done)
     return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.empty(0, np.int64), np.empty(0, U64))
 
 

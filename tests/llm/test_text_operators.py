@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from partweave.llm import langid, line_dedup, near_dup
+from partweave.llm import common, langid, line_dedup, near_dup
 from partweave.llm.langid import fit_languages, held_out, identify_languages
 from partweave.llm.line_dedup import drop_repeated_lines, line_counts, removed_lines
 from partweave.llm.mixing import mix_sources
@@ -152,6 +152,80 @@ def test_line_whose_prefix_words_share_their_bits_stays():
     assert {(r["xdoc"], r["xline"], r["ydoc"], r["yline"]) for r in found} == {(3, 0, 9, 4)}
 
 
+def _some_entries(rng, size, words, lengths, docs):
+    e = np.zeros(size, line_dedup._ENTRY)
+    e["word"], e["n"], e["pos"] = rng.integers(0, words, size), rng.choice(lengths, size), rng.integers(0, 12, size)
+    e["doc"], e["line"], e["key"] = rng.choice(docs, size), rng.integers(0, 3, size), rng.integers(0, 2, size)
+    e["sketch"] = rng.integers(0, 64, (size, 2))
+    return e
+
+
+def _fitting_pairs(e, own, num, den):
+    """Every pair of one word that passes the length, position and sketch filters."""
+    out = set()
+    for i, j in np.argwhere(e["word"][:, None] == e["word"][None, :]):
+        x, y = e[i], e[j]
+        at = [(int(z["doc"]), int(z["line"]), int(z["key"])) for z in (x, y)]
+        nx, ny = int(x["n"]), int(y["n"])
+        if at[0] >= at[1] or (len(set(own)) > 1 and own[i] == own[j]) or den * nx < num * ny or den * ny < num * nx:
+            continue
+        need = -(-num * (nx + ny) // (num + den))
+        apart = sum(int(a ^ b).bit_count() for a, b in zip(x["sketch"], y["sketch"], strict=True))
+        if nx < 0xFFFF and ny < 0xFFFF and (min(nx - int(x["pos"]), ny - int(y["pos"])) < need or apart * (num + den) > (den - num) * (nx + ny)):
+            continue
+        out.add((*at[0], *at[1]))
+    return out
+
+
+def _met(e, own, num, den):
+    table = pa.table({"own": own, "entries": [x.tobytes() for x in e]})
+    names = ["xdoc", "xline", "xkey", "ydoc", "yline", "ykey"]
+    return {tuple(r[c] for c in names) for r in line_dedup._pairs(table, num, den).to_pylist()}
+
+
+@pytest.mark.parametrize("num, den", [(80, 100), (1, 2), (9, 10), (1, 1)])
+def test_lines_meet_every_earlier_line_that_passes_the_filters(monkeypatch, num, den):
+    monkeypatch.setattr(line_dedup, "LISTED", 10**9)
+    rng = np.random.default_rng(5)
+    near, far = np.arange(-20, 20), np.array([-(2**62), -1, 0, 7, 2**62])
+    for docs in (near, far):
+        for lengths in (np.arange(1, 60), np.array([40_000, 60_000, 0xFFFF])):
+            e = _some_entries(rng, 200, 4, lengths, docs)
+            assert _met(e, [0] * 200, num, den) == _fitting_pairs(e, [0] * 200, num, den)
+            e = _some_entries(rng, 120, 1, lengths, docs)
+            own = rng.integers(3, 5, 120).tolist()
+            assert _met(e, own, num, den) == _fitting_pairs(e, own, num, den)
+
+
+def test_lines_of_other_lengths_are_not_compared(monkeypatch):
+    e = np.zeros(120, line_dedup._ENTRY)
+    e["n"], e["doc"], e["word"] = np.arange(120) + 1, np.random.default_rng(0).permutation(120), 7
+    e["sketch"] = np.random.default_rng(1).integers(0, 1 << 63, (120, 2))
+    compared, count = [], np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: compared.append(x.size) or count(x))
+    assert not _met(e, [0] * 120, 80, 100)
+    fit = sum(100 * x >= 80 * y for y in range(1, 121) for x in range(1, y))
+    assert 0 < sum(compared) <= 2 * fit < 120 * 119 / 4  # two numbers a sketch
+
+
+def test_piece_hashes_tell_the_same_words_apart(monkeypatch):
+    rng = np.random.default_rng(2)
+    long = ["x" * n for n in (7, 8, 9, 16, 17, 64, 65, 255, 256, 257, 264, 300)] + ["x" * 64 + "y", "x" * 299 + "z", "y" + "x" * 299]
+    odd = ["ä", "Ä", "a\0", "a", "A", "\0", "\0\0", "[", "{", "@", "`", "aB" * 40, "Ab" * 40, "ÉCOLE", "École"]
+    words = np.array([*long, *odd, *(f"W{i}" for i in range(50))])
+    text = "".join(w + s for w, s in zip(rng.choice(words, 3000), rng.choice([" ", "\n", "\t\r", " \x0b\x0c "], 3000), strict=True))
+    text = np.frombuffer(text.encode(), np.uint8)
+    whole = common.piece_hashed_words(text)
+    start, other = common.hashed_words(text)
+    assert (whole[0] == start).all()
+    pairs = np.unique(np.stack([whole[1], other]), axis=1).shape[1]
+    assert len(np.unique(whole[1])) == len(np.unique(other)) == pairs
+    monkeypatch.setattr(common, "_SLICE_BYTES", 64)
+    for a, b in zip(whole, common.piece_hashed_words(text), strict=True):
+        assert (a == b).all()
+    assert [len(x) for x in common.piece_hashed_words(np.empty(0, np.uint8))] == [0, 0]
+
+
 def test_lines_of_texts_that_repeat_a_doc_id(spark):
     words = [f"w{i}" for i in range(20)]
     texts = [" ".join(words), " ".join([*words[:-1], "changed"]) + "\nonly in the second text", "wholly other words stand here\nonly in the third one"]
